@@ -2,4 +2,103 @@
 
 from __future__ import annotations
 
-EXTRA_QUERIES: dict = {}
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import quality as dq
+from ..operators import writes
+from ..operators.allocation import allocate_stock
+from ..operators.order_text import extract_order_lines, messages_needing_review
+from ..operators.ranking import _materialize, ordered_scan
+from . import extras
+from .core import Warehouse
+
+# Fixed replay time of the inventory upsert example, so that the run is deterministic.
+UPSERT_NOW = "2024-02-01 00:00:00"
+
+
+def _check(label: str):
+    def run(w: Warehouse) -> DataFrame:
+        spec = next(c for c in dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS if c.name == label)
+        return dq.violations(spec, w)
+    return run
+
+
+def inventory_upsert(w: Warehouse) -> DataFrame:
+    """U1 on the inventory grain: days 1-20 are the table, days 15-31 (re-measured) the batch."""
+    inv = w.stg_inventory.withColumn("updated_at", F.col("inventory_date").cast("timestamp_ntz"))
+    key = ["product_id", "inventory_date", "warehouse_location"]
+    target = writes.latest_per_key(inv.where(F.dayofmonth("inventory_date") <= 20), key, "inventory_id")
+    batch = inv.where(F.dayofmonth("inventory_date") >= 15).select(
+        "inventory_id", *key, (F.col("available_quantity") + 1).cast("decimal(10,2)").alias("available_quantity"))
+    merged = writes.upsert(target, batch, key, ["inventory_id", "available_quantity"], order_col="inventory_id",
+                           now=F.lit(UPSERT_NOW).cast("timestamp_ntz"))
+    return merged.withColumnRenamed("_action", "action")
+
+
+def inventory_upsert_outcomes(w: Warehouse) -> DataFrame:
+    return writes.upsert_outcome_counts(inventory_upsert(w).withColumnRenamed("action", "_action")).withColumnRenamed(
+        "_action", "action")
+
+
+def customer_order_history(w: Warehouse) -> DataFrame:
+    """Each customer's orders, newest first, numbered (hot customers are range-split)."""
+    o = w.stg_orders.select("customer_id", "order_id", "order_date", "order_status", "total_value")
+    base, n = _materialize(o)
+    scanned = ordered_scan(base, n, ["customer_id"], [F.col("order_date").desc(), F.col("order_id").desc()], {})
+    return scanned.withColumn("order_seq", (F.col("_pos") + 1).cast("bigint")).drop("_pos")
+
+
+def stock_allocation(w: Warehouse) -> DataFrame:
+    lines = w.fct_order_items.select("order_item_id", "order_id", "product_id", "order_date", "requested_quantity")
+    return allocate_stock(lines, w.stg_inventory)
+
+
+def order_text_lines(w: Warehouse) -> DataFrame:
+    return extract_order_lines(w.stg_incoming_orders_raw, w.stg_products)
+
+
+def order_text_review(w: Warehouse) -> DataFrame:
+    raw = w.stg_incoming_orders_raw
+    return messages_needing_review(raw, extract_order_lines(raw, w.stg_products))
+
+
+EXTRA_QUERIES = {
+    # data quality
+    "dq_staging_summary": lambda w: dq.run_checks(w, dq.STAGING_CHECKS),
+    "dq_core_summary": lambda w: dq.run_checks(w, dq.CORE_CHECKS),
+    "dq_confirmed_not_above_requested": _check("assert_confirmed_not_above_requested"),
+    "dq_delivered_has_timestamp": _check("assert_delivered_rows_have_timestamp"),
+    "dq_order_header_mismatch": _check("warn_order_header_mismatch"),
+    "dq_revenue_ties_out": _check("assert_kpi_revenue_ties_out"),
+    "dq_duplicate_order_lines": _check("unique_combination__stg_order_items__order_id_product_id"),
+    "dq_orphan_product_suppliers": _check("relationships__stg_products__supplier_id__stg_suppliers"),
+    "dq_invalid_source_channel": lambda w: dq.violations(
+        dq.Check("stg_incoming_orders_raw", "accepted_values", "source_channel", dq.SOURCE_CHANNELS), w
+    ).select("raw_order_id", "source_channel"),
+    "dq_shift_hours_out_of_range": lambda w: dq.violations(
+        next(c for c in dq.STAGING_CHECKS if c.name == "check__stg_worker_shifts__hours"), w
+    ).select("shift_id", "worker_id", "hours_worked"),
+    # write path
+    "unprocessed_raw_orders": lambda w: writes.unprocessed_raw_orders(w.stg_incoming_orders_raw, w.stg_orders),
+    "orders_needing_items": lambda w: writes.orders_needing_items(w.stg_orders, w.stg_order_items),
+    "deliverable_orders": lambda w: writes.deliverable_orders(w.stg_orders, w.stg_customers, w.stg_deliveries),
+    "active_drivers": lambda w: writes.active_drivers(w.stg_workers),
+    "resolved_raw_orders": lambda w: writes.resolve_customers(w.stg_incoming_orders_raw, w.stg_customers)[0],
+    "rejected_raw_orders": lambda w: writes.resolve_customers(w.stg_incoming_orders_raw, w.stg_customers)[1],
+    "upsert_inventory": inventory_upsert,
+    "upsert_inventory_outcomes": inventory_upsert_outcomes,
+    "status_breakdown_cleaning": lambda w: writes.status_breakdown(w.stg_orders, "cleaning_status"),
+    "driver_assignment_counts": lambda w: writes.driver_assignment_counts(w.stg_deliveries, w.stg_workers),
+    "customer_order_history": customer_order_history,
+    # extensions
+    "x3_stock_allocation": stock_allocation,
+    "x4_order_text_lines": order_text_lines,
+    "x4_messages_needing_review": order_text_review,
+    "x5_prep_list": extras.prep_list,
+    "x6_labor_by_worker_week": extras.labor_by_worker_week,
+    "x6_labor_by_order": extras.labor_by_order,
+    "x7_stockout_frequency": extras.stockout_frequency,
+    "x7_delivery_bottlenecks": extras.delivery_bottlenecks,
+    "x8_orders_missing_items": extras.orders_missing_items,
+}

@@ -160,7 +160,7 @@ class TpchAdapters:
         cleaning = _case(k % 10, {0: "needs_review", 1: "Incomplete", 2: "rejected"}, "clean")
         return o.select(
             k.alias("order_id"),
-            k.alias("raw_order_id"),
+            F.when(k % 41 == 0, F.lit(None).cast("bigint")).otherwise(k).alias("raw_order_id"),
             F.col("o_custkey").alias("customer_id"),
             order_date.alias("order_date"),
             F.when(k % 31 == 0, F.lit(None).cast("date"))

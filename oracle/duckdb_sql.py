@@ -91,7 +91,7 @@ SELECT event_id AS inventory_id, user_id AS product_id, CAST(ts AS DATE) AS inve
   CAST(value AS DECIMAL(10,2)) AS available_quantity, event_type AS warehouse_location
 FROM events""",
     "raw_orders": """
-SELECT o_orderkey AS order_id, o_orderkey AS raw_order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_orderkey END AS raw_order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
   CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 + 1 AS INTEGER) END AS requested_delivery_date,
   CASE WHEN o_orderkey % 50 = 7 THEN 'Cancelled' WHEN o_orderstatus = 'F' THEN 'Fulfilled'
     WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'partial' ELSE 'SHORTED' END
@@ -133,7 +133,42 @@ SELECT l_orderkey * 100 + l_linenumber AS shift_id, l_suppkey AS worker_id, CAST
 FROM lineitem""",
 }
 
+_ITEM_ORDER = "ORDER BY l.l_linenumber, l.qty, l.product"
+NL = "chr(10)"
+ADAPTERS["raw_hdr"] = """
+SELECT o.o_orderkey AS raw_order_id,
+  CASE WHEN o.o_orderkey % 29 = 0 THEN NULL WHEN o.o_orderkey % 17 = 0 THEN c.c_name || ' ' ELSE c.c_name END AS customer_name_raw,
+  coalesce(c.c_name, 'unknown') AS cust,
+  o.o_orderdate + to_hours(CAST(o.o_orderkey % 12 + 6 AS BIGINT)) AS received_timestamp,
+  CASE WHEN o.o_orderkey % 37 = 0 THEN 'SMS' ELSE CASE o.o_orderkey % 5 WHEN 0 THEN 'text' WHEN 1 THEN 'Email'
+    WHEN 2 THEN 'spreadsheet' WHEN 3 THEN 'phone' ELSE 'in_person' END END AS source_channel,
+  CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE 'intake desk' END AS entered_by
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+ADAPTERS["raw_lines"] = """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS qty, p_name AS product
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+ADAPTERS["raw_items"] = f"""
+SELECT h.raw_order_id,
+  string_agg(CAST(l.qty AS VARCHAR) || 'lb ' || l.product, ', ' {_ITEM_ORDER}) AS i_text,
+  string_agg('- ' || l.product || ': ' || CAST(l.qty AS VARCHAR) || ' lbs', {NL} {_ITEM_ORDER}) AS i_email,
+  string_agg(h.cust || ',' || l.product || ',' || CAST(l.qty AS VARCHAR) || ',lbs', {NL} {_ITEM_ORDER}) AS i_sheet,
+  string_agg('* ' || CAST(l.qty AS VARCHAR) || ' lb ' || l.product, {NL} {_ITEM_ORDER}) AS i_phone,
+  string_agg(CAST(l.qty AS VARCHAR) || 'lb ' || l.product, '; ' {_ITEM_ORDER}) AS i_walk
+FROM raw_hdr h JOIN raw_lines l ON h.raw_order_id = l.l_orderkey GROUP BY 1"""
+ADAPTERS["raw_incoming_orders"] = f"""
+SELECT h.raw_order_id, h.customer_name_raw,
+  CASE lower(trim(h.source_channel))
+    WHEN 'email' THEN 'Please deliver the following to ' || h.cust || ':' || {NL} || {NL} || coalesce(i.i_email, '')
+      || {NL} || {NL} || 'Thanks,' || {NL} || h.cust || ' Purchasing'
+    WHEN 'spreadsheet' THEN coalesce(i.i_sheet, '')
+    WHEN 'phone' THEN 'Phone order from ' || h.cust || ':' || {NL} || coalesce(i.i_phone, '')
+    WHEN 'in_person' THEN 'Walk-in: ' || h.cust || ' - ' || coalesce(i.i_walk, '')
+    ELSE 'need ' || coalesce(i.i_text, '') || ' asap' END AS order_text,
+  h.received_timestamp, h.source_channel, h.entered_by
+FROM raw_hdr h LEFT JOIN raw_items i ON h.raw_order_id = i.raw_order_id"""
+
 STAGING = {
+    "stg_incoming_orders_raw": """SELECT raw_order_id, customer_name_raw, order_text, received_timestamp AS received_at,
+  lower(trim(source_channel)) AS source_channel, entered_by FROM raw_incoming_orders""",
     "stg_customers": """SELECT customer_id, trim(customer_name) AS customer_name, lower(trim(market_type)) AS market_type, region,
   signup_date, is_active, created_at, updated_at FROM raw_customers""",
     "stg_suppliers": """SELECT supplier_id, trim(supplier_name) AS supplier_name, supplier_region,
@@ -198,6 +233,13 @@ SELECT p.product_id, p.product_name, p.category, p.unit, p.standard_price, p.sou
 FROM stg_products p LEFT JOIN stg_suppliers s ON p.supplier_id = s.supplier_id""",
 }
 
+CORE["dim_workers"] = "SELECT worker_id, worker_name, worker_role, hire_date, is_active FROM stg_workers"
+CORE["dim_customers"] = """SELECT c.customer_id, c.customer_name, c.market_type, c.region, c.signup_date, c.is_active,
+  coalesce(co.n, 0) AS lifetime_orders, coalesce(co.rev, 0) AS lifetime_revenue, co.first_order_date, co.last_order_date
+FROM stg_customers c LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(confirmed_revenue) AS rev,
+  min(order_date) AS first_order_date, max(order_date) AS last_order_date FROM fct_order_items GROUP BY 1) co
+  ON c.customer_id = co.customer_id"""
+
 CTES = {**ADAPTERS, **STAGING, **CORE}
 
 
@@ -373,14 +415,12 @@ MODELS = {
     "fct_orders": query(exchange("fct_orders", (
         "header_total_value", "line_requested_value", "confirmed_revenue", "header_value_variance"), ("header_total_items",))),
     "fct_worker_shifts": query(exchange("fct_worker_shifts", ("hours_worked", "hourly_rate", "labor_cost"))),
-    "dim_customers": query(f"""SELECT c.customer_id, c.customer_name, c.market_type, c.region, c.signup_date, c.is_active,
-  CAST(coalesce(co.n, 0) AS BIGINT) AS lifetime_orders, {dbl('coalesce(co.rev, 0)')} AS lifetime_revenue,
-  co.first_order_date, co.last_order_date
-FROM stg_customers c LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(confirmed_revenue) AS rev,
-  min(order_date) AS first_order_date, max(order_date) AS last_order_date FROM fct_order_items GROUP BY 1) co
-  ON c.customer_id = co.customer_id"""),
+    "dim_customers": query(exchange("dim_customers", ("lifetime_revenue",), ("lifetime_orders",))),
+    "stg_incoming_orders_raw": query(exchange("stg_incoming_orders_raw")),
     "dim_products": query(exchange("dim_products", ("standard_price",))),
     "dim_workers": query("SELECT worker_id, worker_name, worker_role, hire_date, is_active FROM stg_workers"),
 }
 
-ORACLE: dict[str, str] = {**MODELS, **KPI, **SQL_FILE}
+from .extra_sql import EXTRA  # noqa: E402
+
+ORACLE: dict[str, str] = {**MODELS, **KPI, **SQL_FILE, **EXTRA}
