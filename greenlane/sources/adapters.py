@@ -45,6 +45,39 @@ def _cents_to_decimal(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
 
 
+def deliveries_from_orders(o: DataFrame, n_suppliers: Column | None) -> DataFrame:
+    """Deliveries derived from orders (also used on a stream of orders; without a supplier count the driver is NULL)."""
+    k = F.col("o_orderkey")
+    scheduled = F.col("o_orderdate") + _days(k % 3 + 1) + _hours(k % 10 + 8)
+    status = (
+        F.when(F.col("o_orderstatus") == "F", F.lit("Delivered"))
+        .when(F.col("o_orderstatus") == "P", _case(k % 4, {0: "failed", 1: "Cancelled", 2: "in_transit"}, "delivered"))
+        .otherwise(F.lit("scheduled"))
+    )
+    delivered = (F.col("o_orderstatus") == "F") | ((F.col("o_orderstatus") == "P") & (k % 4 == 3))
+    actual = (
+        F.when(~delivered | (k % 97 == 0), F.lit(None).cast("timestamp_ntz"))
+        .when(k % 5 == 0, scheduled + _days(F.lit(1)))
+        .when(k % 5 == 1, scheduled - _hours(F.lit(20)))
+        .otherwise(scheduled + _hours(k % 3))
+    )
+    if n_suppliers is None:
+        driver = F.lit(None).cast("bigint")
+    else:
+        driver = F.when(F.col("o_custkey") % 11 == 0, F.lit(None).cast("bigint")).otherwise(F.col("o_custkey") % n_suppliers)
+    return o.where(((F.col("o_orderstatus") != "O") | (k % 3 == 0)) & (k % 13 != 0)).select(
+        k.alias("delivery_id"),
+        k.alias("order_id"),
+        scheduled.alias("scheduled_delivery_time"),
+        actual.alias("actual_delivery_time"),
+        status.alias("delivery_status"),
+        driver.alias("driver_worker_id"),
+        F.concat(F.lit("Address "), F.col("o_custkey").cast("string")).alias("delivery_address"),
+        F.col("o_orderdate").alias("created_at"),
+        scheduled.alias("updated_at"),
+    )
+
+
 class TpchAdapters:
     """Lazily built raw tables over one scale-factor directory."""
 
@@ -226,34 +259,7 @@ class TpchAdapters:
         )
 
     def deliveries(self) -> DataFrame:
-        o = self.t("orders")
-        k = F.col("o_orderkey")
-        scheduled = F.col("o_orderdate") + _days(k % 3 + 1) + _hours(k % 10 + 8)
-        status = (
-            F.when(F.col("o_orderstatus") == "F", F.lit("Delivered"))
-            .when(F.col("o_orderstatus") == "P", _case(k % 4, {0: "failed", 1: "Cancelled", 2: "in_transit"}, "delivered"))
-            .otherwise(F.lit("scheduled"))
-        )
-        delivered = F.col("o_orderstatus") == "F"
-        delivered = delivered | ((F.col("o_orderstatus") == "P") & (k % 4 == 3))
-        actual = (
-            F.when(~delivered | (k % 97 == 0), F.lit(None).cast("timestamp_ntz"))
-            .when(k % 5 == 0, scheduled + _days(F.lit(1)))
-            .when(k % 5 == 1, scheduled - _hours(F.lit(20)))
-            .otherwise(scheduled + _hours(k % 3))
-        )
-        driver = F.when(F.col("o_custkey") % 11 == 0, F.lit(None).cast("bigint")).otherwise(F.col("o_custkey") % self._n_suppliers())
-        return o.where(((F.col("o_orderstatus") != "O") | (k % 3 == 0)) & (k % 13 != 0)).select(
-            k.alias("delivery_id"),
-            k.alias("order_id"),
-            scheduled.alias("scheduled_delivery_time"),
-            actual.alias("actual_delivery_time"),
-            status.alias("delivery_status"),
-            driver.alias("driver_worker_id"),
-            F.concat(F.lit("Address "), F.col("o_custkey").cast("string")).alias("delivery_address"),
-            F.col("o_orderdate").alias("created_at"),
-            scheduled.alias("updated_at"),
-        )
+        return deliveries_from_orders(self.t("orders"), self._n_suppliers())
 
     def worker_shifts(self) -> DataFrame:
         li = self.t("lineitem")
@@ -304,9 +310,11 @@ class TpchAdapters:
             F.col("received_timestamp").alias("created_at"), F.col("received_timestamp").alias("updated_at"))
 
     def tables(self) -> Tables:
-        return Tables({name: getattr(self, name) for name in (
+        t = Tables({name: getattr(self, name) for name in (
             "customers", "suppliers", "workers", "products", "inventory", "incoming_orders_raw",
             "orders_cleaned", "order_items", "prep_lists", "deliveries", "worker_shifts")})
+        t.sf_dir = self.sf_dir
+        return t
 
 
 def tpch_tables(spark: SparkSession, sf_dir: str) -> Tables:

@@ -16,6 +16,7 @@ class Tables:
     def __init__(self, loaders: dict[str, Callable[[], DataFrame]]):
         self._loaders = dict(loaders)
         self._built: dict[str, DataFrame] = {}
+        self.sf_dir: str | None = None  # set when the tables derive from one test-data directory
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

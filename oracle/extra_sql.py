@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from greenlane.operators import quality as dq
 
-from .duckdb_sql import dbl, pct, query
+from .duckdb_sql import ON_TIME, dbl, pct, query
 
 SINGULAR = {
     "assert_confirmed_not_above_requested": "SELECT order_item_id, requested_quantity, confirmed_quantity FROM fct_order_items "
@@ -91,7 +91,16 @@ ALLOC_CTES = dict(
 FROM sc LEFT JOIN stock s ON sc.product_id = s.product_id""",
 )
 
+from .duckdb_sql import KPI  # noqa: E402
+
 EXTRA = {
+    "x1_incremental_weekly_fill_rate": KPI["kpi_weekly_fill_rate"].replace(
+        "SELECT order_week AS week_start, sum(requested_quantity) AS rq, sum(confirmed_quantity) AS cq FROM fct_order_items GROUP BY 1",
+        "SELECT CAST(date_trunc('week', o.order_date) AS DATE) AS week_start, sum(i.requested_quantity) AS rq, "
+        "sum(coalesce(i.confirmed_quantity, 0)) AS cq FROM stg_orders o JOIN stg_order_items i ON o.order_id = i.order_id GROUP BY 1"),
+    "x2_streaming_daily_on_time": query(
+        f"SELECT CAST(scheduled_at AS DATE) AS delivery_date, CAST(count(*) AS BIGINT) AS deliveries, "
+        f"CAST(sum({ON_TIME}) AS BIGINT) AS on_time_deliveries FROM stg_deliveries GROUP BY 1"),
     "dq_staging_summary": summary_sql(dq.STAGING_CHECKS),
     "dq_core_summary": summary_sql(dq.CORE_CHECKS),
     "dq_confirmed_not_above_requested": query(
