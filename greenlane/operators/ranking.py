@@ -127,7 +127,7 @@ def rank_and_order(
     measure: str,
     tie: str,
     *,
-    ranks: dict[str, list[str]] | None = None,
+    ranks: dict[str, list[str] | tuple[str, list[str]]] | None = None,
     ntiles: dict[str, int] | None = None,
     running_sums: dict[str, str] | None = None,
     descending: bool = True,
@@ -136,7 +136,8 @@ def rank_and_order(
 ) -> DataFrame:
     """Window measures over ``measure`` (descending by default).
 
-    * ``ranks``:        out -> partition columns; ``RANK() OVER (PARTITION BY p ORDER BY measure)``
+    * ``ranks``:        out -> partition columns, or (other measure, partition columns);
+                        ``RANK() OVER (PARTITION BY p ORDER BY measure)``
     * ``ntiles``:       out -> k; ``NTILE(k) OVER (ORDER BY measure, tie)``
     * ``running_sums``: out -> value column; ``SUM(value) OVER (ORDER BY measure, tie ROWS UNBOUNDED PRECEDING)``
 
@@ -145,13 +146,14 @@ def rank_and_order(
     ``cfg.small_rows`` rows).
     """
     ranks, ntiles, running_sums = ranks or {}, ntiles or {}, running_sums or {}
+    rank_specs = {name: (spec if isinstance(spec, tuple) else (measure, spec)) for name, spec in ranks.items()}
     m_order = _order_col(measure, descending)
     total = [m_order, F.col(tie).asc()]
 
     if strategy == "builtin":
         out = df
-        for name, part in ranks.items():
-            out = out.withColumn(name, F.rank().over(Window.partitionBy(*part).orderBy(m_order)))
+        for name, (m, part) in rank_specs.items():
+            out = out.withColumn(name, F.rank().over(Window.partitionBy(*part).orderBy(_order_col(m, descending))))
         w = Window.orderBy(*total)
         for name, k in ntiles.items():
             out = out.withColumn(name, F.ntile(k).over(w))
@@ -173,14 +175,14 @@ def rank_and_order(
             out = out.withColumn(name, ntile_from_position(F.col("_pos"), n, k))
         out = out.drop("_pos")
 
-    for name, part in ranks.items():
-        values = base.groupBy(*part, measure).agg(F.count(F.lit(1)).alias("_cnt"))
+    for name, (m, part) in rank_specs.items():
+        values = base.groupBy(*part, m).agg(F.count(F.lit(1)).alias("_cnt"))
         values, n_values = _materialize(values)
-        scanned = ordered_scan(values, n_values, list(part), [m_order], {"_cum": "_cnt"}, cfg, force)
-        lookup = scanned.select(*part, measure, (F.col("_cum") - F.col("_cnt") + 1).cast("int").alias(name))
+        scanned = ordered_scan(values, n_values, list(part), [_order_col(m, descending)], {"_cum": "_cnt"}, cfg, force)
+        lookup = scanned.select(*part, m, (F.col("_cum") - F.col("_cnt") + 1).cast("int").alias(name))
         if n_values <= cfg.broadcast_rows:
             lookup = F.broadcast(lookup)
-        keys = [*part, measure]
+        keys = [*part, m]
         lk = lookup.select(*[F.col(c).alias(f"_k_{c}") for c in keys], name)
         cond = [out[c].eqNullSafe(lk[f"_k_{c}"]) for c in keys]
         out = out.join(lk, cond, "inner").drop(*[f"_k_{c}" for c in keys])

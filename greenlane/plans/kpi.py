@@ -77,9 +77,8 @@ def kpi_driver_productivity(w: Warehouse, strategy: str = "auto", cfg: RankConfi
         .agg(F.count(F.lit(1)).alias("total_deliveries"), F.sum("is_on_time").alias("on_time_deliveries"))
         .withColumn("_reliability", F.col("on_time_deliveries") * F.lit(Decimal("1.0")) / nullif_zero("total_deliveries"))
     )
-    ranked = rank_and_order(stats, "total_deliveries", "driver_worker_id", ranks={"volume_rank": []},
-                            strategy=strategy, cfg=cfg)
-    ranked = rank_and_order(ranked, "_reliability", "driver_worker_id", ranks={"reliability_rank": []},
+    ranked = rank_and_order(stats, "total_deliveries", "driver_worker_id",
+                            ranks={"volume_rank": [], "reliability_rank": ("_reliability", [])},
                             strategy=strategy, cfg=cfg)
     return ranked.select(
         "driver_worker_id", "driver_name", "driver_role", "total_deliveries", "on_time_deliveries",
@@ -155,8 +154,8 @@ def product_stats(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 def kpi_product_demand(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
     stats = product_stats(w.fct_order_items, ["product_id", "product_name", "category", "source_type"])
-    ranked = rank_and_order(stats, "total_requested", "product_id", ranks={"demand_rank": []}, strategy=strategy, cfg=cfg)
-    ranked = rank_and_order(ranked, "shortage", "product_id", ranks={"shortage_rank": []}, strategy=strategy, cfg=cfg)
+    ranked = rank_and_order(stats, "total_requested", "product_id",
+                            ranks={"demand_rank": [], "shortage_rank": ("shortage", [])}, strategy=strategy, cfg=cfg)
     return ranked.select(
         "product_id", "product_name", "category", "source_type", "total_requested", "total_confirmed", "shortage",
         safe_pct("shortage", "total_requested", 1).alias("shortage_rate_pct"),

@@ -143,8 +143,8 @@ def q11_top_products(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEF
         zero_if_null("confirmed_quantity").alias("confirmed_quantity"),
         (F.col("requested_quantity") - zero_if_null("confirmed_quantity")).alias("shortage_quantity"))
     stats = product_stats(lines, ["product_id", "product_name", "category"])
-    ranked = rank_and_order(stats, "total_requested", "product_id", ranks={"demand_rank": []}, strategy=strategy, cfg=cfg)
-    ranked = rank_and_order(ranked, "shortage", "product_id", ranks={"shortage_rank": []}, strategy=strategy, cfg=cfg)
+    ranked = rank_and_order(stats, "total_requested", "product_id",
+                            ranks={"demand_rank": [], "shortage_rank": ("shortage", [])}, strategy=strategy, cfg=cfg)
     return ranked.orderBy(F.col("total_requested").desc(), "product_id").limit(15).select(
         "product_name", "category", "total_requested", "total_confirmed", "shortage",
         safe_pct("shortage", "total_requested", 1).alias("shortage_rate_pct"), "demand_rank", "shortage_rank")

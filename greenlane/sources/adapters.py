@@ -78,6 +78,9 @@ def deliveries_from_orders(o: DataFrame, n_suppliers: Column | None) -> DataFram
     )
 
 
+_MAX_NATIONS = 1000
+
+
 class TpchAdapters:
     """Lazily built raw tables over one scale-factor directory."""
 
@@ -93,10 +96,20 @@ class TpchAdapters:
         # Scalar subquery: evaluated once per query, no join.
         return self.t("supplier").agg(F.count(F.lit(1))).scalar()
 
-    def _region_of_nation(self) -> DataFrame:
-        # TPC-H fixes nation at 25 rows and region at 5: a proven size bound.
+    def _region_of_nation(self) -> Column:
+        """nation key -> region name as a literal map.
+
+        TPC-H fixes nation at 25 rows and region at 5 (a proven bound, checked here), so the
+        lookup is read once and inlined; a join would make Spark's size estimate of the
+        customer/supplier frames the *product* of both sides and block their broadcast.
+        """
         n, r = self.t("nation"), self.t("region")
-        return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
+        pairs = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name").take(_MAX_NATIONS + 1)
+        if len(pairs) > _MAX_NATIONS:
+            raise ValueError("nation table larger than the TPC-H bound")
+        if not pairs:
+            return F.create_map().cast("map<int,string>")
+        return F.create_map(*[F.lit(x) for p in pairs for x in (p.n_nationkey, p.r_name)])
 
     # -- dimensions --------------------------------------------------------
     def customers(self) -> DataFrame:
@@ -105,35 +118,30 @@ class TpchAdapters:
         market = _case(F.col("c_mktsegment"), {
             "AUTOMOBILE": "Restaurant", "BUILDING": " grocery", "FURNITURE": "WHOLESALE",
             "HOUSEHOLD": "Individual ", "MACHINERY": "distributor"}, "other")
-        return (
-            c.join(self._region_of_nation(), c.c_nationkey == F.col("n_nationkey"), "left")
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("customer_name"),
-                market.alias("market_type"),
-                F.when(F.col("c_custkey") % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("r_name")).alias("region"),
-                signup.alias("signup_date"),
-                (F.col("c_custkey") % 13 != 0).alias("is_active"),
-                signup.cast("timestamp_ntz").alias("created_at"),
-                signup.cast("timestamp_ntz").alias("updated_at"),
-            )
+        region = self._region_of_nation()[F.col("c_nationkey")]
+        return c.select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("customer_name"),
+            market.alias("market_type"),
+            F.when(F.col("c_custkey") % 23 == 0, F.lit(None).cast("string")).otherwise(region).alias("region"),
+            signup.alias("signup_date"),
+            (F.col("c_custkey") % 13 != 0).alias("is_active"),
+            signup.cast("timestamp_ntz").alias("created_at"),
+            signup.cast("timestamp_ntz").alias("updated_at"),
         )
 
     def suppliers(self) -> DataFrame:
         s = self.t("supplier")
         stype = _case(F.col("s_nationkey") % 4, {0: "Own_Farm", 1: "external_farm", 2: "Distributor"}, "wholesale_market")
-        return (
-            s.join(self._region_of_nation(), s.s_nationkey == F.col("n_nationkey"), "left")
-            .select(
-                F.col("s_suppkey").alias("supplier_id"),
-                F.col("s_name").alias("supplier_name"),
-                F.col("r_name").alias("supplier_region"),
-                stype.alias("supplier_type"),
-                (F.col("s_nationkey") % 2 == 0).alias("is_local"),
-                (F.col("s_suppkey") % 17 != 0).alias("is_active"),
-                F.lit(None).cast("timestamp_ntz").alias("created_at"),
-                F.lit(None).cast("timestamp_ntz").alias("updated_at"),
-            )
+        return s.select(
+            F.col("s_suppkey").alias("supplier_id"),
+            F.col("s_name").alias("supplier_name"),
+            self._region_of_nation()[F.col("s_nationkey")].alias("supplier_region"),
+            stype.alias("supplier_type"),
+            (F.col("s_nationkey") % 2 == 0).alias("is_local"),
+            (F.col("s_suppkey") % 17 != 0).alias("is_active"),
+            F.lit(None).cast("timestamp_ntz").alias("created_at"),
+            F.lit(None).cast("timestamp_ntz").alias("updated_at"),
         )
 
     def workers(self) -> DataFrame:

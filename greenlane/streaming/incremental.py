@@ -1,11 +1,14 @@
 """Incremental refresh driven by an ``updated_at`` high-water mark.
 
-State lives in one folder: the line store (Parquet partitioned by order week),
+State lives in one folder: the line store (Parquet partitioned by the month in which
+the order week starts, so a week lives in exactly one partition),
 the weekly aggregate table (versioned) and the high-water mark. A refresh
 
 1. reads only source rows with ``updated_at`` above the stored mark,
 2. writes them into the line store — appended, or upserted on ``key`` by
-   rewriting only the touched week partitions (dynamic partition overwrite),
+   rewriting only the touched month partitions (dynamic partition overwrite);
+   rows are range-partitioned on (month, updated_at) first, so a busy month is
+   written by many tasks and a quiet one does not produce a file per task,
 3. re-aggregates only the touched weeks (partition pruning on the store),
 4. replaces those weeks in the weekly table and recomputes the rolling rates
    over the weekly table (one row per week: a bounded frame), and
@@ -40,15 +43,18 @@ def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key:
     if marks["hwm"] is None:
         return weekly_fill_rate(read_latest(spark, f"{state}/weekly"))
     weeks = marks["weeks"]
+    months = sorted({w.replace(day=1) for w in weeks})
     store = f"{state}/lines"
+    new = new.withColumn("order_month", F.trunc("order_week", "month"))
     if key:
-        old = spark.read.parquet(store).where(F.col("order_week").isin(weeks)) if hwm is not None else new.limit(0)
+        old = (spark.read.parquet(store).where(F.col("order_month").isin(months)) if hwm is not None
+               else new.limit(0))
         rows = upsert(old, new.select(*old.columns), key).drop("_action")
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("order_week").parquet(store))
+        (rows.repartitionByRange("order_month", "updated_at").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("order_month").parquet(store))
     else:
-        new.write.mode("append").partitionBy("order_week").parquet(store)
-    touched = spark.read.parquet(store).where(F.col("order_week").isin(weeks)).groupBy(
+        new.repartitionByRange("order_month", "updated_at").write.mode("append").partitionBy("order_month").parquet(store)
+    touched = spark.read.parquet(store).where(F.col("order_month").isin(months) & F.col("order_week").isin(weeks)).groupBy(
         F.col("order_week").alias("week_start")).agg(
         F.sum("requested_quantity").alias("requested_quantity"), F.sum("confirmed_quantity").alias("confirmed_quantity"))
     if hwm is None:

@@ -11,14 +11,14 @@ TINY = RankConfig(small_rows=10, rows_per_partition=37, max_partitions=64, broad
 
 
 def _frame(spark, n, distinct):
-    rows = [(i, Decimal(((i * 7919) % distinct)) / 4, ["a", "b", "c"][i % 3]) for i in range(n)]
-    return spark.createDataFrame(rows, "id long, m decimal(12,2), g string")
+    rows = [(i, Decimal(((i * 7919) % distinct)) / 4, ["a", "b", "c"][i % 3], i % 7) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, m decimal(12,2), g string, m2 int")
 
 
 def _run(df, strategy):
-    out = rank_and_order(df, "m", "id", ranks={"r_all": [], "r_g": ["g"]}, ntiles={"q4": 4, "q7": 7},
+    out = rank_and_order(df, "m", "id", ranks={"r_all": [], "r_g": ["g"], "r_m2": ("m2", [])}, ntiles={"q4": 4, "q7": 7},
                          running_sums={"run": "m"}, strategy=strategy, cfg=TINY)
-    return sorted(tuple(r) for r in out.select("id", "m", "g", "r_all", "r_g", "q4", "q7", "run").collect())
+    return sorted(tuple(r) for r in out.select("id", "m", "g", "r_all", "r_g", "r_m2", "q4", "q7", "run").collect())
 
 
 @pytest.mark.parametrize("n,distinct", [(500, 3), (500, 1), (400, 400), (3, 2), (1, 1), (257, 50)])
