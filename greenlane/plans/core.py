@@ -70,13 +70,19 @@ class Warehouse:
     # -- intermediate ------------------------------------------------------
     @cached_property
     def int_order_items_enriched(self) -> DataFrame:
-        """Line grain joined to order, customer and product (inner joins: orphans drop out)."""
+        """Line grain joined to order, customer and product (inner joins: orphans drop out).
+
+        Orders meet customers first, at order grain; the lines are then joined once on
+        order_id, so at scale the line-grain data crosses the network a single time
+        (products are a small dimension and normally broadcast by size).
+        """
         items, orders = self.stg_order_items, self.stg_orders
         customers, products = self.stg_customers, self.stg_products
+        order_customer = orders.select("order_id", "order_date", "order_status", "customer_id").join(
+            customers.select("customer_id", "customer_name", "market_type"), "customer_id")
         confirmed = zero_if_null("confirmed_quantity")
         return (
-            items.join(orders.select("order_id", "order_date", "order_status", "customer_id"), "order_id")
-            .join(customers.select("customer_id", "customer_name", "market_type"), "customer_id")
+            items.join(order_customer, "order_id")
             .join(products.select("product_id", "product_name", "category", "source_type"), "product_id")
             .select(
                 "order_item_id", "order_id", "order_date",
