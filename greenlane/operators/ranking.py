@@ -66,22 +66,18 @@ def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
     return cp, cp.count()
 
 
-def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], sums: dict[str, str],
-                 cfg: RankConfig = DEFAULT, force_distributed: bool = False) -> DataFrame:
-    """Add ``_pos`` (0-based position inside ``group`` by ``order``) and inclusive running sums.
+def _builtin_scan(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str],
+                  types: dict[str, T.DataType]) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df.withColumn("_pos", F.row_number().over(w) - 1)
+    for name, src in sums.items():
+        out = out.withColumn(name, F.sum(src).over(run).cast(types[src]))
+    return out
 
-    ``order`` must be a total order within each group. ``df`` should already be
-    materialised (it is read more than once) and ``n`` is its row count.
-    """
-    types = {c: _sum_type(df.schema[c].dataType) for c in sums.values()}
-    if n <= cfg.small_rows and not force_distributed:
-        w = Window.partitionBy(*group).orderBy(*order)
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumn("_pos", F.row_number().over(w) - 1)
-        for name, src in sums.items():
-            out = out.withColumn(name, F.sum(src).over(run).cast(types[src]))
-        return out
 
+def _range_scan(df: DataFrame, n: int, group: list[str], order: list[Column], sums: dict[str, str],
+                types: dict[str, T.DataType], cfg: RankConfig) -> DataFrame:
     k = max(2, min(cfg.max_partitions, math.ceil(n / cfg.rows_per_partition)))
     group_order = [F.col(g).asc() for g in group]
     ranged = df.repartitionByRange(k, *group_order, *order).withColumn("_pid", F.spark_partition_id())
@@ -112,6 +108,38 @@ def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], s
     return out.drop("_pid", "_rn", "_pre_pos", *[f"_pre_{n}" for n in sums], *[f"_loc_{n}" for n in sums])
 
 
+def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], sums: dict[str, str],
+                 cfg: RankConfig = DEFAULT, force_distributed: bool = False) -> DataFrame:
+    """Add ``_pos`` (0-based position inside ``group`` by ``order``) and inclusive running sums.
+
+    ``order`` must be a total order within each group. ``df`` should already be
+    materialised (it is read more than once) and ``n`` is its row count.
+
+    Without groups, a frame above ``cfg.small_rows`` rows takes the range-partitioned
+    path. With groups, a plain ``Window.partitionBy(group)`` is already spread over
+    tasks; only *hot* groups (more than ``cfg.small_rows`` rows) are split: they are
+    found with one count per group, routed through the range-partitioned path, and
+    the remaining groups use the built-in window.
+    """
+    types = {c: _sum_type(df.schema[c].dataType) for c in sums.values()}
+    if force_distributed:
+        return _range_scan(df, n, group, order, sums, types, cfg)
+    if n <= cfg.small_rows:
+        return _builtin_scan(df, group, order, sums, types)
+    if not group:
+        return _range_scan(df, n, group, order, sums, types, cfg)
+    # At most n / small_rows groups can be hot: a bounded, broadcastable key list.
+    hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > cfg.small_rows).select(*group)
+    hot, n_hot = _materialize(hot)
+    if n_hot == 0:
+        return _builtin_scan(df, group, order, sums, types)
+    hot = F.broadcast(hot)
+    cold_rows = df.join(hot, group, "left_anti")
+    hot_rows, n_hot_rows = _materialize(df.join(hot, group, "left_semi"))
+    return _builtin_scan(cold_rows, group, order, sums, types).unionByName(
+        _range_scan(hot_rows, n_hot_rows, group, order, sums, types, cfg))
+
+
 def ntile_from_position(pos: Column, n_rows: Column | int, tiles: int) -> Column:
     """NTILE(tiles) of the row at 0-based ``pos`` among ``n_rows``: the first N mod k tiles hold one extra row."""
     n = F.lit(n_rows) if isinstance(n_rows, int) else n_rows

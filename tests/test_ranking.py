@@ -59,3 +59,16 @@ def test_ntile_fewer_rows_than_tiles(spark):
         got = sorted(tuple(r) for r in rank_and_order(df, "m", "id", ntiles={"q": 4}, strategy=strategy, cfg=TINY)
                      .select("id", "q").collect())
         assert got == [(1, 1), (2, 2)]
+
+
+def test_hot_groups_are_split_and_cold_groups_stay_builtin(spark):
+    # group 0 holds 60% of the rows (hot under a bound of 100); groups 1..9 are small
+    rows = [(i, 0 if i % 5 < 3 else 1 + i % 9, Decimal(i % 13)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, g int, v decimal(10,2)")
+    base, n = _materialize(df)
+    order = [F.col("v").desc(), F.col("id").asc()]
+    cfg = RankConfig(small_rows=100, rows_per_partition=50, max_partitions=64)
+    got = ordered_scan(base, n, ["g"], order, {"s": "v"}, cfg)
+    ref = ordered_scan(base, n, ["g"], order, {"s": "v"}, RankConfig(small_rows=10**9))
+    key = lambda d: sorted(tuple(r) for r in d.select("id", "g", "_pos", "s").collect())
+    assert key(got) == key(ref)
