@@ -254,12 +254,29 @@ def run_checks(models, checks: list[Check]) -> DataFrame:
         rows = F.array(*[_summary_row(c, F.col(f"c{i}")) for i, c in enumerate(group)])
         parts.append(agg.select(F.explode(rows).alias("r")).select("r.*"))
     for c in checks:
-        if c.kind not in ROW_LOCAL:
+        if c.kind == "relationships":
+            v = _orphan_count(c, models)
+        elif c.kind not in ROW_LOCAL:
             v = violations(c, models).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(v.select(_summary_row(c, F.col("n")).alias("r")).select("r.*"))
+        else:
+            continue
+        parts.append(v.select(_summary_row(c, F.col("n")).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _orphan_count(check: Check, models) -> DataFrame:
+    """Number of child rows whose key has no parent, counted per key first.
+
+    Child keys are reduced map-side to (key, rows) before the anti join, so a key that
+    a third of the child rows share is one row in the shuffle, not a skewed partition.
+    """
+    parent_model, parent_col = check.to
+    parent = _model(models, parent_model).select(F.col(parent_col).alias("_k")).where("_k IS NOT NULL").distinct()
+    keys = (_model(models, check.model).where(F.col(check.column).isNotNull())
+            .groupBy(F.col(check.column).alias("_k")).agg(F.count(F.lit(1)).alias("_rows")))
+    return keys.join(parent, "_k", "left_anti").agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
+
+
 def raise_on_error(summary: DataFrame) -> DataFrame:
     """Error-severity failures stop the job; warnings are only reported."""
     failed = [r.check_name for r in summary.where("status = 'fail'").select("check_name").collect()]

@@ -57,6 +57,48 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
     return j.select(*cols, action.alias("_action"))
 
 
+def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partition_by: list[str],
+                     update_cols: list[str] | None = None, order_col: str | None = None,
+                     now: Column | None = None) -> DataFrame:
+    """Upsert ``batch`` into the partitioned Parquet table at ``path``, rewriting only touched partitions.
+
+    The partition values present in the batch are few (bounded by the partitioning, e.g.
+    months), so they drive partition pruning on the read and a dynamic partition
+    overwrite on the write; untouched partitions are neither read nor rewritten. The
+    partition columns must be part of ``key`` (a key never moves between partitions).
+    Returns the per-row actions of the touched partitions.
+    """
+    if not set(partition_by) <= set(key):
+        raise ValueError("partition columns must be part of the key")
+    if order_col:
+        batch = latest_per_key(batch, key, order_col)
+    touched = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
+    try:
+        existing = spark.read.parquet(path)
+        cond = None
+        for values in touched:
+            c = None
+            for col_name, v in zip(partition_by, values):
+                term = F.col(col_name).eqNullSafe(F.lit(v))
+                c = term if c is None else c & term
+            cond = c if cond is None else cond | c
+        existing = existing.where(cond) if cond is not None else existing.limit(0)
+        existing = existing.select(*batch.columns, *[c for c in existing.columns if c not in batch.columns])
+    except Exception:  # noqa: BLE001 - first write: the table does not exist yet
+        existing = batch.limit(0)
+    merged = upsert(existing, batch, key, update_cols, now=now)
+    merged, _ = _checkpointed(merged)  # the target is overwritten below: never read and write the same files lazily
+    (merged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+    return merged
+
+
+def _checkpointed(df: DataFrame):
+    from .ranking import _materialize
+
+    return _materialize(df)
+
+
 def upsert_outcome_counts(merged: DataFrame) -> DataFrame:
     """How many batch rows were inserted vs updated (PostgreSQL's xmax = 0 test)."""
     return merged.where("_action <> 'unchanged'").groupBy("_action").agg(F.count(F.lit(1)).alias("rows"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.writes import read_latest, upsert, write_version
+from ..operators.writes import merge_partitions, read_latest, write_version
 from ..plans.kpi import weekly_fill_rate
 
 
@@ -43,17 +43,14 @@ def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key:
     if marks["hwm"] is None:
         return weekly_fill_rate(read_latest(spark, f"{state}/weekly"))
     weeks = marks["weeks"]
-    months = sorted({w.replace(day=1) for w in weeks})
     store = f"{state}/lines"
     new = new.withColumn("order_month", F.trunc("order_week", "month"))
     if key:
-        old = (spark.read.parquet(store).where(F.col("order_month").isin(months)) if hwm is not None
-               else new.limit(0))
-        rows = upsert(old, new.select(*old.columns), key).drop("_action")
-        (rows.repartitionByRange("order_month", "updated_at").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("order_month").parquet(store))
+        # a line keeps its order week, so the partition column extends the key
+        merge_partitions(spark, store, new, [*key, "order_month"], ["order_month"], order_col="updated_at")
     else:
         new.repartitionByRange("order_month", "updated_at").write.mode("append").partitionBy("order_month").parquet(store)
+    months = sorted({w.replace(day=1) for w in weeks})
     touched = spark.read.parquet(store).where(F.col("order_month").isin(months) & F.col("order_week").isin(weeks)).groupBy(
         F.col("order_week").alias("week_start")).agg(
         F.sum("requested_quantity").alias("requested_quantity"), F.sum("confirmed_quantity").alias("confirmed_quantity"))

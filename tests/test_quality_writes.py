@@ -103,3 +103,17 @@ def test_order_text_round_trip_and_review(spark):
     assert got == expect
     review = sorted((r.raw_order_id, r.lines, r.unknown_products) for r in messages_needing_review(raw, parsed).collect())
     assert review == [(7, 1, 1), (8, 0, 0)]
+
+
+def test_merge_partitions_rewrites_only_touched(spark):
+    path = tempfile.mkdtemp(prefix="greenlane-merge-") + "/t"
+    cols = "k int, month string, v int"
+    writes.merge_partitions(spark, path, spark.createDataFrame([(1, "2025-01", 10), (2, "2025-02", 20)], cols),
+                            ["k", "month"], ["month"])
+    before = {f for f in __import__("os").listdir(f"{path}/month=2025-01")}
+    acts = writes.merge_partitions(spark, path, spark.createDataFrame([(2, "2025-02", 21), (3, "2025-02", 30)], cols),
+                                   ["k", "month"], ["month"])
+    assert sorted((r.k, r._action) for r in acts.collect()) == [(2, "updated"), (3, "inserted")]
+    assert {f for f in __import__("os").listdir(f"{path}/month=2025-01")} == before  # untouched partition kept as is
+    got = sorted((r.k, r.month, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "2025-01", 10), (2, "2025-02", 21), (3, "2025-02", 30)]
