@@ -96,6 +96,7 @@ EXTRA_QUERIES = {
     # data quality
     "dq_staging_summary": lambda w: dq.run_checks(w, dq.STAGING_CHECKS),
     "dq_core_summary": lambda w: dq.run_checks(w, dq.CORE_CHECKS),
+    "dq_kpi_summary": lambda w: dq.run_checks(w, dq.KPI_CHECKS),
     "dq_confirmed_not_above_requested": _check("assert_confirmed_not_above_requested"),
     "dq_delivered_has_timestamp": _check("assert_delivered_rows_have_timestamp"),
     "dq_order_header_mismatch": _check("warn_order_header_mismatch"),
@@ -118,6 +119,8 @@ EXTRA_QUERIES = {
     "upsert_inventory": inventory_upsert,
     "upsert_inventory_outcomes": inventory_upsert_outcomes,
     "status_breakdown_cleaning": lambda w: writes.status_breakdown(w.stg_orders, "cleaning_status"),
+    "status_breakdown_items": lambda w: writes.status_breakdown(w.stg_order_items, "item_status"),
+    "status_breakdown_deliveries": lambda w: writes.status_breakdown(w.stg_deliveries, "delivery_status"),
     "driver_assignment_counts": lambda w: writes.driver_assignment_counts(w.stg_deliveries, w.stg_workers),
     "customer_order_history": customer_order_history,
     # extensions

@@ -25,8 +25,17 @@ def _lit(v) -> str:
     return f"'{v}'" if isinstance(v, str) else str(v)
 
 
+def _source(model: str) -> str:
+    """A model as a FROM item: shared CTEs by name, KPI marts as their own oracle query."""
+    if model.startswith("kpi_"):
+        from .duckdb_sql import KPI
+
+        return f"({KPI[model]}) AS {model}"
+    return model
+
+
 def violations_sql(c: dq.Check) -> str:
-    m = c.model
+    m = _source(c.model)
     if c.kind == "not_null":
         return f"SELECT * FROM {m} WHERE {c.column} IS NULL"
     if c.kind == "accepted_values":
@@ -103,6 +112,7 @@ EXTRA = {
         f"CAST(sum({ON_TIME}) AS BIGINT) AS on_time_deliveries FROM stg_deliveries GROUP BY 1"),
     "dq_staging_summary": summary_sql(dq.STAGING_CHECKS),
     "dq_core_summary": summary_sql(dq.CORE_CHECKS),
+    "dq_kpi_summary": summary_sql(dq.KPI_CHECKS),
     "dq_confirmed_not_above_requested": query(
         f"SELECT order_item_id, {dbl('requested_quantity')} AS requested_quantity, {dbl('confirmed_quantity')} AS confirmed_quantity "
         f"FROM ({SINGULAR['assert_confirmed_not_above_requested']})"),
@@ -147,6 +157,10 @@ EXTRA = {
         "SELECT action, CAST(count(*) AS BIGINT) AS rows FROM merged WHERE action <> 'unchanged' GROUP BY 1", **UPSERT_CTES),
     "status_breakdown_cleaning": query(
         "SELECT lower(trim(cleaning_status)) AS value, CAST(count(*) AS BIGINT) AS rows FROM stg_orders GROUP BY 1"),
+    "status_breakdown_items": query(
+        "SELECT lower(trim(item_status)) AS value, CAST(count(*) AS BIGINT) AS rows FROM stg_order_items GROUP BY 1"),
+    "status_breakdown_deliveries": query(
+        "SELECT lower(trim(delivery_status)) AS value, CAST(count(*) AS BIGINT) AS rows FROM stg_deliveries GROUP BY 1"),
     "driver_assignment_counts": query(
         "SELECT w.worker_name, CAST(count(*) AS BIGINT) AS deliveries FROM stg_deliveries d "
         "JOIN stg_workers w ON d.driver_worker_id = w.worker_id GROUP BY 1"),
