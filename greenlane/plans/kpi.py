@@ -17,6 +17,20 @@ from ..functions import nullif_zero, pct_unrounded, round_ratio, safe_pct, week_
 from ..operators.ranking import DEFAULT, RankConfig, rank_and_order
 from .core import Warehouse
 
+# Customer segment labels of the revenue quartiles 1..4 (the mart has an ELSE branch).
+MART_SEGMENTS = ("Top 25%", "Upper mid", "Lower mid", "Bottom 25%")
+# Segment labels of the stand-alone quartile query (no ELSE branch).
+QUERY_SEGMENTS = ("Top 25% (Whales)", "Upper mid", "Lower mid", "Bottom 25% (Long tail)")
+
+
+def segment_label(quartile: str, labels: tuple[str, ...], with_else: bool):
+    """CASE quartile WHEN 1 THEN labels[0] ... [ELSE last label]."""
+    q = F.col(quartile)
+    out = F.when(q == 1, F.lit(labels[0]))
+    for i, label in enumerate(labels[1:-1], start=2):
+        out = out.when(q == i, F.lit(label))
+    return out.otherwise(F.lit(labels[-1])) if with_else else out.when(q == len(labels), F.lit(labels[-1]))
+
 
 def kpi_overview(w: Warehouse) -> DataFrame:
     return w.fct_order_items.agg(
@@ -103,12 +117,7 @@ def kpi_customer_revenue(w: Warehouse, strategy: str = "auto", cfg: RankConfig =
         strategy=strategy, cfg=cfg,
     )
     total = ranked.agg(F.sum("revenue")).scalar()  # SUM(revenue) OVER (): one scalar, no single-partition window
-    segment = (
-        F.when(F.col("revenue_quartile") == 1, F.lit("Top 25%"))
-        .when(F.col("revenue_quartile") == 2, F.lit("Upper mid"))
-        .when(F.col("revenue_quartile") == 3, F.lit("Lower mid"))
-        .otherwise(F.lit("Bottom 25%"))
-    )
+    segment = segment_label("revenue_quartile", MART_SEGMENTS, with_else=True)
     return ranked.select(
         "customer_id", "customer_name", "market_type", "order_count",
         F.round("revenue", 2).alias("revenue"),

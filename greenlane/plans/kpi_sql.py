@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import on_time_flag, safe_pct, week_start, zero_if_null
 from ..operators.ranking import DEFAULT, RankConfig, rank_and_order
 from .core import Warehouse
-from .kpi import product_stats, weekly_fill_rate
+from .kpi import QUERY_SEGMENTS, product_stats, segment_label, weekly_fill_rate
 
 
 def q01_total_orders(w: Warehouse) -> DataFrame:
@@ -107,12 +107,7 @@ def q08_top_customers(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DE
 def q09_customer_quartiles(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
     base = _customer_revenue(w).drop("order_count")
     ranked = rank_and_order(base, "revenue", "customer_id", ntiles={"revenue_quartile": 4}, strategy=strategy, cfg=cfg)
-    segment = (  # no ELSE: NTILE(4) only yields 1..4
-        F.when(F.col("revenue_quartile") == 1, F.lit("Top 25% (Whales)"))
-        .when(F.col("revenue_quartile") == 2, F.lit("Upper mid"))
-        .when(F.col("revenue_quartile") == 3, F.lit("Lower mid"))
-        .when(F.col("revenue_quartile") == 4, F.lit("Bottom 25% (Long tail)"))
-    )
+    segment = segment_label("revenue_quartile", QUERY_SEGMENTS, with_else=False)  # NTILE(4) only yields 1..4
     return ranked.orderBy(F.col("revenue").desc(), "customer_id").select(
         "customer_name", "market_type", F.round("revenue", 2).alias("revenue"), "revenue_quartile",
         segment.alias("segment"))

@@ -5,7 +5,8 @@ the order week starts, so a week lives in exactly one partition),
 the weekly aggregate table (versioned) and the high-water mark. A refresh
 
 1. reads only source rows with ``updated_at`` above the stored mark,
-2. writes them into the line store — appended, or upserted on ``key`` by
+2. writes them into the line store — appended idempotently (one partition per
+   month and refresh, replaced on a rerun), or upserted on ``key`` by
    rewriting only the touched month partitions (dynamic partition overwrite);
    rows are range-partitioned on (month, updated_at) first, so a busy month is
    written by many tasks and a quiet one does not produce a file per task,
@@ -49,7 +50,13 @@ def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key:
         # a line keeps its order week, so the partition column extends the key
         merge_partitions(spark, store, new, [*key, "order_month"], ["order_month"], order_col="updated_at")
     else:
-        new.repartitionByRange("order_month", "updated_at").write.mode("append").partitionBy("order_month").parquet(store)
+        # Idempotent append: the rows of one refresh form their own (month, batch) partitions, the
+        # batch named by the mark the refresh started from. A rerun after a failure starts from the
+        # same mark and replaces whatever the failed attempt left behind.
+        batch_id = "initial" if hwm is None else hwm.strftime("%Y%m%dT%H%M%S%f")
+        (new.withColumn("_batch", F.lit(batch_id)).repartitionByRange("order_month", "updated_at")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("order_month", "_batch").parquet(store))
     months = sorted({w.replace(day=1) for w in weeks})
     touched = spark.read.parquet(store).where(F.col("order_month").isin(months) & F.col("order_week").isin(weeks)).groupBy(
         F.col("order_week").alias("week_start")).agg(
@@ -59,5 +66,10 @@ def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key:
     else:
         weekly = read_latest(spark, f"{state}/weekly").where(~F.col("week_start").isin(weeks)).unionByName(touched)
     write_version(weekly, f"{state}/weekly")
-    spark.createDataFrame([(marks["hwm"],)], "hwm timestamp_ntz").write.mode("overwrite").parquet(f"{state}/hwm")
+    _save_mark(spark, state, marks["hwm"])
     return weekly_fill_rate(read_latest(spark, f"{state}/weekly"))
+
+
+def _save_mark(spark: SparkSession, state: str, hwm) -> None:
+    """Advance the high-water mark; written last, so a failed refresh is simply re-run."""
+    spark.createDataFrame([(hwm,)], "hwm timestamp_ntz").write.mode("overwrite").parquet(f"{state}/hwm")

@@ -73,3 +73,28 @@ def test_incremental_refresh_with_key_updates(spark):
            for r in refresh_weekly_fill(spark, later, state, key=["line_id"]).collect()}
     assert out == {"2025-03-31": (D("100.00"), D("100.00")), "2025-04-07": (D("100.00"), D("100.00")),
                    "2025-04-14": (D("25.00"), D("87.50"))}
+
+
+def test_incremental_append_rerun_after_failure_is_idempotent(spark, monkeypatch):
+    import greenlane.streaming.incremental as inc
+
+    cols = "order_week date, requested_quantity decimal(10,2), confirmed_quantity decimal(10,2), updated_at timestamp_ntz"
+    rows = spark.createDataFrame([(d("2025-03-31"), D("10"), D("5"), ts("2025-04-01T00:00:00")),
+                                  (d("2025-04-07"), D("4"), D("4"), ts("2025-04-08T00:00:00"))], cols)
+    state = tempfile.mkdtemp(prefix="greenlane-incr-")
+    calls = {"n": 0}
+    real = inc._save_mark
+
+    def crash_once(*a):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("executor lost before the mark was saved")
+        return real(*a)
+
+    monkeypatch.setattr(inc, "_save_mark", crash_once)
+    try:
+        refresh_weekly_fill(spark, rows, state)
+    except RuntimeError:
+        pass
+    out = {r.week_start.isoformat(): r.requested_quantity for r in refresh_weekly_fill(spark, rows, state).collect()}
+    assert out == {"2025-03-31": D("10"), "2025-04-07": D("4")}  # not doubled by the rerun
