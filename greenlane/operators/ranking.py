@@ -46,6 +46,21 @@ class RankConfig:
 
 DEFAULT = RankConfig()
 
+_CONF = {"small_rows": "greenlane.rank.smallRows", "rows_per_partition": "greenlane.rank.rowsPerPartition",
+         "max_partitions": "greenlane.rank.maxPartitions", "broadcast_rows": "greenlane.rank.broadcastRows"}
+
+
+def session_config(spark, cfg: RankConfig = DEFAULT) -> RankConfig:
+    """``cfg`` with any ``greenlane.rank.*`` settings of the session applied (only for the default config)."""
+    if cfg is not DEFAULT:
+        return cfg
+    values = {}
+    for field, key in _CONF.items():
+        v = spark.conf.get(key, None)
+        if v is not None:
+            values[field] = int(v)
+    return RankConfig(**values) if values else cfg
+
 
 def _order_col(name: str, descending: bool) -> Column:
     return F.col(name).desc() if descending else F.col(name).asc()
@@ -121,6 +136,7 @@ def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], s
     found with one count per group, routed through the range-partitioned path, and
     the remaining groups use the built-in window.
     """
+    cfg = session_config(df.sparkSession, cfg)
     types = {c: _sum_type(df.schema[c].dataType) for c in sums.values()}
     if force_distributed:
         return _range_scan(df, n, group, order, sums, types, cfg)
@@ -173,6 +189,7 @@ def rank_and_order(
     path, used by tests) or ``auto`` (built-in only while the frame has at most
     ``cfg.small_rows`` rows).
     """
+    cfg = session_config(df.sparkSession, cfg)
     ranks, ntiles, running_sums = ranks or {}, ntiles or {}, running_sums or {}
     rank_specs = {name: (spec if isinstance(spec, tuple) else (measure, spec)) for name, spec in ranks.items()}
     m_order = _order_col(measure, descending)

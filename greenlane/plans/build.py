@@ -24,6 +24,7 @@ CORE_LAYOUT = {
     # model: (partition columns, sort-within-partition columns)
     "fct_order_items": (["order_month"], ["customer_id", "order_date"]),
     "fct_orders": (["order_month"], ["customer_id", "order_date"]),
+    "order_facts": (["order_month"], ["customer_id", "order_date"]),
     "fct_deliveries": (["scheduled_month"], ["driver_worker_id", "scheduled_date"]),
     "fct_worker_shifts": ([], ["worker_id", "shift_date"]),
     "dim_customers": ([], ["customer_id"]),
@@ -56,6 +57,10 @@ class BuiltWarehouse(Warehouse):
     def fct_orders(self) -> DataFrame:
         return self._read("fct_orders")
 
+    @cached_property
+    def order_facts(self) -> DataFrame:
+        return self._read("order_facts")
+
     @cached_property
     def fct_worker_shifts(self) -> DataFrame:
         return self._read("fct_worker_shifts")

@@ -33,10 +33,11 @@ def segment_label(quartile: str, labels: tuple[str, ...], with_else: bool):
 
 
 def kpi_overview(w: Warehouse) -> DataFrame:
-    return w.fct_order_items.agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.round(F.sum("confirmed_revenue"), 2).alias("total_confirmed_revenue"),
-        safe_pct(F.sum("confirmed_quantity"), F.sum("requested_quantity")).alias("overall_fill_rate_pct"),
+    # order grain: one row per order with lines, so counting rows counts distinct orders
+    return w.order_facts.agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        F.round(F.sum("line_confirmed_revenue"), 2).alias("total_confirmed_revenue"),
+        safe_pct(F.sum("line_confirmed_quantity"), F.sum("line_requested_quantity")).alias("overall_fill_rate_pct"),
     )
 
 
@@ -63,9 +64,9 @@ def weekly_fill_rate(weekly: DataFrame) -> DataFrame:
 
 
 def kpi_weekly_fill_rate(w: Warehouse) -> DataFrame:
-    weekly = w.fct_order_items.groupBy(F.col("order_week").alias("week_start")).agg(
-        F.sum("requested_quantity").alias("requested_quantity"),
-        F.sum("confirmed_quantity").alias("confirmed_quantity"),
+    weekly = w.order_facts.groupBy(F.col("order_week").alias("week_start")).agg(
+        F.sum("line_requested_quantity").alias("requested_quantity"),
+        F.sum("line_confirmed_quantity").alias("confirmed_quantity"),
     )
     return weekly_fill_rate(weekly)
 
@@ -101,16 +102,17 @@ def kpi_driver_productivity(w: Warehouse, strategy: str = "auto", cfg: RankConfi
     )
 
 
-def customer_revenue(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("customer_id", "customer_name", "market_type").agg(
-        F.count_distinct("order_id").alias("order_count"),
-        F.sum("confirmed_revenue").alias("revenue"),
+def customer_revenue(order_facts: DataFrame) -> DataFrame:
+    """Per customer: orders (one order_facts row each) and confirmed revenue."""
+    return order_facts.groupBy("customer_id", "customer_name", "market_type").agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("line_confirmed_revenue").alias("revenue"),
     )
 
 
 def kpi_customer_revenue(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
     ranked = rank_and_order(
-        customer_revenue(w.fct_order_items), "revenue", "customer_id",
+        customer_revenue(w.order_facts), "revenue", "customer_id",
         ranks={"overall_rank": [], "rank_within_market": ["market_type"]},
         ntiles={"revenue_quartile": 4},
         running_sums={"_running_revenue": "revenue"},
@@ -127,15 +129,13 @@ def kpi_customer_revenue(w: Warehouse, strategy: str = "auto", cfg: RankConfig =
     )
 
 
-def revenue_by_market(lines: DataFrame) -> DataFrame:
+def revenue_by_market(per_order: DataFrame) -> DataFrame:
     """customers, orders and revenue per market without a multi-distinct Expand at line grain.
 
-    Lines are first reduced to one row per (market, customer, order); an order has a
-    single customer, so counting those rows per market counts distinct orders, and
-    only the customer count remains a (single) distinct aggregate over order grain.
+    ``per_order`` has one row per (market, customer, order) with its revenue; an order
+    has a single customer, so counting rows per market counts distinct orders, and only
+    the customer count remains a (single) distinct aggregate, over order grain.
     """
-    per_order = lines.groupBy("market_type", "customer_id", "order_id").agg(
-        F.sum("confirmed_revenue").alias("revenue"))
     return per_order.groupBy("market_type").agg(
         F.count_distinct("customer_id").alias("customer_count"),
         F.count(F.lit(1)).alias("order_count"),
@@ -144,7 +144,8 @@ def revenue_by_market(lines: DataFrame) -> DataFrame:
 
 
 def kpi_revenue_by_market(w: Warehouse) -> DataFrame:
-    by_market = revenue_by_market(w.fct_order_items)
+    by_market = revenue_by_market(w.order_facts.select(
+        "market_type", "customer_id", "order_id", F.col("line_confirmed_revenue").alias("revenue")))
     everything = Window.partitionBy()  # one row per market type: a handful of rows
     return by_market.select(
         "market_type", "customer_count", "order_count",
