@@ -130,13 +130,19 @@ class Warehouse:
             F.sum(confirmed).alias("line_confirmed_quantity"),
         )
 
+    @cached_property
+    def order_totals(self) -> DataFrame:
+        """Line totals with their order's date and customer id (orders without lines drop out)."""
+        # totals arrive hash-partitioned by order_id, so joining orders adds no shuffle on that side
+        orders = self.stg_orders.select("order_id", "order_date", "customer_id")
+        return self.order_line_totals.join(orders, "order_id")
+
     @cached_property
     def order_facts(self) -> DataFrame:
         """One row per order that has lines, with its customer: the order-grain view of
         ``int_order_items_enriched`` (same lines, same inner-join semantics)."""
-        oc = self.stg_orders.select("order_id", "order_date", "customer_id").join(
-            self.stg_customers.select("customer_id", "customer_name", "market_type"), "customer_id")
-        return oc.join(self.order_line_totals, "order_id").withColumn("order_week", week_start("order_date"))
+        customers = self.stg_customers.select("customer_id", "customer_name", "market_type")
+        return self.order_totals.join(customers, "customer_id").withColumn("order_week", week_start("order_date"))
 
     # -- core facts --------------------------------------------------------
     @property
@@ -188,8 +194,9 @@ class Warehouse:
     # -- dimensions --------------------------------------------------------
     @cached_property
     def dim_customers(self) -> DataFrame:
-        per_customer = self.order_facts.groupBy("customer_id").agg(
-            F.count(F.lit(1)).alias("lifetime_orders"),  # one order_facts row per order
+        # the LEFT JOIN from customers below drops unknown customers, so no customer join is needed here
+        per_customer = self.order_totals.groupBy("customer_id").agg(
+            F.count(F.lit(1)).alias("lifetime_orders"),  # one row per order
             F.sum("line_confirmed_revenue").alias("lifetime_revenue"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
