@@ -155,18 +155,17 @@ KPI_CHECKS: list[Check] = [
 
 # -- singular checks (D7-D10) ------------------------------------------------
 def confirmed_not_above_requested(fct_order_items: DataFrame) -> DataFrame:
-    return fct_order_items.where(
-        (F.col("confirmed_quantity") > F.col("requested_quantity")) | (F.col("confirmed_quantity") < 0)
-    ).select("order_item_id", "requested_quantity", "confirmed_quantity")
+    return fct_order_items.where(ROW_LOCAL_SINGULAR["assert_confirmed_not_above_requested"]()).select(
+        "order_item_id", "requested_quantity", "confirmed_quantity")
 
 
 def delivered_rows_have_timestamp(fct_deliveries: DataFrame) -> DataFrame:
-    return fct_deliveries.where((F.col("delivery_status") == "delivered") & F.col("delivered_at").isNull()).select(
+    return fct_deliveries.where(ROW_LOCAL_SINGULAR["assert_delivered_rows_have_timestamp"]()).select(
         "delivery_id", "delivery_status", "delivered_at")
 
 
 def order_header_mismatch(fct_orders: DataFrame) -> DataFrame:
-    return fct_orders.where(F.col("reconciliation_status").isin("item_count_mismatch", "value_mismatch")).select(
+    return fct_orders.where(ROW_LOCAL_SINGULAR["warn_order_header_mismatch"]()).select(
         "order_id", "reconciliation_status", "header_total_items", "line_count", "header_value_variance")
 
 
@@ -178,9 +177,26 @@ def revenue_ties_out(kpi_revenue_by_market: DataFrame, kpi_overview: DataFrame)
     return both.where(F.abs(F.coalesce("by_market", F.lit(0)) - F.coalesce("overview", F.lit(0))) > F.lit(Decimal("0.05")))
 
 
+# Singular checks that test one row at a time: fused into the per-model pass of run_checks.
+ROW_LOCAL_SINGULAR = {
+    "assert_confirmed_not_above_requested":
+        lambda: (F.col("confirmed_quantity") > F.col("requested_quantity")) | (F.col("confirmed_quantity") < 0),
+    "assert_delivered_rows_have_timestamp":
+        lambda: (F.col("delivery_status") == "delivered") & F.col("delivered_at").isNull(),
+    "warn_order_header_mismatch":
+        lambda: F.col("reconciliation_status").isin("item_count_mismatch", "value_mismatch"),
+}
+
+
+def _is_row_local(check: Check) -> bool:
+    return check.kind in ROW_LOCAL or (check.kind == "singular" and check.label in ROW_LOCAL_SINGULAR)
+
+
 # -- generic checks ------------------------------------------------------------
 def _row_predicate(check: Check) -> Column:
     """TRUE for a violating row of a row-local check."""
+    if check.kind == "singular":
+        return F.coalesce(ROW_LOCAL_SINGULAR[check.label](), F.lit(False))
     if check.kind == "not_null":
         return F.col(check.column).isNull()
     if check.kind == "accepted_values":
@@ -246,7 +262,7 @@ def run_checks(models, checks: list[Check]) -> DataFrame:
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind in ROW_LOCAL:
+        if _is_row_local(c):
             by_model.setdefault(c.model, []).append(c)
     for model, group in by_model.items():
         counts = [F.count_if(_row_predicate(c)).alias(f"c{i}") for i, c in enumerate(group)]
@@ -254,12 +270,12 @@ def run_checks(models, checks: list[Check]) -> DataFrame:
         rows = F.array(*[_summary_row(c, F.col(f"c{i}")) for i, c in enumerate(group)])
         parts.append(agg.select(F.explode(rows).alias("r")).select("r.*"))
     for c in checks:
+        if _is_row_local(c):
+            continue
         if c.kind == "relationships":
             v = _orphan_count(c, models)
-        elif c.kind not in ROW_LOCAL:
-            v = violations(c, models).agg(F.count(F.lit(1)).alias("n"))
         else:
-            continue
+            v = violations(c, models).agg(F.count(F.lit(1)).alias("n"))
         parts.append(v.select(_summary_row(c, F.col("n")).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
 
