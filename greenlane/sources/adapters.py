@@ -16,14 +16,36 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .io import Tables
 
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Column names and types of the test tables (the files' own Parquet types).
+# Declaring them skips schema inference (a footer read on the driver per scan) and fails
+# fast if a file's layout ever changes.
+TPCH_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def source_schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(TPCH_SCHEMAS[name])
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(source_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(c: Column, mapping: dict, default=None) -> Column:
@@ -79,6 +101,7 @@ def deliveries_from_orders(o: DataFrame, n_suppliers: Column | None) -> DataFram
 
 
 _MAX_NATIONS = 1000
+_REGION_PAIRS: dict[tuple[str, str], list[tuple[int, str]]] = {}
 
 
 class TpchAdapters:
@@ -87,9 +110,13 @@ class TpchAdapters:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._scans: dict[str, DataFrame] = {}
 
     def t(self, name: str) -> DataFrame:
-        return _read(self.spark, self.sf_dir, name)
+        """One scan object per table: the raw tables that share a source reuse its relation."""
+        if name not in self._scans:
+            self._scans[name] = _read(self.spark, self.sf_dir, name)
+        return self._scans[name]
 
     # -- helpers -----------------------------------------------------------
     def _n_suppliers(self) -> Column:
@@ -103,13 +130,17 @@ class TpchAdapters:
         lookup is read once and inlined; a join would make Spark's size estimate of the
         customer/supplier frames the *product* of both sides and block their broadcast.
         """
-        n, r = self.t("nation"), self.t("region")
-        pairs = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name").take(_MAX_NATIONS + 1)
-        if len(pairs) > _MAX_NATIONS:
-            raise ValueError("nation table larger than the TPC-H bound")
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _REGION_PAIRS:  # read once per session and directory
+            n, r = self.t("nation"), self.t("region")
+            pairs = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name").take(_MAX_NATIONS + 1)
+            if len(pairs) > _MAX_NATIONS:
+                raise ValueError("nation table larger than the TPC-H bound")
+            _REGION_PAIRS[key] = [(p.n_nationkey, p.r_name) for p in pairs]
+        pairs = _REGION_PAIRS[key]
         if not pairs:
             return F.create_map().cast("map<int,string>")
-        return F.create_map(*[F.lit(x) for p in pairs for x in (p.n_nationkey, p.r_name)])
+        return F.create_map(*[F.lit(x) for p in pairs for x in p])
 
     # -- dimensions --------------------------------------------------------
     def customers(self) -> DataFrame:

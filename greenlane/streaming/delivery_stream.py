@@ -64,10 +64,9 @@ def run_daily_on_time_stream(spark: SparkSession, stream: DataFrame, target: str
 
 def stream_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file stream over the orders table, mapped to staged deliveries."""
-    from ..sources.adapters import deliveries_from_orders
+    from ..sources.adapters import deliveries_from_orders, source_schema
 
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").schema
-    orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    orders = spark.readStream.schema(source_schema("orders")).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
     return stg_deliveries(deliveries_from_orders(orders, None))
 
 
