@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -249,12 +248,29 @@ def _model(models, name: str) -> DataFrame:
     return getattr(models, name)
 
 
-def _summary_row(check: Check, count: Column) -> Column:
-    status = (F.when(count == 0, F.lit("pass"))
-              .when(F.lit(check.severity) == "warn", F.lit("warn")).otherwise(F.lit("fail")))
-    return F.struct(F.lit(check.name).alias("check_name"), F.lit(check.model).alias("model"),
-                    F.lit(check.kind).alias("kind"), F.lit(check.severity).alias("severity"),
-                    count.cast("bigint").alias("violations"), status.alias("status"))
+def _sql_str(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _summary_row(check: Check, count: str) -> str:
+    """SQL struct of one summary row; ``count`` is the SQL expression of the violation count.
+
+    Written as one SQL expression (parsed once by the JVM) rather than a tree of Column
+    calls: a summary over dozens of checks would otherwise cost thousands of driver calls.
+    """
+    n = f"CAST({count} AS BIGINT)"
+    fail = "'warn'" if check.severity == "warn" else "'fail'"
+    return (f"named_struct('check_name', {_sql_str(check.name)}, 'model', {_sql_str(check.model)}, "
+            f"'kind', {_sql_str(check.kind)}, 'severity', {_sql_str(check.severity)}, 'violations', {n}, "
+            f"'status', CASE WHEN {n} = 0 THEN 'pass' ELSE {fail} END)")
+
+
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Balanced union: each step analyses two halves, not an ever longer chain."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def run_checks(models, checks: list[Check]) -> DataFrame:
@@ -267,8 +283,8 @@ def run_checks(models, checks: list[Check]) -> DataFrame:
     for model, group in by_model.items():
         counts = [F.count_if(_row_predicate(c)).alias(f"c{i}") for i, c in enumerate(group)]
         agg = _model(models, model).agg(*counts)
-        rows = F.array(*[_summary_row(c, F.col(f"c{i}")) for i, c in enumerate(group)])
-        parts.append(agg.select(F.explode(rows).alias("r")).select("r.*"))
+        rows = ", ".join(_summary_row(c, f"c{i}") for i, c in enumerate(group))
+        parts.append(agg.selectExpr(f"inline(array({rows}))"))
     for c in checks:
         if _is_row_local(c):
             continue
@@ -276,8 +292,8 @@ def run_checks(models, checks: list[Check]) -> DataFrame:
             v = _orphan_count(c, models)
         else:
             v = violations(c, models).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(v.select(_summary_row(c, F.col("n")).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(v.selectExpr(f"inline(array({_summary_row(c, 'n')}))"))
+    return _union_all(parts)
 
 
 def _orphan_count(check: Check, models) -> DataFrame:

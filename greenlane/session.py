@@ -22,6 +22,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # remove reliable checkpoint files once their DataFrames are garbage collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("GREENLANE_DRIVER_MEMORY", "8g"))
+        # Python call-site capture for error messages costs several JVM round trips per
+        # DataFrame/Column call while a plan is built; plans here are built from library code.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
