@@ -12,7 +12,7 @@ stitches the partitions together with per-partition prefix sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import DEFAULT, RankConfig, _materialize, ordered_scan
@@ -22,9 +22,10 @@ ORDER_KEY = ("order_date", "order_id", "order_item_id", "requested_quantity")
 
 def latest_stock(inventory: DataFrame) -> DataFrame:
     """product_id -> stock on the product's latest inventory date (summed over warehouses)."""
+    # (product, date) is unique after the first aggregation, so max_by picks one row; both
+    # steps aggregate partially before their shuffle (no per-product sort).
     per_day = inventory.groupBy("product_id", "inventory_date").agg(F.sum("available_quantity").alias("stock"))
-    latest = Window.partitionBy("product_id").orderBy(F.col("inventory_date").desc())
-    return per_day.withColumn("_r", F.row_number().over(latest)).where("_r = 1").select("product_id", "stock")
+    return per_day.groupBy("product_id").agg(F.max_by("stock", "inventory_date").alias("stock"))
 
 
 def allocate_stock(lines: DataFrame, inventory: DataFrame, strategy: str = "auto",

@@ -98,3 +98,13 @@ def test_incremental_append_rerun_after_failure_is_idempotent(spark, monkeypatch
         pass
     out = {r.week_start.isoformat(): r.requested_quantity for r in refresh_weekly_fill(spark, rows, state).collect()}
     assert out == {"2025-03-31": D("10"), "2025-04-07": D("4")}  # not doubled by the rerun
+
+
+def test_fact_side_is_never_broadcast_on_a_file_size_estimate(spark):
+    """Static plans shuffle the line fact; only AQE may broadcast a side after measuring it."""
+    from greenlane.plans.core import Warehouse
+
+    wh = Warehouse(tpch_tables(spark, "/root/testdata/sf0.01"))
+    initial = wh.fct_order_items._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in initial.split("== Initial Plan ==")[-1]
+    assert "SortMergeJoin" in initial
