@@ -144,12 +144,14 @@ def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], s
         return _builtin_scan(df, group, order, sums, types)
     if not group:
         return _range_scan(df, n, group, order, sums, types, cfg)
-    # At most n / small_rows groups can be hot: a bounded, broadcastable key list.
+    # At most n / small_rows groups can be hot; the key list is broadcast only below the
+    # counted broadcast_rows, otherwise the semi/anti joins shuffle on the group keys.
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > cfg.small_rows).select(*group)
     hot, n_hot = _materialize(hot)
     if n_hot == 0:
         return _builtin_scan(df, group, order, sums, types)
-    hot = F.broadcast(hot)
+    if n_hot <= cfg.broadcast_rows:
+        hot = F.broadcast(hot)
     cold_rows = df.join(hot, group, "left_anti")
     hot_rows, n_hot_rows = _materialize(df.join(hot, group, "left_semi"))
     return _builtin_scan(cold_rows, group, order, sums, types).unionByName(
