@@ -291,7 +291,9 @@ def _partial_counts(i: int, check: Check, models, cache: dict) -> DataFrame:
     if check.kind == "unique":
         v = _key_counts(models, check.model, check.column, cache).where("_rows > 1")
     elif check.kind == "relationships":
-        parent = _key_counts(models, *check.to, cache).select("_k")
+        # the filter keeps the count referenced: a parent side pruned to its keys would be a
+        # different aggregate and could not reuse the shuffle of the parent's unique check
+        parent = _key_counts(models, *check.to, cache).where("_rows > 0").select("_k")
         child = _key_counts(models, check.model, check.column, cache)
         # both sides are already hash-partitioned on _k: the anti join adds no shuffle
         return child.join(parent, "_k", "left_anti").select(F.lit(i).alias("_check"), F.col("_rows").alias("n"))

@@ -117,3 +117,19 @@ def test_merge_partitions_rewrites_only_touched(spark):
     assert {f for f in __import__("os").listdir(f"{path}/month=2025-01")} == before  # untouched partition kept as is
     got = sorted((r.k, r.month, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(1, "2025-01", 10), (2, "2025-02", 21), (3, "2025-02", 30)]
+
+
+def test_check_suite_shares_key_shuffles_and_keeps_passing_checks(spark):
+    products = [dict(product_id=1, product_name="a", source_type="own_farm", supplier_id=5, standard_price=D("1")),
+                dict(product_id=2, product_name="b", source_type="own_farm", supplier_id=9, standard_price=D("1"))]
+    suppliers = [dict(supplier_id=5, supplier_name="F", supplier_type="own_farm")]
+    w = Warehouse(tables(spark, products=products, suppliers=suppliers))
+    summary = dq.run_checks(w, [dq.Check("stg_suppliers", "unique", "supplier_id"),
+                                dq.Check("stg_products", "relationships", "supplier_id", to=("stg_suppliers", "supplier_id")),
+                                dq.Check("stg_suppliers", "not_null", "supplier_id")])
+    rows = [(r.check_name, r.violations, r.status) for r in summary.collect()]
+    assert rows == [("unique__stg_suppliers__supplier_id", 0, "pass"),
+                    ("relationships__stg_products__supplier_id__stg_suppliers", 1, "fail"),
+                    ("not_null__stg_suppliers__supplier_id", 0, "pass")]
+    # the supplier key is shuffled once for its uniqueness and for the relationship
+    assert "ReusedExchange" in summary._jdf.queryExecution().executedPlan().toString()

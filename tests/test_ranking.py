@@ -72,3 +72,16 @@ def test_hot_groups_are_split_and_cold_groups_stay_builtin(spark):
     ref = ordered_scan(base, n, ["g"], order, {"s": "v"}, RankConfig(small_rows=10**9))
     key = lambda d: sorted(tuple(r) for r in d.select("id", "g", "_pos", "s").collect())
     assert key(got) == key(ref)
+
+
+def test_hot_groups_above_broadcast_bound_use_shuffle_joins(spark):
+    # three hot groups with a broadcast bound of one key: the hot-key joins must shuffle
+    rows = [(i, i % 4 if i % 10 < 9 else 4 + i % 7, Decimal(i % 11)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, g int, v decimal(10,2)")
+    base, n = _materialize(df)
+    order = [F.col("v").asc(), F.col("id").asc()]
+    cfg = RankConfig(small_rows=100, rows_per_partition=60, max_partitions=64, broadcast_rows=1)
+    got = ordered_scan(base, n, ["g"], order, {"s": "v"}, cfg)
+    ref = ordered_scan(base, n, ["g"], order, {"s": "v"}, RankConfig(small_rows=10**9))
+    key = lambda d: sorted(tuple(r) for r in d.select("id", "g", "_pos", "s").collect())
+    assert key(got) == key(ref)
