@@ -63,13 +63,24 @@ def word_array(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 512) -> DataFrame:
-    """``mapInArrow`` with batches cut to ``rows`` rows, so that long texts stay within a worker's memory."""
+def slices(batch: pa.RecordBatch, rows: int, bytes_: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with at most ``rows`` rows and, unless of one row, about ``bytes_`` bytes."""
+    at = 0
+    while at < batch.num_rows:
+        n = min(rows, batch.num_rows - at)
+        while n > 1 and batch.slice(at, n).nbytes > bytes_:
+            n = (n + 1) // 2
+        yield batch.slice(at, n)
+        at += n
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema, rows: int = 512, bytes_: int = 4 << 20) -> DataFrame:
+    """``mapInArrow`` with batches cut small, so that long texts stay within a worker's memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                yield fn(batch.slice(at, rows))
+            for part in slices(batch, rows, bytes_):
+                yield fn(part)
 
     return df.mapInArrow(run, schema)
 
