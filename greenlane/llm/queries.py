@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from greenlane.llm import archives, decontam, urls
+from greenlane.llm import archives, decontam, neardup, urls
 from greenlane.llm.archives import op8_warc
 from greenlane.llm.decontam import op10_decontamination
 from greenlane.llm.gam import op5_quality_gam
+from greenlane.llm.lm import op7_lm_scores
+from greenlane.llm.neardup import op4_near_duplicates
 from greenlane.llm.pieces import op3_sentencepiece
 from greenlane.llm.pii import op2_pii
 from greenlane.llm.rules import op6_quality_rules
@@ -17,9 +19,19 @@ from greenlane.llm.secrets import op1_secret_scan
 from greenlane.llm.urls import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_secret_scan, op2_pii, op3_sentencepiece, op5_quality_gam, op6_quality_rules, op8_warc, op9_url_filter, op10_decontamination,
+    op1_secret_scan, op2_pii, op3_sentencepiece, op4_near_duplicates, op5_quality_gam, op6_quality_rules, op7_lm_scores, op8_warc, op9_url_filter, op10_decontamination,
 )}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
 ORACLE: dict[str, str] = {
+    "op4_near_duplicates": neardup.ORACLE_SQL,
     "op8_warc": archives.ORACLE_SQL,
     "op9_url_filter": urls.ORACLE_SQL,
     "op10_decontamination": decontam.ORACLE_SQL,

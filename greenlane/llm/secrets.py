@@ -153,14 +153,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return map_batches(df, _scan, SCHEMA)
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows and columns with every secret in ``text_col`` replaced by ``MASK``."""
+def redact(docs: DataFrame, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """The same rows and columns with every secret in ``text_col`` replaced by ``MASK``.
+
+    ``count_col`` (a long column) is set to the code points of each changed text.
+    """
     at = docs.columns.index(text_col)
+    count_at = docs.columns.index(count_col) if count_col else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t if not t or not (s := find_spans(t)) else masked(t, s) for t in batch.column(at).to_pylist()]
+        before = batch.column(at).to_pylist()
+        after = [t if not t or not (s := find_spans(t)) else masked(t, s) for t in before]
         arrays = list(batch.columns)
-        arrays[at] = pa.array(texts, pa.string())
+        arrays[at] = pa.array(after, pa.string())
+        if count_at is not None:
+            counts = [len(b) if b != a else n for a, b, n in zip(before, after, batch.column(count_at).to_pylist(), strict=True)]
+            arrays[count_at] = pa.array(counts, batch.column(count_at).type)
         return pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
     return map_batches(docs, run, docs.schema)
