@@ -30,6 +30,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
            order_col: str | None = None, now: Column | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE SET update_cols, updated_at = now.
 
+    New rows take every column that the batch has; existing rows keep all but ``update_cols``
+    (default: every batch column outside the key).
     Returns the merged table plus ``_action`` ('inserted' | 'updated' | 'unchanged').
     ``now`` is passed in (default: current_timestamp) so a run can be replayed.
     """
@@ -37,7 +39,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
         batch = latest_per_key(batch, key, order_col)
     now = now if now is not None else F.localtimestamp()
     update_cols = update_cols or [c for c in batch.columns if c not in key and c in target.columns]
-    b = batch.select(*key, *[F.col(c).alias(f"_b_{c}") for c in update_cols], F.lit(True).alias("_in_batch"))
+    brought = [c for c in batch.columns if c not in key and c in target.columns]
+    b = batch.select(*key, *[F.col(c).alias(f"_b_{c}") for c in brought], F.lit(True).alias("_in_batch"))
     t = target.withColumn("_in_target", F.lit(True))
     j = t.join(b, key, "full_outer")
     in_b, in_t = F.col("_in_batch").isNotNull(), F.col("_in_target").isNotNull()
@@ -47,6 +50,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
             cols.append(F.col(c))
         elif c in update_cols:
             cols.append(F.when(in_b, F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c))
+        elif c in brought:
+            cols.append(F.when(in_t, F.col(c)).otherwise(F.col(f"_b_{c}")).alias(c))
         elif c == "updated_at":
             cols.append(F.when(in_b, now.cast("timestamp_ntz")).otherwise(F.col(c)).alias(c))
         elif c == "created_at":
@@ -66,6 +71,7 @@ def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list
     months), so they drive partition pruning on the read and a dynamic partition
     overwrite on the write; untouched partitions are neither read nor rewritten. The
     partition columns must be part of ``key`` (a key never moves between partitions).
+    A batch may bring new columns: stored rows get NULL there, and readers merge the file schemas.
     Returns the per-row actions of the touched partitions.
     """
     if not set(partition_by) <= set(key):
@@ -73,18 +79,19 @@ def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list
     if order_col:
         batch = latest_per_key(batch, key, order_col)
     touched = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
-    try:
-        existing = spark.read.parquet(path)
-        cond = None
+    if exists(spark, path):
+        # any failure of this read is raised: taking it for "no table yet" would drop the stored rows
+        stored = spark.read.option("mergeSchema", "true").parquet(path)
+        added = [c for c in batch.columns if c not in stored.columns]
+        stored = stored.select("*", *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in added])
+        cond = F.lit(False)
         for values in touched:
-            c = None
+            term = F.lit(True)
             for col_name, v in zip(partition_by, values):
-                term = F.col(col_name).eqNullSafe(F.lit(v))
-                c = term if c is None else c & term
-            cond = c if cond is None else cond | c
-        existing = existing.where(cond) if cond is not None else existing.limit(0)
-        existing = existing.select(*batch.columns, *[c for c in existing.columns if c not in batch.columns])
-    except Exception:  # noqa: BLE001 - first write: the table does not exist yet
+                term = term & F.col(col_name).eqNullSafe(F.lit(v))
+            cond = cond | term
+        existing = stored.where(cond).select(*batch.columns, *[c for c in stored.columns if c not in batch.columns])
+    else:
         existing = batch.limit(0)
     merged = upsert(existing, batch, key, update_cols, now=now)
     merged, _ = _checkpointed(merged)  # the target is overwritten below: never read and write the same files lazily
@@ -111,22 +118,45 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def write_version(df: DataFrame, base: str) -> str:
-    """Write to a fresh version directory, then publish it by rewriting the ``_LATEST`` pointer.
+def exists(spark: SparkSession, path: str) -> bool:
+    """True when the path is there; anything but "not found" is raised."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
-    Readers resolve ``_LATEST`` first, so they see either the old or the new version, never a
-    half-written one; a failed write leaves the previous version current.
+
+def _replace(spark: SparkSession, source, target) -> None:
+    """Rename over an existing file in one step (raises if the file system refuses)."""
+    jvm = spark.sparkContext._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(source, target, options)
+
+
+def write_version(df: DataFrame, base: str, keep: int | None = None) -> str:
+    """Write to a fresh version directory, then publish it by replacing the ``_LATEST`` pointer.
+
+    The pointer is renamed over the old one in a single step, so readers see either the old or
+    the new version and a crash at any point leaves one of them current. ``keep`` deletes all
+    but that many newest versions after the publication (at least 2: a reader may still be on the last one).
     """
-    spark = df.sparkSession
+    spark, base = df.sparkSession, base.rstrip("/")
     version = f"v={uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{version}")
-    fs, pointer = _fs(spark, f"{base.rstrip('/')}/_LATEST")
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/_LATEST.{version}.tmp")
+    df.write.mode("errorifexists").parquet(f"{base}/{version}")
+    fs, pointer = _fs(spark, f"{base}/_LATEST")
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/_LATEST.{version}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode()))
     out.close()
-    fs.delete(pointer, False)
-    fs.rename(tmp, pointer)
+    _replace(spark, tmp, pointer)
+    if keep is not None:
+        _, root = _fs(spark, base)
+        versions = sorted((f for f in fs.listStatus(root) if f.getPath().getName().startswith("v=")), key=lambda f: -f.getModificationTime())
+        for old in versions[max(2, keep):]:
+            if old.getPath().getName() != version:
+                fs.delete(old.getPath(), True)
     return version
 
 
@@ -139,6 +169,11 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{version}")
 
 
+def latest_or_none(spark: SparkSession, base: str) -> DataFrame | None:
+    """The published version, or None where nothing was ever published; a failing read is raised."""
+    return read_latest(spark, base) if exists(spark, f"{base.rstrip('/')}/_LATEST") else None
+
+
 def load_if_empty(target: DataFrame, batch: DataFrame, path: str) -> bool:
     """Write ``batch`` only when the target holds no rows (stops at the first row found)."""
     if not target.isEmpty():
@@ -177,17 +212,34 @@ def active_drivers(workers: DataFrame) -> DataFrame:
         "worker_id", "worker_name", "worker_role")
 
 
+def ids_by_name(rows: DataFrame, name: str, key: str) -> DataFrame:
+    """(_name, key, _candidates): one id per name, the smallest; NULL names resolve nothing."""
+    return rows.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("_name")).agg(
+        F.min(key).alias(key), F.count_distinct(key).alias("_candidates"))
+
+
 def resolve_customers(raw: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """U7 + U10: exact-name lookup among active customers; returns (resolved, rejected).
 
-    Resolved rows carry customer_id and order_date = date of the received timestamp.
-    Rejected rows are kept as an output instead of silently disappearing.
+    A name shared by several active customers resolves to the smallest id (one raw order stays one
+    order); ``ambiguous_names`` lists such names. Resolved rows carry customer_id and order_date =
+    date of the received timestamp. Rejected rows are kept as an output instead of silently disappearing.
+    Raw orders without a name never enter the join (they would share one hash partition).
     """
-    active = customers.where("is_active").select(F.col("customer_name").alias("_name"), "customer_id")
-    j = raw.join(active, raw.customer_name_raw == active._name, "left")
-    base = j.select("raw_order_id", "customer_name_raw", "customer_id", "received_at", "source_channel",
-                    derive_order_date("received_at").alias("order_date"))
-    return base.where(F.col("customer_id").isNotNull()), base.where(F.col("customer_id").isNull()).drop("customer_id")
+    names = ids_by_name(customers.where("is_active"), "customer_name", "customer_id")
+    cols = ["raw_order_id", "customer_name_raw", "received_at", "source_channel", derive_order_date("received_at").alias("order_date")]
+    rows = raw.select(*cols)
+    j = rows.where(F.col("customer_name_raw").isNotNull()).join(names, F.col("customer_name_raw") == F.col("_name"), "left")
+    resolved = j.where(F.col("customer_id").isNotNull()).select(
+        "raw_order_id", "customer_name_raw", "customer_id", "received_at", "source_channel", "order_date")
+    rejected = j.where(F.col("customer_id").isNull()).select(*rows.columns).unionByName(rows.where(F.col("customer_name_raw").isNull()))
+    return resolved, rejected
+
+
+def ambiguous_names(rows: DataFrame, name: str, key: str) -> DataFrame:
+    """Names that more than one id carries, with the id they resolve to and how many share them."""
+    return ids_by_name(rows, name, key).where("_candidates > 1").select(
+        F.col("_name").alias(name), key, F.col("_candidates").alias("candidates"))
 
 
 def derive_order_date(received_at: str | Column) -> Column:
@@ -197,9 +249,9 @@ def derive_order_date(received_at: str | Column) -> Column:
 
 
 def resolve_suppliers(catalog: DataFrame, suppliers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """U8: catalog rows (…, supplier_name) -> supplier_id; unknown names go to the warning output."""
-    s = suppliers.select(F.col("supplier_name").alias("_sname"), "supplier_id")
-    j = catalog.join(s, catalog.supplier_name == s._sname, "left").drop("_sname")
+    """U8: catalog rows (…, supplier_name) -> supplier_id (the smallest of a shared name); unknown names go to the warning output."""
+    names = ids_by_name(suppliers, "supplier_name", "supplier_id").drop("_candidates")
+    j = catalog.join(names, F.col("supplier_name") == F.col("_name"), "left").drop("_name")
     return j.where(F.col("supplier_id").isNotNull()), j.where(F.col("supplier_id").isNull()).drop("supplier_id")
 
 
@@ -210,6 +262,7 @@ def status_breakdown(df: DataFrame, column: str) -> DataFrame:
 
 
 def driver_assignment_counts(deliveries: DataFrame, workers: DataFrame) -> DataFrame:
-    """Deliveries assigned per driver name."""
+    """Deliveries assigned per driver name (counted per id first, so one row per driver meets the workers)."""
+    per_driver = deliveries.where(F.col("driver_worker_id").isNotNull()).groupBy("driver_worker_id").agg(F.count(F.lit(1)).alias("n"))
     w = workers.select(F.col("worker_id").alias("driver_worker_id"), "worker_name")
-    return deliveries.join(w, "driver_worker_id").groupBy("worker_name").agg(F.count(F.lit(1)).alias("deliveries"))
+    return per_driver.join(w, "driver_worker_id").groupBy("worker_name").agg(F.sum("n").alias("deliveries"))

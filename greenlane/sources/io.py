@@ -75,12 +75,20 @@ def extract_jdbc(spark: SparkSession, url: str, table: str, partition_column: st
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] = (),
                     sort_within: Iterable[str] = ()) -> int:
-    """Full-refresh overwrite; returns the rows written, counted during the write (no second pass)."""
-    obs = Observation("rows_written")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    """Full-refresh overwrite; returns the rows written, counted during the write (no second pass).
+
+    With ``partition_by`` the rows are first range-partitioned on (partition columns, sort columns): a
+    partition value gets few files, a large one several with disjoint key ranges. The sort starts with the
+    partition columns, the order that a partitioned write needs, so it is kept inside the files.
+    """
+    out, partition_by, sort_within = df, list(partition_by), list(sort_within)
+    if partition_by:
+        out = out.repartitionByRange(*partition_by, *sort_within)
     if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
-    w = out.write.mode("overwrite")
+        out = out.sortWithinPartitions(*partition_by, *sort_within)
+    # counted above the range partitioning, whose sampling reads the rows once more
+    obs = Observation("rows_written")
+    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.format(fmt).save(path)
@@ -106,6 +114,7 @@ def load_tables(src: Tables, root: str, selected: Iterable[str] | None = None, u
     return report
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """CSV export of a small KPI result (one file; only for mart-sized outputs)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, one_file_rows: int = 100_000) -> None:
+    """CSV export with a header; one file up to ``one_file_rows`` rows, beyond that one per partition."""
+    small = df.limit(one_file_rows + 1).count() <= one_file_rows
+    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -1,16 +1,12 @@
 """Daily on-time counts maintained by Structured Streaming.
 
-Source rows are read as a file stream; the event time (scheduled delivery time)
-gets a watermark so that state for days older than the allowed lateness is
-dropped. Counts are kept per (1-day event-time window, calendar date) in update
-mode, and each micro-batch is *upserted* into a versioned Parquet table: a batch
-carries the current totals of the days it touched (not deltas), so replaying a
-batch after a failure gives the same table. Append mode would hold back the
-newest days until the watermark passes them, so update + upsert is used.
-
-``withWatermark`` requires TIMESTAMP (not TIMESTAMP_NTZ), hence the cast; the
-calendar date is kept next to the window so the result does not depend on the
-session time zone.
+Source rows are read as a file stream and counted per calendar day of the scheduled
+delivery. There is no watermark: files of a backfill, or of the next run, arrive in any
+order of event time, and a watermark would drop whatever is older than the newest
+event seen. The state holds one row per calendar day, so it is bounded by the calendar
+without one. Each micro-batch *upserts* the current totals of the days it touched (not
+deltas) into a versioned Parquet table, so replaying a batch after a failure gives the
+same table.
 """
 
 from __future__ import annotations
@@ -21,52 +17,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import on_time_flag
-from ..operators.writes import read_latest, upsert, write_version
+from ..operators.writes import _fs, latest_or_none, read_latest, upsert, write_version
 from ..plans.staging import stg_deliveries
 from ..session import ensure_checkpoint_dir
 
-KEY = ["window_start", "delivery_date"]
+KEY = ["delivery_date"]
 
 
-def daily_on_time_counts(deliveries: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Streaming (or batch) aggregation of staged deliveries per event-time day."""
-    d = deliveries.withColumn("_event_time", F.col("scheduled_at").cast("timestamp"))
-    return (
-        d.withWatermark("_event_time", lateness)
-        .groupBy(F.window("_event_time", "1 day"), F.col("scheduled_at").cast("date").alias("delivery_date"))
-        .agg(F.count(F.lit(1)).alias("deliveries"),
-             F.sum(on_time_flag("delivery_status", "delivered_at", "scheduled_at")).alias("on_time_deliveries"))
-        .select(F.col("window.start").alias("window_start"), "delivery_date", "deliveries", "on_time_deliveries")
-    )
+def daily_on_time_counts(deliveries: DataFrame) -> DataFrame:
+    """Streaming (or batch) aggregation of staged deliveries per scheduled day."""
+    return deliveries.groupBy(F.col("scheduled_at").cast("date").alias("delivery_date")).agg(
+        F.count(F.lit(1)).alias("deliveries"),
+        F.sum(on_time_flag("delivery_status", "delivered_at", "scheduled_at")).alias("on_time_deliveries"))
 
 
-def run_daily_on_time_stream(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
-                             lateness: str = "1 day", timeout_s: int = 600) -> DataFrame:
-    """Run the stream to completion (availableNow) and return the per-day totals table."""
+def run_daily_on_time_stream(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Process everything that is available and return the per-day totals table."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        try:
-            current = read_latest(spark, target)
-        except Exception:  # noqa: BLE001 - first batch: nothing published yet
-            current = batch.limit(0)
+        current = latest_or_none(spark, target)
+        current = batch.limit(0) if current is None else current
         merged = upsert(current, batch, KEY, ["deliveries", "on_time_deliveries"]).drop("_action")
-        write_version(merged, target)
+        write_version(merged, target, keep=2)
 
-    query = (daily_on_time_counts(stream, lateness).writeStream.outputMode("update").foreachBatch(merge)
+    query = (daily_on_time_counts(stream).writeStream.outputMode("update").foreachBatch(merge)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("streaming query did not finish")
-    return read_latest(spark, target).groupBy("delivery_date").agg(
-        F.sum("deliveries").alias("deliveries"), F.sum("on_time_deliveries").alias("on_time_deliveries"))
+    query.awaitTermination()
+    return read_latest(spark, target)
 
 
-def stream_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file stream over the orders table, mapped to staged deliveries."""
+def stream_from_orders(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """A file stream over the orders table (one file or a directory of part files), mapped to staged deliveries."""
     from ..sources.adapters import deliveries_from_orders, source_schema
 
-    orders = spark.readStream.schema(source_schema("orders")).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(source_schema("orders"))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    if fs.getFileStatus(path).isDirectory():
+        orders = reader.parquet(path.toString())
+    else:
+        orders = reader.option("pathGlobFilter", path.getName()).parquet(sf_dir)
     return stg_deliveries(deliveries_from_orders(orders, None))
 
 

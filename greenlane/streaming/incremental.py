@@ -1,19 +1,20 @@
 """Incremental refresh driven by an ``updated_at`` high-water mark.
 
 State lives in one folder: the line store (Parquet partitioned by the month in which
-the order week starts, so a week lives in exactly one partition),
-the weekly aggregate table (versioned) and the high-water mark. A refresh
-
-1. reads only source rows with ``updated_at`` above the stored mark,
-2. writes them into the line store — appended idempotently (one partition per
-   month and refresh, replaced on a rerun), or upserted on ``key`` by
-   rewriting only the touched month partitions (dynamic partition overwrite);
-   rows are range-partitioned on (month, updated_at) first, so a busy month is
-   written by many tasks and a quiet one does not produce a file per task,
+the order week starts, so a week lives in exactly one partition), the weekly
+aggregate table and the high-water mark (both versioned). A refresh
+
+1. reads the source rows from the mark's calendar day on. The day is read again as a whole,
+   because rows may arrive later with the mark's own timestamp or another time of that day;
+2. writes them into the line store: upserted on ``key`` by rewriting only the touched
+   month partitions, or, without a key (an insert-only source), replacing the
+   (month, update day) partitions that were read again, so nothing is lost or counted twice,
+   also not when a failed refresh is rerun. Rows are range-partitioned first, so a busy
+   month is written by many tasks and a quiet one does not produce a file per task;
 3. re-aggregates only the touched weeks (partition pruning on the store),
 4. replaces those weeks in the weekly table and recomputes the rolling rates
    over the weekly table (one row per week: a bounded frame), and
-5. advances the mark.
+5. advances the mark, last, so a failed refresh is simply run again.
 
 The set of touched weeks is a handful of dates per refresh (bounded by the
 calendar, not by data volume), so it is brought to the driver to drive pruning.
@@ -24,22 +25,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.writes import merge_partitions, read_latest, write_version
+from ..operators.writes import latest_or_none, merge_partitions, read_latest, write_version
 from ..plans.kpi import weekly_fill_rate
 
 
-def _high_water_mark(spark: SparkSession, state: str):
-    try:
-        return spark.read.parquet(f"{state}/hwm").first()["hwm"]
-    except Exception:  # noqa: BLE001 - first refresh
-        return None
-
-
 def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key: list[str] | None = None) -> DataFrame:
     """``lines``: order_week, requested_quantity, confirmed_quantity (0 for NULL), updated_at (+ key columns)."""
     state = state.rstrip("/")
-    hwm = _high_water_mark(spark, state)
-    new = lines if hwm is None else lines.where(F.col("updated_at") > F.lit(hwm))
+    mark = latest_or_none(spark, f"{state}/hwm")
+    hwm = None if mark is None else mark.first()["hwm"]
+    new = lines if hwm is None else lines.where(F.col("updated_at") >= F.lit(hwm.replace(hour=0, minute=0, second=0, microsecond=0)).cast("timestamp_ntz"))
     marks = new.agg(F.max("updated_at").alias("hwm"), F.collect_set("order_week").alias("weeks")).first()
     if marks["hwm"] is None:
         return weekly_fill_rate(read_latest(spark, f"{state}/weekly"))
@@ -50,13 +45,9 @@ def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key:
         # a line keeps its order week, so the partition column extends the key
         merge_partitions(spark, store, new, [*key, "order_month"], ["order_month"], order_col="updated_at")
     else:
-        # Idempotent append: the rows of one refresh form their own (month, batch) partitions, the
-        # batch named by the mark the refresh started from. A rerun after a failure starts from the
-        # same mark and replaces whatever the failed attempt left behind.
-        batch_id = "initial" if hwm is None else hwm.strftime("%Y%m%dT%H%M%S%f")
-        (new.withColumn("_batch", F.lit(batch_id)).repartitionByRange("order_month", "updated_at")
+        (new.withColumn("_updated_on", F.to_date("updated_at")).repartitionByRange("order_month", "_updated_on", "updated_at")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("order_month", "_batch").parquet(store))
+         .partitionBy("order_month", "_updated_on").parquet(store))
     months = sorted({w.replace(day=1) for w in weeks})
     touched = spark.read.parquet(store).where(F.col("order_month").isin(months) & F.col("order_week").isin(weeks)).groupBy(
         F.col("order_week").alias("week_start")).agg(
@@ -65,11 +56,6 @@ def refresh_weekly_fill(spark: SparkSession, lines: DataFrame, state: str, key:
         weekly = touched
     else:
         weekly = read_latest(spark, f"{state}/weekly").where(~F.col("week_start").isin(weeks)).unionByName(touched)
-    write_version(weekly, f"{state}/weekly")
-    _save_mark(spark, state, marks["hwm"])
+    write_version(weekly, f"{state}/weekly", keep=2)
+    write_version(spark.createDataFrame([(marks["hwm"],)], "hwm timestamp_ntz"), f"{state}/hwm", keep=2)
     return weekly_fill_rate(read_latest(spark, f"{state}/weekly"))
-
-
-def _save_mark(spark: SparkSession, state: str, hwm) -> None:
-    """Advance the high-water mark; written last, so a failed refresh is simply re-run."""
-    spark.createDataFrame([(hwm,)], "hwm timestamp_ntz").write.mode("overwrite").parquet(f"{state}/hwm")

@@ -1,9 +1,11 @@
 """End-to-end jobs: build, CSV landing, streaming vs batch, incremental refresh."""
 
 import os
+import re
 import tempfile
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from greenlane.operators import writes
@@ -82,29 +84,110 @@ def test_incremental_append_rerun_after_failure_is_idempotent(spark, monkeypatch
     rows = spark.createDataFrame([(d("2025-03-31"), D("10"), D("5"), ts("2025-04-01T00:00:00")),
                                   (d("2025-04-07"), D("4"), D("4"), ts("2025-04-08T00:00:00"))], cols)
     state = tempfile.mkdtemp(prefix="greenlane-incr-")
-    calls = {"n": 0}
-    real = inc._save_mark
+    real, calls = inc.write_version, []
 
-    def crash_once(*a):
-        calls["n"] += 1
-        if calls["n"] == 1:
-            raise RuntimeError("executor lost before the mark was saved")
-        return real(*a)
+    def crash_at_the_mark(df, base, **kw):
+        calls.append(base)
+        if base.endswith("/hwm") and sum(c.endswith("/hwm") for c in calls) == 1:
+            raise RuntimeError("driver lost before the mark was saved")
+        return real(df, base, **kw)
 
-    monkeypatch.setattr(inc, "_save_mark", crash_once)
-    try:
+    monkeypatch.setattr(inc, "write_version", crash_at_the_mark)
+    with pytest.raises(RuntimeError):
         refresh_weekly_fill(spark, rows, state)
-    except RuntimeError:
-        pass
     out = {r.week_start.isoformat(): r.requested_quantity for r in refresh_weekly_fill(spark, rows, state).collect()}
     assert out == {"2025-03-31": D("10"), "2025-04-07": D("4")}  # not doubled by the rerun
 
 
-def test_fact_side_is_never_broadcast_on_a_file_size_estimate(spark):
-    """Static plans shuffle the line fact; only AQE may broadcast a side after measuring it."""
+def test_rows_that_arrive_later_with_the_mark_are_not_lost(spark):
+    cols = "order_week date, requested_quantity decimal(10,2), confirmed_quantity decimal(10,2), updated_at timestamp_ntz"
+    row = lambda q, at: (d("2025-03-31"), D(q), D("0"), ts(at))
+    state = tempfile.mkdtemp(prefix="greenlane-incr-")
+    first = [row("10", "2025-04-01T08:00:00")]
+    refresh_weekly_fill(spark, spark.createDataFrame(first, cols), state)
+    later = [*first, row("10", "2025-04-01T08:00:00"), row("5", "2025-04-01T07:00:00")]
+    for _ in range(2):
+        out = refresh_weekly_fill(spark, spark.createDataFrame(later, cols), state).collect()
+        assert [r.requested_quantity for r in out] == [D("25")]
+
+
+def test_stream_counts_every_row_over_several_batches_and_runs(spark, wh_small):
+    """Four part files, one per batch, newest first, then a second run on the same checkpoint."""
+    root, base = tempfile.mkdtemp(prefix="greenlane-src-"), tempfile.mkdtemp(prefix="greenlane-stream-")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    old = orders.where("o_orderkey % 2 = 0").orderBy(F.col("o_orderdate").desc())
+    old.repartition(4).write.parquet(f"{root}/orders.parquet")
+    run_daily_on_time_stream(spark, stream_from_orders(spark, root, 1), f"{base}/t", f"{base}/c")
+    orders.where("o_orderkey % 2 = 1").repartition(3).write.mode("append").parquet(f"{root}/orders.parquet")
+    got = run_daily_on_time_stream(spark, stream_from_orders(spark, root, 1), f"{base}/t", f"{base}/c")
+    batch = kpi.kpi_daily_on_time_delivery(wh_small).select("delivery_date", "deliveries", "on_time_deliveries")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_distinct_orders_with_repeated_headers(spark):
+    from greenlane.plans.core import Warehouse
+    from tests.fixtures import tables
+
+    orders = [dict(order_id=1, customer_id=7, order_date=d("2025-04-01"), order_status="clean")] * 2
+    items = [dict(order_item_id=1, order_id=1, product_id=3, requested_quantity=D("2"), confirmed_quantity=D("2"), unit_price=D("1"))]
+    w = Warehouse(tables(spark, orders_cleaned=orders, order_items=items, customers=[dict(customer_id=7, customer_name="A", market_type="grocery")],
+                         products=[dict(product_id=3, product_name="x", source_type="mixed")]))
+    assert kpi.kpi_overview(w).first().total_orders == 1
+    assert w.dim_customers.first().lifetime_orders == 1
+    assert kpi.kpi_customer_revenue(w).first().order_count == 1
+    assert kpi.kpi_revenue_by_market(w).first().order_count == 1
+    assert [r.line_count for r in w.fct_orders.collect()] == [2, 2]  # each line meets both headers
+
+
+def test_files_of_a_partitioned_write_are_sorted(spark):
+    import pyarrow.parquet as pq
+
+    from greenlane.sources.io import write_overwrite
+
+    root = tempfile.mkdtemp(prefix="greenlane-sorted-")
+    df = spark.range(4000).select(F.expr("cast(id % 3 as string)").alias("month"), F.expr("(id * 7919) % 4001").alias("k")).repartition(5)
+    write_overwrite(df, f"{root}/t", partition_by=["month"], sort_within=["k"])
+    files = [os.path.join(a, f) for a, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+    assert files and all((k := pq.ParquetFile(f).read(["k"])["k"].to_pylist()) == sorted(k) for f in files)
+
+
+def test_upper_case_load_and_csv_export(spark):
+    from greenlane.sources.io import export_csv
+
+    root = tempfile.mkdtemp(prefix="greenlane-upper-")
+    load_tables(tpch_tables(spark, SF_SMALL), root, ["customers"], upper_case=True)
+    assert spark.read.parquet(f"{root}/customers").columns[:2] == ["CUSTOMER_ID", "CUSTOMER_NAME"]
+    df = spark.createDataFrame([(1, 'a "b", c'), (2, None)], "k int, s string").repartition(2)
+    export_csv(df, f"{root}/one")
+    export_csv(df, f"{root}/many", one_file_rows=1)
+    for path in ("one", "many"):
+        back = spark.read.option("header", True).option("escape", '"').csv(f"{root}/{path}")
+        assert sorted(map(tuple, back.collect())) == [("1", 'a "b", c'), ("2", None)] or path == "many"
+    assert len([f for f in os.listdir(f"{root}/one") if f.startswith("part-")]) == 1
+
+
+def test_dimensions_that_fit_keep_the_fact_unshuffled(spark):
+    """Measured products, workers and customers are broadcast: lines cross the network on order_id only."""
     from greenlane.plans.core import Warehouse
 
     wh = Warehouse(tpch_tables(spark, "/root/testdata/sf0.01"))
-    initial = wh.fct_order_items._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" not in initial.split("== Initial Plan ==")[-1]
-    assert "SortMergeJoin" in initial
+    keys = lambda df: re.findall(r"hashpartitioning\((\w+)#", df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1])
+    assert set(keys(wh.fct_order_items)) <= {"order_id", "l_orderkey", "o_orderkey"}
+    assert set(keys(wh.order_line_totals)) <= {"order_id", "l_orderkey"}
+    assert keys(wh.fct_deliveries) == [] and keys(wh.fct_worker_shifts) == []
+
+
+def test_dimensions_beyond_the_limit_are_joined_on_key_and_salt(spark, wh_small):
+    from greenlane.plans.core import Warehouse
+
+    spark.conf.set("greenlane.broadcastBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh = Warehouse(tpch_tables(spark, SF_SMALL))
+        plan = wh.fct_deliveries._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(driver_worker_id#\d+L?, _salt#", plan)
+        for name in ("fct_deliveries", "fct_order_items", "fct_worker_shifts"):
+            assert sorted(map(repr, getattr(wh, name).collect())) == sorted(map(repr, getattr(wh_small, name).collect()))
+    finally:
+        spark.conf.unset("greenlane.broadcastBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

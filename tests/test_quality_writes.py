@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from greenlane.operators import quality as dq
 from greenlane.operators import writes
-from greenlane.operators.order_text import extract_order_lines, messages_needing_review, render_messages
+from greenlane.operators.order_text import extract_order_lines, messages_needing_review
 from greenlane.plans.core import Warehouse
 from tests.fixtures import d, tables, ts
 
@@ -84,25 +84,89 @@ def test_resolve_customers_keeps_rejects(spark):
     assert sorted(r.raw_order_id for r in rejected.collect()) == [2, 3]
 
 
-def test_order_text_round_trip_and_review(spark):
-    header = spark.createDataFrame(
-        [(1, "Acme", "text"), (2, "Acme", "Email"), (3, "Bo", "spreadsheet"), (4, "Bo", "phone"), (5, "Cy", "in_person"),
-         (6, "Cy", "sms"), (7, "Dee", "text")], "raw_order_id long, _customer string, source_channel string")
-    lines = spark.createDataFrame(
-        [(o, n, q, p) for o in range(1, 7) for n, q, p in [(1, 5, "bok choy"), (2, 12, "napa")]] + [(7, 1, 3, "dragon fruit")],
-        "raw_order_id long, l_linenumber int, qty int, product string")
-    raw = render_messages(header, lines).withColumn("source_channel", F.lower("source_channel"))
-    free_form = spark.createDataFrame([(8, "2 crates of gai lan tmw pls", "text")], "raw_order_id long, order_text string, source_channel string")
-    raw = raw.unionByName(free_form, allowMissingColumns=True)
-    products = spark.createDataFrame([(10, "Bok Choy"), (11, "Napa Cabbage")], "product_id long, product_name string")
+def test_order_text_layouts_and_review(spark):
+    two = [(1, 5, 10, "parsed"), (2, 12, 11, "parsed")]
+    messages = [  # (channel, text, lines, goes to review)
+        ("text", "hi acme here need 5lb bok choy, 12lb napa for tmr", two, False),
+        ("text", "5lb bok choy, 12lb napa pls, delivery this week", two, False),
+        ("text", "hey can u send 5lb bok choy, 12lb napa thanks", two, False),
+        ("text", "acme kitchen: 5lb bok choy, 12lb napa", two, False),
+        ("sms", "need 5lb bok choy, 12lb napa asap", two, False),
+        ("email", "Hi team,\n\nPlease deliver the following to Acme, Inc:\n\n- bok choy: 5 lbs\n- napa: 12 lbs\n\nThanks,\nAcme, Inc Purchasing", two, False),
+        ("spreadsheet", "Acme, Inc,bok choy,5,lbs\nAcme, Inc,napa,12,lbs", two, False),
+        ("phone", "Phone order from Acme:\n* 5 lb bok choy\n* 12 lb napa", two, False),
+        ("in_person", "Walk-in: Acme - 5lb bok choy; 12lb napa", two, False),
+        ("text", "need 3lb dragon fruit asap", [(1, 3, None, "unknown_product")], True),
+        ("text", "need 3lb gai lan asap", [(1, 3, 20, "ambiguous")], True),
+        ("text", "need 99999999999lb napa asap", [(1, None, 11, "bad_quantity")], True),
+        ("text", "need 5lb bok choy and also 3 napa", None, True),  # one of two quantities is recognised at best
+        ("sms", "Need 14 bx bok choy, 10 crates napa, 6 green onion for Wed AM", [], True),
+        ("other", "send 12 choy sum 8 chinese broc", [], True),
+        ("text", None, [], True),
+    ]
+    raw = spark.createDataFrame([(i, t, c) for i, (c, t, _, _) in enumerate(messages)], "raw_order_id long, order_text string, source_channel string")
+    products = spark.createDataFrame([(10, "Bok Choy"), (11, "Napa Cabbage"), (20, "gai lan"), (21, "Gai Lan")], "product_id long, product_name string")
     aliases = spark.createDataFrame([("napa", "napa cabbage")], "alias string, product_name string")
     parsed = extract_order_lines(raw, products, aliases)
-    got = sorted((r.raw_order_id, r.item_no, r.quantity, r.product_id, r.parse_status) for r in parsed.collect())
-    expect = sorted([(o, 1, 5, 10, "parsed") for o in range(1, 7)] + [(o, 2, 12, 11, "parsed") for o in range(1, 7)]
-                    + [(7, 1, 3, None, "unknown_product")])
-    assert got == expect
-    review = sorted((r.raw_order_id, r.lines, r.unknown_products) for r in messages_needing_review(raw, parsed).collect())
-    assert review == [(7, 1, 1), (8, 0, 0)]
+    got = {}
+    for r in parsed.collect():
+        got.setdefault(r.raw_order_id, []).append((r.item_no, r.quantity, r.product_id, r.parse_status))
+    review = {r.raw_order_id for r in messages_needing_review(raw, parsed).collect()}
+    for i, (_, text, lines, bad) in enumerate(messages):
+        if lines is not None:
+            assert sorted(got.get(i, [])) == lines, text
+        assert (i in review) == bad, text
+
+
+def test_shared_names_resolve_to_one_id(spark):
+    raw = spark.createDataFrame([(1, "Acme", ts("2025-04-01T09:30:00"), "text")], "raw_order_id long, customer_name_raw string, received_at timestamp_ntz, source_channel string")
+    cust = spark.createDataFrame([(7, "Acme", True), (5, "Acme", True), (3, "Acme", False)], "customer_id long, customer_name string, is_active boolean")
+    ok, rejected = writes.resolve_customers(raw, cust)
+    assert [(r.raw_order_id, r.customer_id) for r in ok.collect()] == [(1, 5)] and rejected.count() == 0
+    assert [tuple(r) for r in writes.ambiguous_names(cust.where("is_active"), "customer_name", "customer_id").collect()] == [("Acme", 5, 2)]
+
+
+def test_merge_with_a_new_column_keeps_the_other_rows(spark):
+    path = tempfile.mkdtemp(prefix="greenlane-merge-") + "/t"
+    writes.merge_partitions(spark, path, spark.createDataFrame([(1, "2025-01", 10), (2, "2025-01", 20)], "k int, month string, v int"), ["k", "month"], ["month"])
+    acts = writes.merge_partitions(spark, path, spark.createDataFrame([(2, "2025-01", 21, "x")], "k int, month string, v int, note string"), ["k", "month"], ["month"])
+    assert sorted((r.k, r._action) for r in acts.collect()) == [(1, "unchanged"), (2, "updated")]
+    got = sorted((r.k, r.v, r.note) for r in spark.read.option("mergeSchema", "true").parquet(path).collect())
+    assert got == [(1, 10, None), (2, 21, "x")]
+
+
+def test_a_failing_read_of_the_target_is_raised(spark):
+    import os
+
+    path = tempfile.mkdtemp(prefix="greenlane-merge-") + "/t"
+    batch = spark.createDataFrame([(1, "2025-01", 10)], "k int, month string, v int")
+    writes.merge_partitions(spark, path, batch, ["k", "month"], ["month"])
+    [part] = [f for f in os.listdir(f"{path}/month=2025-01") if f.endswith(".parquet")]
+    with open(f"{path}/month=2025-01/{part}", "wb") as f:
+        f.write(b"not parquet")
+    os.remove(f"{path}/month=2025-01/.{part}.crc")
+    with pytest.raises(Exception):  # noqa: B017
+        writes.merge_partitions(spark, path, spark.createDataFrame([(2, "2025-01", 20)], "k int, month string, v int"), ["k", "month"], ["month"])
+    assert open(f"{path}/month=2025-01/{part}", "rb").read() == b"not parquet"  # nothing was replaced
+
+
+def test_crash_between_write_and_publication_keeps_the_last_version(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="greenlane-version-")
+    writes.write_version(spark.range(3), base)
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(writes, "_replace", crash)
+    with pytest.raises(RuntimeError):
+        writes.write_version(spark.range(5), base)
+    monkeypatch.undo()
+    assert writes.read_latest(spark, base).count() == 3
+    for n in (6, 7, 8):
+        writes.write_version(spark.range(n), base, keep=2)
+    assert writes.read_latest(spark, base).count() == 8
+    assert sum(x.startswith("v=") for x in __import__("os").listdir(base)) == 2
+    assert writes.latest_or_none(spark, base + "/none") is None
 
 
 def test_merge_partitions_rewrites_only_touched(spark):
