@@ -1,12 +1,12 @@
-"""Order messages <-> order lines.
+"""Order messages -> order lines.
 
-Raw orders arrive as free text whose layout depends on the intake channel. The
-extractor applies one regular expression per channel with built-in
-``regexp_extract_all`` (JVM side, no Python UDF), zips quantities with product
-mentions, explodes to one row per mentioned line and resolves each mention to a
-product id through an equi-join on the normalised name (plus optional aliases).
-Unresolved mentions and messages without any line are routed to review instead
-of being dropped.
+Orders arrive as free text whose layout depends on the intake channel. Item patterns per
+channel run as built-in ``regexp_extract_all`` (JVM side, no Python UDF); each mentioned line is one
+row, resolved to a product id through an equi-join on the normalised name (plus optional aliases).
+
+Nothing is dropped silently. A message's quantities are counted apart from the item pattern,
+so a message of which only a part is recognised goes to review, and so do unknown and ambiguous product
+names, quantities beyond an integer, and messages without any line.
 """
 
 from __future__ import annotations
@@ -16,53 +16,24 @@ from pyspark.sql import functions as F
 
 from ..functions import norm
 
-# Message layouts per channel. {items} is the joined item list;
-# an item is rendered with the item format of its channel.
-#   text / sms : "need {qty}lb {product}, {qty}lb {product} asap"
-#   email      : "Please deliver the following to {customer}:\n\n- {product}: {qty} lbs\n...\n\nThanks,\n{customer} Purchasing"
-#   spreadsheet: "{customer},{product},{qty},lbs" one line per item
-#   phone      : "Phone order from {customer}:\n* {qty} lb {product}\n..."
-#   in_person  : "Walk-in: {customer} - {qty}lb {product}; {qty}lb {product}"
-# Extraction patterns per channel -> (pattern, quantity group, product group).
+# Item formats per channel -> (pattern, quantity group, product group).
+#   text / sms   "5lb bok choy, 12lb napa" anywhere in a message; a closing phrase ends the last item
+#   email        "- bok choy: 5 lbs" per line
+#   spreadsheet  "customer,bok choy,5,lbs" per line; the customer may hold commas
+#   phone        "* 5 lb bok choy" per line
+#   in_person    "5lb bok choy; 12lb napa"
+CLOSING = r"(?: asap| pls| please| thanks| thx| for tmr| for tomorrow| tmr)"
+TEXT_ITEM = rf"(\d+) ?lbs? ([^,;\n]+?)(?=\s*(?:,|;|\n|$|{CLOSING}))"
 PATTERNS: dict[str, tuple[str, int, int]] = {
-    "text": (r"(\d+)lb (.+?)(?=, \d+lb | asap$)", 1, 2),
-    "sms": (r"(\d+)lb (.+?)(?=, \d+lb | asap$)", 1, 2),
-    "email": (r"(?m)^- (.+): (\d+) lbs$", 2, 1),
-    "spreadsheet": (r"(?m)^[^,\n]*,([^,\n]+),(\d+),lbs$", 2, 1),
-    "phone": (r"(?m)^\* (\d+) lb (.+)$", 1, 2),
-    "in_person": (r"(\d+)lb ([^;]+)", 1, 2),
+    "text": (TEXT_ITEM, 1, 2),
+    "sms": (TEXT_ITEM, 1, 2),
+    "email": (r"(?m)^- (.+): (\d+) lbs?$", 2, 1),
+    "spreadsheet": (r"(?m)^.*,([^,\n]+),(\d+),lbs?$", 2, 1),
+    "phone": (r"(?m)^\* (\d+) lbs? (.+)$", 1, 2),
+    "in_person": (r"(\d+) ?lbs? ([^;\n]+)", 1, 2),
 }
-
-
-def render_messages(header: DataFrame, lines: DataFrame) -> DataFrame:
-    """Write each order's lines into a message in its channel's layout.
-
-    ``header``: raw_order_id, _customer, source_channel (+ passthrough columns);
-    ``lines``:  raw_order_id, l_linenumber, qty, product.
-    """
-    items = lines.groupBy("raw_order_id").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "qty", "product"))).alias("_items"))
-    msg = header.join(items, "raw_order_id", "left").withColumn(
-        "_items", F.coalesce("_items", F.array().cast("array<struct<l_linenumber:int,qty:int,product:string>>")))
-    cust = F.coalesce(F.col("_customer"), F.lit("unknown"))
-
-    def joined(fmt: Column, sep: str) -> Column:
-        return F.array_join(F.transform("_items", lambda x: fmt(x)), sep)
-
-    text = F.concat(F.lit("need "), joined(lambda x: F.format_string("%dlb %s", x.qty, x.product), ", "), F.lit(" asap"))
-    email = F.concat(
-        F.lit("Please deliver the following to "), cust, F.lit(":\n\n"),
-        joined(lambda x: F.format_string("- %s: %d lbs", x.product, x.qty), "\n"),
-        F.lit("\n\nThanks,\n"), cust, F.lit(" Purchasing"))
-    sheet = joined(lambda x: F.format_string("%s,%s,%d,lbs", cust, x.product, x.qty), "\n")
-    phone = F.concat(F.lit("Phone order from "), cust, F.lit(":\n"),
-                     joined(lambda x: F.format_string("* %d lb %s", x.qty, x.product), "\n"))
-    walk_in = F.concat(F.lit("Walk-in: "), cust, F.lit(" - "),
-                       joined(lambda x: F.format_string("%dlb %s", x.qty, x.product), "; "))
-    ch = norm("source_channel")
-    body = (F.when(ch == "email", email).when(ch == "spreadsheet", sheet).when(ch == "phone", phone)
-            .when(ch == "in_person", walk_in).otherwise(text))
-    return msg.withColumn("order_text", body).drop("_items", "_customer")
+# Every number that stands on its own or before a unit counts as a quantity mention.
+QUANTITY = r"(?<![\w.])\d+(?=\s?(?:lbs?\b|bx\b|cs\b|crates?\b|box(?:es)?\b|cases?\b)|[\s,]|$)"
 
 
 def _by_channel(channel: Column, pick) -> Column:
@@ -76,35 +47,36 @@ def extract_order_lines(raw: DataFrame, products: DataFrame, aliases: DataFrame
     """One row per product mention in each raw message.
 
     ``raw``: staged raw orders (raw_order_id, order_text, source_channel normalised).
-    ``products``: product_id, product_name. Names need not be unique; a name maps to
-    its smallest product id. ``aliases`` (alias, product_name) adds extra spellings.
-    Output: raw_order_id, item_no (1-based), quantity, product_mention, product_id,
-    parse_status ('parsed' | 'unknown_product').
+    ``products``: product_id, product_name. ``aliases`` (alias, product_name) adds extra spellings.
+    Output: raw_order_id, item_no (1-based), quantity (NULL beyond an integer), product_mention, product_id
+    (the smallest of the name), parse_status ('parsed' | 'unknown_product' | 'ambiguous' | 'bad_quantity').
     """
     ch = F.col("source_channel")
     text = F.col("order_text")
-    qty = _by_channel(ch, lambda s: F.regexp_extract_all(text, F.lit(s[0]), s[1]))
-    prod = _by_channel(ch, lambda s: F.regexp_extract_all(text, F.lit(s[0]), s[2]))
+    qty = _by_channel(ch, lambda s: F.regexp_extract_all(text, F.lit(s[0]), F.lit(s[1])))
+    prod = _by_channel(ch, lambda s: F.regexp_extract_all(text, F.lit(s[0]), F.lit(s[2])))
     mentions = raw.select(
         "raw_order_id", F.posexplode(F.arrays_zip(qty.alias("q"), prod.alias("p"))).alias("item_no", "m"),
     ).select(
         "raw_order_id", (F.col("item_no") + 1).alias("item_no"),
-        F.col("m.q").cast("int").alias("quantity"), F.trim(F.col("m.p")).alias("product_mention"),
+        F.col("m.q").try_cast("int").alias("quantity"), F.trim(F.col("m.p")).alias("product_mention"),
     )
-    catalog = products.groupBy(norm("product_name").alias("_name")).agg(F.min("product_id").alias("product_id"))
+    names = products.select(norm("product_name").alias("_name"), "product_id")
     if aliases is not None:
-        via_alias = aliases.join(catalog, norm(aliases.product_name) == catalog._name).select(
-            norm("alias").alias("_name"), "product_id")
-        catalog = catalog.unionByName(via_alias).groupBy("_name").agg(F.min("product_id").alias("product_id"))
-    out = mentions.join(catalog, norm("product_mention") == catalog._name, "left").drop("_name")
-    return out.withColumn(
-        "parse_status", F.when(F.col("product_id").isNull(), F.lit("unknown_product")).otherwise(F.lit("parsed")))
+        names = names.unionByName(aliases.join(names, norm(aliases.product_name) == names._name).select(norm("alias").alias("_name"), "product_id"))
+    catalog = names.groupBy("_name").agg(F.min("product_id").alias("product_id"), F.count_distinct("product_id").alias("_ids"))
+    out = mentions.join(catalog, norm("product_mention") == catalog._name, "left")
+    status = (F.when(F.col("product_id").isNull(), F.lit("unknown_product")).when(F.col("_ids") > 1, F.lit("ambiguous"))
+              .when(F.col("quantity").isNull(), F.lit("bad_quantity")).otherwise(F.lit("parsed")))
+    return out.select("raw_order_id", "item_no", "quantity", "product_mention", "product_id", status.alias("parse_status"))
 
 
 def messages_needing_review(raw: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Raw orders with no recognised line or with an unknown product."""
+    """Raw orders with no recognised line, with fewer lines than quantities, or with a line that is not 'parsed'."""
     ok = parsed.groupBy("raw_order_id").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.when(F.col("parse_status") != "parsed", 1).otherwise(0)).alias("bad"))
-    return raw.join(ok, "raw_order_id", "left").where(F.col("lines").isNull() | (F.col("bad") > 0)).select(
+    mentioned = F.coalesce(F.regexp_count("order_text", F.lit(QUANTITY)), F.lit(0))
+    j = raw.withColumn("_mentioned", mentioned).join(ok, "raw_order_id", "left")
+    return j.where(F.col("lines").isNull() | (F.col("bad") > 0) | (F.col("lines") < F.col("_mentioned"))).select(
         "raw_order_id", "source_channel", F.coalesce("lines", F.lit(0)).alias("lines"),
-        F.coalesce("bad", F.lit(0)).alias("unknown_products"))
+        F.col("_mentioned").alias("quantities"), F.coalesce("bad", F.lit(0)).alias("unresolved_lines"))
