@@ -54,7 +54,10 @@ def pct_unrounded(num: Column | str, den: Column | str) -> Column:
 
 
 def _unscaled(c: Column) -> Column:
-    return (c.cast("decimal(38,4)") * F.lit(10**_RATIO_INPUT_SCALE)).cast("decimal(38,0)")
+    """The value as an integer in units of its last allowed decimal; a finer value is an error, not cut."""
+    at_scale = c.cast("decimal(38,4)")
+    finer = F.raise_error(F.lit("round_ratio: an input has more than 4 decimals")).cast("decimal(38,0)")
+    return F.when(c.isNull() | (at_scale == c), (at_scale * F.lit(10**_RATIO_INPUT_SCALE)).cast("decimal(38,0)")).otherwise(finer)
 
 
 def round_ratio(num: Column | str, den: Column | str, scale: int, multiplier: int = 1) -> Column:

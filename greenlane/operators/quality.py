@@ -242,8 +242,8 @@ def _model(models, name: str) -> DataFrame:
         from ..plans.kpi import KPI_MARTS
 
         cache = models.__dict__.setdefault("_kpi_cache", {})
-        if name not in cache:
-            cache[name] = KPI_MARTS[name](models)
+        if name not in cache:  # a build hands out the marts that it wrote
+            cache[name] = models.mart(name) if hasattr(models, "mart") else KPI_MARTS[name](models)
         return cache[name]
     return getattr(models, name)
 

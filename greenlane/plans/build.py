@@ -1,10 +1,10 @@
 """The build job: staging -> core -> KPI marts -> checks, written as Parquet.
 
-Core facts are written once (facts partitioned by month, sorted inside files by
-their common lookup keys) and every KPI mart reads the *written* facts, so the
-line-grain joins run once per build instead of once per mart; the written tables
-also cut lineage, so a lost executor never recomputes the whole chain. Checks run
-on the written output; error-severity failures stop the build after the report is
+The enriched lines are written first; order facts, order reconciliation and the customer
+dimension aggregate the *written* lines, and every KPI mart reads the written core, so the
+line-grain joins run once per build. Facts are partitioned by month and sorted inside
+files by their common lookup keys. The written tables also cut lineage, so a lost executor
+never recomputes the whole chain. Checks run on the written output, KPI marts included; error-severity failures stop the build after the report is
 saved, warnings are only reported.
 """
 
@@ -23,8 +23,8 @@ from .kpi import KPI_MARTS
 CORE_LAYOUT = {
     # model: (partition columns, sort-within-partition columns)
     "fct_order_items": (["order_month"], ["customer_id", "order_date"]),
-    "fct_orders": (["order_month"], ["customer_id", "order_date"]),
     "order_facts": (["order_month"], ["customer_id", "order_date"]),
+    "fct_orders": (["order_month"], ["customer_id", "order_date"]),
     "fct_deliveries": (["scheduled_month"], ["driver_worker_id", "scheduled_date"]),
     "fct_worker_shifts": ([], ["worker_id", "shift_date"]),
     "dim_customers": ([], ["customer_id"]),
@@ -35,7 +35,7 @@ _MONTH_OF = {"order_month": "order_date", "scheduled_month": "scheduled_date"}
 
 
 class BuiltWarehouse(Warehouse):
-    """A warehouse whose core models are read back from a build directory."""
+    """A warehouse whose core models are read back from a build directory as they get written."""
 
     def __init__(self, spark: SparkSession, src: Tables, root: str):
         super().__init__(src)
@@ -45,6 +45,22 @@ class BuiltWarehouse(Warehouse):
         df = self.spark.read.parquet(f"{self.root}/core/{name}")
         return df.drop(*[c for c in _MONTH_OF if c in df.columns])
 
+    def mart(self, name: str) -> DataFrame:
+        """A written KPI mart."""
+        return self.spark.read.parquet(f"{self.root}/kpi/{name}")
+
+    def derived_order_facts(self) -> DataFrame:
+        """``order_facts`` from the written lines: one aggregation, no joins."""
+        header = ("order_id", "order_date", "order_week", "customer_id", "customer_name", "market_type")
+        return self.int_order_items_enriched.groupBy(*header).agg(
+            F.count(F.lit(1)).alias("line_count"), F.sum("requested_value").alias("line_requested_value"),
+            F.sum("confirmed_revenue").alias("line_confirmed_revenue"), F.sum("requested_quantity").alias("line_requested_quantity"),
+            F.sum("confirmed_quantity").alias("line_confirmed_quantity"))
+
+    @property
+    def order_totals(self) -> DataFrame:
+        return self.order_facts
+
     @cached_property
     def int_order_items_enriched(self) -> DataFrame:
         return self._read("fct_order_items")
@@ -81,15 +97,19 @@ class BuiltWarehouse(Warehouse):
 def build(spark: SparkSession, src: Tables, root: str, fail_on_error: bool = False) -> dict[str, int]:
     """Write core and KPI tables under ``root``; returns rows written per table (plus the check report)."""
     root = root.rstrip("/")
-    w = Warehouse(src)
+    w, built = Warehouse(src), BuiltWarehouse(spark, src, root)
     report: dict[str, int] = {}
     for name, (parts, sort) in CORE_LAYOUT.items():
-        df = getattr(w, name)
+        if name == "order_facts":
+            df = built.derived_order_facts()
+        elif name in ("fct_orders", "dim_customers"):  # from the order facts just written
+            df = getattr(Warehouse, name).func(built)
+        else:
+            df = getattr(w, name)
         for month_col, date_col in _MONTH_OF.items():
             if month_col in parts:
                 df = df.withColumn(month_col, F.date_format(date_col, "yyyy-MM"))
         report[f"core/{name}"] = write_overwrite(df, f"{root}/core/{name}", partition_by=parts, sort_within=sort)
-    built = BuiltWarehouse(spark, src, root)
     for name, fn in KPI_MARTS.items():
         report[f"kpi/{name}"] = write_overwrite(fn(built), f"{root}/kpi/{name}")
     checks = dq.run_checks(built, dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import on_time_flag, safe_pct, week_start, zero_if_null
+from ..operators.joins import fits, lookup_join
 from ..sources.io import Tables
 from . import staging as stg
 
@@ -21,6 +22,15 @@ from . import staging as stg
 class Warehouse:
     def __init__(self, src: Tables):
         self.src = src
+        self._fits: dict[tuple[str, ...], bool] = {}
+
+    def with_dim(self, fact: DataFrame, model: str, columns: dict[str, str], key: str, how: str = "inner") -> DataFrame:
+        """``fact`` joined with columns (name -> new name) of a dimension model, measured once per instance."""
+        dim = getattr(self, model).select(*[F.col(c).alias(a) for c, a in columns.items()])
+        seen = (model, *columns)
+        if seen not in self._fits:
+            self._fits[seen] = fits(dim)
+        return lookup_join(fact, dim, key, how, small=self._fits[seen])
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -72,18 +82,16 @@ class Warehouse:
     def int_order_items_enriched(self) -> DataFrame:
         """Line grain joined to order, customer and product (inner joins: orphans drop out).
 
-        Orders meet customers first, at order grain; the lines are then joined once on
-        order_id, so at scale the line-grain data crosses the network a single time
-        (products are a small dimension and normally broadcast by size).
+        Customers meet the orders and products meet the lines as measured dimensions (no
+        shuffle while they fit); the lines then cross the network once, on order_id.
         """
-        items, orders = self.stg_order_items, self.stg_orders
-        customers, products = self.stg_customers, self.stg_products
-        order_customer = orders.select("order_id", "order_date", "order_status", "customer_id").join(
-            customers.select("customer_id", "customer_name", "market_type"), "customer_id")
+        orders = self.with_dim(self.stg_orders.select("order_id", "order_date", "order_status", "customer_id"), "stg_customers",
+                               {c: c for c in ("customer_id", "customer_name", "market_type")}, "customer_id")
+        lines = self.with_dim(self.stg_order_items, "stg_products",
+                              {c: c for c in ("product_id", "product_name", "category", "source_type")}, "product_id")
         confirmed = zero_if_null("confirmed_quantity")
         return (
-            items.join(order_customer, "order_id")
-            .join(products.select("product_id", "product_name", "category", "source_type"), "product_id")
+            lines.join(orders, "order_id")
             .select(
                 "order_item_id", "order_id", "order_date",
                 week_start("order_date").alias("order_week"),
@@ -101,12 +109,9 @@ class Warehouse:
     @cached_property
     def int_deliveries_enriched(self) -> DataFrame:
         """Delivery grain with the driver (left join: unassigned deliveries stay) and is_on_time."""
-        d = self.stg_deliveries
-        w = self.stg_workers.select(
-            F.col("worker_id").alias("driver_worker_id"),
-            F.col("worker_name").alias("driver_name"),
-            F.col("worker_role").alias("driver_role"))
-        return d.join(w, "driver_worker_id", "left").select(
+        d = self.with_dim(self.stg_deliveries, "stg_workers", {
+            "worker_id": "driver_worker_id", "worker_name": "driver_name", "worker_role": "driver_role"}, "driver_worker_id", "left")
+        return d.select(
             "delivery_id", "order_id",
             F.col("scheduled_at").cast("date").alias("scheduled_date"),
             "scheduled_at", "delivered_at", "delivery_status", "driver_worker_id", "driver_name", "driver_role",
@@ -117,10 +122,10 @@ class Warehouse:
     def order_line_totals(self) -> DataFrame:
         """Per-order sums of the lines whose product exists.
 
-        The aggregation is partial before its shuffle, so what crosses the network is
-        about one row per order and map task instead of every line.
+        Product keys are a measured dimension and the aggregation is partial before its
+        shuffle, so what crosses the network is about one row per order and map task.
         """
-        lines = self.stg_order_items.join(self.stg_products.select("product_id"), "product_id")
+        lines = self.with_dim(self.stg_order_items, "stg_products", {"product_id": "product_id"}, "product_id")
         confirmed = zero_if_null("confirmed_quantity")
         return lines.groupBy("order_id").agg(
             F.count(F.lit(1)).alias("line_count"),
@@ -139,10 +144,11 @@ class Warehouse:
 
     @cached_property
     def order_facts(self) -> DataFrame:
-        """One row per order that has lines, with its customer: the order-grain view of
-        ``int_order_items_enriched`` (same lines, same inner-join semantics)."""
-        customers = self.stg_customers.select("customer_id", "customer_name", "market_type")
-        return self.order_totals.join(customers, "customer_id").withColumn("order_week", week_start("order_date"))
+        """One row per order header that has lines, with its customer: the order-grain view of
+        ``int_order_items_enriched`` (same lines, same inner-join semantics). Nothing enforces unique
+        headers, so whoever counts orders counts distinct ids."""
+        totals = self.with_dim(self.order_totals, "stg_customers", {c: c for c in ("customer_id", "customer_name", "market_type")}, "customer_id")
+        return totals.withColumn("order_week", week_start("order_date"))
 
     # -- core facts --------------------------------------------------------
     @property
@@ -156,9 +162,8 @@ class Warehouse:
     @cached_property
     def fct_orders(self) -> DataFrame:
         """Header totals vs totals rebuilt from the lines (order grain)."""
-        lines = self.order_facts.select(
-            "order_id", "line_count", "line_requested_value", "line_confirmed_revenue",
-            "line_requested_quantity", "line_confirmed_quantity")
+        totals = ("line_count", "line_requested_value", "line_confirmed_revenue", "line_requested_quantity", "line_confirmed_quantity")
+        lines = self.order_facts.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in totals])
         line_count = F.coalesce(F.col("line_count"), F.lit(0))
         requested_value = F.coalesce(F.col("line_requested_value"), F.lit(0))
         status = (
@@ -183,8 +188,8 @@ class Warehouse:
 
     @cached_property
     def fct_worker_shifts(self) -> DataFrame:
-        w = self.stg_workers.select("worker_id", "worker_name", "worker_role")
-        return self.stg_worker_shifts.join(w, "worker_id").select(
+        shifts = self.with_dim(self.stg_worker_shifts, "stg_workers", {c: c for c in ("worker_id", "worker_name", "worker_role")}, "worker_id")
+        return shifts.select(
             "shift_id", "worker_id", "worker_name", "worker_role", "shift_date", "task_type",
             "hours_worked", "hourly_rate",
             (F.col("hours_worked") * F.col("hourly_rate")).alias("labor_cost"),
@@ -196,7 +201,7 @@ class Warehouse:
     def dim_customers(self) -> DataFrame:
         # the LEFT JOIN from customers below drops unknown customers, so no customer join is needed here
         per_customer = self.order_totals.groupBy("customer_id").agg(
-            F.count(F.lit(1)).alias("lifetime_orders"),  # one row per order
+            F.count_distinct("order_id").alias("lifetime_orders"),
             F.sum("line_confirmed_revenue").alias("lifetime_revenue"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),

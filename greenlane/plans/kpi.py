@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import nullif_zero, pct_unrounded, round_ratio, safe_pct, week_start
+from ..functions import nullif_zero, on_time_flag, pct_unrounded, round_ratio, safe_pct, week_start
 from ..operators.ranking import DEFAULT, RankConfig, rank_and_order
 from .core import Warehouse
 
@@ -33,9 +33,8 @@ def segment_label(quartile: str, labels: tuple[str, ...], with_else: bool):
 
 
 def kpi_overview(w: Warehouse) -> DataFrame:
-    # order grain: one row per order with lines, so counting rows counts distinct orders
     return w.order_facts.agg(
-        F.count(F.lit(1)).alias("total_orders"),
+        F.count_distinct("order_id").alias("total_orders"),
         F.round(F.sum("line_confirmed_revenue"), 2).alias("total_confirmed_revenue"),
         safe_pct(F.sum("line_confirmed_quantity"), F.sum("line_requested_quantity")).alias("overall_fill_rate_pct"),
     )
@@ -72,9 +71,10 @@ def kpi_weekly_fill_rate(w: Warehouse) -> DataFrame:
 
 
 def kpi_daily_on_time_delivery(w: Warehouse) -> DataFrame:
-    daily = w.fct_deliveries.groupBy(F.col("scheduled_date").alias("delivery_date")).agg(
+    # no driver column is needed, so the staged deliveries are enough
+    daily = w.stg_deliveries.groupBy(F.col("scheduled_at").cast("date").alias("delivery_date")).agg(
         F.count(F.lit(1)).alias("deliveries"),
-        F.sum("is_on_time").alias("on_time_deliveries"),
+        F.sum(on_time_flag("delivery_status", "delivered_at", "scheduled_at")).alias("on_time_deliveries"),
     )
     last7 = Window.orderBy("delivery_date").rowsBetween(-6, Window.currentRow)
     return daily.select(
@@ -103,22 +103,24 @@ def kpi_driver_productivity(w: Warehouse, strategy: str = "auto", cfg: RankConfi
 
 
 def customer_revenue(order_facts: DataFrame) -> DataFrame:
-    """Per customer: orders (one order_facts row each) and confirmed revenue."""
+    """Per customer: distinct orders and confirmed revenue."""
     return order_facts.groupBy("customer_id", "customer_name", "market_type").agg(
-        F.count(F.lit(1)).alias("order_count"),
+        F.count_distinct("order_id").alias("order_count"),
         F.sum("line_confirmed_revenue").alias("revenue"),
     )
 
 
 def kpi_customer_revenue(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
+    revenue = customer_revenue(w.order_facts)
     ranked = rank_and_order(
-        customer_revenue(w.order_facts), "revenue", "customer_id",
+        revenue, "revenue", "customer_id",
         ranks={"overall_rank": [], "rank_within_market": ["market_type"]},
         ntiles={"revenue_quartile": 4},
         running_sums={"_running_revenue": "revenue"},
         strategy=strategy, cfg=cfg,
     )
-    total = ranked.agg(F.sum("revenue")).scalar()  # SUM(revenue) OVER (): one scalar, no single-partition window
+    # SUM(revenue) OVER () as one scalar over the frame before ranking: no single-partition window, no second ranking
+    total = revenue.agg(F.sum("revenue")).scalar()
     segment = segment_label("revenue_quartile", MART_SEGMENTS, with_else=True)
     return ranked.select(
         "customer_id", "customer_name", "market_type", "order_count",
@@ -130,15 +132,14 @@ def kpi_customer_revenue(w: Warehouse, strategy: str = "auto", cfg: RankConfig =
 
 
 def revenue_by_market(per_order: DataFrame) -> DataFrame:
-    """customers, orders and revenue per market without a multi-distinct Expand at line grain.
+    """customers, distinct orders and revenue per market.
 
-    ``per_order`` has one row per (market, customer, order) with its revenue; an order
-    has a single customer, so counting rows per market counts distinct orders, and only
-    the customer count remains a (single) distinct aggregate, over order grain.
+    ``per_order`` has one row per (market, customer, order header) with its revenue, so the
+    rows that the two distinct counts expand are at order grain, not line grain.
     """
     return per_order.groupBy("market_type").agg(
         F.count_distinct("customer_id").alias("customer_count"),
-        F.count(F.lit(1)).alias("order_count"),
+        F.count_distinct("order_id").alias("order_count"),
         F.sum("revenue").alias("revenue"),
     )
 
@@ -183,14 +184,16 @@ def kpi_source_type_fill_rate(w: Warehouse) -> DataFrame:
 
 
 def kpi_weekly_inventory(w: Warehouse) -> DataFrame:
-    inv = w.stg_inventory
-    products = w.dim_products.select("product_id", "category")
-    return inv.join(products, "product_id").groupBy(
-        week_start("inventory_date").alias("week_start"), "category"
-    ).agg(
-        F.sum("available_quantity").alias("total_on_hand"),
-        round_ratio(F.sum("available_quantity"), F.count("available_quantity"), 2).alias("avg_per_snapshot"),
-    )
+    return inventory_by_category(w).select(
+        "week_start", "category", "total_on_hand", round_ratio("total_on_hand", "snapshots", 2).alias("avg_per_snapshot"))
+
+
+def inventory_by_category(w: Warehouse) -> DataFrame:
+    """Weekly stock per category; the fact is reduced to one row per product and week before it meets the products."""
+    per_product = w.stg_inventory.groupBy("product_id", week_start("inventory_date").alias("week_start")).agg(
+        F.sum("available_quantity").alias("q"), F.count("available_quantity").alias("n"))
+    return w.with_dim(per_product, "stg_products", {"product_id": "product_id", "category": "category"}, "product_id").groupBy(
+        "week_start", "category").agg(F.sum("q").alias("total_on_hand"), F.sum("n").alias("snapshots"))
 
 
 KPI_MARTS = {

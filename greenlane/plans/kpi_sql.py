@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import on_time_flag, safe_pct, week_start, zero_if_null
 from ..operators.ranking import DEFAULT, RankConfig, rank_and_order
 from .core import Warehouse
-from .kpi import QUERY_SEGMENTS, product_stats, segment_label, weekly_fill_rate
+from .kpi import QUERY_SEGMENTS, inventory_by_category, product_stats, segment_label, weekly_fill_rate
 
 
 def q01_total_orders(w: Warehouse) -> DataFrame:
@@ -43,12 +43,14 @@ def q04_overall_fill_rate(w: Warehouse) -> DataFrame:
 
 
 def q05_weekly_fill_rate(w: Warehouse) -> DataFrame:
+    # lines reduced to order grain first (partial aggregation), then joined to their orders
+    per_order = w.stg_order_items.groupBy("order_id").agg(
+        F.sum("requested_quantity").alias("requested_quantity"), F.sum(zero_if_null("confirmed_quantity")).alias("confirmed_quantity"))
     weekly = (
         w.stg_orders.select("order_id", "order_date")
-        .join(w.stg_order_items, "order_id")
+        .join(per_order, "order_id")
         .groupBy(week_start("order_date").alias("week_start"))
-        .agg(F.sum("requested_quantity").alias("requested_quantity"),
-             F.sum(zero_if_null("confirmed_quantity")).alias("confirmed_quantity"))
+        .agg(F.sum("requested_quantity").alias("requested_quantity"), F.sum("confirmed_quantity").alias("confirmed_quantity"))
     )
     return weekly_fill_rate(weekly).select(
         "week_start", F.col("weekly_fill_rate_pct").alias("weekly_fill_rate"),
@@ -70,14 +72,10 @@ def q06_daily_on_time(w: Warehouse) -> DataFrame:
 
 
 def q07_driver_productivity(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
-    workers = w.stg_workers.select("worker_id", "worker_name", F.col("worker_role").alias("role"))
-    d = w.stg_deliveries
-    stats = (
-        d.join(workers, d.driver_worker_id == workers.worker_id)  # inner: unassigned deliveries drop out
-        .groupBy("worker_id", "worker_name", "role")
-        .agg(F.count(F.lit(1)).alias("total_deliveries"),
-             F.sum(on_time_flag("delivery_status", "delivered_at", "scheduled_at")).alias("on_time"))
-    )
+    # one row per driver meets the workers; unassigned deliveries and unknown drivers drop out
+    per_driver = w.stg_deliveries.where(F.col("driver_worker_id").isNotNull()).groupBy(F.col("driver_worker_id").alias("worker_id")).agg(
+        F.count(F.lit(1)).alias("total_deliveries"), F.sum(on_time_flag("delivery_status", "delivered_at", "scheduled_at")).alias("on_time"))
+    stats = w.with_dim(per_driver, "stg_workers", {"worker_id": "worker_id", "worker_name": "worker_name", "worker_role": "role"}, "worker_id")
     ranked = rank_and_order(stats, "total_deliveries", "worker_id", ranks={"volume_rank": []}, strategy=strategy, cfg=cfg)
     return ranked.select(
         "worker_name", "role", "total_deliveries",
@@ -87,11 +85,11 @@ def q07_driver_productivity(w: Warehouse, strategy: str = "auto", cfg: RankConfi
 
 
 def _customer_revenue(w: Warehouse) -> DataFrame:
-    o = w.stg_orders.select("order_id", "customer_id")
-    i = w.stg_order_items.select("order_id", "confirmed_quantity", "unit_price")
-    c = w.stg_customers.select("customer_id", "customer_name", "market_type")
-    return o.join(i, "order_id").join(c, "customer_id").groupBy("customer_id", "customer_name", "market_type").agg(
-        F.sum(_line_revenue()).alias("revenue"), F.count_distinct("order_id").alias("order_count"))
+    # lines -> orders -> customers, reduced before each join
+    per_order = w.stg_order_items.groupBy("order_id").agg(F.sum(_line_revenue()).alias("revenue"))
+    per_customer = w.stg_orders.select("order_id", "customer_id").join(per_order, "order_id").groupBy("customer_id").agg(
+        F.sum("revenue").alias("revenue"), F.count_distinct("order_id").alias("order_count"))
+    return w.with_dim(per_customer, "stg_customers", {x: x for x in ("customer_id", "customer_name", "market_type")}, "customer_id")
 
 
 def q08_top_customers(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
@@ -116,12 +114,12 @@ def q09_customer_quartiles(w: Warehouse, strategy: str = "auto", cfg: RankConfig
 def q10_revenue_by_market(w: Warehouse) -> DataFrame:
     from .kpi import revenue_by_market
 
-    c = w.stg_customers.select("customer_id", "market_type")
     o = w.stg_orders.select("order_id", "customer_id")
     i = w.stg_order_items.select("order_id", "confirmed_quantity", "unit_price")
     # lines reduced to order grain first (partial aggregation), then joined to orders and customers
     per_order = i.groupBy("order_id").agg(F.sum(_line_revenue()).alias("revenue"))
-    lines = c.join(o, "customer_id").join(per_order, "order_id").select("market_type", "customer_id", "order_id", "revenue")
+    orders = w.with_dim(o, "stg_customers", {"customer_id": "customer_id", "market_type": "market_type"}, "customer_id")
+    lines = orders.join(per_order, "order_id").select("market_type", "customer_id", "order_id", "revenue")
     # denominator: every order line, joined or not (uncorrelated scalar subquery, evaluated once)
     all_revenue = w.stg_order_items.agg(F.sum(_line_revenue())).scalar()
     by_market = revenue_by_market(lines)
@@ -132,14 +130,14 @@ def q10_revenue_by_market(w: Warehouse) -> DataFrame:
     )
 
 
+def _product_totals(w: Warehouse) -> DataFrame:
+    """One row per product id of the lines: requested, confirmed, shortage."""
+    lines = w.stg_order_items.select("product_id", "requested_quantity", zero_if_null("confirmed_quantity").alias("confirmed_quantity"))
+    return product_stats(lines.withColumn("shortage_quantity", F.col("requested_quantity") - F.col("confirmed_quantity")), ["product_id"])
+
+
 def q11_top_products(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
-    i = w.stg_order_items
-    p = w.stg_products.select("product_id", "product_name", "category")
-    lines = i.join(p, "product_id").select(
-        "product_id", "product_name", "category", "requested_quantity",
-        zero_if_null("confirmed_quantity").alias("confirmed_quantity"),
-        (F.col("requested_quantity") - zero_if_null("confirmed_quantity")).alias("shortage_quantity"))
-    stats = product_stats(lines, ["product_id", "product_name", "category"])
+    stats = w.with_dim(_product_totals(w), "stg_products", {x: x for x in ("product_id", "product_name", "category")}, "product_id")
     ranked = rank_and_order(stats, "total_requested", "product_id",
                             ranks={"demand_rank": [], "shortage_rank": ("shortage", [])}, strategy=strategy, cfg=cfg)
     return ranked.orderBy(F.col("total_requested").desc(), "product_id").limit(15).select(
@@ -148,23 +146,20 @@ def q11_top_products(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEF
 
 
 def q12_source_type(w: Warehouse) -> DataFrame:
-    i = w.stg_order_items
-    p = w.stg_products.select("product_id", "source_type")
-    return i.join(p, "product_id").groupBy("source_type").agg(
+    per_product = w.with_dim(_product_totals(w), "stg_products", {x: x for x in ("product_id", "source_type")}, "product_id")
+    return per_product.groupBy("source_type").agg(
         F.count_distinct("product_id").alias("product_count"),
-        F.sum("requested_quantity").alias("total_requested"),
-        F.sum(zero_if_null("confirmed_quantity")).alias("total_confirmed"),
-        safe_pct(F.sum(zero_if_null("confirmed_quantity")), F.sum("requested_quantity")).alias("fill_rate_pct"),
+        F.sum("total_requested").alias("total_requested"),
+        F.sum("total_confirmed").alias("total_confirmed"),
+        safe_pct(F.sum("total_confirmed"), F.sum("total_requested")).alias("fill_rate_pct"),
     ).orderBy(F.col("total_requested").desc())
 
 
 def q13_inventory_trend(w: Warehouse) -> DataFrame:
-    inv = w.stg_inventory
-    p = w.stg_products.select("product_id", "category")
-    return inv.join(p, "product_id").groupBy(week_start("inventory_date").alias("week_start"), "category").agg(
-        F.sum("available_quantity").alias("total_on_hand"),
-        F.avg("available_quantity").alias("avg_per_snapshot"),
-    ).orderBy("week_start", "category")
+    # the average is not rounded: one division of the exact sums
+    average = F.col("total_on_hand").cast("double") / F.col("snapshots")
+    return inventory_by_category(w).select(
+        "week_start", "category", "total_on_hand", F.when(F.col("snapshots") > 0, average).alias("avg_per_snapshot")).orderBy("week_start", "category")
 
 
 KPI_QUERIES = {

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import quality as dq
 from ..operators import writes
 from ..operators.allocation import allocate_stock
-from ..operators.order_text import extract_order_lines, messages_needing_review
 from ..operators.ranking import _materialize, ordered_scan
-from . import extras
+from . import extras, kpi
 from .core import Warehouse
 
 # Fixed replay time of the inventory upsert example, so that the run is deterministic.
@@ -31,7 +30,8 @@ def inventory_upsert(w: Warehouse) -> DataFrame:
     target = writes.latest_per_key(inv.where(F.dayofmonth("inventory_date") <= 20), key, "inventory_id")
     batch = inv.where(F.dayofmonth("inventory_date") >= 15).select(
         "inventory_id", *key, (F.col("available_quantity") + 1).cast("decimal(10,2)").alias("available_quantity"))
-    merged = writes.upsert(target, batch, key, ["inventory_id", "available_quantity"], order_col="inventory_id",
+    # an existing row keeps its id; only the quantity and the time change
+    merged = writes.upsert(target, batch, key, ["available_quantity"], order_col="inventory_id",
                            now=F.lit(UPSERT_NOW).cast("timestamp_ntz"))
     return merged.withColumnRenamed("_action", "action")
 
@@ -41,26 +41,74 @@ def inventory_upsert_outcomes(w: Warehouse) -> DataFrame:
         "_action", "action")
 
 
-def customer_order_history(w: Warehouse) -> DataFrame:
+def inventory_merged_months(w: Warehouse) -> DataFrame:
+    """U1 on files: days 1-20 stored by month, days 15-31 merged into the months that they touch; the table read back."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    spark = w.stg_inventory.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/greenlane-merge-{uuid.uuid4().hex}"
+    inv = w.stg_inventory.withColumn("month", F.date_format("inventory_date", "yyyy-MM"))
+    key = ["product_id", "inventory_date", "warehouse_location", "month"]
+    for part, quantity in ((F.dayofmonth("inventory_date") <= 20, F.col("available_quantity")),
+                           (F.dayofmonth("inventory_date") >= 15, (F.col("available_quantity") + 1).cast("decimal(10,2)"))):
+        batch = inv.where(part).select("inventory_id", *key, quantity.alias("available_quantity"))
+        writes.merge_partitions(spark, path, batch, key, ["month"], ["available_quantity"], order_col="inventory_id")
+    # the partition column comes back with an inferred type
+    return spark.read.parquet(path).select("inventory_id", *key[:3], F.date_format("inventory_date", "yyyy-MM").alias("month"), "available_quantity")
+
+
+def customers_loaded_once(w: Warehouse) -> DataFrame:
+    """The first load fills the empty table, the second (another batch) finds it filled and writes nothing."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    customers = w.stg_customers.select("customer_id", "customer_name", "is_active")
+    spark = customers.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/greenlane-load-{uuid.uuid4().hex}"
+    writes.load_if_empty(customers.limit(0), customers.where("is_active"), path)
+    writes.load_if_empty(spark.read.parquet(path), customers, path)
+    return spark.read.parquet(path)
+
+
+def catalog_suppliers(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """U8 on a catalog that names its suppliers by the numbered form of their id."""
+    name = F.concat(F.lit("Supplier#"), F.lpad(F.col("supplier_id").cast("string"), 9, "0"))
+    catalog = w.stg_products.where(F.col("supplier_id").isNotNull()).select("product_id", "product_name", name.alias("supplier_name"))
+    return writes.resolve_suppliers(catalog, w.stg_suppliers)
+
+
+def corrected_headers(w: Warehouse) -> Warehouse:
+    """The warehouse with headers of every fifth order taken from its lines, so that they reconcile."""
+    per_order = w.order_facts.groupBy("order_id").agg(F.sum("line_count").alias("_n"), F.sum("line_requested_value").alias("_v"))
+    orders = w.src.orders_cleaned.join(per_order, "order_id", "left")
+    fix = (F.col("order_id") % 5 == 0) & F.col("_n").isNotNull()
+    for column, value, kind in (("total_items", "_n", "int"), ("total_value", "_v", "decimal(10,2)")):
+        orders = orders.withColumn(column, F.when(fix, F.col(value).cast(kind)).otherwise(F.col(column)))
+    return Warehouse(w.src.with_table("orders_cleaned", orders.drop("_n", "_v")))
+
+
+def overconfirmed_lines(w: Warehouse) -> DataFrame:
+    """D7 on lines of which every 50th order's are confirmed above the request."""
+    more = F.when((F.col("order_id") % 50 == 0), F.col("requested_quantity") + 1).otherwise(F.col("confirmed_quantity"))
+    items = w.src.order_items.withColumn("confirmed_quantity", more.cast("decimal(10,2)"))
+    return dq.confirmed_not_above_requested(Warehouse(w.src.with_table("order_items", items)).fct_order_items)
+
+
+def customer_order_history(w: Warehouse, distributed: bool = False) -> DataFrame:
     """Each customer's orders, newest first, numbered (hot customers are range-split)."""
     o = w.stg_orders.select("customer_id", "order_id", "order_date", "order_status", "total_value")
     base, n = _materialize(o)
-    scanned = ordered_scan(base, n, ["customer_id"], [F.col("order_date").desc(), F.col("order_id").desc()], {})
+    scanned = ordered_scan(base, n, ["customer_id"], [F.col("order_date").desc(), F.col("order_id").desc()], {},
+                           force_distributed=distributed)
     return scanned.withColumn("order_seq", (F.col("_pos") + 1).cast("bigint")).drop("_pos")
 
 
-def stock_allocation(w: Warehouse) -> DataFrame:
+def stock_allocation(w: Warehouse, strategy: str = "auto") -> DataFrame:
     lines = w.fct_order_items.select("order_item_id", "order_id", "product_id", "order_date", "requested_quantity")
-    return allocate_stock(lines, w.stg_inventory)
-
-
-def order_text_lines(w: Warehouse) -> DataFrame:
-    return extract_order_lines(w.stg_incoming_orders_raw, w.stg_products)
-
-
-def order_text_review(w: Warehouse) -> DataFrame:
-    raw = w.stg_incoming_orders_raw
-    return messages_needing_review(raw, extract_order_lines(raw, w.stg_products))
+    return allocate_stock(lines, w.stg_inventory, strategy)
 
 
 # Fixed split point of the incremental example: rows updated before it form the initial load.
@@ -123,10 +171,21 @@ EXTRA_QUERIES = {
     "status_breakdown_deliveries": lambda w: writes.status_breakdown(w.stg_deliveries, "delivery_status"),
     "driver_assignment_counts": lambda w: writes.driver_assignment_counts(w.stg_deliveries, w.stg_workers),
     "customer_order_history": customer_order_history,
+    "merged_inventory_months": inventory_merged_months,
+    "customers_loaded_once": customers_loaded_once,
+    "resolved_catalog_suppliers": lambda w: catalog_suppliers(w)[0],
+    "unresolved_catalog_suppliers": lambda w: catalog_suppliers(w)[1],
+    # branches that the plain test tables never take
+    "fct_orders_corrected_headers": lambda w: corrected_headers(w).fct_orders,
+    "dq_overconfirmed_lines": overconfirmed_lines,
+    # the range-partitioned ranking path, whatever the frame's size
+    "kpi_customer_revenue_distributed": lambda w: kpi.kpi_customer_revenue(w, strategy="distributed"),
+    "kpi_product_demand_distributed": lambda w: kpi.kpi_product_demand(w, strategy="distributed"),
+    "kpi_driver_productivity_distributed": lambda w: kpi.kpi_driver_productivity(w, strategy="distributed"),
+    "customer_order_history_distributed": lambda w: customer_order_history(w, distributed=True),
+    "x3_stock_allocation_distributed": lambda w: stock_allocation(w, "distributed"),
     # extensions
     "x3_stock_allocation": stock_allocation,
-    "x4_order_text_lines": order_text_lines,
-    "x4_messages_needing_review": order_text_review,
     "x5_prep_list": extras.prep_list,
     "x6_labor_by_worker_week": extras.labor_by_worker_week,
     "x6_labor_by_order": extras.labor_by_order,

@@ -18,12 +18,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Broadcast joins only on measured sizes: the static estimate of a Parquet scan is
-        # its compressed file size, which is no bound on the hashed relation (a 10 MB fact
-        # file holds far more in memory). AQE measures each side's shuffle output at run
-        # time and broadcasts it only below the adaptive threshold, else keeps the shuffle join.
-        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
-        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", os.environ.get("GREENLANE_BROADCAST_BYTES", "10MB"))
         .config("spark.sql.session.timeZone", "UTC")
         # remove reliable checkpoint files once their DataFrames are garbage collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -55,6 +49,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running ranking jobs")
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running jobs that cut lineage")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="greenlane-ckpt-"))
     return sc.getCheckpointDir()
