@@ -133,38 +133,15 @@ SELECT l_orderkey * 100 + l_linenumber AS shift_id, l_suppkey AS worker_id, CAST
 FROM lineitem""",
 }
 
-_ITEM_ORDER = "ORDER BY l.l_linenumber, l.qty, l.product"
-NL = "chr(10)"
-ADAPTERS["raw_hdr"] = """
+ADAPTERS["raw_incoming_orders"] = """
 SELECT o.o_orderkey AS raw_order_id,
   CASE WHEN o.o_orderkey % 29 = 0 THEN NULL WHEN o.o_orderkey % 17 = 0 THEN c.c_name || ' ' ELSE c.c_name END AS customer_name_raw,
-  coalesce(c.c_name, 'unknown') AS cust,
+  o.o_orderpriority AS order_text,
   o.o_orderdate + to_hours(CAST(o.o_orderkey % 12 + 6 AS BIGINT)) AS received_timestamp,
   CASE WHEN o.o_orderkey % 37 = 0 THEN 'SMS' ELSE CASE o.o_orderkey % 5 WHEN 0 THEN 'text' WHEN 1 THEN 'Email'
     WHEN 2 THEN 'spreadsheet' WHEN 3 THEN 'phone' ELSE 'in_person' END END AS source_channel,
   CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE 'intake desk' END AS entered_by
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
-ADAPTERS["raw_lines"] = """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS qty, p_name AS product
-FROM lineitem JOIN part ON l_partkey = p_partkey"""
-ADAPTERS["raw_items"] = f"""
-SELECT h.raw_order_id,
-  string_agg(CAST(l.qty AS VARCHAR) || 'lb ' || l.product, ', ' {_ITEM_ORDER}) AS i_text,
-  string_agg('- ' || l.product || ': ' || CAST(l.qty AS VARCHAR) || ' lbs', {NL} {_ITEM_ORDER}) AS i_email,
-  string_agg(h.cust || ',' || l.product || ',' || CAST(l.qty AS VARCHAR) || ',lbs', {NL} {_ITEM_ORDER}) AS i_sheet,
-  string_agg('* ' || CAST(l.qty AS VARCHAR) || ' lb ' || l.product, {NL} {_ITEM_ORDER}) AS i_phone,
-  string_agg(CAST(l.qty AS VARCHAR) || 'lb ' || l.product, '; ' {_ITEM_ORDER}) AS i_walk
-FROM raw_hdr h JOIN raw_lines l ON h.raw_order_id = l.l_orderkey GROUP BY 1"""
-ADAPTERS["raw_incoming_orders"] = f"""
-SELECT h.raw_order_id, h.customer_name_raw,
-  CASE lower(trim(h.source_channel))
-    WHEN 'email' THEN 'Please deliver the following to ' || h.cust || ':' || {NL} || {NL} || coalesce(i.i_email, '')
-      || {NL} || {NL} || 'Thanks,' || {NL} || h.cust || ' Purchasing'
-    WHEN 'spreadsheet' THEN coalesce(i.i_sheet, '')
-    WHEN 'phone' THEN 'Phone order from ' || h.cust || ':' || {NL} || coalesce(i.i_phone, '')
-    WHEN 'in_person' THEN 'Walk-in: ' || h.cust || ' - ' || coalesce(i.i_walk, '')
-    ELSE 'need ' || coalesce(i.i_text, '') || ' asap' END AS order_text,
-  h.received_timestamp, h.source_channel, h.entered_by
-FROM raw_hdr h LEFT JOIN raw_items i ON h.raw_order_id = i.raw_order_id"""
 
 STAGING = {
     "stg_incoming_orders_raw": """SELECT raw_order_id, customer_name_raw, order_text, received_timestamp AS received_at,
@@ -195,34 +172,30 @@ ON_TIME = ("CASE WHEN delivery_status = 'delivered' AND CAST(delivered_at AS DAT
            "THEN 1 ELSE 0 END")
 
 CORE = {
+    # a line counts where its product, its order and the order's customer exist; undecided means 0
     "fct_order_items": """
-SELECT i.order_item_id, i.order_id, o.order_date, CAST(date_trunc('week', o.order_date) AS DATE) AS order_week,
-  o.order_status, o.customer_id, c.customer_name, c.market_type, i.product_id, p.product_name, p.category, p.source_type,
-  i.item_status, i.requested_quantity, coalesce(i.confirmed_quantity, 0) AS confirmed_quantity,
-  i.requested_quantity - coalesce(i.confirmed_quantity, 0) AS shortage_quantity, i.unit_price,
-  coalesce(i.confirmed_quantity, 0) * i.unit_price AS confirmed_revenue, i.requested_quantity * i.unit_price AS requested_value
-FROM stg_order_items i JOIN stg_orders o ON i.order_id = o.order_id
-JOIN stg_customers c ON o.customer_id = c.customer_id JOIN stg_products p ON i.product_id = p.product_id""",
+SELECT order_item_id, order_id, order_date, order_date - CAST(isodow(order_date) - 1 AS INTEGER) AS order_week, order_status,
+  customer_id, customer_name, market_type, product_id, product_name, category, source_type, item_status, requested_quantity,
+  kept AS confirmed_quantity, requested_quantity - kept AS shortage_quantity, unit_price,
+  unit_price * kept AS confirmed_revenue, unit_price * requested_quantity AS requested_value
+FROM (SELECT *, if(confirmed_quantity IS NULL, 0, confirmed_quantity) AS kept FROM stg_order_items)
+JOIN (SELECT product_id, product_name, category, source_type FROM stg_products) USING (product_id)
+JOIN (SELECT order_id, order_date, order_status, customer_id, customer_name, market_type
+  FROM stg_orders JOIN stg_customers USING (customer_id)) USING (order_id)""",
     "fct_deliveries": f"""
 SELECT d.delivery_id, d.order_id, CAST(d.scheduled_at AS DATE) AS scheduled_date, d.scheduled_at, d.delivered_at,
   d.delivery_status, d.driver_worker_id, w.worker_name AS driver_name, w.worker_role AS driver_role, {ON_TIME} AS is_on_time
 FROM stg_deliveries d LEFT JOIN stg_workers w ON d.driver_worker_id = w.worker_id""",
-    "line_totals": """
-SELECT order_id, count(*) AS line_count, sum(requested_value) AS line_requested_value,
-  sum(confirmed_revenue) AS line_confirmed_revenue, sum(requested_quantity) AS line_requested_quantity,
-  sum(confirmed_quantity) AS line_confirmed_quantity
-FROM fct_order_items GROUP BY order_id""",
+    # the first test that a header fails names its status
     "fct_orders": f"""
-SELECT o.order_id, o.raw_order_id, o.customer_id, o.order_date, o.requested_delivery_date, o.order_status, o.cleaning_status,
-  o.total_items AS header_total_items, o.total_value AS header_total_value, coalesce(l.line_count, 0) AS line_count,
-  coalesce(l.line_requested_value, 0) AS line_requested_value, coalesce(l.line_confirmed_revenue, 0) AS confirmed_revenue,
-  {pct('l.line_confirmed_quantity', 'l.line_requested_quantity')} AS fill_rate_pct,
-  o.total_value - coalesce(l.line_requested_value, 0) AS header_value_variance,
-  CASE WHEN o.total_items IS NULL THEN 'no_header_total'
-    WHEN o.total_items <> coalesce(l.line_count, 0) THEN 'item_count_mismatch'
-    WHEN abs(o.total_value - coalesce(l.line_requested_value, 0)) > 0.01 THEN 'value_mismatch'
-    ELSE 'reconciled' END AS reconciliation_status
-FROM stg_orders o LEFT JOIN line_totals l ON o.order_id = l.order_id""",
+SELECT order_id, raw_order_id, customer_id, order_date, requested_delivery_date, order_status, cleaning_status,
+  total_items AS header_total_items, total_value AS header_total_value, n AS line_count, rv AS line_requested_value,
+  cr AS confirmed_revenue, {pct('cq', 'rq')} AS fill_rate_pct, total_value - rv AS header_value_variance,
+  coalesce(if(total_items IS NULL, 'no_header_total', NULL), if(total_items <> n, 'item_count_mismatch', NULL),
+    if(abs(total_value - rv) > 0.01, 'value_mismatch', NULL), 'reconciled') AS reconciliation_status
+FROM (SELECT o.*, count(f.order_id) AS n, coalesce(sum(f.requested_value), 0) AS rv, coalesce(sum(f.confirmed_revenue), 0) AS cr,
+    sum(f.confirmed_quantity) AS cq, sum(f.requested_quantity) AS rq
+  FROM stg_orders o LEFT JOIN fct_order_items f ON f.order_id = o.order_id GROUP BY ALL)""",
     "fct_worker_shifts": """
 SELECT s.shift_id, s.worker_id, w.worker_name, w.worker_role, s.shift_date, s.task_type, s.hours_worked, s.hourly_rate,
   s.hours_worked * s.hourly_rate AS labor_cost, s.related_order_id
@@ -235,10 +208,9 @@ FROM stg_products p LEFT JOIN stg_suppliers s ON p.supplier_id = s.supplier_id""
 
 CORE["dim_workers"] = "SELECT worker_id, worker_name, worker_role, hire_date, is_active FROM stg_workers"
 CORE["dim_customers"] = """SELECT c.customer_id, c.customer_name, c.market_type, c.region, c.signup_date, c.is_active,
-  coalesce(co.n, 0) AS lifetime_orders, coalesce(co.rev, 0) AS lifetime_revenue, co.first_order_date, co.last_order_date
-FROM stg_customers c LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(confirmed_revenue) AS rev,
-  min(order_date) AS first_order_date, max(order_date) AS last_order_date FROM fct_order_items GROUP BY 1) co
-  ON c.customer_id = co.customer_id"""
+  count(DISTINCT f.order_id) AS lifetime_orders, coalesce(sum(f.confirmed_revenue), 0) AS lifetime_revenue,
+  min(f.order_date) AS first_order_date, max(f.order_date) AS last_order_date
+FROM stg_customers c LEFT JOIN fct_order_items f ON f.customer_id = c.customer_id GROUP BY ALL"""
 
 CTES = {**ADAPTERS, **STAGING, **CORE}
 
@@ -394,7 +366,7 @@ FROM stg_order_items i JOIN stg_products p ON i.product_id = p.product_id GROUP
     "q13_inventory_trend": query(
         f"""SELECT CAST(date_trunc('week', i.inventory_date) AS DATE) AS week_start, p.category,
   {dbl('sum(i.available_quantity)')} AS total_on_hand,
-  {rdiv(u('sum(i.available_quantity)'), 'CAST(count(i.available_quantity) AS HUGEINT) * 10000', 6)} AS avg_per_snapshot
+  CAST(sum(i.available_quantity) AS DOUBLE) / nullif(count(i.available_quantity), 0) AS avg_per_snapshot
 FROM stg_inventory i JOIN stg_products p ON i.product_id = p.product_id GROUP BY 1, 2"""),
 }
 

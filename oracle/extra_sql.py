@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from greenlane.operators import quality as dq
-
+from . import checks
 from .duckdb_sql import ON_TIME, dbl, pct, query
 
 SINGULAR = {
@@ -34,43 +33,39 @@ def _source(model: str) -> str:
     return model
 
 
-def violations_sql(c: dq.Check) -> str:
-    m = _source(c.model)
-    if c.kind == "not_null":
-        return f"SELECT * FROM {m} WHERE {c.column} IS NULL"
-    if c.kind == "accepted_values":
-        return f"SELECT * FROM {m} WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({', '.join(map(_lit, c.values))})"
-    if c.kind == "expression":
-        return f"SELECT * FROM {m} WHERE NOT ({c.expr})"
-    if c.kind == "unique":
-        return (f"SELECT {c.column}, count(*) AS n_records FROM {m} WHERE {c.column} IS NOT NULL "
-                f"GROUP BY 1 HAVING count(*) > 1")
-    if c.kind == "unique_combination":
-        cols = ", ".join(c.columns)
+def violations_sql(model: str, kind: str, arg) -> str:
+    m = _source(model)
+    if kind == "not_null":
+        return f"SELECT * FROM {m} WHERE {arg} IS NULL"
+    if kind == "accepted_values":
+        return f"SELECT * FROM {m} WHERE {arg[0]} IS NOT NULL AND {arg[0]} NOT IN ({', '.join(map(_lit, arg[1:]))})"
+    if kind == "expression":
+        return f"SELECT * FROM {m} WHERE NOT ({arg})"
+    if kind == "unique":
+        return f"SELECT {arg}, count(*) AS n_records FROM {m} WHERE {arg} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+    if kind == "unique_combination":
+        cols = ", ".join(arg)
         return f"SELECT {cols}, count(*) AS row_count FROM {m} GROUP BY {cols} HAVING count(*) > 1"
-    if c.kind == "relationships":
-        pm, pc = c.to
-        return (f"SELECT ch.{c.column} FROM {m} ch WHERE ch.{c.column} IS NOT NULL "
-                f"AND NOT EXISTS (SELECT 1 FROM {pm} p WHERE p.{pc} = ch.{c.column})")
-    if c.kind == "singular":
-        return SINGULAR[c.label]
-    raise ValueError(c.kind)
+    if kind == "relationships":
+        column, pm, pc = arg
+        return (f"SELECT ch.{column} FROM {m} ch WHERE ch.{column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {pm} p WHERE p.{pc} = ch.{column})")
+    if kind == "singular":
+        return SINGULAR[arg]
+    raise ValueError(kind)
 
 
-def summary_sql(checks: list[dq.Check]) -> str:
+def summary_sql(declared: list[tuple]) -> str:
     parts = []
-    for c in checks:
+    for name, model, kind, arg, severity in declared:
         parts.append(
-            f"SELECT '{c.name}' AS check_name, '{c.model}' AS model, '{c.kind}' AS kind, '{c.severity}' AS severity, v AS violations, "
-            f"CASE WHEN v = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' ELSE 'fail' END AS status "
-            f"FROM (SELECT CAST(count(*) AS BIGINT) AS v FROM ({violations_sql(c)}))")
+            f"SELECT '{name}' AS check_name, '{model}' AS model, '{kind}' AS kind, '{severity}' AS severity, v AS violations, "
+            f"CASE WHEN v = 0 THEN 'pass' WHEN '{severity}' = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+            f"FROM (SELECT CAST(count(*) AS BIGINT) AS v FROM ({violations_sql(model, kind, arg)}))")
     return query("\nUNION ALL\n".join(parts))
 
 
-def _check(label: str) -> dq.Check:
-    return next(c for c in dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS if c.name == label)
-
-
+SOURCE_CHANNELS = ("text", "email", "phone", "spreadsheet", "in_person", "other")
 INV_KEY = "product_id, inventory_date, warehouse_location"
 UPSERT_CTES = dict(
     inv="SELECT *, CAST(inventory_date AS TIMESTAMP) AS updated_at FROM stg_inventory",
@@ -80,7 +75,7 @@ UPSERT_CTES = dict(
       f"WHERE day(inventory_date) >= 15 QUALIFY row_number() OVER (PARTITION BY {INV_KEY} ORDER BY inventory_id DESC) = 1",
     merged="""SELECT coalesce(t.product_id, b.product_id) AS product_id, coalesce(t.inventory_date, b.inventory_date) AS inventory_date,
   coalesce(t.warehouse_location, b.warehouse_location) AS warehouse_location,
-  CASE WHEN b.product_id IS NOT NULL THEN b.inventory_id ELSE t.inventory_id END AS inventory_id,
+  coalesce(t.inventory_id, b.inventory_id) AS inventory_id,
   CASE WHEN b.product_id IS NOT NULL THEN b.available_quantity ELSE t.available_quantity END AS available_quantity,
   CASE WHEN b.product_id IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE t.updated_at END AS updated_at,
   CASE WHEN b.product_id IS NOT NULL AND t.product_id IS NOT NULL THEN 'updated' WHEN b.product_id IS NOT NULL THEN 'inserted'
@@ -90,14 +85,13 @@ FROM t FULL OUTER JOIN b ON t.product_id = b.product_id AND t.inventory_date = b
 )
 
 ALLOC_CTES = dict(
-    stock="""SELECT product_id, stock FROM (SELECT product_id, inventory_date, sum(available_quantity) AS stock,
-  row_number() OVER (PARTITION BY product_id ORDER BY inventory_date DESC) AS r FROM stg_inventory GROUP BY 1, 2) WHERE r = 1""",
+    stock="SELECT product_id, inventory_date AS order_date, sum(available_quantity) AS stock FROM stg_inventory GROUP BY 1, 2",
     sc="""SELECT product_id, order_date, order_id, order_item_id, requested_quantity,
-  sum(requested_quantity) OVER (PARTITION BY product_id ORDER BY order_date, order_id, order_item_id, requested_quantity
+  sum(requested_quantity) OVER (PARTITION BY product_id, order_date ORDER BY order_id, order_item_id, requested_quantity
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS thru FROM fct_order_items""",
     al="""SELECT sc.*, coalesce(s.stock, 0) AS stk,
   least(greatest(coalesce(s.stock, 0) - (thru - requested_quantity), 0), requested_quantity) AS alloc
-FROM sc LEFT JOIN stock s ON sc.product_id = s.product_id""",
+FROM sc LEFT JOIN stock s USING (product_id, order_date)""",
 )
 
 from .duckdb_sql import KPI  # noqa: E402
@@ -110,9 +104,9 @@ EXTRA = {
     "x2_streaming_daily_on_time": query(
         f"SELECT CAST(scheduled_at AS DATE) AS delivery_date, CAST(count(*) AS BIGINT) AS deliveries, "
         f"CAST(sum({ON_TIME}) AS BIGINT) AS on_time_deliveries FROM stg_deliveries GROUP BY 1"),
-    "dq_staging_summary": summary_sql(dq.STAGING_CHECKS),
-    "dq_core_summary": summary_sql(dq.CORE_CHECKS),
-    "dq_kpi_summary": summary_sql(dq.KPI_CHECKS),
+    "dq_staging_summary": summary_sql(checks.STAGING_CHECKS),
+    "dq_core_summary": summary_sql(checks.CORE_CHECKS),
+    "dq_kpi_summary": summary_sql(checks.KPI_CHECKS),
     "dq_confirmed_not_above_requested": query(
         f"SELECT order_item_id, {dbl('requested_quantity')} AS requested_quantity, {dbl('confirmed_quantity')} AS confirmed_quantity "
         f"FROM ({SINGULAR['assert_confirmed_not_above_requested']})"),
@@ -122,11 +116,11 @@ EXTRA = {
         f"{dbl('header_value_variance')} AS header_value_variance FROM ({SINGULAR['warn_order_header_mismatch']})"),
     "dq_revenue_ties_out": query(
         f"SELECT {dbl('by_market')} AS by_market, {dbl('overview')} AS overview FROM ({SINGULAR['assert_kpi_revenue_ties_out']})"),
-    "dq_duplicate_order_lines": query(violations_sql(_check("unique_combination__stg_order_items__order_id_product_id"))),
-    "dq_orphan_product_suppliers": query(violations_sql(_check("relationships__stg_products__supplier_id__stg_suppliers"))),
+    "dq_duplicate_order_lines": query(violations_sql("stg_order_items", "unique_combination", ("order_id", "product_id"))),
+    "dq_orphan_product_suppliers": query(violations_sql("stg_products", "relationships", ("supplier_id", "stg_suppliers", "supplier_id"))),
     "dq_invalid_source_channel": query(
         f"SELECT raw_order_id, source_channel FROM stg_incoming_orders_raw WHERE source_channel IS NOT NULL AND source_channel "
-        f"NOT IN ({', '.join(_lit(v) for v in dq.SOURCE_CHANNELS)})"),
+        f"NOT IN ({', '.join(_lit(v) for v in SOURCE_CHANNELS)})"),
     "dq_shift_hours_out_of_range": query(
         f"SELECT shift_id, worker_id, {dbl('hours_worked')} AS hours_worked FROM stg_worker_shifts "
         f"WHERE NOT (hours_worked > 0 AND hours_worked <= 24)"),
@@ -173,16 +167,6 @@ EXTRA = {
   {dbl('stk')} AS stock, {dbl('alloc')} AS allocated_quantity,
   CASE WHEN alloc = requested_quantity THEN 'full' WHEN alloc > 0 THEN 'partial' ELSE 'short' END AS allocation_status FROM al""",
         **ALLOC_CTES),
-    "x4_order_text_lines": query(
-        """SELECT l.l_orderkey AS raw_order_id,
-  CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.qty, l.product) AS BIGINT) AS item_no,
-  CAST(l.qty AS BIGINT) AS quantity, l.product AS product_mention, cat.product_id,
-  CASE WHEN cat.product_id IS NULL THEN 'unknown_product' ELSE 'parsed' END AS parse_status
-FROM raw_lines l LEFT JOIN (SELECT lower(trim(product_name)) AS name, min(product_id) AS product_id FROM stg_products GROUP BY 1) cat
-  ON lower(trim(l.product)) = cat.name"""),
-    "x4_messages_needing_review": query(
-        "SELECT r.raw_order_id, r.source_channel, CAST(0 AS BIGINT) AS lines, CAST(0 AS BIGINT) AS unknown_products "
-        "FROM stg_incoming_orders_raw r WHERE NOT EXISTS (SELECT 1 FROM raw_lines l WHERE l.l_orderkey = r.raw_order_id)"),
     "x5_prep_list": query(
         f"SELECT order_item_id, order_id, product_id, product_name, {dbl('confirmed_quantity')} AS quantity_to_prepare, "
         "'pending' AS prep_status, order_date AS prep_date FROM fct_order_items WHERE confirmed_quantity > 0"),
@@ -208,4 +192,28 @@ FROM (SELECT CAST(dayofweek(scheduled_date) + 1 AS BIGINT) AS weekday, CAST(hour
     "x8_orders_missing_items": query(
         "SELECT order_id, customer_id, order_date, cleaning_status, CAST(header_total_items AS BIGINT) AS header_total_items "
         "FROM fct_orders WHERE line_count = 0"),
+    "merged_inventory_months": query(
+        f"SELECT inventory_id, product_id, inventory_date, warehouse_location, strftime(inventory_date, '%Y-%m') AS month, "
+        f"{dbl('available_quantity')} AS available_quantity FROM merged", **UPSERT_CTES),
+    "customers_loaded_once": query("SELECT customer_id, customer_name, is_active FROM stg_customers WHERE is_active"),
+    "resolved_catalog_suppliers": query(
+        "SELECT p.product_id, p.product_name, s.supplier_name, s.supplier_id FROM stg_products p JOIN stg_suppliers s ON s.supplier_id = p.supplier_id"),
+    "unresolved_catalog_suppliers": query(
+        "SELECT product_id, product_name, 'Supplier#' || lpad(CAST(supplier_id AS VARCHAR), 9, '0') AS supplier_name FROM stg_products "
+        "WHERE supplier_id IS NOT NULL AND supplier_id NOT IN (SELECT supplier_id FROM stg_suppliers)"),
+    "dq_overconfirmed_lines": query(
+        f"SELECT order_item_id, {dbl('requested_quantity')} AS requested_quantity, {dbl('requested_quantity + 1')} AS confirmed_quantity "
+        "FROM fct_order_items WHERE order_id % 50 = 0"),
+    "fct_orders_corrected_headers": query(
+        f"""SELECT order_id, raw_order_id, customer_id, order_date, requested_delivery_date, order_status, cleaning_status,
+  CAST(if(fix, line_count, header_total_items) AS BIGINT) AS header_total_items,
+  {dbl('if(fix, line_requested_value, header_total_value)')} AS header_total_value, line_count,
+  {dbl('line_requested_value')} AS line_requested_value, {dbl('confirmed_revenue')} AS confirmed_revenue, fill_rate_pct,
+  {dbl('if(fix, 0, header_value_variance)')} AS header_value_variance, if(fix, 'reconciled', reconciliation_status) AS reconciliation_status
+FROM (SELECT *, order_id % 5 = 0 AND line_count > 0 AS fix FROM fct_orders)"""),
 }
+for _same in ("kpi_customer_revenue", "kpi_product_demand", "kpi_driver_productivity"):
+    EXTRA[f"{_same}_distributed"] = KPI[_same]
+for _same in ("customer_order_history", "x3_stock_allocation"):
+    EXTRA[f"{_same}_distributed"] = EXTRA[_same]
+

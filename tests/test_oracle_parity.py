@@ -7,7 +7,9 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.check_oracle import VIEWS, digest
 
-KEYS = sorted(E.queries())
+#: The training-data subpackage, where it is installed, brings its own tests.
+OTHERS = set(E._training_data()[0])
+KEYS = sorted(set(E.queries()) - OTHERS)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(KEYS)
+    assert set(E.oracle_sql()) - OTHERS == set(KEYS)
 
 
 @pytest.mark.parametrize("key", KEYS)
