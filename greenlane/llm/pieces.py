@@ -65,6 +65,7 @@ class Vocabulary:
                 if len(text) == 1:
                     self.single.add(text)
         self.longest = max(map(len, self.found))
+        self.byte_ids = np.array(self.byte_id)
         #: by length: sorted hashes of the pieces' prefixes, the piece that a prefix is (else -1), its weight
         self.prefixes = []
         for length in range(1, self.longest + 1):
@@ -122,20 +123,24 @@ class Vocabulary:
                 arcs.append((live[~piece], np.ones((~piece).sum(), np.int64), -code[live[~piece]].astype(np.int64), np.ones((~piece).sum())))
             live, hashed = live[known], hashed[known]
         place, length, piece, weight = (np.concatenate([a[k] for a in arcs]) for k in range(4))
-        start, end, unit = at[place], at[place] + length, owner[place]
-
-        # nodes end by end; within an end, arcs stand by unit and start
-        order = np.lexsort((start, unit, end))
-        first = np.searchsorted(end[order], np.arange(1, LONG_UNIT + 2))
+        # by unit, end, start; then, kept in that order, end by end
+        order = np.argsort((place + length) * 64 - length)
+        place, length, piece, weight = (x[order] for x in (place, length, piece, weight))
+        start, unit = at[place], owner[place]
+        end = start + length
+        by_end = np.argsort(end.astype(np.uint8), kind="stable")
+        first = np.searchsorted(end[by_end], np.arange(1, LONG_UNIT + 2))
         node_at = np.cumsum(size + 1) - size - 1
+        origin = node_at[unit]
+        source, into_node = origin + start, origin + end
         node, sums = np.zeros(len(code) + len(units)), np.empty(len(order))
         node[node_at] = 1.0
         for a, b in zip(first, first[1:], strict=False):
             if a < b:
-                now = order[a:b]
-                into = node_at[unit[now]] + end[now]
+                now = by_end[a:b]
+                into = into_node[now]
                 heads = np.flatnonzero(np.diff(into, prepend=-1))
-                run = node[node_at[unit[now]] + start[now]] * weight[now]
+                run = node[source[now]] * weight[now]
                 lengths = np.diff(heads, append=len(now))
                 rank = np.arange(len(now)) - np.repeat(heads, lengths)
                 for r in range(1, int(lengths.max())):  # added in order, so the sums don't depend on the batch
@@ -143,10 +148,9 @@ class Vocabulary:
                     run[later] += run[later - 1]
                 node[into[heads]] = run[heads + lengths - 1]
                 sums[now] = run
-        counts = np.bincount(node_at[unit] + end, minlength=len(node)).astype(np.int32)
-        by_unit = np.lexsort((start, end, unit))
-        arrays = [counts, sums[by_unit], start[by_unit].astype(np.int32), piece[by_unit].astype(np.int32)]
-        arc_at = np.searchsorted(unit[by_unit], np.arange(len(units) + 1)).tolist()
+        counts = np.bincount(into_node, minlength=len(node)).astype(np.int32)
+        arrays = [counts, sums, start.astype(np.int32), piece.astype(np.int32)]
+        arc_at = np.searchsorted(unit, np.arange(len(units) + 1)).tolist()
         packed, out = [x.tobytes() for x in arrays], []
         for k, n, a, b in zip(node_at.tolist(), size.tolist(), arc_at, arc_at[1:], strict=False):
             out.append((packed[0][4 * k + 4:4 * (k + n + 1)], packed[1][8 * a:8 * b], packed[2][4 * a:4 * b], packed[3][4 * a:4 * b]))
@@ -167,18 +171,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def sample(texts: list[str | None], keys: list, path: str = MODEL, seed: int = SEED) -> list[list[int] | None]:
+def sample(texts: list[str | None], keys: list, path: str = MODEL, seed: int = SEED) -> list[np.ndarray | None]:
     """Piece ids of each text, drawn from its lattice."""
     vocab, kept = vocabulary(path), _kept.setdefault(path, {})
-    units = [UNIT.findall(t) if t else [] for t in texts]
-    n_units = np.array([len(u) for u in units], np.int64)
-    total = int(n_units.sum())
+    units, n_units = [], np.empty(len(texts), np.int64)
+    for k, t in enumerate(texts):
+        before = len(units)
+        units += UNIT.findall(t) if t else ()
+        n_units[k] = len(units) - before
+    total = len(units)
     if not total:
-        return [None if t is None else [] for t in texts]
+        return [None if t is None else np.empty(0, np.int32) for t in texts]
 
     # distinct units of the batch, their lattices laid end to end
-    place: dict[str, int] = {}
-    kind = np.fromiter((place.setdefault(u, len(place)) for row in units for u in row), np.int64, total)
+    coded = pa.array(units, pa.large_string()).dictionary_encode()
+    kind, place = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
     new = [u for u in place if u not in kept]
     short = [u for u in new if len(u) <= LONG_UNIT]
     made = dict(zip(short, vocab.lattices(short), strict=True)) if short else {}
@@ -222,23 +229,22 @@ def sample(texts: list[str | None], keys: list, path: str = MODEL, seed: int = S
     for step, (unit, piece) in enumerate(zip(by_unit, drawn, strict=True)):
         flat[ends[unit] - 1 - step] = piece
     row_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_units)])]
-    out: list[list[int] | None] = []
-    for t, a, b in zip(texts, row_ends, row_ends[1:], strict=False):
-        if t is None:
-            out.append(None)
-            continue
+    below = np.flatnonzero((flat < 0) & (flat > -128))
+    flat[below] = vocab.byte_ids[-flat[below]]
+    out: list[np.ndarray | None] = []
+    for t, a, b in zip(texts, row_ends.tolist(), row_ends[1:].tolist(), strict=False):
         ids = flat[a:b]
-        if len(ids) and ids.min() < 0:
-            ids = [x for i in ids.tolist() for x in ([i] if i >= 0 else [vocab.byte_id[c] for c in chr(-i).encode()])]
-            out.append(ids)
-        else:
-            out.append(ids.tolist())
+        if len(ids) and ids.min() < 0:  # code points of several bytes
+            ids = np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [vocab.byte_id[c] for c in chr(-i).encode()])], np.int32)
+        out.append(None if t is None else ids.astype(np.int32))
     return out
 
 
-def decode(ids: list[int] | None, path: str = MODEL) -> str | None:
+def decode(ids: np.ndarray | list[int] | None, path: str = MODEL) -> str | None:
     """The text of piece ids."""
-    return None if ids is None else b"".join(map(vocabulary(path).bytes.__getitem__, ids)).decode()
+    if ids is None:
+        return None
+    return b"".join(map(vocabulary(path).bytes.__getitem__, ids if isinstance(ids, list) else ids.tolist())).decode()
 
 
 SCHEMA = "doc_id long, ids array<int>, n_pieces long, lossless boolean"
@@ -251,11 +257,14 @@ def encoded(docs: DataFrame, path: str = MODEL, seed: int = SEED, id_col: str =
         texts = batch.column(1).to_pylist()
         ids = sample(texts, batch.column(0).to_pylist(), path, seed)
         same = [decode(i, path) == t for i, t in zip(ids, texts, strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(i or ()) for i in ids], pa.int64()), pa.array(same)],
+        sizes = np.array([0 if i is None else len(i) for i in ids])
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.array([i is None for i in ids] + [False]))
+        flat = np.concatenate([np.empty(0, np.int32), *(i for i in ids if i is not None)])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32())), pa.array(sizes, pa.int64()), pa.array(same)],
                                           names=["doc_id", "ids", "n_pieces", "lossless"])
 
     df = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return map_batches(df, run, SCHEMA, rows=1024, bytes_=2 << 20)
+    return map_batches(df, run, SCHEMA, rows=4096, bytes_=4 << 20)
 
 
 def decoded(rows: DataFrame, path: str = MODEL, ids_col: str = "ids") -> DataFrame:
