@@ -38,7 +38,7 @@ KEPT_UNITS, LONG_UNIT = 200_000, 48
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 PACKED = (np.int32, np.float64, np.int32, np.int32)
 #: Arcs ordered by their end, packed: arcs per node 1.., running sums into a node, starts, pieces. A
-#: piece below zero is the byte fallback of that code point.
+#: piece below zero, -1 - c, is the byte fallback of code point c.
 Lattice = tuple[bytes, bytes, bytes, bytes]
 
 
@@ -90,7 +90,7 @@ class Vocabulary:
             for start in range(end - reach if end > reach else 0, end):
                 piece = find(unit[start:end])
                 if piece is None and start == end - 1:
-                    piece = -ord(unit[start]), 1.0
+                    piece = -1 - ord(unit[start]), 1.0
                 if piece is not None:
                     total += node[start] * piece[1]
                     sums.append(total)
@@ -120,7 +120,7 @@ class Vocabulary:
             piece = known & (ids[place] >= 0)
             arcs.append((live[piece], np.full(piece.sum(), length), ids[place[piece]], weights[place[piece]]))
             if length == 1:
-                arcs.append((live[~piece], np.ones((~piece).sum(), np.int64), -code[live[~piece]].astype(np.int64), np.ones((~piece).sum())))
+                arcs.append((live[~piece], np.ones((~piece).sum(), np.int64), -1 - code[live[~piece]].astype(np.int64), np.ones((~piece).sum())))
             live, hashed = live[known], hashed[known]
         place, length, piece, weight = (np.concatenate([a[k] for a in arcs]) for k in range(4))
         # by unit, end, start; then, kept in that order, end by end
@@ -229,13 +229,13 @@ def sample(texts: list[str | None], keys: list, path: str = MODEL, seed: int = S
     for step, (unit, piece) in enumerate(zip(by_unit, drawn, strict=True)):
         flat[ends[unit] - 1 - step] = piece
     row_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_units)])]
-    below = np.flatnonzero((flat < 0) & (flat > -128))
-    flat[below] = vocab.byte_ids[-flat[below]]
+    below = np.flatnonzero((flat < 0) & (flat >= -128))
+    flat[below] = vocab.byte_ids[-1 - flat[below]]
     out: list[np.ndarray | None] = []
     for t, a, b in zip(texts, row_ends.tolist(), row_ends[1:].tolist(), strict=False):
         ids = flat[a:b]
         if len(ids) and ids.min() < 0:  # code points of several bytes
-            ids = np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [vocab.byte_id[c] for c in chr(-i).encode()])], np.int32)
+            ids = np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [vocab.byte_id[c] for c in chr(-1 - i).encode()])], np.int32)
         out.append(None if t is None else ids.astype(np.int32))
     return out
 
