@@ -76,8 +76,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a verified overlap, with all their columns."""
     bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    bad = written(bad, "decontam-bad")
-    return docs.join(_small(bad), F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    bad = _small(written(bad, "decontam-bad"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

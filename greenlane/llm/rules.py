@@ -175,8 +175,8 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The list is learned from the labelled rows first; it is then an expression over each row's own
     statistics, so texts are not shuffled and repeated or null ids need no join.
     """
-    known = docs.join(labels.select(F.col("doc_id").alias("label_id")).distinct(), F.col("doc_id") == F.col("label_id"), "left_semi")
-    rules = learn(statistics(known), labels)
+    ids = labels.select(F.col("doc_id").alias("label_id")).distinct()
+    rules = learn(statistics(docs.join(ids, docs["doc_id"] == ids["label_id"], "left_semi")), labels)
     return statistics(docs, carry=True).filter(~F.col("base_failed") & verdict(rules)).select("row.*")
 
 
