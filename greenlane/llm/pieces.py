@@ -34,14 +34,50 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS, SEED = 1.0, 20260101
 SPACE = "▁"
 UNIT = re.compile(r" ?[^\s]+| +(?= [^\s])| +|\s")
-KEPT_UNITS, LONG_UNIT = 200_000, 48
-HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
+KEPT_UNITS, LONG_UNIT, MADE_AT_ONCE = 40_000, 48, 8192
+HASH_BASE, SLOT_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+SEEN = 1 << 21
 PACKED = (np.int32, np.float64, np.int32, np.int32)
 #: Arcs ordered by their end, packed: arcs per node 1.., running sums into a node, starts, pieces. A
 #: piece below zero, -1 - c, is the byte fallback of code point c.
 Lattice = tuple[bytes, bytes, bytes, bytes]
 
 
+class HashTable:
+    """Places of 64-bit keys by linear probing, looked up for whole arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys) * 8).bit_length())
+        self.keys, self.place = np.zeros(2**self.bits, np.uint64), np.full(2**self.bits, -1, np.int64)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        self.probes = 0
+        while len(left):  # of the keys that want a free slot, the first gets it
+            slots, first = np.unique(slot[left], return_index=True)
+            free = self.place[slots] < 0
+            taken = left[first[free]]
+            self.keys[slots[free]], self.place[slots[free]] = keys[taken], taken
+            left = np.setdiff1d(left, taken)
+            slot[left] = (slot[left] + 1) % 2**self.bits
+            self.probes += 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * SLOT_BASE) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is not in the table."""
+        slot = self._slot(keys)
+        out = np.where(self.keys[slot] == keys, self.place[slot], -1)
+        missed = np.flatnonzero((out < 0) & (self.place[slot] >= 0))
+        for _ in range(self.probes):
+            if not len(missed):
+                break
+            slot[missed] = (slot[missed] + 1) % 2**self.bits
+            now = slot[missed]
+            out[missed] = np.where(self.keys[now] == keys[missed], self.place[now], -1)
+            missed = missed[(out[missed] < 0) & (self.place[now] >= 0)]
+        return out
+
+
 class Vocabulary:
     """Pieces of a SentencePiece model with their weights."""
 
@@ -66,7 +102,7 @@ class Vocabulary:
                     self.single.add(text)
         self.longest = max(map(len, self.found))
         self.byte_ids = np.array(self.byte_id)
-        #: by length: sorted hashes of the pieces' prefixes, the piece that a prefix is (else -1), its weight
+        #: by length: hashes of the pieces' prefixes, the piece that a prefix is (else -1), its weight
         self.prefixes = []
         for length in range(1, self.longest + 1):
             texts = sorted({p[:length] for p in self.found if len(p) >= length})
@@ -74,9 +110,8 @@ class Vocabulary:
             hashed = np.zeros(len(texts), np.uint64)
             for column in codes.T:
                 hashed = hashed * HASH_BASE + column
-            order = np.argsort(hashed)
-            got = [self.found.get(texts[k], (-1, 0.0)) for k in order]
-            self.prefixes.append((hashed[order], np.array([g[0] for g in got]), np.array([g[1] for g in got])))
+            got = [self.found.get(t, (-1, 0.0)) for t in texts]
+            self.prefixes.append((HashTable(hashed), np.array([g[0] for g in got]), np.array([g[1] for g in got])))
 
     def lattice(self, unit: str) -> Lattice:
         """The lattice of one unit of any length.
@@ -102,8 +137,11 @@ class Vocabulary:
                 node[-reach - 1:] = [x * 1e150 for x in node[-reach - 1:]]
         return tuple(np.array(x, t).tobytes() for x, t in zip((counts, sums, starts, pieces), PACKED, strict=True))
 
-    def lattices(self, units: list[str]) -> list[Lattice]:
-        """The lattices of many units of at most LONG_UNIT characters, forward-filtered side by side."""
+    def lattices(self, units: list[str]) -> tuple[np.ndarray, ...]:
+        """The lattices of many units of at most LONG_UNIT characters, forward-filtered side by side and laid end to end.
+
+        Returned: counts, sums, starts, pieces as in a Lattice, and each unit's first arc.
+        """
         size = np.array([len(u) for u in units], np.int64)
         code = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
         owner = np.repeat(np.arange(len(units)), size)
@@ -111,12 +149,12 @@ class Vocabulary:
         room = size[owner] - at
         live, hashed = np.arange(len(code)), np.zeros(len(code), np.uint64)
         arcs = []
-        for length, (keys, ids, weights) in enumerate(self.prefixes, 1):
+        for length, (table, ids, weights) in enumerate(self.prefixes, 1):
             fits = room[live] >= length
             live = live[fits]
             hashed = hashed[fits] * HASH_BASE + code[live + length - 1]
-            place = np.minimum(np.searchsorted(keys, hashed), len(keys) - 1)
-            known = keys[place] == hashed
+            place = table.find(hashed)
+            known = place >= 0
             piece = known & (ids[place] >= 0)
             arcs.append((live[piece], np.full(piece.sum(), length), ids[place[piece]], weights[place[piece]]))
             if length == 1:
@@ -124,7 +162,7 @@ class Vocabulary:
             live, hashed = live[known], hashed[known]
         place, length, piece, weight = (np.concatenate([a[k] for a in arcs]) for k in range(4))
         # by unit, end, start; then, kept in that order, end by end
-        order = np.argsort((place + length) * 64 - length)
+        order = np.argsort((place + length) * 64 - length, kind="stable")  # merges the runs of the lengths
         place, length, piece, weight = (x[order] for x in (place, length, piece, weight))
         start, unit = at[place], owner[place]
         end = start + length
@@ -148,13 +186,8 @@ class Vocabulary:
                     run[later] += run[later - 1]
                 node[into[heads]] = run[heads + lengths - 1]
                 sums[now] = run
-        counts = np.bincount(into_node, minlength=len(node)).astype(np.int32)
-        arrays = [counts, sums, start.astype(np.int32), piece.astype(np.int32)]
-        arc_at = np.searchsorted(unit, np.arange(len(units) + 1)).tolist()
-        packed, out = [x.tobytes() for x in arrays], []
-        for k, n, a, b in zip(node_at.tolist(), size.tolist(), arc_at, arc_at[1:], strict=False):
-            out.append((packed[0][4 * k + 4:4 * (k + n + 1)], packed[1][8 * a:8 * b], packed[2][4 * a:4 * b], packed[3][4 * a:4 * b]))
-        return out
+        counts = np.delete(np.bincount(into_node, minlength=len(node)), node_at)
+        return counts.astype(np.int32), sums, start.astype(np.int32), piece.astype(np.int32), np.searchsorted(unit, np.arange(len(units) + 1))
 
 
 @lru_cache(2)
@@ -162,7 +195,8 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-_kept: dict[str, dict[str, Lattice]] = {}
+#: By vocabulary: lattices of units, and a mark for the hashes of units that were made once before.
+_kept: dict[str, tuple[dict[str, Lattice], bytearray]] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -173,7 +207,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def sample(texts: list[str | None], keys: list, path: str = MODEL, seed: int = SEED) -> list[np.ndarray | None]:
     """Piece ids of each text, drawn from its lattice."""
-    vocab, kept = vocabulary(path), _kept.setdefault(path, {})
+    vocab, (kept, seen) = vocabulary(path), _kept.setdefault(path, ({}, bytearray(SEEN)))
     units, n_units = [], np.empty(len(texts), np.int64)
     for k, t in enumerate(texts):
         before = len(units)
@@ -186,16 +220,30 @@ def sample(texts: list[str | None], keys: list, path: str = MODEL, seed: int = S
     # distinct units of the batch, their lattices laid end to end
     coded = pa.array(units, pa.large_string()).dictionary_encode()
     kind, place = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    new = [u for u in place if u not in kept]
-    short = [u for u in new if len(u) <= LONG_UNIT]
-    made = dict(zip(short, vocab.lattices(short), strict=True)) if short else {}
-    made.update({u: vocab.lattice(u) for u in new if len(u) > LONG_UNIT})
-    parts = [kept.get(u) or made[u] for u in place]
-    for unit in short[: max(0, KEPT_UNITS - len(kept))]:
-        kept[unit] = made[unit]
-    counts, sums, starts, pieces = (
-        np.frombuffer(b"".join([p[k] for p in parts]), t) for k, t in enumerate(PACKED))
-    nodes = np.array([len(p[0]) for p in parts], np.int64) // 4
+    found = [kept.get(u) for u in place]
+    known = [k for k, x in enumerate(found) if x is not None]
+    short = [k for k, x in enumerate(found) if x is None and len(place[k]) <= LONG_UNIT]
+    long = [k for k, x in enumerate(found) if x is None and len(place[k]) > LONG_UNIT]
+    parts = [found[k] for k in known] + [vocab.lattice(place[k]) for k in long]
+    blocks = [tuple(np.frombuffer(b"".join([p[k] for p in parts]), t) for k, t in enumerate(PACKED))]
+    for a in range(0, len(short), MADE_AT_ONCE):
+        units_now = [place[k] for k in short[a:a + MADE_AT_ONCE]]
+        *block, arc_at = vocab.lattices(units_now)
+        blocks.append(tuple(block))
+        node = 0
+        for unit, b, c in zip(units_now, arc_at.tolist(), arc_at[1:].tolist(), strict=False):
+            if len(kept) < KEPT_UNITS:  # a unit is kept when it is made a second time
+                mark = hash(unit) % SEEN
+                if seen[mark]:
+                    kept[unit] = (block[0][node:node + len(unit)].tobytes(), *(x[b:c].tobytes() for x in block[1:]))
+                seen[mark] = 1
+            node += len(unit)
+    counts, sums, starts, pieces = (np.concatenate([x[k] for x in blocks]) for k in range(4))
+    order = np.array(known + long + short, np.int64)
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    kind = moved[kind]
+    nodes = np.array([len(u) for u in place], np.int64)[order]
     node_at = np.concatenate([[0], np.cumsum(nodes)])  # place of a unit's node 1
     first = np.concatenate([[0], np.cumsum(counts)])  # first arc into each node
     shares = sums / np.repeat(sums[first[1:] - 1], counts)
@@ -264,7 +312,7 @@ def encoded(docs: DataFrame, path: str = MODEL, seed: int = SEED, id_col: str =
                                           names=["doc_id", "ids", "n_pieces", "lossless"])
 
     df = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return map_batches(df, run, SCHEMA, rows=4096, bytes_=4 << 20)
+    return map_batches(df, run, SCHEMA, rows=2048, bytes_=3 << 18)
 
 
 def decoded(rows: DataFrame, path: str = MODEL, ids_col: str = "ids") -> DataFrame:

@@ -63,7 +63,20 @@ def test_segmentations_have_their_exact_probability():
 def test_lattices_side_by_side_equal_single_ones():
     vocab = pieces.vocabulary(pieces.MODEL)
     units = [" the", "éçà", "▁x", "汉字abc", " aaaaaaaaaaaaaaaaaaaa", "\n", "   ", " Tionwh.!!", "z" * 48]
-    assert vocab.lattices(units) == [vocab.lattice(u) for u in units]
+    *arrays, arc_at = vocab.lattices(units)
+    nodes = [0, *(sum(map(len, units[:k + 1])) for k in range(len(units)))]
+    for k, u in enumerate(units):
+        assert vocab.lattice(u) == (arrays[0][nodes[k]:nodes[k + 1]].tobytes(), *(x[arc_at[k]:arc_at[k + 1]].tobytes() for x in arrays[1:]))
+
+
+def test_hash_table_finds_what_it_holds():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))
+    table_ = pieces.HashTable(keys)
+    assert (table_.find(keys) == np.arange(len(keys))).all()
+    assert (table_.find(rng.integers(2**63, 2**64, 5000, dtype=np.uint64)) == -1).all()
 
 
 def test_encoding_takes_empty_tables_and_clashing_columns(make_docs):
