@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,9 +22,31 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a test directory."""
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Send the package to the Python workers (once) where the driver found it by other means than its folder or PYTHONPATH."""
+    import greenlane
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(greenlane.__file__)))
+    known = {os.path.abspath(p) for p in [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]}
+    if root in known or (app := spark.sparkContext.applicationId) in _SHIPPED:
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="greenlane-py-"), "greenlane.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "greenlane")):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder below the session's shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
