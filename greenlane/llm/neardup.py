@@ -9,12 +9,16 @@ whose estimate lies over five standard deviations below the threshold go; the ot
 Links are looked for without listing the pairs of a bucket:
 
 1. each node against the first node (pivot) of each of its buckets; of these, the most similar is confirmed;
-2. components of the confirmed links; then the other pivot pairs that still join two components;
-3. only buckets that still hold several components are searched for pairs across them, with size and
-   sketch tests inside the join; all that pass are confirmed.
+2. components of the confirmed links; then the other pivot pairs that still join two components, and two
+   more pivots, chosen by hash, of each bucket that still holds several;
+3. what still holds several components is searched for pairs across them: members that have a
+   plausible partner by size and sketch (a semi join, so as many rows as members at most) are compared by
+   what sets them apart from their pivot, which is small and gives the exact similarity. The join
+   yields only pairs that reach the threshold; they are confirmed on full sets.
 
 So every pair of a bucket is confirmed, refuted, or already in one component. Components come from
-alternating large-star and small-star steps on written tables.
+pointer doubling (a node's best pivot is smaller than itself, so the first links are a forest), then from
+alternating large-star and small-star steps, on written tables.
 
 Defined cases: null or blank texts have an empty set, no link, and are kept; rows repeated under one
 doc_id have one component; null doc_ids never name a component unless all its rows have none, and such rows are kept;
@@ -37,6 +41,7 @@ from greenlane.llm.common import dropped, map_batches, table, written
 SAMPLES, ROWS = 160, 4
 BANDS = SAMPLES // ROWS
 ODD_BITS, ODD_WORDS, ODD_MARGIN = 512, 8, 0.22
+MORE_PIVOTS = 2
 #: Rows of at most 16 bytes each up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
 _RNG = np.random.default_rng(20260101)
@@ -132,7 +137,7 @@ def components(edges: DataFrame) -> DataFrame:
     now, before = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "cc"), None
     while True:
         seen = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if seen == before:
+        if seen == before or not seen[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b")).distinct()
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -144,6 +149,20 @@ def components(edges: DataFrame) -> DataFrame:
         now, before = after, seen
 
 
+def forest_roots(parents: DataFrame) -> DataFrame:
+    """(node, root) of a forest given as (a, b) with b < a and one b for each a, by pointer doubling."""
+    now = parents.union(parents.select("b", "b").distinct().join(parents.select(F.col("a").alias("b")), "b", "left_anti").select("b", F.col("b").alias("c")))
+    now = written(now.toDF("node", "root"), "cc")
+    while True:
+        step = now.join(now.select(F.col("node").alias("root"), F.col("root").alias("above")), "root")
+        step = written(step.select("node", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")), "cc")
+        dropped(now)
+        now = step.select("node", "root")
+        now._scratch_path = step._scratch_path
+        if step.filter("moved").isEmpty():
+            return now
+
+
 def _similar(x: str, y: str, threshold: int) -> Column:
     """Size and sketch tests of two aliased sides with n and o0 .. o7."""
     apart = sum((F.bit_count(F.col(f"{x}.o{k}").bitwiseXOR(F.col(f"{y}.o{k}"))) for k in range(ODD_WORDS)), F.lit(0))
@@ -173,6 +192,39 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.filter(100 * F.col("common") >= threshold * (F.col("sizes") - F.col("common"))).select("a", "b")
 
 
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, pivot, d): what the node's set and its pivot's set do not share, as 32-bit hashes."""
+    both = pairs.join(sets.withColumnRenamed("set", "own"), "node").join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("base")), "pivot")
+    d = F.concat(F.array_except("own", "base"), F.array_except("base", "own"))
+    return both.select("node", "pivot", F.array_distinct(F.transform(d, lambda e: F.shiftright(e, 32).cast("int"))).alias("d"))
+
+
+def open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, pivot, root) of the buckets of three or more nodes that hold several components."""
+    members = shared.join(labels, "node", "left").select("key", "node", "pivot", F.coalesce("root", "node").alias("root"))
+    members = written(members, "dup-members")
+    several = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi and size > 2").select("key")
+    out = written(members.join(several, "key", "left_semi"), "dup-members")
+    dropped(members)
+    return out
+
+
+def completed(sets: DataFrame, ends: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``sets`` with those of further nodes."""
+    missing = ends.toDF("node").distinct().join(sets.select("node"), "node", "left_anti").join(nodes.select("node", "first_id"), "node")
+    missing = written(missing, "dup-named")
+    return sets if missing.isEmpty() else sets.union(written(full_sets(docs, missing, width), "dup-sets"))
+
+
+def grown(links: DataFrame, labels: DataFrame, pairs: DataFrame, sets: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Links and labels with those of the pairs that are confirmed."""
+    more = written(confirmed(pairs, sets, threshold), "dup-links")
+    if more.isEmpty():
+        return links, labels
+    links = links.union(more)
+    return links, written(components(links), "dup-labels")
+
+
 def linked(docs: DataFrame, sketches: DataFrame, width: int, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(nodes, labels): each node with its sizes and first id; (node, root) of the nodes with links."""
     odd = [f"o{k}" for k in range(ODD_WORDS)]
@@ -194,30 +246,38 @@ def linked(docs: DataFrame, sketches: DataFrame, width: int, threshold: int) ->
     sets = written(full_sets(docs, named, width), "dup-sets")
     best = stars.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("s")).select("a", F.col("s.b").alias("b"))
     links = written(confirmed(best, sets, threshold), "dup-links")
+    labels = written(forest_roots(links), "dup-labels")
 
-    # 2: other pivots that join two components
-    labels = written(components(links), "dup-labels")
+    # 2: the other pivots, and two more pivots of each bucket that still holds several components
     root = lambda side: F.coalesce(F.col(f"root_{side}"), F.col(side))
     side = lambda s: labels.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}"))
-    open_ = stars.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left").filter(root("a") != root("b")).select("a", "b")
-    links = written(links.union(confirmed(open_, sets, threshold)), "dup-links")
-    labels = written(components(links), "dup-labels")
-
-    # 3: buckets that hold several components
-    members = shared.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    members = written(members, "dup-members")
-    several = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    members = written(members.join(several, "key", "left_semi").join(sig, "node"), "dup-open")
-    x, y = members.alias("x"), members.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _similar("x", "y", threshold))
-    across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = written(across.join(tried, ["a", "b"], "left_anti"), "dup-across")
-    ends = across.select(F.col("a").alias("node")).union(across.select("b")).distinct()
-    missing = ends.join(sets.select("node"), "node", "left_anti").join(nodes.select("node", "first_id"), "node")
-    more = full_sets(docs, written(missing, "dup-missing"), width)
-    links = links.union(confirmed(across, sets.union(more), threshold))
-    return nodes, written(components(links), "dup-labels")
+    rest = stars.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left").filter(root("a") != root("b")).select("a", "b")
+    members = open_members(shared, labels)
+    pick = lambda r: F.min_by(F.struct("node", "root"), F.struct(F.xxhash64("node", "key", F.lit(r)), "node"))
+    picks = members.groupBy("key").agg(F.array(*[pick(r) for r in range(MORE_PIVOTS)]).alias("p")).select("key", F.explode("p").alias("p"))
+    pairs = members.join(picks, "key").filter("root != p.root").select("node", F.col("p.node").alias("pivot")).distinct()
+    pairs = pairs.join(sig.alias("x"), "node").join(sig.withColumnRenamed("node", "pivot").alias("y"), "pivot").filter(_similar("x", "y", threshold))
+    pairs = written(rest.union(pairs.select("node", "pivot")), "dup-pairs")
+    if not pairs.isEmpty():
+        sets = completed(sets, pairs.select("a").union(pairs.select("b")), nodes, docs, width)
+        links, labels = grown(links, labels, pairs, sets, threshold)
+
+    # 3: exact search across the components of a bucket
+    across = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _similar("x", "y", threshold)
+    members = written(open_members(shared, labels).filter("node != pivot").join(sig, "node"), "dup-open")
+    members = written(members.alias("x").join(members.alias("y"), across, "left_semi"), "dup-open")
+    if members.isEmpty():
+        return nodes, labels
+    sets = completed(sets, members.select("node").union(members.select("pivot")), nodes, docs, width)
+    apart = written(differences(members.select("node", "pivot").distinct(), sets), "dup-differences")
+    rows = members.join(apart, ["node", "pivot"]).join(nodes.select("node", "keys"), "node")
+    # |x ^ y| = |dx ^ dy|, and common = (|x| + |y| - |x ^ y|) / 2; a pair counts in its first common bucket
+    sizes = F.col("x.n") + F.col("y.n")
+    twice = sizes - F.size("x.d") - F.size("y.d") + 2 * F.size(F.array_intersect("x.d", "y.d"))
+    reached = (F.col("x.node") < F.col("y.node")) & ((100 + threshold) * twice >= 2 * threshold * sizes)
+    more = rows.alias("x").join(rows.alias("y"), across & reached & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
+    more = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return nodes, grown(links, labels, more, sets, threshold)[1]
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,11 +303,13 @@ def kept_documents(docs: DataFrame, width: int = 5, threshold: int = 80) -> Data
     judged = written(near_duplicates(docs, width, threshold), "dup-judged")
     gone = written(judged.filter("not kept").select(F.col("doc_id").alias("other_id")).distinct(), "dup-gone")
     twice = written(judged.filter("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("other_id")).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("other_id"), "dup-twice")
-    same = F.col("doc_id").eqNullSafe(F.col("other_id"))
-    out = docs.join(few(gone), same, "left_anti")
+    same = lambda df, ids: df["doc_id"].eqNullSafe(ids["other_id"])
+    gone = few(gone)
+    out = docs.join(gone, same(docs, gone), "left_anti")
     if twice.isEmpty():
         return out
-    return out.join(few(twice), same, "left_anti").unionByName(out.join(few(twice), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    twice = few(twice)
+    return out.join(twice, same(out, twice), "left_anti").unionByName(out.join(twice, same(out, twice), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
