@@ -1,29 +1,35 @@
-"""Benchmark decontamination by spaced-seed hashing. Native.
+"""Benchmark decontamination by hashed word runs. Native.
 
-Every place of a document and of a benchmark item is hashed under fixed masks over ``SPAN`` words
-that leave out some positions, so a hit survives substituted words. Hits are joined on the hash and
-reduced to (document, item, diagonal). On each such diagonal the item's words are laid over the
-document's, and the best stretch of ``WINDOW`` words (the whole item where it is shorter) must have
-at least ``SHARE`` percent equal words in place. Words are lower-cased and split at white space.
+An item matches a document where the best stretch of ``WINDOW`` successive words of it (the whole item where
+it is shorter) has at least ``SHARE`` percent equal words in place. Words are lower-cased and split at white space.
+
+The words that may differ cut such a stretch into few runs of equal words, so the longest run has at least
+``least_run`` words: four from 16 words on, two to four below, all words of an item under five. Every run of that
+length of an item, and every run of these lengths of a document, is hashed; so no match is without a hit. Hits are
+joined on the hash and reduced to (document, item, diagonal), and the item's words are laid over each such diagonal.
+
+``MASKS`` and ``SPAN`` are the condition that the SQL puts on a diagonal: one equal word, which every match has.
 
 The document side of the hash join is never shuffled while the benchmark's hashes are few (counted
 against ``BROADCAST_ROWS``); beyond that it is an ordinary shuffled join. The same holds for the
 verification, which joins (document, diagonals) back to the texts.
 
-Defined cases: null or blank texts and items shorter than ``SPAN`` words match nothing; items with
+Defined cases: null or blank texts match nothing; items with
 the same words count as the one with the smallest item_id; rows repeated under one doc_id give one
 result; null doc_ids are matched as one id; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenlane.llm.common import bound, table, word_array, written
 
-MASKS = ("11101101", "11011011")
-SPAN = 8
+MASKS = ("1",)
+SPAN = 1
 WINDOW, SHARE = 20, 80
 BROADCAST_ROWS = 500_000
 
@@ -33,11 +39,19 @@ def hashed_words(text: Column) -> Column:
     return F.transform(word_array(F.lower(text)), lambda w: F.xxhash64(w))
 
 
-def seeds(rows: DataFrame) -> DataFrame:
-    """One row (``seed``, ``at``) per mask and place of the array ``words``; other columns stay."""
-    places = rows.filter(F.size("words") >= SPAN).select("*", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias("at"))
-    of = lambda m, mask: F.xxhash64(F.lit(m), *[F.get("words", F.col("at") + k) for k, bit in enumerate(mask) if bit == "1"])
-    return places.select("*", F.explode(F.array(*[of(m, mask) for m, mask in enumerate(MASKS)])).alias("seed"))
+def least_run(n: int) -> int:
+    """Length that the longest run of equal words has at least in a match with an item of ``n`` words."""
+    size = min(WINDOW, n)
+    equal = -(-SHARE * size // 100)
+    return -(-equal // (size - equal + 1))
+
+
+def seeds(rows: DataFrame, runs: list[int]) -> DataFrame:
+    """One row (``seed``, ``at``) per place of the array ``words`` and length in ``runs`` that fits there; other columns stay."""
+    least = min(runs)
+    places = rows.filter(F.size("words") >= least).select("*", F.explode(F.sequence(F.lit(0), F.size("words") - least)).alias("at"))
+    of = lambda n: F.when(F.col("at") + n <= F.size("words"), F.xxhash64(F.lit(n), *[F.get("words", F.col("at") + k) for k in range(n)]))
+    return places.select("*", F.explode(F.array(*[of(n) for n in runs])).alias("seed")).filter(F.col("seed").isNotNull())
 
 
 def _small(df: DataFrame, size: Column | None = None) -> DataFrame:
@@ -58,10 +72,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """(doc_id, item_id, equal_words, window_words): the verified overlaps, one row per pair."""
     items = benchmark.select("item_id", hashed_words(F.col("text")).alias("words")).filter(F.size("words") >= SPAN)
     items = written(items.groupBy("words").agg(F.min("item_id").alias("item_id")), "decontam-items")
-    targets = written(seeds(items).select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "decontam-seeds")
+    run = F.get(F.array(*[F.lit(least_run(n)) for n in range(1, WINDOW + 1)]), F.least(F.size("words"), F.lit(WINDOW)) - 1)
+    runs = sorted(r[0] for r in items.select(run).distinct().collect()) or [1]
+    targets = reduce(DataFrame.union, [seeds(items.filter(run == n), [n]) for n in runs])
+    targets = written(targets.select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "decontam-seeds")
 
     texts = docs.select(docs[id_col].alias("doc_id"), hashed_words(docs[text_col].cast("string")).alias("words"))
-    hits = seeds(texts).select("doc_id", "at", "seed").join(_small(targets), "seed")
+    hits = seeds(texts, runs).select("doc_id", "at", "seed").join(_small(targets), "seed")
     found = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     found = written(found, "decontam-hits")
 

@@ -112,3 +112,46 @@ def test_clean_documents_stay_whole(spark):
     assert sorted(r.doc_id or 0 for r in out.collect()) == sorted([0, 3, 5, 7, 8, 9, 10, 14, 20])
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.clean_documents(docs, none).count() == docs.count() and decontam.overlaps(docs.limit(0), none).count() == 0
+
+
+def every_match(size):
+    """Every choice of the most words that may differ of ``size``, as flags of equal words."""
+    from itertools import combinations
+
+    for gone in combinations(range(size), size - -(-decontam.SHARE * size // 100)):
+        yield [i not in gone for i in range(size)]
+
+
+def test_every_pattern_within_the_rule_has_a_run():
+    for size in range(1, decontam.WINDOW + 1):
+        for equal in every_match(size):
+            assert max(map(len, "".join("x" if e else " " for e in equal).split())) >= decontam.least_run(size)
+    assert decontam.least_run(59) == decontam.least_run(decontam.WINDOW)
+
+
+def by_rule(docs, items):
+    """Pairs whose best window on any diagonal meets the rule, without a seed condition."""
+    words = lambda t: (t or "").lower().split()
+    out = set()
+    for d, t in docs:
+        for i, x in items:
+            w, iw = words(t), words(x)
+            size = min(decontam.WINDOW, len(iw))
+            for g in range(-len(iw), len(w) if iw else -len(iw)):
+                equal = [0 <= g + j < len(w) and w[g + j] == x for j, x in enumerate(iw)]
+                if any(100 * sum(equal[s:s + size]) >= decontam.SHARE * size for s in range(len(iw) - size + 1)):
+                    out.add((d, i))
+    return out
+
+
+def test_all_patterns_and_short_items_are_found(spark):
+    """All texts with the most changed words of items of 1 to 12 and 15 words, and every seventh of 20 words."""
+    items = [(n, " ".join(f"n{n}w{k}" for k in range(n))) for n in (*range(1, 13), 15, 20)]
+    texts = [" ".join(w if e else f"z{k}" for k, (w, e) in enumerate(zip(x.split(), equal, strict=True)))
+             for n, x in items for equal in list(every_match(n))[:: 7 if n == 20 else 1]]
+    texts += [" ".join([f"z{k}" for k in range(s)] + x.split()[s:]) for n, x in items for s in (n // 5 + 1,) if s < n]
+    docs = list(enumerate(texts))
+    got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = by_rule(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+    assert {d for d, _ in want} == set(range(len(texts) - sum(n // 5 + 1 < n for n, _ in items)))
