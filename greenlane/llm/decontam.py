@@ -14,8 +14,8 @@ The document side of the hash join is never shuffled while the benchmark's hashe
 against ``BROADCAST_ROWS``); beyond that it is an ordinary shuffled join. The same holds for the
 verification, which joins (document, diagonals) back to the texts.
 
-Defined cases: null or blank texts match nothing; items with
-the same words count as the one with the smallest item_id; rows repeated under one doc_id give one
+Defined cases: null or blank texts match nothing; items with the same words count as the one with the smallest
+item_id (null if all are null), and ``item_ids`` lists all, null included; rows repeated under one doc_id give one
 result; null doc_ids are matched as one id; other columns are ignored.
 """
 
@@ -69,25 +69,29 @@ def best_window(words: Column, item: Column, diagonal: Column) -> Column:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, equal_words, window_words): the verified overlaps, one row per pair."""
+    """(doc_id, item_id, equal_words, window_words, item_ids): the verified overlaps, one row per document and words of an item."""
     items = benchmark.select("item_id", hashed_words(F.col("text")).alias("words")).filter(F.size("words") >= SPAN)
-    items = written(items.groupBy("words").agg(F.min("item_id").alias("item_id")), "decontam-items")
+    ids = F.transform(F.sort_array(F.collect_set(F.struct("item_id"))), lambda i: i["item_id"])
+    items = items.groupBy("words").agg(F.min("item_id").alias("item_id"), ids.alias("item_ids"))
+    items = written(items.withColumn("item", F.xxhash64("words")), "decontam-items")
     run = F.get(F.array(*[F.lit(least_run(n)) for n in range(1, WINDOW + 1)]), F.least(F.size("words"), F.lit(WINDOW)) - 1)
     runs = sorted(r[0] for r in items.select(run).distinct().collect()) or [1]
     targets = reduce(DataFrame.union, [seeds(items.filter(run == n), [n]) for n in runs])
-    targets = written(targets.select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "decontam-seeds")
+    targets = written(targets.select("seed", "item", F.col("at").alias("item_at")).distinct(), "decontam-seeds")
 
     texts = docs.select(docs[id_col].alias("doc_id"), hashed_words(docs[text_col].cast("string")).alias("words"))
     hits = seeds(texts, runs).select("doc_id", "at", "seed").join(_small(targets), "seed")
-    found = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
+    found = hits.select("doc_id", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     found = written(found, "decontam-hits")
 
     pairs = texts.join(_small(found.withColumnRenamed("doc_id", "hit_id")), F.col("doc_id").eqNullSafe(F.col("hit_id")))
-    pairs = pairs.join(_small(items.select("item_id", F.col("words").alias("item_words")), F.size("item_words")), "item_id")
-    pairs = pairs.select("doc_id", "item_id", best_window(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("equal_words"),
+    pairs = pairs.join(_small(items.select("item", "item_id", "item_ids", F.col("words").alias("item_words")), F.size("item_words")), "item")
+    pairs = pairs.select("doc_id", "item", "item_id", "item_ids", best_window(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("equal_words"),
                          F.least(F.lit(WINDOW), F.size("item_words")).alias("window_words"))
     pairs = pairs.filter(100 * F.col("equal_words") >= SHARE * F.col("window_words"))
-    return pairs.groupBy("doc_id", "item_id").agg(F.max("equal_words").cast("long").alias("equal_words"), F.max("window_words").cast("long").alias("window_words"))
+    best = pairs.groupBy("doc_id", "item").agg(F.first("item_id").alias("item_id"), F.max("equal_words").cast("long").alias("equal_words"),
+                                               F.max("window_words").cast("long").alias("window_words"), F.first("item_ids").alias("item_ids"))
+    return best.drop("item")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -98,7 +102,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
-    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
 
 
 _WORDS = "list_filter(regexp_split_to_array(lower(coalesce({}, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"

@@ -155,3 +155,12 @@ def test_all_patterns_and_short_items_are_found(spark):
     want = by_rule(docs, items)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
     assert {d for d, _ in want} == set(range(len(texts) - sum(n // 5 + 1 < n for n, _ in items)))
+
+
+def test_items_without_an_id_match_and_copies_are_listed(spark):
+    items = [(None, "p q r s t"), (None, "u v w x y"), (None, " ".join(ITEM)), (2, " ".join(ITEM)), (1, " ".join(ITEM))]
+    docs = spark.createDataFrame([(1, "p q r s t u v w x y"), (2, " ".join(ITEM)), (3, "free")], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.equal_words, r.item_ids) for r in decontam.overlaps(docs, benchmark).collect()]
+    assert sorted(got, key=repr) == [(1, None, 5, [None]), (1, None, 5, [None]), (2, 1, 20, [None, 1, 2])]
+    assert [r.doc_id for r in decontam.clean_documents(docs, benchmark).collect()] == [3]
