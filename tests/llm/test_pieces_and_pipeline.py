@@ -134,3 +134,32 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
         out = stage(spark, docs.limit(0), SF)
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def leaked(docs, items):
+    """Ids of documents with a window of any item that meets the rule, from all diagonals with an equal word."""
+    places = {}
+    split = [(t or "").lower().split() for t in items]
+    for k, words in enumerate(split):
+        for j, w in enumerate(words):
+            places.setdefault(w, []).append((k, j))
+    out = set()
+    for i, t in docs:
+        equal = {}
+        for at, w in enumerate((t or "").lower().split()):
+            for k, j in places.get(w, ()):
+                equal.setdefault((k, at - j), set()).add(j)
+        for (k, _), js in equal.items():
+            size = min(decontam.WINDOW, len(split[k]))
+            if 100 * len(js) >= decontam.SHARE * size and any(
+                    100 * sum(s <= j < s + size for j in js) >= decontam.SHARE * size for s in range(len(split[k]) - size + 1)):
+                out.add(i)
+    return out
+
+
+def test_decontamination_of_whole_texts_against_brute_force(spark):
+    docs, benchmark = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    bad = leaked(rows, [r.text for r in benchmark.collect()])
+    left = {r.doc_id for r in dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF).collect()}
+    assert bad and left == {i for i, _ in rows} - bad
