@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from greenlane.llm import archives, decontam, neardup, urls
+from greenlane.llm import archives, decontam, neardup, repair, urls
 from greenlane.llm.archives import op8_warc
 from greenlane.llm.decontam import op10_decontamination
 from greenlane.llm.gam import op5_quality_gam
@@ -14,12 +14,14 @@ from greenlane.llm.lm import op7_lm_scores
 from greenlane.llm.neardup import op4_near_duplicates
 from greenlane.llm.pieces import op3_sentencepiece
 from greenlane.llm.pii import op2_pii
+from greenlane.llm.repair import op11_conversation_repair
 from greenlane.llm.rules import op6_quality_rules
 from greenlane.llm.secrets import op1_secret_scan
 from greenlane.llm.urls import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_pii, op3_sentencepiece, op4_near_duplicates, op5_quality_gam, op6_quality_rules, op7_lm_scores, op8_warc, op9_url_filter, op10_decontamination,
+    op11_conversation_repair,
 )}
 
 
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op8_warc": archives.ORACLE_SQL,
     "op9_url_filter": urls.ORACLE_SQL,
     "op10_decontamination": decontam.ORACLE_SQL,
+    "op11_conversation_repair": repair.ORACLE_SQL,
 }
