@@ -12,6 +12,7 @@ from greenlane.llm.decontam import op10_decontamination
 from greenlane.llm.gam import op5_quality_gam
 from greenlane.llm.lm import op7_lm_scores
 from greenlane.llm.neardup import op4_near_duplicates
+from greenlane.llm.periods import op12_periodic_runs
 from greenlane.llm.pieces import op3_sentencepiece
 from greenlane.llm.pii import op2_pii
 from greenlane.llm.repair import op11_conversation_repair
@@ -21,7 +22,7 @@ from greenlane.llm.urls import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_pii, op3_sentencepiece, op4_near_duplicates, op5_quality_gam, op6_quality_rules, op7_lm_scores, op8_warc, op9_url_filter, op10_decontamination,
-    op11_conversation_repair,
+    op11_conversation_repair, op12_periodic_runs,
 )}
 
 
