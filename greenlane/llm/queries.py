@@ -18,11 +18,12 @@ from greenlane.llm.pii import op2_pii
 from greenlane.llm.repair import op11_conversation_repair
 from greenlane.llm.rules import op6_quality_rules
 from greenlane.llm.secrets import op1_secret_scan
+from greenlane.llm.tokenbin import op13_token_shards
 from greenlane.llm.urls import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_pii, op3_sentencepiece, op4_near_duplicates, op5_quality_gam, op6_quality_rules, op7_lm_scores, op8_warc, op9_url_filter, op10_decontamination,
-    op11_conversation_repair, op12_periodic_runs,
+    op11_conversation_repair, op12_periodic_runs, op13_token_shards,
 )}
 
 
