@@ -1,7 +1,7 @@
 """Write-path operators (U1-U11): set-based versions of the row-by-row jobs.
 
-Upserts are a keyed merge expressed as one full outer join; the merged table is
-written to a new version directory and only then published (all-or-nothing).
+Upserts are a keyed merge expressed as one full outer join; the merged table, or its touched
+partitions, are written to new directories and only then published (all-or-nothing).
 Selection jobs (what still needs cleaning / items / a delivery) are anti joins.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import norm
+from .partitioned import PartitionedTable
 
 
 # -- U1 / U2: keyed upsert ---------------------------------------------------
@@ -65,12 +66,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
 def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partition_by: list[str],
                      update_cols: list[str] | None = None, order_col: str | None = None,
                      now: Column | None = None) -> DataFrame:
-    """Upsert ``batch`` into the partitioned Parquet table at ``path``, rewriting only touched partitions.
+    """Upsert ``batch`` into the ``PartitionedTable`` at ``path``, rewriting only touched partitions, in one commit.
 
     The partition values present in the batch are few (bounded by the partitioning, e.g.
-    months), so they drive partition pruning on the read and a dynamic partition
-    overwrite on the write; untouched partitions are neither read nor rewritten. The
-    partition columns must be part of ``key`` (a key never moves between partitions).
+    months): only their folders are read and replaced. The partition columns must be part of
+    ``key`` (a key never moves between partitions). A reader sees the table before or after the merge; a
+    writer that committed in between makes this one fail with ``ConcurrentCommit``, to be run again.
     A batch may bring new columns: stored rows get NULL there, and readers merge the file schemas.
     Returns the per-row actions of the touched partitions.
     """
@@ -78,25 +79,19 @@ def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list
         raise ValueError("partition columns must be part of the key")
     if order_col:
         batch = latest_per_key(batch, key, order_col)
-    touched = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
-    if exists(spark, path):
-        # any failure of this read is raised: taking it for "no table yet" would drop the stored rows
-        stored = spark.read.option("mergeSchema", "true").parquet(path)
+    table = PartitionedTable(spark, path)
+    base = table.snapshot()
+    touched = [tuple(r) for r in batch.select(*[F.col(c).cast("string") for c in partition_by]).distinct().collect()]
+    # any failure of this read is raised: taking it for "no table yet" would drop the stored rows
+    stored = table.read(touched, base)
+    if stored is None:
+        existing = batch.limit(0)
+    else:
         added = [c for c in batch.columns if c not in stored.columns]
         stored = stored.select("*", *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in added])
-        cond = F.lit(False)
-        for values in touched:
-            term = F.lit(True)
-            for col_name, v in zip(partition_by, values):
-                term = term & F.col(col_name).eqNullSafe(F.lit(v))
-            cond = cond | term
-        existing = stored.where(cond).select(*batch.columns, *[c for c in stored.columns if c not in batch.columns])
-    else:
-        existing = batch.limit(0)
-    merged = upsert(existing, batch, key, update_cols, now=now)
-    merged, _ = _checkpointed(merged)  # the target is overwritten below: never read and write the same files lazily
-    (merged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+        existing = stored.select(*batch.columns, *[c for c in stored.columns if c not in batch.columns])
+    merged, _ = _checkpointed(upsert(existing, batch, key, update_cols, now=now))
+    table.commit(merged.drop("_action"), partition_by, base, spread=[k for k in key if k not in partition_by])
     return merged
 
 

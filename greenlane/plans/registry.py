@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as dq
 from ..operators import writes
 from ..operators.allocation import allocate_stock
+from ..operators.partitioned import PartitionedTable
 from ..operators.ranking import _materialize, ordered_scan
 from . import extras, kpi
 from .core import Warehouse
@@ -55,8 +56,7 @@ def inventory_merged_months(w: Warehouse) -> DataFrame:
                            (F.dayofmonth("inventory_date") >= 15, (F.col("available_quantity") + 1).cast("decimal(10,2)"))):
         batch = inv.where(part).select("inventory_id", *key, quantity.alias("available_quantity"))
         writes.merge_partitions(spark, path, batch, key, ["month"], ["available_quantity"], order_col="inventory_id")
-    # the partition column comes back with an inferred type
-    return spark.read.parquet(path).select("inventory_id", *key[:3], F.date_format("inventory_date", "yyyy-MM").alias("month"), "available_quantity")
+    return PartitionedTable(spark, path).read().select("inventory_id", *key, "available_quantity")
 
 
 def customers_loaded_once(w: Warehouse) -> DataFrame:
@@ -140,6 +140,12 @@ def streaming_daily_on_time(w: Warehouse) -> DataFrame:
     return run(w.stg_orders.sparkSession, w.src.sf_dir)
 
 
+def streaming_corrected_on_time(w: Warehouse) -> DataFrame:
+    from ..streaming.delivery_stream import streaming_corrected_on_time as run
+
+    return run(w.stg_orders.sparkSession, w.src.sf_dir)
+
+
 EXTRA_QUERIES = {
     # data quality
     "dq_staging_summary": lambda w: dq.run_checks(w, dq.STAGING_CHECKS),
@@ -195,4 +201,5 @@ EXTRA_QUERIES = {
     # incremental and streaming
     "x1_incremental_weekly_fill_rate": incremental_weekly_fill_rate,
     "x2_streaming_daily_on_time": streaming_daily_on_time,
+    "x2_corrected_deliveries": streaming_corrected_on_time,
 }

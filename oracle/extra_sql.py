@@ -104,6 +104,10 @@ EXTRA = {
     "x2_streaming_daily_on_time": query(
         f"SELECT CAST(scheduled_at AS DATE) AS delivery_date, CAST(count(*) AS BIGINT) AS deliveries, "
         f"CAST(sum({ON_TIME}) AS BIGINT) AS on_time_deliveries FROM stg_deliveries GROUP BY 1"),
+    "x2_corrected_deliveries": query(
+        f"""SELECT CAST(scheduled_at AS DATE) AS delivery_date, CAST(count(*) AS BIGINT) AS deliveries, CAST(sum({ON_TIME}) AS BIGINT) AS on_time_deliveries
+FROM (SELECT * REPLACE (if(delivery_id % 11 = 0, scheduled_at + INTERVAL 1 DAY, scheduled_at) AS scheduled_at,
+  if(delivery_id % 7 = 0, 'failed', delivery_status) AS delivery_status) FROM stg_deliveries) GROUP BY 1"""),
     "dq_staging_summary": summary_sql(checks.STAGING_CHECKS),
     "dq_core_summary": summary_sql(checks.CORE_CHECKS),
     "dq_kpi_summary": summary_sql(checks.KPI_CHECKS),

@@ -1,5 +1,6 @@
 """End-to-end jobs: build, CSV landing, streaming vs batch, incremental refresh."""
 
+import datetime as dt
 import os
 import re
 import tempfile
@@ -77,28 +78,60 @@ def test_incremental_refresh_with_key_updates(spark):
                    "2025-04-14": (D("25.00"), D("87.50"))}
 
 
+LINE_COLS = "order_week date, requested_quantity decimal(10,2), confirmed_quantity decimal(10,2), updated_at timestamp_ntz"
+
+
 def test_incremental_append_rerun_after_failure_is_idempotent(spark, monkeypatch):
-    import greenlane.streaming.incremental as inc
+    from greenlane.operators import writes
 
-    cols = "order_week date, requested_quantity decimal(10,2), confirmed_quantity decimal(10,2), updated_at timestamp_ntz"
     rows = spark.createDataFrame([(d("2025-03-31"), D("10"), D("5"), ts("2025-04-01T00:00:00")),
-                                  (d("2025-04-07"), D("4"), D("4"), ts("2025-04-08T00:00:00"))], cols)
+                                  (d("2025-04-07"), D("4"), D("4"), ts("2025-04-08T00:00:00"))], LINE_COLS)
     state = tempfile.mkdtemp(prefix="greenlane-incr-")
-    real, calls = inc.write_version, []
-
-    def crash_at_the_mark(df, base, **kw):
-        calls.append(base)
-        if base.endswith("/hwm") and sum(c.endswith("/hwm") for c in calls) == 1:
-            raise RuntimeError("driver lost before the mark was saved")
-        return real(df, base, **kw)
-
-    monkeypatch.setattr(inc, "write_version", crash_at_the_mark)
-    with pytest.raises(RuntimeError):
-        refresh_weekly_fill(spark, rows, state)
-    out = {r.week_start.isoformat(): r.requested_quantity for r in refresh_weekly_fill(spark, rows, state).collect()}
+
+    def crash(*_):
+        raise RuntimeError("driver lost before the log was published")
+
+    for start in (rows.where("updated_at < '2025-04-05'"), rows):
+        monkeypatch.setattr(writes, "_replace", crash)
+        with pytest.raises(RuntimeError):
+            refresh_weekly_fill(spark, start, state)
+        monkeypatch.undo()
+        out = {r.week_start.isoformat(): r.requested_quantity for r in refresh_weekly_fill(spark, start, state).collect()}
     assert out == {"2025-03-31": D("10"), "2025-04-07": D("4")}  # not doubled by the rerun
 
 
+def test_the_log_stays_small_and_equals_a_full_load(spark, monkeypatch):
+    """A line a day over 300 days in twelve refreshes: few files, old days folded, weeks as by one load."""
+    import greenlane.streaming.incremental as inc
+
+    monkeypatch.setattr(inc, "KEPT_DAYS", 40)
+    start = d("2024-01-01")
+    rows = [(start + dt.timedelta(days=7 * (k // 9)), D(k % 5 + 1), D(k % 3), dt.datetime.combine(start + dt.timedelta(days=k), dt.time(9))) for k in range(300)]
+    lines = spark.createDataFrame(rows, LINE_COLS)
+    state, full = tempfile.mkdtemp(prefix="greenlane-incr-"), tempfile.mkdtemp(prefix="greenlane-incr-")
+    for k in range(25, 301, 25):
+        out = refresh_weekly_fill(spark, lines.where(F.col("updated_at") < F.lit(dt.datetime.combine(start + dt.timedelta(days=k), dt.time()))), state)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, refresh_weekly_fill(spark, lines, full).collect()))
+    files = [f for _, _, names in os.walk(state) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2  # a file a version, two versions kept
+    log = inc.read_latest(spark, f"{state}/log")
+    assert log.select("update_day").distinct().count() <= 40 + 25 + 2
+    refresh_weekly_fill(spark, lines.unionByName(lines.where("updated_at > '2024-10-20'")), state, since=d("2024-10-20"))
+    with pytest.raises(ValueError, match="folded"):
+        refresh_weekly_fill(spark, lines, state, since=d("2024-01-05"))
+
+
+def test_a_backfill_with_an_old_timestamp_is_read_by_since(spark):
+    row = lambda q, at: (d("2025-03-31"), D(q), D("0"), ts(at))
+    state = tempfile.mkdtemp(prefix="greenlane-incr-")
+    first = [row("10", "2025-04-01T08:00:00"), row("1", "2025-04-03T08:00:00")]
+    refresh_weekly_fill(spark, spark.createDataFrame(first, LINE_COLS), state)
+    late = spark.createDataFrame([*first, row("7", "2025-04-01T09:00:00")], LINE_COLS)
+    assert [r.requested_quantity for r in refresh_weekly_fill(spark, late, state).collect()] == [D("11")]
+    assert [r.requested_quantity for r in refresh_weekly_fill(spark, late, state, since=d("2025-04-01")).collect()] == [D("18")]
+    assert [r.requested_quantity for r in refresh_weekly_fill(spark, late.limit(0), state).collect()] == [D("17")]
+
+
 def test_rows_that_arrive_later_with_the_mark_are_not_lost(spark):
     cols = "order_week date, requested_quantity decimal(10,2), confirmed_quantity decimal(10,2), updated_at timestamp_ntz"
     row = lambda q, at: (d("2025-03-31"), D(q), D("0"), ts(at))
@@ -124,6 +157,47 @@ def test_stream_counts_every_row_over_several_batches_and_runs(spark, wh_small):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
 
 
+DELIVERY = "delivery_id long, scheduled_at timestamp_ntz, delivered_at timestamp_ntz, delivery_status string, updated_at timestamp_ntz"
+
+
+def test_corrected_and_repeated_deliveries(spark):
+    """Re-sent as delivered, then as failed, then moved; an old version and a replay change nothing."""
+    from greenlane.operators.partitioned import PartitionedTable
+    from greenlane.streaming.delivery_stream import apply_deliveries
+
+    target = tempfile.mkdtemp(prefix="greenlane-stream-") + "/t"
+    day1, day2 = ts("2025-04-01T10:00:00"), ts("2025-04-02T10:00:00")
+    row = lambda i, at, status, v: (i, at, at if status == "delivered" else None, status, v and ts(f"2025-04-0{v}T00:00:00"))
+    batches = [
+        [row(1, day1, "scheduled", 1), row(2, day1, "delivered", 1), row(None, day1, "delivered", 1)],
+        [row(1, day1, "delivered", 2), row(1, day1, "scheduled", 1), row(9, day2, "delivered", None)],
+        [row(1, day1, "failed", 3), row(2, day1, "scheduled", None), row(9, day2, "delivered", None)],
+        [row(2, day2, "delivered", 4)],
+    ]
+    want = [{(d("2025-04-01"), 3, 2)}, {(d("2025-04-01"), 3, 3), (d("2025-04-02"), 1, 1)}, {(d("2025-04-01"), 3, 2), (d("2025-04-02"), 1, 1)},
+            {(d("2025-04-01"), 2, 1), (d("2025-04-02"), 2, 2)}]
+    for n, (rows, totals) in enumerate(zip(batches, want, strict=True)):
+        for _ in range(2):  # the second time is a replay
+            apply_deliveries(spark, target, spark.createDataFrame(rows, DELIVERY), n, "s", ids_per_range=4)
+        assert set(map(tuple, PartitionedTable(spark, target).table("totals").collect())) == totals
+    assert len(PartitionedTable(spark, target).snapshot().folders) == 2  # ids 0-3 and 8-11
+
+
+def test_a_crash_between_state_and_publication_is_replayed(spark, monkeypatch):
+    from greenlane.operators.partitioned import PartitionedTable
+
+    root, base = tempfile.mkdtemp(prefix="greenlane-src-"), tempfile.mkdtemp(prefix="greenlane-stream-")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(2).write.parquet(f"{root}/orders.parquet")
+    once = lambda: run_daily_on_time_stream(spark, stream_from_orders(spark, root, 1), f"{base}/t", f"{base}/c", ids_per_range=1000)
+    monkeypatch.setattr(PartitionedTable, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(Exception, match="driver lost"):
+        once()
+    monkeypatch.undo()
+    got = once()
+    want = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert got.agg(F.sum("deliveries")).first()[0] == want.where("(o_orderstatus <> 'O' OR o_orderkey % 3 = 0) AND o_orderkey % 13 <> 0").count()
+
+
 def test_distinct_orders_with_repeated_headers(spark):
     from greenlane.plans.core import Warehouse
     from tests.fixtures import tables

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from greenlane.operators import quality as dq
 from greenlane.operators import writes
+from greenlane.operators.partitioned import ConcurrentCommit, PartitionedTable
 from greenlane.operators.order_text import extract_order_lines, messages_needing_review
 from greenlane.plans.core import Warehouse
 from tests.fixtures import d, tables, ts
@@ -131,7 +132,7 @@ def test_merge_with_a_new_column_keeps_the_other_rows(spark):
     writes.merge_partitions(spark, path, spark.createDataFrame([(1, "2025-01", 10), (2, "2025-01", 20)], "k int, month string, v int"), ["k", "month"], ["month"])
     acts = writes.merge_partitions(spark, path, spark.createDataFrame([(2, "2025-01", 21, "x")], "k int, month string, v int, note string"), ["k", "month"], ["month"])
     assert sorted((r.k, r._action) for r in acts.collect()) == [(1, "unchanged"), (2, "updated")]
-    got = sorted((r.k, r.v, r.note) for r in spark.read.option("mergeSchema", "true").parquet(path).collect())
+    got = sorted((r.k, r.v, r.note) for r in PartitionedTable(spark, path).read().collect())
     assert got == [(1, 10, None), (2, 21, "x")]
 
 
@@ -141,13 +142,15 @@ def test_a_failing_read_of_the_target_is_raised(spark):
     path = tempfile.mkdtemp(prefix="greenlane-merge-") + "/t"
     batch = spark.createDataFrame([(1, "2025-01", 10)], "k int, month string, v int")
     writes.merge_partitions(spark, path, batch, ["k", "month"], ["month"])
-    [part] = [f for f in os.listdir(f"{path}/month=2025-01") if f.endswith(".parquet")]
-    with open(f"{path}/month=2025-01/{part}", "wb") as f:
+    [folder] = PartitionedTable(spark, path).snapshot().folders.values()
+    [part] = [f for f in os.listdir(f"{path}/{folder}") if f.endswith(".parquet")]
+    with open(f"{path}/{folder}/{part}", "wb") as f:
         f.write(b"not parquet")
-    os.remove(f"{path}/month=2025-01/.{part}.crc")
+    os.remove(f"{path}/{folder}/.{part}.crc")
     with pytest.raises(Exception):  # noqa: B017
         writes.merge_partitions(spark, path, spark.createDataFrame([(2, "2025-01", 20)], "k int, month string, v int"), ["k", "month"], ["month"])
-    assert open(f"{path}/month=2025-01/{part}", "rb").read() == b"not parquet"  # nothing was replaced
+    assert open(f"{path}/{folder}/{part}", "rb").read() == b"not parquet"  # nothing was replaced
+    assert PartitionedTable(spark, path).snapshot().number == 1
 
 
 def test_crash_between_write_and_publication_keeps_the_last_version(spark, monkeypatch):
@@ -174,15 +177,57 @@ def test_merge_partitions_rewrites_only_touched(spark):
     cols = "k int, month string, v int"
     writes.merge_partitions(spark, path, spark.createDataFrame([(1, "2025-01", 10), (2, "2025-02", 20)], cols),
                             ["k", "month"], ["month"])
-    before = {f for f in __import__("os").listdir(f"{path}/month=2025-01")}
+    before = PartitionedTable(spark, path).snapshot().folders
     acts = writes.merge_partitions(spark, path, spark.createDataFrame([(2, "2025-02", 21), (3, "2025-02", 30)], cols),
                                    ["k", "month"], ["month"])
     assert sorted((r.k, r._action) for r in acts.collect()) == [(2, "updated"), (3, "inserted")]
-    assert {f for f in __import__("os").listdir(f"{path}/month=2025-01")} == before  # untouched partition kept as is
-    got = sorted((r.k, r.month, r.v) for r in spark.read.parquet(path).collect())
+    after = PartitionedTable(spark, path).snapshot().folders
+    assert after["2025-01",] == before["2025-01",] and after["2025-02",] != before["2025-02",]  # untouched partition kept as is
+    got = sorted((r.k, r.month, r.v) for r in PartitionedTable(spark, path).read().collect())
     assert got == [(1, "2025-01", 10), (2, "2025-02", 21), (3, "2025-02", 30)]
 
 
+KMV = "k int, month string, v int"
+
+
+def test_merge_is_published_in_one_step(spark, monkeypatch):
+    """A crash before the rename, and a reader that holds the commit before, see the old rows of all partitions."""
+    path = tempfile.mkdtemp(prefix="greenlane-merge-") + "/t"
+    merge = lambda rows: writes.merge_partitions(spark, path, spark.createDataFrame(rows, KMV), ["k", "month"], ["month"])
+    read = lambda at=None: sorted(map(tuple, PartitionedTable(spark, path).read(at=at).select("k", "month", "v").collect()), key=repr)
+    merge([(1, "a", 1), (2, "b", 2), (3, None, 3)])
+    old, first = read(), PartitionedTable(spark, path).snapshot()
+    monkeypatch.setattr(PartitionedTable, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        merge([(1, "a", 10), (2, "b", 20)])
+    monkeypatch.undo()
+    assert read() == old
+    merge([(1, "a", 10), (3, None, 30)])
+    # a NULL in the key conflicts with nothing, so both rows of the NULL partition stay
+    assert read() == [(1, "a", 10), (2, "b", 2), (3, None, 3), (3, None, 30)] and read(first) == old
+    for v in (11, 12, 13):
+        merge([(1, "a", v)])
+    assert read() == [(1, "a", 13), (2, "b", 2), (3, None, 3), (3, None, 30)]
+    import os
+
+    kept = {f.split("/")[1] for n in (4, 5) for f in PartitionedTable(spark, path)._load(n).folders.values()}
+    assert sorted(f for f in os.listdir(f"{path}/_commits") if f.endswith(".json")) == ["000000000004.json", "000000000005.json"]
+    assert all(os.path.isdir(f"{path}/data/{f}") for f in kept)
+
+
+def test_the_second_of_two_writers_is_refused(spark):
+    path = tempfile.mkdtemp(prefix="greenlane-merge-") + "/t"
+    table = PartitionedTable(spark, path)
+    rows = lambda v: spark.createDataFrame([(1, "a", v)], KMV)
+    base = table.snapshot()
+    table.commit(rows(1), ["month"], base)
+    with pytest.raises(ConcurrentCommit):
+        table.commit(rows(2), ["month"], base)
+    assert [r.v for r in table.read().collect()] == [1]
+    table.commit(rows(2), ["month"], table.snapshot())
+    assert [r.v for r in table.read().collect()] == [2] and table.read([("nowhere",)]) is None
+
+
 def test_check_suite_shares_key_shuffles_and_keeps_passing_checks(spark):
     products = [dict(product_id=1, product_name="a", source_type="own_farm", supplier_id=5, standard_price=D("1")),
                 dict(product_id=2, product_name="b", source_type="own_farm", supplier_id=9, standard_price=D("1"))]
