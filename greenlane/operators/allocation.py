@@ -1,8 +1,9 @@
 """Stock allocation (X3): first come, first served.
 
 The stock of a product on a day (the total over warehouses of that day's snapshots) is
-handed to the product's order lines of that day in order of (order id, line id):
-allocated = clamp(stock - demand of all earlier lines of the day, 0, requested).
+handed to the product's order lines of that day in order of (received time, order id, line id):
+allocated = clamp(stock - demand of all earlier lines of the day, 0, requested). Orders
+whose time of receipt is not known come last.
 A product without a snapshot on the day has no stock to give.
 
 The running demand is an ordered scan *within* a (product, day). A product that carries
@@ -24,6 +25,13 @@ GROUP = ("product_id", "order_date")
 ORDER_KEY = ("order_id", "order_item_id", "requested_quantity")
 
 
+def with_received_time(lines: DataFrame, orders: DataFrame, raw_orders: DataFrame) -> DataFrame:
+    """Lines with ``received_at`` of their order's raw order (the earliest where a raw order repeats); NULL without one."""
+    received = raw_orders.where("raw_order_id IS NOT NULL").groupBy("raw_order_id").agg(F.min("received_at").alias("received_at"))
+    per_order = orders.where("raw_order_id IS NOT NULL").join(received, "raw_order_id").groupBy("order_id").agg(F.min("received_at").alias("received_at"))
+    return lines.join(per_order, "order_id", "left")
+
+
 def daily_stock(inventory: DataFrame) -> DataFrame:
     """(product_id, order_date) -> stock, summed over that day's snapshots."""
     return inventory.groupBy("product_id", F.col("inventory_date").alias("order_date")).agg(F.sum("available_quantity").alias("stock"))
@@ -31,9 +39,9 @@ def daily_stock(inventory: DataFrame) -> DataFrame:
 
 def allocate_stock(lines: DataFrame, inventory: DataFrame, strategy: str = "auto",
                    cfg: RankConfig = DEFAULT) -> DataFrame:
-    """lines: order_item_id, order_id, product_id, order_date, requested_quantity."""
-    base, n = _materialize(lines.select(*GROUP, *ORDER_KEY))
-    scanned = ordered_scan(base, n, list(GROUP), [F.col(c).asc() for c in ORDER_KEY],
+    """lines: order_item_id, order_id, product_id, order_date, requested_quantity, received_at."""
+    base, n = _materialize(lines.select(*GROUP, "received_at", *ORDER_KEY))
+    scanned = ordered_scan(base, n, list(GROUP), [F.col("received_at").asc_nulls_last(), *[F.col(c).asc() for c in ORDER_KEY]],
                            {"_demand_through": "requested_quantity"}, cfg, force_distributed=strategy == "distributed")
     stock = daily_stock(inventory).select(F.struct(*GROUP).alias("_slot"), "stock")
     scanned = lookup_join(scanned.withColumn("_slot", F.struct(*GROUP)), stock, "_slot", "left")
@@ -44,4 +52,4 @@ def allocate_stock(lines: DataFrame, inventory: DataFrame, strategy: str = "auto
     status = (F.when(allocated == F.col("requested_quantity"), F.lit("full"))
               .when(allocated > 0, F.lit("partial")).otherwise(F.lit("short")))
     return scanned.select(
-        *ORDER_KEY, *GROUP, s.alias("stock"), allocated.alias("allocated_quantity"), status.alias("allocation_status"))
+        *ORDER_KEY, *GROUP, "received_at", s.alias("stock"), allocated.alias("allocated_quantity"), status.alias("allocation_status"))

@@ -179,6 +179,7 @@ def rank_and_order(
     descending: bool = True,
     strategy: str = "auto",
     cfg: RankConfig = DEFAULT,
+    rows: int | None = None,
 ) -> DataFrame:
     """Window measures over ``measure`` (descending by default).
 
@@ -189,7 +190,7 @@ def rank_and_order(
 
     ``strategy``: ``builtin`` (plain windows), ``distributed`` (force the partitioned
     path, used by tests) or ``auto`` (built-in only while the frame has at most
-    ``cfg.small_rows`` rows).
+    ``cfg.small_rows`` rows). ``rows``: the row count of a frame that is materialised already.
     """
     cfg = session_config(df.sparkSession, cfg)
     ranks, ntiles, running_sums = ranks or {}, ntiles or {}, running_sums or {}
@@ -209,7 +210,7 @@ def rank_and_order(
             out = out.withColumn(name, F.sum(src).over(run))
         return out
 
-    base, n = _materialize(df)
+    base, n = _materialize(df) if rows is None else (df, rows)
     if strategy == "auto" and n <= cfg.small_rows:
         return rank_and_order(base, measure, tie, ranks=ranks, ntiles=ntiles, running_sums=running_sums,
                               descending=descending, strategy="builtin", cfg=cfg)

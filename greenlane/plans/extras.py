@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import safe_pct, week_start
+from ..operators.duplicates import duplicate_orders
+from ..operators.intervals import open_intervals, runs_of_days
 from .core import Warehouse
 
 
@@ -61,3 +63,28 @@ def orders_missing_items(w: Warehouse) -> DataFrame:
     """Cleaned orders with no line at all."""
     return w.fct_orders.where(F.col("line_count") == 0).select(
         "order_id", "customer_id", "order_date", "cleaning_status", "header_total_items")
+
+
+def overdue_deliveries(w: Warehouse, strategy: str = "auto") -> DataFrame:
+    """Per driver, how many late deliveries there were, and the most that were overdue (due, not yet there) at once, first when."""
+    late = w.fct_deliveries.where("driver_worker_id IS NOT NULL AND scheduled_at < delivered_at")
+    spans = late.select("driver_worker_id", F.col("scheduled_at").alias("begins_at"), F.col("delivered_at").alias("ends_at"))
+    peak = open_intervals(spans, "driver_worker_id", strategy).groupBy("driver_worker_id").agg(F.min(F.struct((-F.col("open")).alias("open"), "at")).alias("p"))
+    counts = late.groupBy("driver_worker_id", "driver_name").agg(F.count(F.lit(1)).alias("late_deliveries"))
+    return counts.join(peak, "driver_worker_id").select(
+        "driver_worker_id", "driver_name", "late_deliveries", (-F.col("p.open")).alias("peak_overdue"), F.col("p.at").alias("peak_at"))
+
+
+def stockout_runs(w: Warehouse, strategy: str = "auto") -> DataFrame:
+    """Runs of a product's ordered days on which less was confirmed than requested: first and last day, days, shortage."""
+    days = w.fct_order_items.groupBy("product_id", "product_name", "order_date").agg(
+        F.sum("requested_quantity").alias("requested"), F.sum("confirmed_quantity").alias("confirmed"))
+    days = days.withColumn("short", F.col("confirmed") < F.col("requested"))
+    return runs_of_days(days, "product_id", "order_date", "short", strategy).groupBy("product_id", "product_name", "run").agg(
+        F.min("order_date").alias("run_start"), F.max("order_date").alias("run_end"), F.count(F.lit(1)).alias("days"),
+        F.sum(F.col("requested") - F.col("confirmed")).alias("shortage_quantity")).drop("run")
+
+
+def orders_entered_twice(w: Warehouse) -> DataFrame:
+    """Orders that repeat another order of the customer and day line by line."""
+    return duplicate_orders(w.stg_orders, w.stg_order_items)

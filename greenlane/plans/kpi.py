@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import nullif_zero, on_time_flag, pct_unrounded, round_ratio, safe_pct, week_start
-from ..operators.ranking import DEFAULT, RankConfig, rank_and_order
+from ..operators.ranking import DEFAULT, RankConfig, _materialize, rank_and_order
 from .core import Warehouse
 
 # Customer segment labels of the revenue quartiles 1..4 (the mart has an ELSE branch).
@@ -111,15 +111,16 @@ def customer_revenue(order_facts: DataFrame) -> DataFrame:
 
 
 def kpi_customer_revenue(w: Warehouse, strategy: str = "auto", cfg: RankConfig = DEFAULT) -> DataFrame:
-    revenue = customer_revenue(w.order_facts)
+    # one row per customer, written once: ranked and totalled from there, so the facts are read once
+    revenue, n = _materialize(customer_revenue(w.order_facts))
     ranked = rank_and_order(
         revenue, "revenue", "customer_id",
         ranks={"overall_rank": [], "rank_within_market": ["market_type"]},
         ntiles={"revenue_quartile": 4},
         running_sums={"_running_revenue": "revenue"},
-        strategy=strategy, cfg=cfg,
+        strategy=strategy, cfg=cfg, rows=n,
     )
-    # SUM(revenue) OVER () as one scalar over the frame before ranking: no single-partition window, no second ranking
+    # SUM(revenue) OVER () as one scalar: no single-partition window, no second ranking
     total = revenue.agg(F.sum("revenue")).scalar()
     segment = segment_label("revenue_quartile", MART_SEGMENTS, with_else=True)
     return ranked.select(

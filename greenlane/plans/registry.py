@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
 from ..operators import writes
-from ..operators.allocation import allocate_stock
+from ..operators.allocation import allocate_stock, with_received_time
+from ..operators.fuzzy import resolve_customers_fuzzy
 from ..operators.partitioned import PartitionedTable
 from ..operators.ranking import _materialize, ordered_scan
-from . import extras, kpi
+from . import extras, kpi, layout
 from .core import Warehouse
+from .distinct import weekly_customers
 
 # Fixed replay time of the inventory upsert example, so that the run is deterministic.
 UPSERT_NOW = "2024-02-01 00:00:00"
@@ -108,9 +112,87 @@ def customer_order_history(w: Warehouse, distributed: bool = False) -> DataFrame
 
 def stock_allocation(w: Warehouse, strategy: str = "auto") -> DataFrame:
     lines = w.fct_order_items.select("order_item_id", "order_id", "product_id", "order_date", "requested_quantity")
-    return allocate_stock(lines, w.stg_inventory, strategy)
+    return allocate_stock(with_received_time(lines, w.stg_orders, w.stg_incoming_orders_raw), w.stg_inventory, strategy)
+
+
+def reentered_orders(w: Warehouse) -> Warehouse:
+    """The warehouse with orders entered again under a negative id: every 50th as it was, others with a price or the date changed."""
+    def again(df: DataFrame) -> DataFrame:
+        return df.where("order_id % 50 IN (0, 10, 25)").withColumn("order_id", -F.col("order_id"))
+
+    orders = again(w.src.orders_cleaned).withColumn("order_date", F.expr("CASE WHEN order_id % 50 = -10 THEN date_add(order_date, 1) ELSE order_date END"))
+    items = again(w.src.order_items).withColumn("unit_price", F.expr("CAST(CASE WHEN order_id % 50 = -25 THEN unit_price + 1 ELSE unit_price END AS decimal(10,2))"))
+    return Warehouse(w.src.with_table("orders_cleaned", w.src.orders_cleaned.unionByName(orders)).with_table("order_items", w.src.order_items.unionByName(items)))
+
+
+def misspelt_raw_orders(w: Warehouse) -> DataFrame:
+    """Staged raw orders of which some names lost a letter, a digit or its case, got a wrong letter, or are of no customer."""
+    name = F.expr("""CASE raw_order_id % 45 WHEN 1 THEN concat(substr(customer_name_raw, 1, 2), substr(customer_name_raw, 4))
+        WHEN 2 THEN upper(customer_name_raw) WHEN 3 THEN concat('K', substr(customer_name_raw, 2, 2), 'x', substr(customer_name_raw, 5))
+        WHEN 4 THEN substr(customer_name_raw, 1, length(customer_name_raw) - 1) WHEN 5 THEN concat('Walk-in ', raw_order_id) ELSE customer_name_raw END""")
+    return w.stg_incoming_orders_raw.withColumn("customer_name_raw", name)
+
+
+def stale_market_split(w: Warehouse) -> DataFrame:
+    """D9 / J10 on marts of different builds: the market split lacks the orders of the last days, so the totals differ."""
+    old = Warehouse(w.src.with_table("orders_cleaned", w.src.orders_cleaned.where(F.col("order_date") < F.lit(STALE_FROM).cast("date"))))
+    return dq.revenue_ties_out(kpi.kpi_revenue_by_market(old), kpi.kpi_overview(w))
+
+
+def _scratch(w: Warehouse, name: str) -> str:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(w.stg_orders.sparkSession).rstrip('/')}/greenlane-{name}-{uuid.uuid4().hex}"
+
+
+def bucketed_order_fulfilment(w: Warehouse) -> DataFrame:
+    """J1, J6 on the bucketed core."""
+    root = _scratch(w, "bucketed")
+    buckets = int(w.stg_orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return layout.order_fulfilment(layout.write_bucketed_core(w, root, f"core_{root[-12:]}", buckets))
+
+
+def customer_history_lookup(w: Warehouse) -> DataFrame:
+    """The orders of given customers (those whose id is divisible by 100), read from the table sorted by customer."""
+    path = _scratch(w, "lookup")
+    layout.write_lookup(w.stg_orders.select("customer_id", "order_id", "order_date", "order_status", "total_value"), path, "customer_id", ("order_id",))
+    given = w.stg_customers.where("customer_id % 100 = 0").select("customer_id")
+    return layout.read_keys(w.stg_orders.sparkSession, path, "customer_id", given)
+
+
+def loaded_tables(w: Warehouse) -> DataFrame:
+    """All tables loaded in upper case into an empty folder, with the rows reported and those read back."""
+    from ..sources.io import load_tables
+
+    spark, root = w.stg_orders.sparkSession, _scratch(w, "landing")
+    report = load_tables(w.src, root, upper_case=True)
+    parts = [spark.read.parquet(f"{root}/{t}").agg(F.lit(t).alias("table_name"), F.lit(n).cast("long").alias("rows_reported"), F.count(F.lit(1)).alias("rows_read"))
+             for t, n in report.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def exported_customers(w: Warehouse) -> DataFrame:
+    """The customer dimension exported as CSV with a header, read back with the landing schema's types."""
+    from ..sources.io import export_csv, read_table
+
+    path = _scratch(w, "csv")
+    export_csv(w.src.customers, path)
+    return read_table(w.stg_orders.sparkSession, path, "customers", "csv").select("customer_id", "customer_name", "market_type", "region", "signup_date", "is_active")
+
+
+def built_marts(w: Warehouse) -> DataFrame:
+    """Core and marts written as tables, then the checks on what was written that would stop the build, and those that only warn."""
+    from .build import build
+
+    spark, root = w.stg_orders.sparkSession, _scratch(w, "build")
+    build(spark, w.src, root)
+    return spark.read.parquet(f"{root}/checks").where("status <> 'pass'").select("check_name", "severity", "status", "violations")
 
 
+# First day that the stale market split lacks.
+STALE_FROM = "2001-07-01"
 # Fixed split point of the incremental example: rows updated before it form the initial load.
 INCREMENTAL_CUTOFF = "1998-06-01 00:00:00"
 
@@ -184,6 +266,7 @@ EXTRA_QUERIES = {
     # branches that the plain test tables never take
     "fct_orders_corrected_headers": lambda w: corrected_headers(w).fct_orders,
     "dq_overconfirmed_lines": overconfirmed_lines,
+    "dq_stale_market_split": stale_market_split,
     # the range-partitioned ranking path, whatever the frame's size
     "kpi_customer_revenue_distributed": lambda w: kpi.kpi_customer_revenue(w, strategy="distributed"),
     "kpi_product_demand_distributed": lambda w: kpi.kpi_product_demand(w, strategy="distributed"),
@@ -197,7 +280,20 @@ EXTRA_QUERIES = {
     "x6_labor_by_order": extras.labor_by_order,
     "x7_stockout_frequency": extras.stockout_frequency,
     "x7_delivery_bottlenecks": extras.delivery_bottlenecks,
+    "x7_overdue_deliveries": extras.overdue_deliveries,
+    "x7_overdue_deliveries_distributed": lambda w: extras.overdue_deliveries(w, "distributed"),
+    "x7_stockout_runs": extras.stockout_runs,
+    "x7_stockout_runs_distributed": lambda w: extras.stockout_runs(w, "distributed"),
     "x8_orders_missing_items": extras.orders_missing_items,
+    "x8_duplicate_orders": lambda w: extras.orders_entered_twice(reentered_orders(w)),
+    "resolved_raw_orders_fuzzy": lambda w: resolve_customers_fuzzy(misspelt_raw_orders(w), w.stg_customers),
+    "weekly_customers": weekly_customers,
+    # layouts, loads, builds
+    "bucketed_order_fulfilment": bucketed_order_fulfilment,
+    "customer_history_lookup": customer_history_lookup,
+    "loaded_tables": loaded_tables,
+    "exported_customers": exported_customers,
+    "built_marts": built_marts,
     # incremental and streaming
     "x1_incremental_weekly_fill_rate": incremental_weekly_fill_rate,
     "x2_streaming_daily_on_time": streaming_daily_on_time,

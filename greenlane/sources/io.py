@@ -117,4 +117,6 @@ def load_tables(src: Tables, root: str, selected: Iterable[str] | None = None, u
 def export_csv(df: DataFrame, path: str, one_file_rows: int = 100_000) -> None:
     """CSV export with a header; one file up to ``one_file_rows`` rows, beyond that one per partition."""
     small = df.limit(one_file_rows + 1).count() <= one_file_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).option("escape", '"')
+    # values keep their blanks: the writer's defaults would trim them
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

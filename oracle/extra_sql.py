@@ -87,8 +87,9 @@ FROM t FULL OUTER JOIN b ON t.product_id = b.product_id AND t.inventory_date = b
 ALLOC_CTES = dict(
     stock="SELECT product_id, inventory_date AS order_date, sum(available_quantity) AS stock FROM stg_inventory GROUP BY 1, 2",
     sc="""SELECT product_id, order_date, order_id, order_item_id, requested_quantity,
-  sum(requested_quantity) OVER (PARTITION BY product_id, order_date ORDER BY order_id, order_item_id, requested_quantity
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS thru FROM fct_order_items""",
+  received_at, sum(requested_quantity) OVER (PARTITION BY product_id, order_date ORDER BY received_at NULLS LAST, order_id, order_item_id, requested_quantity
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS thru
+FROM fct_order_items LEFT JOIN (SELECT order_id, received_at FROM stg_orders JOIN stg_incoming_orders_raw USING (raw_order_id)) USING (order_id)""",
     al="""SELECT sc.*, coalesce(s.stock, 0) AS stk,
   least(greatest(coalesce(s.stock, 0) - (thru - requested_quantity), 0), requested_quantity) AS alloc
 FROM sc LEFT JOIN stock s USING (product_id, order_date)""",
@@ -167,7 +168,7 @@ FROM (SELECT * REPLACE (if(delivery_id % 11 = 0, scheduled_at + INTERVAL 1 DAY,
         "CAST(row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC) AS BIGINT) AS order_seq "
         "FROM stg_orders"),
     "x3_stock_allocation": query(
-        f"""SELECT order_date, order_id, order_item_id, {dbl('requested_quantity')} AS requested_quantity, product_id,
+        f"""SELECT order_date, order_id, order_item_id, {dbl('requested_quantity')} AS requested_quantity, product_id, received_at,
   {dbl('stk')} AS stock, {dbl('alloc')} AS allocated_quantity,
   CASE WHEN alloc = requested_quantity THEN 'full' WHEN alloc > 0 THEN 'partial' ELSE 'short' END AS allocation_status FROM al""",
         **ALLOC_CTES),
@@ -216,6 +217,80 @@ FROM (SELECT CAST(dayofweek(scheduled_date) + 1 AS BIGINT) AS weekday, CAST(hour
   {dbl('if(fix, 0, header_value_variance)')} AS header_value_variance, if(fix, 'reconciled', reconciliation_status) AS reconciliation_status
 FROM (SELECT *, order_id % 5 = 0 AND line_count > 0 AS fix FROM fct_orders)"""),
 }
+EXTRA |= {
+    "x7_overdue_deliveries": query(
+        """SELECT driver_worker_id, driver_name, CAST(n_late AS BIGINT) AS late_deliveries, CAST(peak AS BIGINT) AS peak_overdue, peak_at FROM
+  (SELECT driver_worker_id, driver_name, count(*) AS n_late FROM late GROUP BY 1, 2) JOIN
+  (SELECT driver_worker_id, max(n_open) AS peak, min(moment) FILTER (WHERE n_open = top) AS peak_at
+   FROM (SELECT *, max(n_open) OVER (PARTITION BY driver_worker_id) AS top FROM swept) GROUP BY 1) USING (driver_worker_id)""",
+        late="SELECT * FROM fct_deliveries WHERE driver_worker_id IS NOT NULL AND delivered_at > scheduled_at",
+        steps="SELECT driver_worker_id, scheduled_at AS moment, 1 AS step FROM late UNION ALL SELECT driver_worker_id, delivered_at, -1 FROM late",
+        swept="SELECT driver_worker_id, moment, sum(sum(step)) OVER (PARTITION BY driver_worker_id ORDER BY moment) AS n_open FROM steps GROUP BY 1, 2"),
+    "x7_stockout_runs": query(
+        f"""SELECT product_id, product_name, min(order_date) AS run_start, max(order_date) AS run_end, CAST(count(*) AS BIGINT) AS days,
+  {dbl('sum(rq - cq)')} AS shortage_quantity FROM
+  (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY order_date) - row_number() OVER (PARTITION BY product_id, cq < rq ORDER BY order_date) AS island FROM d)
+WHERE cq < rq GROUP BY product_id, product_name, island""",
+        d="""SELECT product_id, product_name, order_date, sum(requested_quantity) AS rq, sum(confirmed_quantity) AS cq
+FROM fct_order_items GROUP BY 1, 2, 3"""),
+    "x8_duplicate_orders": query(
+        """SELECT * FROM (SELECT order_id, min(order_id) OVER (PARTITION BY customer_id, order_date, lines) AS duplicate_of, customer_id, order_date,
+  CAST(len(lines) AS BIGINT) AS line_count FROM heads JOIN sorted_lines USING (order_id)) WHERE order_id <> duplicate_of""",
+        heads="""SELECT DISTINCT order_id, customer_id, order_date FROM stg_orders UNION ALL
+SELECT DISTINCT -order_id, customer_id, if(order_id % 50 = 10, order_date + 1, order_date) FROM stg_orders WHERE order_id % 50 IN (0, 10, 25)""",
+        every_line="""SELECT order_id, product_id, requested_quantity, unit_price FROM stg_order_items UNION ALL
+SELECT -order_id, product_id, requested_quantity, if(order_id % 50 = 25, unit_price + 1, unit_price) FROM stg_order_items WHERE order_id % 50 IN (0, 10, 25)""",
+        sorted_lines="""SELECT order_id, list_sort(list(CAST(product_id AS VARCHAR) || '/' || CAST(requested_quantity AS VARCHAR) || '/' || CAST(CAST(unit_price AS DECIMAL(12,2)) AS VARCHAR))) AS lines
+FROM every_line GROUP BY 1"""),
+    "resolved_raw_orders_fuzzy": query(
+        """SELECT raw_order_id, customer_name_raw, CAST(received_at AS DATE) AS order_date,
+  CASE WHEN e.customer_id IS NOT NULL THEN e.customer_id WHEN b.near = 1 THEN b.customer_id END AS customer_id,
+  CASE WHEN e.customer_id IS NOT NULL THEN lower(trim(customer_name_raw)) ELSE b.target END AS matched_name,
+  CAST(CASE WHEN e.customer_id IS NOT NULL THEN 0 ELSE b.distance END AS BIGINT) AS distance,
+  CASE WHEN e.customer_id IS NOT NULL THEN 'exact' WHEN b.near = 1 THEN 'fuzzy' WHEN b.near > 1 THEN 'review' ELSE 'unknown' END AS resolution
+FROM raw_names LEFT JOIN (SELECT customer_name, min(customer_id) AS customer_id FROM stg_customers WHERE is_active GROUP BY 1) e ON e.customer_name = customer_name_raw
+LEFT JOIN best b ON b.name = lower(trim(customer_name_raw))""",
+        raw_names="""SELECT * REPLACE (CASE raw_order_id % 45 WHEN 1 THEN substr(customer_name_raw, 1, 2) || substr(customer_name_raw, 4)
+  WHEN 2 THEN upper(customer_name_raw) WHEN 3 THEN 'K' || substr(customer_name_raw, 2, 2) || 'x' || substr(customer_name_raw, 5)
+  WHEN 4 THEN substr(customer_name_raw, 1, length(customer_name_raw) - 1) WHEN 5 THEN 'Walk-in ' || raw_order_id ELSE customer_name_raw END AS customer_name_raw)
+FROM stg_incoming_orders_raw""",
+        masters="SELECT lower(trim(customer_name)) AS target, min(customer_id) AS customer_id FROM stg_customers WHERE is_active GROUP BY 1",
+        strange="""SELECT DISTINCT lower(trim(customer_name_raw)) AS name FROM raw_names
+WHERE customer_name_raw NOT IN (SELECT customer_name FROM stg_customers WHERE is_active) AND trim(customer_name_raw) <> ''""",
+        pairs="""SELECT * FROM (SELECT name, target, customer_id, levenshtein(name, target) AS distance FROM strange JOIN masters
+  ON abs(length(name) - length(target)) <= 2) WHERE distance <= CASE WHEN length(name) < 4 THEN 0 WHEN length(name) < 8 THEN 1 ELSE 2 END""",
+        best="""SELECT name, distance, min(target) AS target, min_by(customer_id, target) AS customer_id, count(*) AS near FROM pairs
+WHERE distance = (SELECT min(distance) FROM pairs p WHERE p.name = pairs.name) GROUP BY 1, 2"""),
+    "weekly_customers": query(
+        """SELECT order_week AS week_start, market_type, CAST(count(DISTINCT customer_id) FILTER (WHERE of_week = order_week) AS BIGINT) AS customers,
+  CAST(count(DISTINCT customer_id) AS BIGINT) AS customers_rolling
+FROM (SELECT DISTINCT order_week, market_type FROM f) JOIN (SELECT order_week AS of_week, market_type, customer_id FROM f) USING (market_type)
+WHERE of_week BETWEEN order_week - 21 AND order_week GROUP BY 1, 2""",
+        f="""SELECT DISTINCT order_week, market_type, customer_id FROM fct_order_items UNION ALL
+SELECT DISTINCT order_week, 'all', customer_id FROM fct_order_items"""),
+    "bucketed_order_fulfilment": query(
+        f"""SELECT order_id, order_status, order_date, CAST(n AS BIGINT) AS line_count, {dbl('rq')} AS requested_quantity, {dbl('cq')} AS confirmed_quantity,
+  CAST(coalesce(m, 0) AS BIGINT) AS deliveries, last_delivered_at FROM stg_orders
+JOIN (SELECT order_id, count(*) AS n, sum(requested_quantity) AS rq, sum(coalesce(confirmed_quantity, 0)) AS cq FROM stg_order_items GROUP BY 1) USING (order_id)
+LEFT JOIN (SELECT order_id, count(*) AS m, max(delivered_at) AS last_delivered_at FROM stg_deliveries GROUP BY 1) USING (order_id)"""),
+    "customer_history_lookup": query(
+        f"""SELECT customer_id, order_id, order_date, order_status, {dbl('total_value')} AS total_value FROM stg_orders
+WHERE customer_id IN (SELECT customer_id FROM stg_customers WHERE customer_id % 100 = 0)"""),
+    "loaded_tables": query(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows_reported, CAST(count(*) AS BIGINT) AS rows_read FROM {model}"
+        for name, model in (("customers", "raw_customers"), ("suppliers", "raw_suppliers"), ("workers", "raw_workers"), ("products", "raw_products"),
+                            ("inventory", "raw_inventory"), ("incoming_orders_raw", "raw_incoming_orders"), ("orders_cleaned", "raw_orders"),
+                            ("order_items", "raw_order_items"), ("prep_lists", "raw_prep_lists"), ("deliveries", "raw_deliveries"), ("worker_shifts", "raw_worker_shifts")))),
+    "exported_customers": query("SELECT customer_id, customer_name, market_type, region, signup_date, is_active FROM raw_customers"),
+    "built_marts": query(f"""SELECT check_name, severity, status, violations FROM (
+{summary_sql([*checks.STAGING_CHECKS, *checks.CORE_CHECKS, *checks.KPI_CHECKS])}) WHERE status <> 'pass'"""),
+    "dq_stale_market_split": query(
+        f"""SELECT {dbl('by_market')} AS by_market, {dbl('overview')} AS overview FROM (SELECT
+  (SELECT sum(round(rev, 2)) FROM (SELECT sum(confirmed_revenue) AS rev FROM fct_order_items WHERE order_date < DATE '2001-07-01' GROUP BY market_type)) AS by_market,
+  (SELECT round(sum(confirmed_revenue), 2) FROM fct_order_items) AS overview)"""),
+}
+for _same in ("x7_overdue_deliveries", "x7_stockout_runs"):
+    EXTRA[f"{_same}_distributed"] = EXTRA[_same]
 for _same in ("kpi_customer_revenue", "kpi_product_demand", "kpi_driver_productivity"):
     EXTRA[f"{_same}_distributed"] = KPI[_same]
 for _same in ("customer_order_history", "x3_stock_allocation"):
