@@ -10,9 +10,9 @@ read as binary files, so any file system that Spark writes to will do. Rows are
 text, row), so neither one doc_id nor copies of one row fall to one task. A shard ends with the document that fills
 it; positions over all shards come from the totals of the partitions that wrote them.
 
-Encoding: where the pre-tokenizer is the byte-level one without a prefix space or normalizer, no token crosses a single space
-between two other characters that are no white space, nor a single line feed between such, so a text is cut there and each
-distinct unit encoded once; other tokenizers get whole texts. The strings of special tokens in a text become their ids.
+Encoding: where the pre-tokenizer is the byte-level one without a prefix space or normalizer, no token crosses the place before a
+single space, or around a single line feed, between characters that are no white space, nor that between a letter and a mark
+such as a comma, so a text is cut there and each distinct unit encoded once; other tokenizers get whole texts. The strings of special tokens in a text become their ids.
 
 Defined cases: null texts are empty and yield the end id alone; a null doc_id comes first; rows of one doc_id are ordered by the
 hash of their texts; an empty table writes no shard and reads as no rows; other columns are ignored; doc_ids are integers.
@@ -45,7 +45,9 @@ SHARD_TOKENS = 1 << 21
 CHUNK_WORDS = 1 << 12
 CHUNK_BITS = 64 * CHUNK_WORDS
 #: Distinct units kept encoded in a worker; beyond it the memory starts anew.
-UNITS_KEPT = 400_000
+UNITS_KEPT = 600_000
+#: Texts are encoded in batches of up to so many rows and, unless of one row, bytes.
+BATCH_ROWS, BATCH_BYTES = 8192, 8 << 20
 LEVEL = 1
 HEAD = struct.Struct("<4sHHQ")  # magic, version, unused, bytes of the JSON that follows
 
@@ -62,43 +64,63 @@ class Encoder:
         self.tokenizer = Tokenizer.from_buffer(content)
         spec = json.loads(content)
         first = spec.get("pre_tokenizer") or {}
-        spaced = any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
-        self.cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer") and not spaced
-        self.known: dict[str, bytes] = {}
-
-    def units(self, text: str) -> list[str]:
-        """The text cut before single spaces and around single line feeds that stand between other characters."""
-        if not self.cuts:
-            return [text]
-        out: list[str] = []
-        for k, line in enumerate(_LINE_FEED.split(text)):
-            if k:
-                out.append("\n")
-            words = line.split(" ")
-            if all(words) and line.split() == words:
-                out.append(words[0])
-                out += [" " + w for w in words[1:]]
-            else:
-                out += _UNIT.split(line)
-        return out
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.units(t) for t in texts]
+        special = any(re.search(r"[\s.,;:!?]", t["content"]) or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
+        self.cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer") and not special
+        self.known: dict[bytes, bytes] = {}
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and where each text's begin (and the last ends)."""
+        units, starts = cut_units(texts.cast(pa.large_binary()), self.cuts)
+        units = units.dictionary_encode()
+        distinct = units.dictionary.to_pylist()
         if len(self.known) > UNITS_KEPT:
             self.known = {}
-        new = list({u for units in cut for u in units if u not in self.known})
+        found = list(map(self.known.get, distinct))
+        new = [k for k, ids in enumerate(found) if ids is None]
         for at in range(0, len(new), 4096):
             part = new[at: at + 4096]
-            for unit, enc in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[unit] = np.array(enc.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, units)) for units in cut]
+            for k, enc in zip(part, self.tokenizer.encode_batch_fast([distinct[k].decode() for k in part], add_special_tokens=False), strict=True):
+                self.known[distinct[k]] = found[k] = struct.pack(f"<{len(enc.ids)}I", *enc.ids)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, begins = np.frombuffer(b"".join(found), "<u4"), np.concatenate([[0], np.cumsum(sizes)])
+        which = units.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[which])])
+        at = np.repeat(begins[which] - ends[:-1], sizes[which]) + np.arange(ends[-1])
+        return flat[at], ends[starts]
+
 
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: First bytes of the characters among which the other kinds of white space are.
+_MAYBE_WHITE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
 
-#: Cuts: around a line feed, and before a space, with no white space next to it.
-_LINE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
-_UNIT = re.compile(r"(?<=\S)(?= \S)")
+
+def cut_units(texts: pa.Array, cuts: bool) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts, and the number of the first unit of each text (and the end).
+
+    Cut before a space and around a line feed with no white space next to it, and between an ASCII letter and a mark.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+    size, buffer = int(offsets[-1] - offsets[0]), texts.buffers()[2]
+    data = np.frombuffer(buffer, np.uint8)[offsets[0]: offsets[-1]] if size else np.zeros(0, np.uint8)
+    ends = offsets - offsets[0]
+    first = np.zeros(size + 1, bool)
+    if cuts and size:
+        padded = np.concatenate([np.full(3, 32, np.uint8), data, np.full(1, 32, np.uint8)])  # data[i] is padded[i + 3]
+        at = np.flatnonzero((data == 32) | (data == 10))
+        before, after = padded[at + 2], padded[at + 4]
+        wide = _MAYBE_WHITE[padded[at + 1]] | (padded[at + 1] >> 6 == 2) & _MAYBE_WHITE[padded[at]]
+        edge = np.zeros(size + 1, bool)
+        edge[ends] = True
+        at = at[~(_WHITE[before] | (before >= 128) & wide | _WHITE[after] | _MAYBE_WHITE[after] | edge[at] | edge[at + 1])]
+        first[at] = True
+        first[at[data[at] == 10] + 1] = True
+        first[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+    first[ends] = True
+    places = np.flatnonzero(first)
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)]) if size else pa.array([], pa.large_binary())
+    return units, np.searchsorted(places, ends)
 
 
 @functools.lru_cache(2)
@@ -212,23 +234,24 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_
     """Encode ``docs`` with the tokenizer file and write shard files to ``path``; the file is read on the driver and sent along."""
     with open(tokenizer, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = encoder(content.value).ids, TaskContext.get().partitionId()
+        encode, part = encoder(content.value).encoded, TaskContext.get().partitionId()
         seq, before, doc_ids, lengths, ids, full = 0, 0, [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([packed(doc_ids, lengths, np.frombuffer(b"".join(ids), "<u4"), part, seq, before)], pa.binary())], names=["value"])
+            return pa.RecordBatch.from_arrays([pa.array([packed(doc_ids, lengths, np.concatenate(ids), part, seq, before)], pa.binary())], names=["value"])
 
         for batch in batches:
-            for rows in slices(batch, 512, 1 << 20):
-                for doc_id, found in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text").to_pylist()), strict=True):
+            for rows in slices(batch, BATCH_ROWS, BATCH_BYTES):
+                found, cuts = encode(rows.column("text"))
+                for doc_id, a, b in zip(rows.column("doc_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                     doc_ids.append(doc_id)
-                    lengths.append(len(found) // 4 + 1)
-                    ids += [found, end]
+                    lengths.append(b - a + 1)
+                    ids += [found[a:b], end]
                     full += lengths[-1]
                     if full >= shard_tokens:
                         yield closed()

@@ -56,7 +56,7 @@ class WaveletMatrix:
     def of(cls, values: np.ndarray, bits: int | None = None) -> WaveletMatrix:
         """The matrix of an array; ``bits`` as many as its largest value needs, unless given."""
         bits = bits or max(1, int(values.max(initial=0)).bit_length())
-        planes, now = [], values.astype(np.uint32 if bits <= 32 else np.uint64)
+        planes, now = [], values.astype(np.uint16 if bits <= 16 else np.uint32 if bits <= 32 else np.uint64)
         for b in reversed(range(bits)):
             ones = (now >> b) & 1 == 1
             planes.append(Plane.of(ones))
@@ -65,7 +65,7 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """All values in order: the planes are dealt back from the lowest bit."""
-        out = np.zeros(self.size, np.uint64 if len(self.planes) > 32 else np.uint32)
+        out = np.zeros(self.size, np.uint16 if len(self.planes) <= 16 else np.uint32 if len(self.planes) <= 32 else np.uint64)
         for depth in reversed(range(len(self.planes))):
             ones = self.planes[depth].bits().view(bool)
             dealt = np.empty_like(out)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -35,18 +36,22 @@ def test_units_give_the_ids_of_whole_texts(tokenizer, sf_texts):
         enc = B.Encoder(f.read())
     assert enc.cuts
     r = random.Random(1)
-    bits = [" ", "  ", "\n", "\n\n", "\r\n", "\t", "a", "It's", "don't", "12", "x1", "é", "漢字", "...", "<|endoftext|>", " ", " ", "\u0085", "\x1c", "'", "😀", "\x0b", "I'll ", " ’s"]
-    texts = ["".join(r.choice(bits) for _ in range(r.randrange(25))) for _ in range(4000)] + [t or "" for _, t in sf_texts]
+    bits = [" ", "  ", "\n", "\n\n", "\r\n", "\t", "a", "It's", "don't", "12", "x1", "é", "漢字", "...", "<|endoftext|>", "\u00a0", "\u3000", "\u2003", "\u0085", "\x1c", "'", "😀", "\x0b", "I'll ", " ’s", "à", "b,", ".", "?!", "\u1680"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(25))) for _ in range(6000)] + [t or "" for _, t in sf_texts]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(b, "<u4").tolist() for b in enc.ids(texts)]
-    assert got == want
-    assert all("".join(enc.units(t)) == t for t in texts)
+    for _ in range(2):  # the second time every unit is known
+        for array in (pa.array(texts), pa.array(["x", *texts])[1:], pa.array([""])):
+            ids, cuts = enc.encoded(array)
+            assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:], strict=False)] == (want if len(array) > 1 else [[]])
+    units, starts = B.cut_units(pa.array(["It is, or\nis not", "", "so"], pa.large_binary()), True)
+    assert units.to_pylist() == [b"It", b" is", b",", b" or", b"\n", b"is", b" not", b"so"] and starts.tolist() == [0, 7, 7, 8]
 
 
 def test_other_tokenizers_get_whole_texts():
     with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
         enc = B.Encoder(f.read())
-    assert not enc.cuts and enc.units("a b") == ["a b"]
+    ids, cuts = enc.encoded(pa.array(["a b", "c"]))
+    assert not enc.cuts and cuts[-1] == len(ids) == 3
 
 
 @pytest.mark.parametrize("chunk_words", [1, 3, 1 << 12])
