@@ -20,8 +20,8 @@ So every pair of a bucket is confirmed, refuted, or already in one component. Co
 pointer doubling (a node's best pivot is smaller than itself, so the first links are a forest), then from
 alternating large-star and small-star steps, on written tables.
 
-Defined cases: null or blank texts have an empty set, no link, and are kept; rows repeated under one
-doc_id have one component; null doc_ids never name a component unless all its rows have none, and such rows are kept;
+Defined cases: null or blank texts have an empty set, no link, and are kept; equal texts repeated under one
+doc_id have one component, different texts under one doc_id each have their own; null doc_ids never name a component unless all its rows have none, and such rows are kept;
 ties take the smallest doc_id; other columns are ignored (``kept_documents`` returns them).
 """
 
@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from greenlane.llm.common import dropped, map_batches, table, written
 
@@ -280,36 +281,60 @@ def linked(docs: DataFrame, sketches: DataFrame, width: int, threshold: int) ->
     return nodes, grown(links, labels, more, sets, threshold)[1]
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document.
-
-    Documents are linked where 100 * common >= threshold * union of their sets of ``width``-word shingles.
-    """
+def classes(docs: DataFrame, width: int, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, node (hash of the shingle set), n, root (the class, also where two share a smallest id), component_id of every row."""
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     sketches = written(sketched(texts, width), "dup-sketches")
     nodes, labels = linked(texts, sketches, width, threshold)
     named = labels.join(nodes.select("node", "first_id"), "node")
     least = named.groupBy("root").agg(F.min("first_id").alias("component"))
-    named = labels.join(least, "root").select("node", "component")
-    all_nodes = nodes.select("node", "first_id").join(named, "node", "left").select("node", F.coalesce("component", "first_id").alias("component"))
+    named = labels.join(least, "root")
+    all_nodes = nodes.select("node", "first_id").join(named, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("component", "first_id").alias("component"))
     rows = sketches.select("doc_id", "node", "n").join(all_nodes, "node", "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                       (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
+    return rows.select("doc_id", "node", "n", "root", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document.
+
+    Documents are linked where 100 * common >= threshold * union of their sets of ``width``-word shingles.
+    """
+    return classes(docs, width, threshold, id_col, text_col).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+
+
+def row_nodes(docs: DataFrame, width: int) -> DataFrame:
+    """``docs`` with ``dup_node``, the hash of each text's shingle set (null without words); used on rows of few ids only."""
+    at = docs.columns.index("text")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column(at).cast(pa.string()).to_pylist(), width)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], names=[*batch.schema.names, "dup_node"])
+
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("dup_node", T.LongType())]))
 
 
 def kept_documents(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """One document of each component, with all columns; whole rows repeated under one id count once."""
-    judged = written(near_duplicates(docs, width, threshold), "dup-judged")
-    gone = written(judged.filter("not kept").select(F.col("doc_id").alias("other_id")).distinct(), "dup-gone")
-    twice = written(judged.filter("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("other_id")).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("other_id"), "dup-twice")
-    same = lambda df, ids: df["doc_id"].eqNullSafe(ids["other_id"])
-    gone = few(gone)
-    out = docs.join(gone, same(docs, gone), "left_anti")
-    if twice.isEmpty():
+    """One document of each component, with all columns: the one with the smallest doc_id.
+
+    What goes is decided by (doc_id, shingle set), so other texts under the id of a copy stay. Where that id has several
+    texts of the component, the one with the smallest set hash stays; of rows with one id and set, those equal in
+    whole are one and others stay. Rows with a null id or without words are never dropped.
+    """
+    judged = written(classes(docs, width, threshold).filter("n > 0 and doc_id is not null").select("doc_id", "node", "root", (F.col("doc_id") == F.col("component_id")).alias("own")), "dup-judged")
+    per_id = judged.groupBy(F.col("doc_id").alias("other_id")).agg(F.count_if("own").alias("own"), F.count(F.lit(1)).alias("n"))
+    per_id = written(per_id.filter("own = 0 or n > 1"), "dup-gone")
+    same = lambda df, ids: df["doc_id"] == ids["other_id"]
+    copies, several = few(per_id.filter("own = 0").select("other_id")), per_id.filter("own > 0").select("other_id")
+    out = docs.join(copies, same(docs, copies), "left_anti")
+    if several.isEmpty():
         return out
-    twice = few(twice)
-    return out.join(twice, same(out, twice), "left_anti").unionByName(out.join(twice, same(out, twice), "left_semi").dropDuplicates(["doc_id", "text"]))
+    several = few(several)
+    stay = judged.filter("own").groupBy(F.col("doc_id").alias("other_id"), "root").agg(F.min("node").alias("stay")).select("other_id", "stay")
+    mixed = row_nodes(out.join(several, same(out, several), "left_semi"), width)
+    with_words = mixed.join(stay, same(mixed, stay) & (mixed["dup_node"] == stay["stay"]), "left_semi")
+    mixed = with_words.unionByName(mixed.filter(mixed["dup_node"].isNull())).drop("dup_node").dropDuplicates()
+    return out.join(several, same(out, several), "left_anti").unionByName(mixed)
 
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -101,6 +101,21 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark, make_docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 5, 8, 9]
 
 
+def test_other_texts_under_the_id_of_a_copy_stay(spark):
+    """Copies go by id and text; rows that differ beside the text stay; linked texts of one id are one."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near_c = c + " end"
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (5, b, "x"), (7, "t u v w x y z", "x"), (7, "t u v w x y z", "y"), (7, "t u v w x y z", "y"), (8, c, "x"), (8, near_c, "x"),
+            (9, near_c, "x"), (5, "", "x"), (5, None, "x"), (5, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 as node", "2 as other_id").repartition(4)
+    kept = neardup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id, r.text or "", r.source) for r in kept.collect())
+    eights = [g for g in got if g[0] == 8]
+    assert len(eights) == 1 and eights[0][1] in (c, near_c)
+    assert [g for g in got if g[0] != 8] == sorted([(1, a, "x"), (5, b, "x"), (7, "t u v w x y z", "x"), (7, "t u v w x y z", "y"), (5, "", "x"), (5, "", "x")])
+
+
 def test_empty_table(make_docs):
     docs = make_docs(["x"]).limit(0)
     assert neardup.near_duplicates(docs).count() == neardup.kept_documents(docs).count() == 0
