@@ -1,12 +1,15 @@
-"""Benchmark decontamination by hashed word runs. Native.
+"""Benchmark decontamination by spaced-seed hashing. Native.
 
 An item matches a document where the best stretch of ``WINDOW`` successive words of it (the whole item where
-it is shorter) has at least ``SHARE`` percent equal words in place. Words are lower-cased and split at white space.
+it is shorter) has at least ``SHARE`` percent equal words in place. Words are lower-cased and split at white space. Places
+of the stretch before the document's first or after its last word count as words that differ.
 
-The words that may differ cut such a stretch into few runs of equal words, so the longest run has at least
-``least_run`` words: four from 16 words on, two to four below, all words of an item under five. Every run of that
-length of an item, and every run of these lengths of a document, is hashed; so no match is without a hit. Hits are
-joined on the hash and reduced to (document, item, diagonal), and the item's words are laid over each such diagonal.
+Fixed masks choose the words of a seed: a ``1`` takes the word at that place, a ``0`` ignores it. Every placing of a mask on
+an item, and of all masks on a document, is hashed with the mask. The masks of an item depend on how many words of its
+stretch may differ (``SEEDS``); each set is such that, whichever words these are, some mask takes equal words only, so no match is
+without a hit (a test goes through all patterns). Of items under five words no word may differ: their seed is the whole item.
+Hits are joined on the hash and reduced to (document, item, diagonal), and the item's words are laid over each such
+diagonal.
 
 ``MASKS`` and ``SPAN`` are the condition that the SQL puts on a diagonal: one equal word, which every match has.
 
@@ -32,6 +35,8 @@ MASKS = ("1",)
 SPAN = 1
 WINDOW, SHARE = 20, 80
 BROADCAST_ROWS = 500_000
+#: Masks by the number of words that may differ (of 5 to 9, 10 to 14, 15 to 19 and 20 words).
+SEEDS = {1: ("1101", "1011"), 2: ("11101", "1100101"), 3: ("111011", "110100011"), 4: ("111011", "1101011")}
 
 
 def hashed_words(text: Column) -> Column:
@@ -39,19 +44,24 @@ def hashed_words(text: Column) -> Column:
     return F.transform(word_array(F.lower(text)), lambda w: F.xxhash64(w))
 
 
-def least_run(n: int) -> int:
-    """Length that the longest run of equal words has at least in a match with an item of ``n`` words."""
+def may_differ(n: int) -> int:
+    """How many words of the stretch of an item of ``n`` words may differ."""
     size = min(WINDOW, n)
-    equal = -(-SHARE * size // 100)
-    return -(-equal // (size - equal + 1))
+    return size - -(-SHARE * size // 100)
 
 
-def seeds(rows: DataFrame, runs: list[int]) -> DataFrame:
-    """One row (``seed``, ``at``) per place of the array ``words`` and length in ``runs`` that fits there; other columns stay."""
-    least = min(runs)
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks of an item of ``n`` words."""
+    return SEEDS.get(may_differ(n), ("1" * n,))
+
+
+def seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
+    """One row (``seed``, ``at``) per place of the array ``words`` and mask that fits there; other columns stay."""
+    least = min(map(len, masks))
     places = rows.filter(F.size("words") >= least).select("*", F.explode(F.sequence(F.lit(0), F.size("words") - least)).alias("at"))
-    of = lambda n: F.when(F.col("at") + n <= F.size("words"), F.xxhash64(F.lit(n), *[F.get("words", F.col("at") + k) for k in range(n)]))
-    return places.select("*", F.explode(F.array(*[of(n) for n in runs])).alias("seed")).filter(F.col("seed").isNotNull())
+    taken = lambda m: [F.get("words", F.col("at") + k) for k, bit in enumerate(m) if bit == "1"]
+    of = lambda m: F.when(F.col("at") + len(m) <= F.size("words"), F.xxhash64(F.lit(m), *taken(m)))
+    return places.select("*", F.explode(F.array(*[of(m) for m in masks])).alias("seed")).filter(F.col("seed").isNotNull())
 
 
 def _small(df: DataFrame, size: Column | None = None) -> DataFrame:
@@ -74,13 +84,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     ids = F.transform(F.sort_array(F.collect_set(F.struct("item_id"))), lambda i: i["item_id"])
     items = items.groupBy("words").agg(F.min("item_id").alias("item_id"), ids.alias("item_ids"))
     items = written(items.withColumn("item", F.xxhash64("words")), "decontam-items")
-    run = F.get(F.array(*[F.lit(least_run(n)) for n in range(1, WINDOW + 1)]), F.least(F.size("words"), F.lit(WINDOW)) - 1)
-    runs = sorted(r[0] for r in items.select(run).distinct().collect()) or [1]
-    targets = reduce(DataFrame.union, [seeds(items.filter(run == n), [n]) for n in runs])
+    size = F.least(F.size("words"), F.lit(WINDOW))
+    groups: dict[tuple[str, ...], list[int]] = {}
+    for (n,) in items.select(size).distinct().collect():
+        groups.setdefault(masks_of(n), []).append(n)
+    groups = groups or {("1",): [1]}
+    masks = sorted({m for group in groups for m in group}, key=lambda m: (len(m), m))
+    targets = reduce(DataFrame.union, [seeds(items.filter(size.isin(sizes)), list(group)) for group, sizes in groups.items()])
     targets = written(targets.select("seed", "item", F.col("at").alias("item_at")).distinct(), "decontam-seeds")
 
     texts = docs.select(docs[id_col].alias("doc_id"), hashed_words(docs[text_col].cast("string")).alias("words"))
-    hits = seeds(texts, runs).select("doc_id", "at", "seed").join(_small(targets), "seed")
+    hits = seeds(texts, masks).select("doc_id", "at", "seed").join(_small(targets), "seed")
     found = hits.select("doc_id", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     found = written(found, "decontam-hits")
 
