@@ -172,12 +172,12 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the base and the list keep, with all their columns.
 
-    The list is learned from the labelled rows first; it is then an expression over each row's own
-    statistics, so texts are not shuffled and repeated or null ids need no join.
+    The rows are written once with their statistics; the list is learned from these and is then an expression over each row's
+    own, so texts are not shuffled, are judged once, and repeated or null ids need no join.
     """
-    ids = labels.select(F.col("doc_id").alias("label_id")).distinct()
-    rules = learn(statistics(docs.join(ids, docs["doc_id"] == ids["label_id"], "left_semi")), labels)
-    return statistics(docs, carry=True).filter(~F.col("base_failed") & verdict(rules)).select("row.*")
+    rows = written(statistics(docs, carry=True), "rules-rows")
+    narrow = rows.select(F.col("row.doc_id").alias("doc_id"), *[c for c in rows.columns if c not in ("row", "doc_id")])
+    return rows.filter(~F.col("base_failed") & verdict(learn(narrow, labels))).select("row.*")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
