@@ -1,9 +1,13 @@
 """Secret scan and personal data against plain left-to-right searches."""
 
 import hashlib
+import itertools
 import re
+import time
 import zlib
 
+from pyspark.sql import functions as F
+
 from greenlane.llm import pii, queries, secrets
 
 from .conftest import SF
@@ -52,10 +56,32 @@ SECRET_TEXTS = [
 PII_TEXTS = [
     None, "", "a" * 60_000 + "@", "a@b.com_d@e.fr x@y@z.org .@a.b", "1.2.3.4.5.6.7.8 999.1.1.1 001.02.3.255 1.2.3 12.1.1.1.1",
     "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111 4111111111111111", "1" * 40_000, "+1 (456) 555-2186 +123456789012345678 +12 +1+2 345 678 901",
+    "12-34 56 78 90 12 34--12 4111111111111111-4111111111111111 4111 1111 1111 1111 1 04111111111111111 4111111111111111  4111-1111 1111-1111",
     "é" * 10 + " mail: é.x@b.co\n+49 30 123456 \n 4111111111111111é", "+1" + " (" * 20_000, "0" * 300 + "1.1.1.1",
 ]
 
 
+def test_running_sums(spark):
+    r = __import__("random").Random(1)
+    rows = [(n, [r.randrange(9) for _ in range(n)]) for n in (0, 1, 2, 7, 8, 9, 26, 27, 28, 63, 64, 65, 200)]
+    out = spark.createDataFrame(rows, "n int, a array<int>").select("a", pii.running_sums(F.col("a")).alias("s")).collect()
+    assert all(x.s == list(itertools.accumulate(x.a)) for x in out)
+
+
+def test_long_texts_full_of_numbers(make_docs):
+    """Megabytes of numbers, addresses and mails in one text: seconds, and the spans of the search."""
+    numbers = "".join(f"{k % 90 + 10}, " for k in range(750_000)) + "4111 1111 1111 1111"
+    log = "".join(f"10.0.{k % 300}.{k % 7} u{k}@a.bc +1 (45) 678-{k % 9000:04} " for k in range(15_000))
+    start = time.monotonic()
+    rows = pii.find(make_docs([numbers, log])).collect()
+    took = time.monotonic() - start
+    assert [len(r.found) > 20_000 for r in sorted(rows, key=lambda r: r.doc_id)] == [False, True]
+    for r in rows:
+        want = [(a, k, b) for a, k, b in brute(PERSONAL, r.text)[0]]
+        assert [(s.start, s.rank, s.end) for s in r.found if s.rank < 4] == want
+    assert took < 60
+
+
 def test_secret_scan_is_the_left_to_right_search(make_docs):
     rows = secrets.scan(make_docs(SECRET_TEXTS)).collect()
     same(rows, zip(range(1, 99), SECRET_TEXTS, strict=False), SECRET)
