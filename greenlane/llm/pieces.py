@@ -1,9 +1,10 @@
 """SentencePiece encoding by forward-filtering backward-sampling, and lossless decoding.
 
-A text is cut into units at places that no piece crosses (before a space that starts a word, around
-other white space). The lattice of a unit has a node per character boundary and an arc per piece of
-the vocabulary that fits; a character that is no piece gets one arc of its UTF-8 byte pieces, and so
-does a literal U+2581, which the vocabulary uses for the space. Forward filtering sums the weights of
+A text is cut into units at places that no piece crosses: before the spaces that lead a word, and around other white
+space except before carriage returns. That no piece does is checked when a vocabulary is loaded (``may_cross``); one
+that has such a piece is refused. The lattice of a unit has a node per character boundary and an arc per piece of
+the vocabulary that fits; a character that is no piece gets one arc of its UTF-8 byte pieces, weighed as rarer than the
+last piece, and so does a literal U+2581, which the vocabulary uses for the space. Forward filtering sums the weights of
 all paths into each node; backward sampling draws from the end one incoming arc at a time, so a
 segmentation comes with its exact probability. The weight of a piece is ``(2 + r) ** -SHARPNESS``,
 ``r`` the negative of its score: the scores of a merge vocabulary are ranks, and weights by rank
@@ -33,7 +34,7 @@ from greenlane.llm.common import map_batches, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS, SEED = 1.0, 20260101
 SPACE = "▁"
-UNIT = re.compile(r" ?[^\s]+| +(?= [^\s])| +|\s")
+UNIT = re.compile(r" *[^\s]+\r*| *\r+| +|\s")
 KEPT_UNITS, LONG_UNIT, MADE_AT_ONCE = 40_000, 48, 8192
 HASH_BASE, SLOT_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SEEN = 1 << 21
@@ -43,6 +44,11 @@ PACKED = (np.int32, np.float64, np.int32, np.int32)
 Lattice = tuple[bytes, bytes, bytes, bytes]
 
 
+def may_cross(a: str, b: str) -> bool:
+    """Whether ``UNIT`` never cuts between these neighbours, whatever stands around them."""
+    return b == "\r" and (a in " \r" or not a.isspace()) or not b.isspace() and (a == " " or not a.isspace()) or a == b == " "
+
+
 class HashTable:
     """Places of 64-bit keys by linear probing, looked up for whole arrays."""
 
@@ -100,6 +106,10 @@ class Vocabulary:
                 self.found[text] = (i, (2 + max(0.0, -model.get_score(i))) ** -SHARPNESS)
                 if len(text) == 1:
                     self.single.add(text)
+        if wrong := [t for t in self.found if not all(map(may_cross, t, t[1:]))]:
+            raise ValueError(f"pieces that cross the cuts between units: {wrong[:5]}")
+        #: weight of a character by its bytes
+        self.rare = (2 + model.get_piece_size()) ** -SHARPNESS
         self.longest = max(map(len, self.found))
         self.byte_ids = np.array(self.byte_id)
         #: by length: hashes of the pieces' prefixes, the piece that a prefix is (else -1), its weight
@@ -125,7 +135,7 @@ class Vocabulary:
             for start in range(end - reach if end > reach else 0, end):
                 piece = find(unit[start:end])
                 if piece is None and start == end - 1:
-                    piece = -1 - ord(unit[start]), 1.0
+                    piece = -1 - ord(unit[start]), self.rare
                 if piece is not None:
                     total += node[start] * piece[1]
                     sums.append(total)
@@ -158,7 +168,7 @@ class Vocabulary:
             piece = known & (ids[place] >= 0)
             arcs.append((live[piece], np.full(piece.sum(), length), ids[place[piece]], weights[place[piece]]))
             if length == 1:
-                arcs.append((live[~piece], np.ones((~piece).sum(), np.int64), -1 - code[live[~piece]].astype(np.int64), np.ones((~piece).sum())))
+                arcs.append((live[~piece], np.ones((~piece).sum(), np.int64), -1 - code[live[~piece]].astype(np.int64), np.full((~piece).sum(), self.rare)))
             live, hashed = live[known], hashed[known]
         place, length, piece, weight = (np.concatenate([a[k] for a in arcs]) for k in range(4))
         # by unit, end, start; then, kept in that order, end by end
