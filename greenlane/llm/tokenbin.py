@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import struct
 import zlib
@@ -44,8 +45,10 @@ SHARD_TOKENS = 1 << 21
 #: Words of 64 bits per compressed chunk of a plane.
 CHUNK_WORDS = 1 << 12
 CHUNK_BITS = 64 * CHUNK_WORDS
-#: Distinct units kept encoded in a worker; beyond it the memory starts anew.
-UNITS_KEPT = 600_000
+#: Distinct units kept encoded in a worker, twice: those since the last turn, and those before.
+UNITS_KEPT = 400_000
+#: New units per call of the tokenizer.
+AT_ONCE = 1024
 #: Texts are encoded in batches of up to so many rows and, unless of one row, bytes.
 BATCH_ROWS, BATCH_BYTES = 8192, 8 << 20
 LEVEL = 1
@@ -59,6 +62,7 @@ class Encoder:
     """Texts to ids by one tokenizer file, distinct units once."""
 
     def __init__(self, content: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would only spin
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(content)
@@ -67,20 +71,35 @@ class Encoder:
         special = any(re.search(r"[\s.,;:!?]", t["content"]) or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
         self.cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer") and not special
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def fresh(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit, little-endian; all units as the words of one call, where each id names its word."""
+        if self.cuts:
+            one = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
+            words = np.array(one.word_ids, float)  # a missing word is nan
+            if len(words) and not np.isnan(words).any():
+                ends = 4 * np.concatenate([[0], np.cumsum(np.bincount(words.astype(np.int64), minlength=len(units)))])
+                flat = np.array(one.ids, "<u4").tobytes()
+                return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's begin (and the last ends)."""
         units, starts = cut_units(texts.cast(pa.large_binary()), self.cuts)
         units = units.dictionary_encode()
         distinct = units.dictionary.to_pylist()
-        if len(self.known) > UNITS_KEPT:
-            self.known = {}
         found = list(map(self.known.get, distinct))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            if (ids := self.older.get(distinct[k])) is not None:
+                self.known[distinct[k]] = found[k] = ids
         new = [k for k, ids in enumerate(found) if ids is None]
-        for at in range(0, len(new), 4096):
-            part = new[at: at + 4096]
-            for k, enc in zip(part, self.tokenizer.encode_batch_fast([distinct[k].decode() for k in part], add_special_tokens=False), strict=True):
-                self.known[distinct[k]] = found[k] = struct.pack(f"<{len(enc.ids)}I", *enc.ids)
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at: at + AT_ONCE]
+            for k, ids in zip(part, self.fresh([distinct[k].decode() for k in part]), strict=True):
+                self.known[distinct[k]] = found[k] = ids
+        if len(self.known) > UNITS_KEPT:  # what is looked up again moves over, the rest is forgotten at the next turn
+            self.older, self.known = self.known, {}
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, begins = np.frombuffer(b"".join(found), "<u4"), np.concatenate([[0], np.cumsum(sizes)])
         which = units.indices.to_numpy()

@@ -31,7 +31,7 @@ def plain_rows(rows, tokenizer):
     return out
 
 
-def test_units_give_the_ids_of_whole_texts(tokenizer, sf_texts):
+def test_units_give_the_ids_of_whole_texts(tokenizer, sf_texts, monkeypatch):
     with open(PATH, "rb") as f:
         enc = B.Encoder(f.read())
     assert enc.cuts
@@ -39,7 +39,8 @@ def test_units_give_the_ids_of_whole_texts(tokenizer, sf_texts):
     bits = [" ", "  ", "\n", "\n\n", "\r\n", "\t", "a", "It's", "don't", "12", "x1", "é", "漢字", "...", "<|endoftext|>", "\u00a0", "\u3000", "\u2003", "\u0085", "\x1c", "'", "😀", "\x0b", "I'll ", " ’s", "à", "b,", ".", "?!", "\u1680"]
     texts = ["".join(r.choice(bits) for _ in range(r.randrange(25))) for _ in range(6000)] + [t or "" for _, t in sf_texts]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    for _ in range(2):  # the second time every unit is known
+    for kept in (B.UNITS_KEPT, 100, 100):  # the second time every unit is known, the third some are forgotten
+        monkeypatch.setattr(B, "UNITS_KEPT", kept)
         for array in (pa.array(texts), pa.array(["x", *texts])[1:], pa.array([""])):
             ids, cuts = enc.encoded(array)
             assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:], strict=False)] == (want if len(array) > 1 else [[]])
