@@ -13,8 +13,8 @@ Links are looked for without listing the pairs of a bucket:
    more pivots, chosen by hash, of each bucket that still holds several;
 3. what still holds several components is searched for pairs across them: members that have a
    plausible partner by size and sketch (a semi join, so as many rows as members at most) are compared by
-   what sets them apart from their pivot, which is small and gives the exact similarity. The join
-   yields only pairs that reach the threshold; they are confirmed on full sets.
+   what sets them apart from their pivot, which is small and gives the exact similarity. Buckets are split by
+   size class, of which only neighbours meet. The join yields only pairs that reach the threshold; they are confirmed on full sets.
 
 So every pair of a bucket is confirmed, refuted, or already in one component. Components come from
 pointer doubling (a node's best pivot is smaller than itself, so the first links are a forest), then from
@@ -171,6 +171,12 @@ def _similar(x: str, y: str, threshold: int) -> Column:
     return sizes & (apart <= most_odd(threshold))
 
 
+def size_class(threshold: int) -> Column:
+    """A class of ``n`` such that sets of similar sizes are in the same class or in the next."""
+    width = math.log(100 / max(threshold, 1)) * (1 + 1e-9) or 1e-6
+    return F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, set) of the given (node, first_id), one row each, from the texts of these ids only."""
     rows = docs.join(few(nodes.select(F.col("first_id").alias("wanted")).distinct()), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
@@ -264,9 +270,11 @@ def linked(docs: DataFrame, sketches: DataFrame, width: int, threshold: int) ->
         links, labels = grown(links, labels, pairs, sets, threshold)
 
     # 3: exact search across the components of a bucket
-    across = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _similar("x", "y", threshold)
-    members = written(open_members(shared, labels).filter("node != pivot").join(sig, "node"), "dup-open")
-    members = written(members.alias("x").join(members.alias("y"), across, "left_semi"), "dup-open")
+    # a bucket is split by size class, and only neighbouring classes meet
+    across = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") == F.col("y.at")) & (F.col("x.root") != F.col("y.root")) & _similar("x", "y", threshold)
+    meeting = lambda df, *steps: df.withColumn("at", F.explode(F.array(*[F.col("class") + k for k in steps])))
+    members = written(open_members(shared, labels).filter("node != pivot").join(sig, "node").withColumn("class", size_class(threshold)), "dup-open")
+    members = written(members.alias("x").join(meeting(members, -1, 0, 1).alias("y"), across, "left_semi"), "dup-open")
     if members.isEmpty():
         return nodes, labels
     sets = completed(sets, members.select("node").union(members.select("pivot")), nodes, docs, width)
@@ -275,8 +283,9 @@ def linked(docs: DataFrame, sketches: DataFrame, width: int, threshold: int) ->
     # |x ^ y| = |dx ^ dy|, and common = (|x| + |y| - |x ^ y|) / 2; a pair counts in its first common bucket
     sizes = F.col("x.n") + F.col("y.n")
     twice = sizes - F.size("x.d") - F.size("y.d") + 2 * F.size(F.array_intersect("x.d", "y.d"))
-    reached = (F.col("x.node") < F.col("y.node")) & ((100 + threshold) * twice >= 2 * threshold * sizes)
-    more = rows.alias("x").join(rows.alias("y"), across & reached & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
+    smaller = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
+    reached = smaller & ((100 + threshold) * twice >= 2 * threshold * sizes)
+    more = rows.alias("x").join(meeting(rows, -1, 0).alias("y"), across & reached & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
     more = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     return nodes, grown(links, labels, more, sets, threshold)[1]
 

@@ -81,6 +81,31 @@ def test_a_large_group_of_near_copies_is_one_component(make_docs):
     assert {r.component_id for r in rows} == {1} and sum(r.kept for r in rows) == 1
 
 
+@pytest.mark.parametrize(("width", "threshold", "seed"), [(3, 85, 11), (2, 60, 12)])
+def test_one_bucket_of_all_sizes_keeps_every_link(make_docs, width, threshold, seed):
+    """All sets in one bucket, so that most links are left to the search across its components by size class."""
+    from pyspark.sql import functions as F
+
+    texts = corpus(250, seed)
+    docs = make_docs(texts).select("doc_id", "text")
+    sketches = neardup.sketched(docs, width).withColumn("keys", F.array(F.lit(7).cast("long"))).checkpoint()
+    nodes, labels = neardup.linked(docs, sketches, width, threshold)
+    rows = sketches.select("doc_id", "node").join(labels, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root")).collect()
+    least = {}
+    for r in rows:
+        least[r.root] = min(least.get(r.root, r.doc_id), r.doc_id)
+    assert {r.doc_id: least[r.root] for r in rows} == {d: c for d, (_, c, _) in brute([*range(1, len(texts) + 1)], texts, width, threshold).items()}
+
+
+def test_similar_sizes_are_in_neighbouring_classes(spark):
+    """Every pair of sizes up to 400 within each threshold, exact powers of the ratio among them."""
+    from pyspark.sql import functions as F
+
+    for threshold in (1, 50, 80, 85, 99, 100):
+        of = dict(spark.range(1, 401).select(F.col("id").alias("n")).select("n", neardup.size_class(threshold)).collect())
+        assert all(of[b] - of[a] in (0, 1) for b in of for a in range(-(-b * threshold // 100), b + 1) if a)
+
+
 def test_table_against_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
