@@ -8,9 +8,10 @@ A product without a snapshot on the day has no stock to give.
 
 The running demand is an ordered scan *within* a (product, day). A product that carries
 a third of all lines would be a few tasks with a plain ``Window.partitionBy``; the
-scan in ``operators.ranking`` range-partitions on (product, day, order key) instead and
-stitches the partitions together with per-partition prefix sums. The stock joins as a
-measured dimension or salted, so the hot product stays split.
+scan in ``operators.ranking`` counts the lines of each (product, day), range-partitions those of the
+hot ones on (product, day, order key) and stitches the partitions together with per-partition
+prefix sums; lines of all others are not copied. The stock joins as a measured dimension or
+salted, so the hot product stays split.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import lookup_join
-from .ranking import DEFAULT, RankConfig, _materialize, ordered_scan
+from .ranking import DEFAULT, RankConfig, ordered_scan
 
 GROUP = ("product_id", "order_date")
 ORDER_KEY = ("order_id", "order_item_id", "requested_quantity")
@@ -38,11 +39,14 @@ def daily_stock(inventory: DataFrame) -> DataFrame:
 
 
 def allocate_stock(lines: DataFrame, inventory: DataFrame, strategy: str = "auto",
-                   cfg: RankConfig = DEFAULT) -> DataFrame:
-    """lines: order_item_id, order_id, product_id, order_date, requested_quantity, received_at."""
-    base, n = _materialize(lines.select(*GROUP, "received_at", *ORDER_KEY))
-    scanned = ordered_scan(base, n, list(GROUP), [F.col("received_at").asc_nulls_last(), *[F.col(c).asc() for c in ORDER_KEY]],
-                           {"_demand_through": "requested_quantity"}, cfg, force_distributed=strategy == "distributed")
+                   cfg: RankConfig = DEFAULT, keys: DataFrame | None = None) -> DataFrame:
+    """lines: order_item_id, order_id, product_id, order_date, requested_quantity, received_at.
+
+    ``keys``: a frame with ``GROUP`` of the same lines to count from, such as the lines before ``received_at`` was joined.
+    """
+    base = lines.select(*GROUP, "received_at", *ORDER_KEY)
+    scanned = ordered_scan(base, None, list(GROUP), [F.col("received_at").asc_nulls_last(), *[F.col(c).asc() for c in ORDER_KEY]],
+                           {"_demand_through": "requested_quantity"}, cfg, force_distributed=strategy == "distributed", keys=keys)
     stock = daily_stock(inventory).select(F.struct(*GROUP).alias("_slot"), "stock")
     scanned = lookup_join(scanned.withColumn("_slot", F.struct(*GROUP)), stock, "_slot", "left")
     s = F.coalesce(F.col("stock"), F.lit(0).cast("decimal(10,2)"))

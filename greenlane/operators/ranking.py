@@ -81,6 +81,14 @@ def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
     return cp, cp.count()
 
 
+def _same_group(df: DataFrame, keyed: DataFrame, group: list[str]) -> Column:
+    """Join condition on the groups of ``keyed`` (named ``_k_<group>``); NULL is a group of its own, as in a window."""
+    out = F.lit(True)
+    for g in group:
+        out = out & df[g].eqNullSafe(keyed[f"_k_{g}"])
+    return out
+
+
 def _builtin_scan(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str],
                   types: dict[str, T.DataType]) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
@@ -96,14 +104,15 @@ def _range_scan(df: DataFrame, n: int, group: list[str], order: list[Column], su
     k = max(2, min(cfg.max_partitions, math.ceil(n / cfg.rows_per_partition)))
     group_order = [F.col(g).asc() for g in group]
     ranged = df.repartitionByRange(k, *group_order, *order).withColumn("_pid", F.spark_partition_id())
-    ranged, _ = _materialize(ranged)  # pin partition ids: range bounds are sampled
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)  # pin partition ids: range bounds are sampled
 
     # Per (partition, group) summary: at most k + (#groups) rows.
     summary = ranged.groupBy("_pid", *group).agg(
         F.count(F.lit(1)).alias("_pc"), *[F.sum(src).alias(f"_ps_{name}") for name, src in sums.items()])
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     prefix = summary.select(
-        "_pid", *group,
+        F.col("_pid").alias("_k__pid"), *[F.col(g).alias(f"_k_{g}") for g in group],
         F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_pre_pos"),
         *[F.coalesce(F.sum(f"_ps_{name}").over(before), F.lit(0)).alias(f"_pre_{name}") for name in sums],
     )
@@ -116,19 +125,22 @@ def _range_scan(df: DataFrame, n: int, group: list[str], order: list[Column], su
     out = ranged.withColumn("_rn", F.row_number().over(local))
     for name, src in sums.items():
         out = out.withColumn(f"_loc_{name}", F.sum(src).over(run))
-    out = out.join(prefix, ["_pid", *group])
+    out = out.join(prefix, _same_group(out, prefix, ["_pid", *group]))
     out = out.withColumn("_pos", F.col("_pre_pos") + F.col("_rn") - 1)
     for name, src in sums.items():
         out = out.withColumn(name, (F.col(f"_pre_{name}") + F.col(f"_loc_{name}")).cast(types[src]))
-    return out.drop("_pid", "_rn", "_pre_pos", *[f"_pre_{n}" for n in sums], *[f"_loc_{n}" for n in sums])
+    return out.drop("_pid", "_rn", "_pre_pos", "_k__pid", *[f"_k_{g}" for g in group], *[f"_pre_{n}" for n in sums], *[f"_loc_{n}" for n in sums])
 
 
-def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], sums: dict[str, str],
-                 cfg: RankConfig = DEFAULT, force_distributed: bool = False) -> DataFrame:
+def ordered_scan(df: DataFrame, n: int | None, group: list[str], order: list[Column], sums: dict[str, str],
+                 cfg: RankConfig = DEFAULT, force_distributed: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Add ``_pos`` (0-based position inside ``group`` by ``order``) and inclusive running sums.
 
-    ``order`` must be a total order within each group. ``df`` should already be
-    materialised (it is read more than once) and ``n`` is its row count.
+    ``order`` must be a total order within each group; NULL is a group like any other. ``n`` is the
+    row count of a frame that is materialised already. With ``n`` None the frame is not copied: rows
+    and groups are counted from ``keys`` (a frame with the group columns of the same rows, where one
+    is cheaper to read; else ``df`` pruned to them), cold rows stay in the caller's plan, and only
+    the rows of hot groups are written, once, as range partitions.
 
     Without groups, a frame above ``cfg.small_rows`` rows takes the range-partitioned
     path. With groups, a plain ``Window.partitionBy(group)`` is already spread over
@@ -138,22 +150,26 @@ def ordered_scan(df: DataFrame, n: int, group: list[str], order: list[Column], s
     """
     cfg = session_config(df.sparkSession, cfg)
     types = {c: _sum_type(df.schema[c].dataType) for c in sums.values()}
+    counted = df if keys is None else keys
+    if n is None and (force_distributed or not group):
+        n = counted.count()
     if force_distributed:
         return _range_scan(df, n, group, order, sums, types, cfg)
-    if n <= cfg.small_rows:
+    if n is not None and n <= cfg.small_rows:
         return _builtin_scan(df, group, order, sums, types)
     if not group:
         return _range_scan(df, n, group, order, sums, types, cfg)
     # At most n / small_rows groups can be hot; the key list is broadcast only below the
     # counted broadcast_rows, otherwise the semi/anti joins shuffle on the group keys.
-    hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > cfg.small_rows).select(*group)
-    hot, n_hot = _materialize(hot)
+    hot = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > cfg.small_rows)
+    hot, n_hot = _materialize(hot.select(*[F.col(g).alias(f"_k_{g}") for g in group], "_gn"))
     if n_hot == 0:
         return _builtin_scan(df, group, order, sums, types)
+    n_hot_rows = hot.agg(F.sum("_gn")).first()[0]
     if n_hot <= cfg.broadcast_rows:
         hot = F.broadcast(hot)
-    cold_rows = df.join(hot, group, "left_anti")
-    hot_rows, n_hot_rows = _materialize(df.join(hot, group, "left_semi"))
+    cold_rows = df.join(hot, _same_group(df, hot, group), "left_anti")
+    hot_rows = df.join(hot, _same_group(df, hot, group), "left_semi")
     return _builtin_scan(cold_rows, group, order, sums, types).unionByName(
         _range_scan(hot_rows, n_hot_rows, group, order, sums, types, cfg))
 

@@ -12,7 +12,7 @@ from ..operators import writes
 from ..operators.allocation import allocate_stock, with_received_time
 from ..operators.fuzzy import resolve_customers_fuzzy
 from ..operators.partitioned import PartitionedTable
-from ..operators.ranking import _materialize, ordered_scan
+from ..operators.ranking import ordered_scan
 from . import extras, kpi, layout
 from .core import Warehouse
 from .distinct import weekly_customers
@@ -102,17 +102,16 @@ def overconfirmed_lines(w: Warehouse) -> DataFrame:
 
 
 def customer_order_history(w: Warehouse, distributed: bool = False) -> DataFrame:
-    """Each customer's orders, newest first, numbered (hot customers are range-split)."""
+    """Each customer's orders, newest first, numbered (hot customers are range-split, the rest is not copied)."""
     o = w.stg_orders.select("customer_id", "order_id", "order_date", "order_status", "total_value")
-    base, n = _materialize(o)
-    scanned = ordered_scan(base, n, ["customer_id"], [F.col("order_date").desc(), F.col("order_id").desc()], {},
+    scanned = ordered_scan(o, None, ["customer_id"], [F.col("order_date").desc(), F.col("order_id").desc()], {},
                            force_distributed=distributed)
     return scanned.withColumn("order_seq", (F.col("_pos") + 1).cast("bigint")).drop("_pos")
 
 
 def stock_allocation(w: Warehouse, strategy: str = "auto") -> DataFrame:
     lines = w.fct_order_items.select("order_item_id", "order_id", "product_id", "order_date", "requested_quantity")
-    return allocate_stock(with_received_time(lines, w.stg_orders, w.stg_incoming_orders_raw), w.stg_inventory, strategy)
+    return allocate_stock(with_received_time(lines, w.stg_orders, w.stg_incoming_orders_raw), w.stg_inventory, strategy, keys=lines)
 
 
 def reentered_orders(w: Warehouse) -> Warehouse:

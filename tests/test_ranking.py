@@ -85,3 +85,25 @@ def test_hot_groups_above_broadcast_bound_use_shuffle_joins(spark):
     ref = ordered_scan(base, n, ["g"], order, {"s": "v"}, RankConfig(small_rows=10**9))
     key = lambda d: sorted(tuple(r) for r in d.select("id", "g", "_pos", "s").collect())
     assert key(got) == key(ref)
+
+
+@pytest.mark.parametrize("broadcast_rows", [1, 1000])
+def test_frames_that_are_not_materialised_and_null_groups(spark, broadcast_rows):
+    # the NULL group is hot; rows and groups are counted from the frame itself or from another one
+    rows = [(i, None if i % 3 == 0 else i % 4 if i % 5 else 10 + i % 50, Decimal(i % 11)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, g int, v decimal(10,2)").repartition(5)
+    order = [F.col("v").desc(), F.col("id").asc()]
+    cfg = RankConfig(small_rows=100, rows_per_partition=60, max_partitions=64, broadcast_rows=broadcast_rows)
+    key = lambda d: sorted((tuple(r) for r in d.select("id", "g", "_pos", "s").collect()), key=repr)
+    ref = key(ordered_scan(df, 1200, ["g"], order, {"s": "v"}, RankConfig(small_rows=10**9)))
+    assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg)) == ref
+    assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg, keys=df.select("g"))) == ref
+    assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg, True)) == ref
+
+
+def test_cold_groups_stay_in_the_plan_of_their_files(spark, tmp_path):
+    spark.range(400).selectExpr("id", "cast(id % 40 as int) g", "cast(1 as decimal(10,2)) v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = ordered_scan(df, None, ["g"], [F.col("id").asc()], {"s": "v"}, RankConfig(small_rows=100))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan and out.where("_pos = 9 AND s = 10").count() == 40
