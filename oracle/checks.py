@@ -6,6 +6,7 @@ not be false (expression) or the name of a statement in ``extra_sql.SINGULAR``.
 from the library on purpose: a check that is missing or wrong there shows as a difference.
 """
 
+# Check names, accepted values and severities.
 STAGING_CHECKS = [
     ('unique__stg_customers__customer_id', 'stg_customers', 'unique', 'customer_id', 'error'),
     ('not_null__stg_customers__customer_id', 'stg_customers', 'not_null', 'customer_id', 'error'),
