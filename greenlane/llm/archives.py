@@ -8,7 +8,8 @@ whose payload occurs before (by the smallest ``X-Page-Id``) become revisits with
 
 WARC files are Spark text files whose line separator is the blank lines that end a record, gzipped or
 not, so any file system that Spark writes to will do. They are read whole, one file per row, and
-unpacked as a stream; ``records_per_file`` bounds them.
+unpacked as a stream. A file has at most ``records_per_file`` records, and fewer where the mean payload
+(measured in the pass that looks for repeated payloads) would take it past ``file_bytes``.
 
 Defined cases: null html is an empty payload; a null url is archived as ``-`` and has no target URI; a null
 page_id has no id header, is never the first of its payload unless all are, and is never referred to;
@@ -27,12 +28,12 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from greenlane.llm.common import shared_path, slices, table, written
 
-CHUNK_BYTES, RECORDS_PER_FILE = 4 << 20, 20_000
+CHUNK_BYTES, RECORDS_PER_FILE, FILE_BYTES, BROADCAST_ROWS = 4 << 20, 20_000, 256 << 20, 100_000
 CAPTURED = "20260101000000"
 #: The fields of ARC header lines by version.
 ARC_FIELDS = {
@@ -200,11 +201,15 @@ def warc_text(records: DataFrame) -> DataFrame:
         F.concat(header.cast("binary"), F.col("head").cast("binary"), body).cast("string").alias("value"))
 
 
-def write_warc(arcs: DataFrame, path: str, compression: str = "gzip", records_per_file: int = RECORDS_PER_FILE, min_bytes: int = 0) -> None:
-    """Convert ARC archives and write WARC files to ``path``."""
-    first = written(revisited(arc_to_warc(arcs, payloads=False), min_bytes), "warc-first")
+def write_warc(arcs: DataFrame, path: str, compression: str = "gzip", records_per_file: int = RECORDS_PER_FILE, min_bytes: int = 0,
+               file_bytes: int = FILE_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> None:
+    """Convert ARC archives and write WARC files to ``path``; up to ``broadcast_rows`` repeated payloads are broadcast."""
+    seen = Observation("warc-payloads")
+    heads = arc_to_warc(arcs, payloads=False).observe(seen, F.avg("payload_bytes").alias("mean"))
+    first = written(revisited(heads, min_bytes), "warc-first")
+    records_per_file = max(1, min(records_per_file, int(file_bytes / max(1.0, seen.get["mean"] or 0.0))))
     records = arc_to_warc(arcs)
-    if first.limit(100_001).count() <= 100_000:
+    if first.limit(broadcast_rows + 1).count() <= broadcast_rows:
         first = F.broadcast(first)
     text = warc_text(records.join(first, "payload_digest", "left"))
     text.write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", records_per_file).text(path)

@@ -56,6 +56,18 @@ def test_min_bytes_and_files_of_few_records(spark):
     assert spark.read.format("binaryFile").load(path).count() >= 5
 
 
+def test_revisits_by_a_shuffled_join(spark):
+    pages = spark.createDataFrame(PAGES, SCHEMA).repartition(3)
+    assert round_trip(spark, pages, broadcast_rows=0)[1] == want(PAGES)
+
+
+def test_files_are_bounded_by_bytes(spark):
+    rows = [(i, f"http://a.org/{i}", f"{i:05d}" * 200) for i in range(200)]
+    path, got = round_trip(spark, spark.createDataFrame(rows, SCHEMA).coalesce(1), compression="none", file_bytes=10_000, records_per_file=100)
+    sizes = [len(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    assert got == want(rows) and max(sizes) < 20_000 and len(sizes) >= 20
+
+
 def test_records_are_standard(spark):
     path, _ = round_trip(spark, spark.createDataFrame(PAGES[:2], SCHEMA).coalesce(1))
     [content] = [bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect() if gzip.decompress(bytes(r.content))]
