@@ -86,6 +86,38 @@ def test_additive_model_on_held_out_labels(spark):
     assert sum(p == q for _, q, p in held) > 0.95 * len(held)
 
 
+def features(t):
+    """The inputs of a score, counted plainly."""
+    (n, chars, symbols, dups, repeats), _ = base(t)
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = len([x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)])
+    ratios = (100 * chars // n, 1000 * symbols // chars, 1000 * sum("A" <= c <= "Z" for c in t) // chars, 1000 * sum(c in "!?" for c in t) // n,
+              1000 * repeats // n, 1000 * dups // lines, 1000 * len(set(w)) // n, 10 * n // lines) if n else (0,) * 8
+    return (*(min(2000, r) for r in ratios), n, chars, symbols, dups, repeats)
+
+
+def plain_score(model, x):
+    """One table entry a feature and a pair, added up cell by cell."""
+    places = [sum(e <= v for e in edges) for edges, v in zip(model.edges, x, strict=True)]
+    odds = model.base + sum(t[k] for t, k in zip(model.tables, places, strict=True))
+    for (i, j), t in zip(model.pairs, model.pair_tables, strict=True):
+        odds += t[places[i] * gam.PAIR_BINS // (len(model.edges[i]) + 1)][places[j] * gam.PAIR_BINS // (len(model.edges[j]) + 1)]
+    return 1 / (1 + np.exp(-odds))
+
+
+def test_every_score_against_plain_counts_and_table_sums(spark, sf_texts):
+    texts = dict(sf_texts)
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
+    learnt = [(features(texts[i]), q) for i, q in labels if i in texts and q in (0, 1) and zlib.crc32(str(i).encode()) % 5]
+    assert 0 < len(learnt) <= gam.MAX_TRAIN
+    model = gam.fit(np.array([x for x, _ in learnt], float), np.array([q for _, q in learnt], float))
+    rows = gam.op5_quality_gam(spark, SF).collect()
+    assert len(rows) == len(texts) and len(model.pairs) > 0
+    for r in rows:
+        assert abs(r.score - plain_score(model, features(texts[r.doc_id]))) < 1e-6, r.doc_id
+
+
 def test_interactions_need_pairs():
     """An exclusive-or of two features is beyond single tables; a pair table learns it."""
     rng = np.random.default_rng(1)
