@@ -1,6 +1,7 @@
 """URL filter and decontamination against SQL and plain loops."""
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,24 @@ def test_url_table_against_sql(spark):
     assert got == sorted(con.execute(f"select {', '.join(cols)} from ({queries.ORACLE['op9_url_filter']})").fetchall())
 
 
+def test_ranks_are_within_the_contraction_of_their_fixed_point(spark):
+    """Each step shrinks the distance by the damping; links, a host without links and one that nobody links to."""
+    names = ["a", "b", "c", "d", "e"]
+    links = [("a", "b", 3), ("a", "c", 1), ("b", "c", 2), ("c", "a", 1), ("e", "d", 5), ("e", "a", 1)]
+    start = np.array([urls.MASS // 2, 0, 0, 0, urls.MASS // 2], float)
+    step = np.zeros((5, 5))
+    for a, b, w in [*links, ("d", "d", 1)]:
+        step[names.index(b), names.index(a)] = w
+    step = urls.DAMPING / 100 * step / step.sum(0)
+    fixed = np.linalg.solve(np.eye(5) - step, (1 - urls.DAMPING / 100) * start)
+    hosts = spark.createDataFrame([(h, int(s)) for h, s in zip(names, start, strict=True)], "host string, seed long")
+    edges = spark.createDataFrame(links, "src string, dst string, w long")
+    for steps in (urls.ITERATIONS, 2 * urls.ITERATIONS):
+        got = dict(urls.ranks(hosts, edges, "seed", steps).select("host", "rank").collect())
+        gap = np.abs(np.array([float(got.get(h) or 0) for h in names]) - fixed).sum()
+        assert gap <= (urls.DAMPING / 100) ** steps * np.abs(start - fixed).sum() + 100 * steps
+
+
 def test_url_filter_on_an_empty_table_and_clashing_columns(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumns({"host": F.lit("z"), "rank": F.lit(1), "n": F.lit(2)})
     assert urls.judged(pages).filter("host = 'a.net'").count() == 3
