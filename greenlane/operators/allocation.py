@@ -39,14 +39,15 @@ def daily_stock(inventory: DataFrame) -> DataFrame:
 
 
 def allocate_stock(lines: DataFrame, inventory: DataFrame, strategy: str = "auto",
-                   cfg: RankConfig = DEFAULT, keys: DataFrame | None = None) -> DataFrame:
+                   cfg: RankConfig = DEFAULT, keys: DataFrame | None = None, coarse: DataFrame | None = None) -> DataFrame:
     """lines: order_item_id, order_id, product_id, order_date, requested_quantity, received_at.
 
-    ``keys``: a frame with ``GROUP`` of the same lines to count from, such as the lines before ``received_at`` was joined.
+    ``keys``: a frame with ``GROUP`` of the same lines to count from, such as the lines before ``received_at`` was joined;
+    ``coarse``: one with ``product_id`` of at least these lines, such as the raw lines.
     """
     base = lines.select(*GROUP, "received_at", *ORDER_KEY)
     scanned = ordered_scan(base, None, list(GROUP), [F.col("received_at").asc_nulls_last(), *[F.col(c).asc() for c in ORDER_KEY]],
-                           {"_demand_through": "requested_quantity"}, cfg, force_distributed=strategy == "distributed", keys=keys)
+                           {"_demand_through": "requested_quantity"}, cfg, force_distributed=strategy == "distributed", keys=keys, coarse=coarse)
     stock = daily_stock(inventory).select(F.struct(*GROUP).alias("_slot"), "stock")
     scanned = lookup_join(scanned.withColumn("_slot", F.struct(*GROUP)), stock, "_slot", "left")
     s = F.coalesce(F.col("stock"), F.lit(0).cast("decimal(10,2)"))

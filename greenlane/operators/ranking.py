@@ -133,14 +133,17 @@ def _range_scan(df: DataFrame, n: int, group: list[str], order: list[Column], su
 
 
 def ordered_scan(df: DataFrame, n: int | None, group: list[str], order: list[Column], sums: dict[str, str],
-                 cfg: RankConfig = DEFAULT, force_distributed: bool = False, keys: DataFrame | None = None) -> DataFrame:
+                 cfg: RankConfig = DEFAULT, force_distributed: bool = False, keys: DataFrame | None = None,
+                 coarse: DataFrame | None = None) -> DataFrame:
     """Add ``_pos`` (0-based position inside ``group`` by ``order``) and inclusive running sums.
 
     ``order`` must be a total order within each group; NULL is a group like any other. ``n`` is the
     row count of a frame that is materialised already. With ``n`` None the frame is not copied: rows
     and groups are counted from ``keys`` (a frame with the group columns of the same rows, where one
     is cheaper to read; else ``df`` pruned to them), cold rows stay in the caller's plan, and only
-    the rows of hot groups are written, once, as range partitions.
+    the rows of hot groups are written, once, as range partitions. ``coarse`` is a frame with the first
+    group column of at least these rows, read without joins: no group is larger than its first column's
+    count there, so only groups of frequent values are counted, and none where no value is frequent.
 
     Without groups, a frame above ``cfg.small_rows`` rows takes the range-partitioned
     path. With groups, a plain ``Window.partitionBy(group)`` is already spread over
@@ -159,6 +162,14 @@ def ordered_scan(df: DataFrame, n: int | None, group: list[str], order: list[Col
         return _builtin_scan(df, group, order, sums, types)
     if not group:
         return _range_scan(df, n, group, order, sums, types, cfg)
+    if coarse is not None:
+        frequent = coarse.groupBy(F.col(group[0]).alias(f"_k_{group[0]}")).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > cfg.small_rows)
+        frequent, n_frequent = _materialize(frequent.drop("_gn"))
+        if n_frequent == 0:
+            return _builtin_scan(df, group, order, sums, types)
+        if n_frequent <= cfg.broadcast_rows:
+            frequent = F.broadcast(frequent)
+        counted = counted.join(frequent, _same_group(counted, frequent, group[:1]), "left_semi")
     # At most n / small_rows groups can be hot; the key list is broadcast only below the
     # counted broadcast_rows, otherwise the semi/anti joins shuffle on the group keys.
     hot = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn")).where(F.col("_gn") > cfg.small_rows)

@@ -111,7 +111,7 @@ def customer_order_history(w: Warehouse, distributed: bool = False) -> DataFrame
 
 def stock_allocation(w: Warehouse, strategy: str = "auto") -> DataFrame:
     lines = w.fct_order_items.select("order_item_id", "order_id", "product_id", "order_date", "requested_quantity")
-    return allocate_stock(with_received_time(lines, w.stg_orders, w.stg_incoming_orders_raw), w.stg_inventory, strategy, keys=lines)
+    return allocate_stock(with_received_time(lines, w.stg_orders, w.stg_incoming_orders_raw), w.stg_inventory, strategy, keys=lines, coarse=w.stg_order_items)
 
 
 def reentered_orders(w: Warehouse) -> Warehouse:

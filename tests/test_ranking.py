@@ -99,6 +99,11 @@ def test_frames_that_are_not_materialised_and_null_groups(spark, broadcast_rows)
     assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg)) == ref
     assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg, keys=df.select("g"))) == ref
     assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg, True)) == ref
+    more = df.select("g").union(df.select("g").where("g = 1"))
+    assert key(ordered_scan(df, None, ["g"], order, {"s": "v"}, cfg, coarse=more)) == ref
+    two = df.withColumn("h", F.col("id") % 2)
+    by_two = lambda c, **kw: key(ordered_scan(two, None, ["g", "h"], order, {"s": "v"}, c, **kw))
+    assert by_two(cfg, coarse=more) == by_two(RankConfig(small_rows=10**9))
 
 
 def test_cold_groups_stay_in_the_plan_of_their_files(spark, tmp_path):
