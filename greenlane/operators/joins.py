@@ -6,6 +6,8 @@ dimension's needed columns; at or below the limit the dimension is broadcast and
 the fact is not shuffled at all. Beyond it the join is shuffled on (key, salt):
 the fact's rows of one key, also of the NULL key, are spread over ``SALTS`` partitions
 and the dimension is repeated that often, so a hot key is split whatever the session's settings.
+That join carries a merge hint: Spark's estimate of the repeated dimension is the compressed size of
+the file, without the copies, so it would broadcast all copies through the driver.
 """
 
 from __future__ import annotations
@@ -40,4 +42,4 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", s
         return fact.join(F.broadcast(dim), key, how)
     salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int")
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return fact.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")
+    return fact.withColumn("_salt", salt).join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")

@@ -265,3 +265,18 @@ def test_dimensions_beyond_the_limit_are_joined_on_key_and_salt(spark, wh_small)
     finally:
         spark.conf.unset("greenlane.broadcastBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_copies_of_a_large_dimension_are_never_broadcast(spark, tmp_path):
+    from greenlane.operators.joins import lookup_join
+
+    # ids and few names compress well: the file is far below the limit, the copies in memory are above it
+    spark.range(200_000).select(F.col("id").alias("k"), F.format_string("name %060d", F.col("id") % 5).alias("name")).coalesce(1).write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    fact = spark.range(1_000_000).select(F.when(F.col("id") % 10 > 0, F.col("id") % 400_000).alias("k"), "id")
+    for how, rows in (("inner", 540_000), ("left", 1_000_000), ("left_semi", 540_000)):
+        out = lookup_join(fact, dim, "k", how, small=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan, how
+        assert out.count() == out.select("id").distinct().count() == rows
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
