@@ -11,8 +11,10 @@ text, row), so neither one doc_id nor copies of one row fall to one task. A shar
 it; positions over all shards come from the totals of the partitions that wrote them.
 
 Encoding: where the pre-tokenizer is the byte-level one without a prefix space or normalizer, no token crosses the place before a
-single space, or around a single line feed, between characters that are no white space, nor that between a letter and a mark
-such as a comma, so a text is cut there and each distinct unit encoded once; other tokenizers get whole texts. The strings of special tokens in a text become their ids.
+single space, or around a single line feed, between characters that are no white space, nor that between two ASCII characters
+of different kinds (letters, digits, marks), except from an apostrophe to a letter. So a text is cut there, but at no pair of
+characters that an added token contains, and each distinct unit encoded once. A unit of a space at most and Latin letters is one
+word of the pre-tokenizer and goes to the tokenizer's model directly. Other tokenizers get whole texts. The strings of special tokens in a text become their ids.
 
 Defined cases: null texts are empty and yield the end id alone; a null doc_id comes first; rows of one doc_id are ordered by the
 hash of their texts; an empty table writes no shard and reads as no rows; other columns are ignored; doc_ids are integers.
@@ -26,6 +28,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -67,14 +70,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_buffer(content)
         spec = json.loads(content)
-        first = spec.get("pre_tokenizer") or {}
-        special = any(re.search(r"[\s.,;:!?]", t["content"]) or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
+        first, added = spec.get("pre_tokenizer") or {}, spec.get("added_tokens", [])
+        special = any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
         self.cuts = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True) and not spec.get("normalizer") and not special
+        self.pairs = cut_pairs([t["content"] for t in added])
+        #: no added token hides in a unit of letters
+        self.direct = self.cuts and not any(t["content"].isalpha() for t in added) and not spec.get("truncation") and not spec.get("padding")
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def fresh(self, units: list[str]) -> list[bytes]:
-        """The ids of each unit, little-endian; all units as the words of one call, where each id names its word."""
+        """The ids of each unit, little-endian; those of letters by the model alone, the rest as the words of one call, where each id names its word."""
+        if self.direct:
+            words, tokens = list(filter(_WORD, units)), self.tokenizer.model.tokenize
+            mapped = _BYTE_LEVEL[np.frombuffer("\n".join(words).encode(), np.uint8)].tobytes().decode("utf-32-le").split("\n") if words else []
+            found = {u: array("I", [t.id for t in tokens(w)]).tobytes() for u, w in zip(words, mapped, strict=True)}
+            rest = [u for u in units if u not in found]
+            found |= zip(rest, self.whole(rest), strict=True)
+            return [found[u] for u in units]
+        return self.whole(units)
+
+    def whole(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit by pre-tokenizer and model."""
         if self.cuts:
             one = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
             words = np.array(one.word_ids, float)  # a missing word is nan
@@ -86,7 +103,7 @@ class Encoder:
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's begin (and the last ends)."""
-        units, starts = cut_units(texts.cast(pa.large_binary()), self.cuts)
+        units, starts = cut_units(texts.cast(pa.large_binary()), self.cuts, self.pairs)
         units = units.dictionary_encode()
         distinct = units.dictionary.to_pylist()
         found = list(map(self.known.get, distinct))
@@ -111,14 +128,32 @@ class Encoder:
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: First bytes of the characters among which the other kinds of white space are.
 _MAYBE_WHITE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
-_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+#: ASCII letters, digits and marks; white space, control characters and others are 0.
+_KIND = np.array([0 if b < 33 or b > 126 else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3 for b in range(256)])
+#: A space at most and Latin letters.
+_WORD = re.compile("[ ]?[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+#: The byte-level characters of bytes; a line feed stays and separates words.
+_SHOWN = np.isin(np.arange(256), [*range(33, 127), *range(161, 173), *range(174, 256)])
+_BYTE_LEVEL = np.where(_SHOWN, np.arange(256), 255 + np.cumsum(~_SHOWN)).astype("<u4")
+_BYTE_LEVEL[10] = 10
 
 
-def cut_units(texts: pa.Array, cuts: bool) -> tuple[pa.Array, np.ndarray]:
+def cut_pairs(added: list[str]) -> np.ndarray:
+    """Whether a text may be cut between two bytes, at 256 * first + second: of different kinds, and neighbours in no added token."""
+    pairs = (_KIND[:, None] != _KIND) & (_KIND[:, None] > 0) & (_KIND > 0)
+    pairs[ord("'"), _KIND == 1] = False  # the pre-tokenizer keeps endings such as 's
+    for token in map(str.encode, added):
+        pairs[list(token[:-1]), list(token[1:])] = False
+    return pairs.ravel()
+
+
+PAIRS = cut_pairs([])
+
+
+def cut_units(texts: pa.Array, cuts: bool, pairs: np.ndarray = PAIRS) -> tuple[pa.Array, np.ndarray]:
     """The units of all texts, and the number of the first unit of each text (and the end).
 
-    Cut before a space and around a line feed with no white space next to it, and between an ASCII letter and a mark.
+    Cut before a space and around a line feed with no white space next to it, and between the bytes of ``pairs``.
     """
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
     size, buffer = int(offsets[-1] - offsets[0]), texts.buffers()[2]
@@ -135,7 +170,7 @@ def cut_units(texts: pa.Array, cuts: bool) -> tuple[pa.Array, np.ndarray]:
         at = at[~(_WHITE[before] | (before >= 128) & wide | _WHITE[after] | _MAYBE_WHITE[after] | edge[at] | edge[at + 1])]
         first[at] = True
         first[at[data[at] == 10] + 1] = True
-        first[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        first[1:-1] |= pairs[data[:-1].astype(np.uint16) << 8 | data[1:]]
     first[ends] = True
     places = np.flatnonzero(first)
     units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)]) if size else pa.array([], pa.large_binary())

@@ -1,5 +1,6 @@
 """Token shards: units against whole texts, files against plain arrays, the query against a plain encoding."""
 
+import json
 import random
 import zlib
 
@@ -48,6 +49,28 @@ def test_units_give_the_ids_of_whole_texts(tokenizer, sf_texts, monkeypatch):
     assert units.to_pylist() == [b"It", b" is", b",", b" or", b"\n", b"is", b" not", b"so"] and starts.tolist() == [0, 7, 7, 8]
 
 
+def test_cuts_between_kinds_and_words_by_the_model_alone(tokenizer, monkeypatch):
+    """Letters, digits and marks are units of their own; all Latin letters, all pairs of ASCII and added tokens give the ids of the whole text."""
+    with open(PATH, "rb") as f:
+        content = f.read()
+    units, _ = B.cut_units(pa.array(["f(x12)='s don't 3.5a"], pa.large_binary()), True)
+    assert units.to_pylist() == [b"f", b"(", b"x", b"12", b")='s", b" don", b"'t", b" 3", b".", b"5", b"a"]
+    marks = [chr(b) for b in range(1, 128)]
+    texts = [a + b + c for a in marks for b in marks for c in ("", "s", " x1", "'ll")] + [x + chr(c) + "a" for c in range(0xA0, 0x260) for x in ("", " ", "b", "1")]
+    texts += ["ab1c", "f(z)", "qqq.a b1", "x<|endoftext|>y", "<|endof text|>"]
+    for added, direct in (([], True), (["b1", "(z", "qq."], True), (["qq"], False)):
+        spec = json.loads(content)
+        spec["added_tokens"] += [{**spec["added_tokens"][0], "id": 50257 + i, "content": t} for i, t in enumerate(added)]
+        enc = B.Encoder(json.dumps(spec).encode())
+        ids, cuts = enc.encoded(pa.array(texts))
+        want = [e.ids for e in Tokenizer.from_buffer(json.dumps(spec).encode()).encode_batch(texts, add_special_tokens=False)]
+        assert (enc.cuts, enc.direct) == (True, direct) and [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:], strict=False)] == want
+    enc = B.Encoder(content)
+    whole = enc.whole
+    monkeypatch.setattr(enc, "whole", lambda units: whole(units) if not any(u.strip().isalpha() for u in units) else 1 / 0)
+    assert enc.encoded(pa.array(["Über den 12 Wolken, it's x1"]))[0].tolist() == tokenizer.encode("Über den 12 Wolken, it's x1", add_special_tokens=False).ids
+
+
 def test_other_tokenizers_get_whole_texts():
     with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
         enc = B.Encoder(f.read())
