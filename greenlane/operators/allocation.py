@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
+from .joins import lookup_join, table_join
 from .ranking import DEFAULT, RankConfig, ordered_scan
 
 GROUP = ("product_id", "order_date")
@@ -29,8 +29,8 @@ ORDER_KEY = ("order_id", "order_item_id", "requested_quantity")
 def with_received_time(lines: DataFrame, orders: DataFrame, raw_orders: DataFrame) -> DataFrame:
     """Lines with ``received_at`` of their order's raw order (the earliest where a raw order repeats); NULL without one."""
     received = raw_orders.where("raw_order_id IS NOT NULL").groupBy("raw_order_id").agg(F.min("received_at").alias("received_at"))
-    per_order = orders.where("raw_order_id IS NOT NULL").join(received, "raw_order_id").groupBy("order_id").agg(F.min("received_at").alias("received_at"))
-    return lines.join(per_order, "order_id", "left")
+    per_order = table_join(orders.where("raw_order_id IS NOT NULL"), received, "raw_order_id").groupBy("order_id").agg(F.min("received_at").alias("received_at"))
+    return table_join(lines, per_order, "order_id", "left")
 
 
 def daily_stock(inventory: DataFrame) -> DataFrame:

@@ -8,6 +8,10 @@ the fact's rows of one key, also of the NULL key, are spread over ``SALTS`` part
 and the dimension is repeated that often, so a hot key is split whatever the session's settings.
 That join carries a merge hint: Spark's estimate of the repeated dimension is the compressed size of
 the file, without the copies, so it would broadcast all copies through the driver.
+
+``table_join`` is for two tables that both grow with the facts, such as orders and sums of their lines. Spark's
+estimate of a pruned scan is a share of its compressed file, so tables eight times as large in memory lie below
+its broadcast threshold; the merge hint keeps their rows out of the driver.
 """
 
 from __future__ import annotations
@@ -36,6 +40,11 @@ def fits(dim: DataFrame) -> bool:
     return measured_bytes(dim) <= broadcast_limit(dim.sparkSession)
 
 
+def table_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``key``, both of any size: shuffled and merged, nothing is broadcast."""
+    return left.join(right.hint("merge"), key, how)
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", small: bool | None = None) -> DataFrame:
     """``fact`` joined with ``dim`` on ``key`` (``how``: inner, left or left_semi); ``small``: what ``fits`` said, if known."""
     if fits(dim) if small is None else small:

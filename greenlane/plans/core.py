@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import on_time_flag, safe_pct, week_start, zero_if_null
-from ..operators.joins import fits, lookup_join
+from ..operators.joins import fits, lookup_join, table_join
 from ..sources.io import Tables
 from . import staging as stg
 
@@ -91,7 +91,7 @@ class Warehouse:
                               {c: c for c in ("product_id", "product_name", "category", "source_type")}, "product_id")
         confirmed = zero_if_null("confirmed_quantity")
         return (
-            lines.join(orders, "order_id")
+            table_join(lines, orders, "order_id")
             .select(
                 "order_item_id", "order_id", "order_date",
                 week_start("order_date").alias("order_week"),
@@ -140,7 +140,7 @@ class Warehouse:
         """Line totals with their order's date and customer id (orders without lines drop out)."""
         # totals arrive hash-partitioned by order_id, so joining orders adds no shuffle on that side
         orders = self.stg_orders.select("order_id", "order_date", "customer_id")
-        return self.order_line_totals.join(orders, "order_id")
+        return table_join(self.order_line_totals, orders, "order_id")
 
     @cached_property
     def order_facts(self) -> DataFrame:
@@ -172,7 +172,7 @@ class Warehouse:
             .when(F.abs(F.col("total_value") - requested_value) > F.lit(Decimal("0.01")), F.lit("value_mismatch"))
             .otherwise(F.lit("reconciled"))
         )
-        return self.stg_orders.join(lines, "order_id", "left").select(
+        return table_join(self.stg_orders, lines, "order_id", "left").select(
             "order_id", "raw_order_id", "customer_id", "order_date", "requested_delivery_date",
             "order_status", "cleaning_status",
             F.col("total_items").alias("header_total_items"),
@@ -206,7 +206,7 @@ class Warehouse:
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
         )
-        return self.stg_customers.join(per_customer, "customer_id", "left").select(
+        return table_join(self.stg_customers, per_customer, "customer_id", "left").select(
             "customer_id", "customer_name", "market_type", "region", "signup_date", "is_active",
             F.coalesce("lifetime_orders", F.lit(0)).alias("lifetime_orders"),
             F.coalesce("lifetime_revenue", F.lit(0)).alias("lifetime_revenue"),

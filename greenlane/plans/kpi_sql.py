@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import on_time_flag, safe_pct, week_start, zero_if_null
+from ..operators.joins import table_join
 from ..operators.ranking import DEFAULT, RankConfig, rank_and_order
 from .core import Warehouse
 from .kpi import QUERY_SEGMENTS, inventory_by_category, product_stats, segment_label, weekly_fill_rate
@@ -47,8 +48,7 @@ def q05_weekly_fill_rate(w: Warehouse) -> DataFrame:
     per_order = w.stg_order_items.groupBy("order_id").agg(
         F.sum("requested_quantity").alias("requested_quantity"), F.sum(zero_if_null("confirmed_quantity")).alias("confirmed_quantity"))
     weekly = (
-        w.stg_orders.select("order_id", "order_date")
-        .join(per_order, "order_id")
+        table_join(w.stg_orders.select("order_id", "order_date"), per_order, "order_id")
         .groupBy(week_start("order_date").alias("week_start"))
         .agg(F.sum("requested_quantity").alias("requested_quantity"), F.sum("confirmed_quantity").alias("confirmed_quantity"))
     )
@@ -87,7 +87,7 @@ def q07_driver_productivity(w: Warehouse, strategy: str = "auto", cfg: RankConfi
 def _customer_revenue(w: Warehouse) -> DataFrame:
     # lines -> orders -> customers, reduced before each join
     per_order = w.stg_order_items.groupBy("order_id").agg(F.sum(_line_revenue()).alias("revenue"))
-    per_customer = w.stg_orders.select("order_id", "customer_id").join(per_order, "order_id").groupBy("customer_id").agg(
+    per_customer = table_join(w.stg_orders.select("order_id", "customer_id"), per_order, "order_id").groupBy("customer_id").agg(
         F.sum("revenue").alias("revenue"), F.count_distinct("order_id").alias("order_count"))
     return w.with_dim(per_customer, "stg_customers", {x: x for x in ("customer_id", "customer_name", "market_type")}, "customer_id")
 
@@ -119,7 +119,7 @@ def q10_revenue_by_market(w: Warehouse) -> DataFrame:
     # lines reduced to order grain first (partial aggregation), then joined to orders and customers
     per_order = i.groupBy("order_id").agg(F.sum(_line_revenue()).alias("revenue"))
     orders = w.with_dim(o, "stg_customers", {"customer_id": "customer_id", "market_type": "market_type"}, "customer_id")
-    lines = orders.join(per_order, "order_id").select("market_type", "customer_id", "order_id", "revenue")
+    lines = table_join(orders, per_order, "order_id").select("market_type", "customer_id", "order_id", "revenue")
     # denominator: every order line, joined or not (uncorrelated scalar subquery, evaluated once)
     all_revenue = w.stg_order_items.agg(F.sum(_line_revenue())).scalar()
     by_market = revenue_by_market(lines)

@@ -11,6 +11,7 @@ from ..operators import quality as dq
 from ..operators import writes
 from ..operators.allocation import allocate_stock, with_received_time
 from ..operators.fuzzy import resolve_customers_fuzzy
+from ..operators.joins import table_join
 from ..operators.partitioned import PartitionedTable
 from ..operators.ranking import ordered_scan
 from . import extras, kpi, layout
@@ -87,7 +88,7 @@ def catalog_suppliers(w: Warehouse) -> tuple[DataFrame, DataFrame]:
 def corrected_headers(w: Warehouse) -> Warehouse:
     """The warehouse with headers of every fifth order taken from its lines, so that they reconcile."""
     per_order = w.order_facts.groupBy("order_id").agg(F.sum("line_count").alias("_n"), F.sum("line_requested_value").alias("_v"))
-    orders = w.src.orders_cleaned.join(per_order, "order_id", "left")
+    orders = table_join(w.src.orders_cleaned, per_order, "order_id", "left")
     fix = (F.col("order_id") % 5 == 0) & F.col("_n").isNotNull()
     for column, value, kind in (("total_items", "_n", "int"), ("total_value", "_v", "decimal(10,2)")):
         orders = orders.withColumn(column, F.when(fix, F.col(value).cast(kind)).otherwise(F.col(column)))
@@ -206,7 +207,7 @@ def incremental_weekly_fill_rate(w: Warehouse) -> DataFrame:
 
     spark = w.stg_orders.sparkSession
     items = w.src.order_items.select("order_id", "requested_quantity", "confirmed_quantity", "updated_at")
-    lines = w.stg_orders.select("order_id", "order_date").join(items, "order_id").select(
+    lines = table_join(w.stg_orders.select("order_id", "order_date"), items, "order_id").select(
         week_start("order_date").alias("order_week"), F.col("requested_quantity").cast("decimal(10,2)").alias("requested_quantity"),
         zero_if_null(F.col("confirmed_quantity").cast("decimal(10,2)")).alias("confirmed_quantity"), "updated_at")
     state = f"{ensure_checkpoint_dir(spark).rstrip('/')}/greenlane-incremental-{uuid.uuid4().hex}"

@@ -280,3 +280,27 @@ def test_copies_of_a_large_dimension_are_never_broadcast(spark, tmp_path):
         assert "Broadcast" not in plan and "SortMergeJoin" in plan, how
         assert out.count() == out.select("id").distinct().count() == rows
         assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+# Queries over lines and orders that failed by the driver's memory.
+DRIVER_MEMORY_QUERIES = (
+    "kpi_overview",
+)
+
+
+@pytest.mark.parametrize("name", DRIVER_MEMORY_QUERIES)
+def test_nothing_is_broadcast_by_the_size_of_its_file(spark, monkeypatch, name):
+    """With no room for measured dimensions nothing passes the driver, though Spark's estimates of all these small files allow it."""
+    import __spark_entry__
+
+    plans, cut = [], type(spark.range(0)).checkpoint
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(type(spark.range(0)), "checkpoint", lambda self, *a, **b: (seen(self), cut(self, *a, **b))[1])
+    spark.conf.set("greenlane.broadcastBytes", "0")
+    try:
+        seen(__spark_entry__.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("greenlane.broadcastBytes")
+    joins = [line for plan in plans for line in plan.split("\n") if re.search(r"Broadcast\w+Join", line)]
+    # the customers of the raw orders are a dimension that the adapter leaves to Spark
+    assert [line for line in joins if "o_custkey" not in line] == [] and any("SortMergeJoin" in plan for plan in plans)
