@@ -29,11 +29,21 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("greenlane.broadcastBytes", str(BROADCAST_BYTES)))
 
 
+def _fields(kind: T.StructType, at: str = "") -> list[tuple[str, T.DataType]]:
+    """Path and type of each field, those inside structs included."""
+    out = []
+    for f in kind.fields:
+        path = f"{at}`{f.name}`"
+        out += [(path, f.dataType), *(_fields(f.dataType, f"{path}.") if isinstance(f.dataType, T.StructType) else [])]
+    return out
+
+
 def measured_bytes(dim: DataFrame) -> int:
-    """Bytes of the rows of ``dim``: 16 a field and row, plus the bytes of strings."""
-    strings = [f.name for f in dim.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Bytes of the rows of ``dim``: 16 a field (also inside structs) and row, plus the bytes of strings."""
+    fields = _fields(dim.schema)
+    strings = [path for path, kind in fields if isinstance(kind, (T.StringType, T.BinaryType))]
     row = dim.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.octet_length(c)).alias(f"s{i}") for i, c in enumerate(strings)]).first()
-    return row["n"] * 16 * len(dim.columns) + sum(row[f"s{i}"] or 0 for i in range(len(strings)))
+    return row["n"] * 16 * len(fields) + sum(row[f"s{i}"] or 0 for i in range(len(strings)))
 
 
 def fits(dim: DataFrame) -> bool:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .joins import fits
 
 
 @dataclass(frozen=True)
@@ -81,6 +82,12 @@ def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
     return cp, cp.count()
 
 
+def _shipped(df: DataFrame, n: int, cfg: RankConfig, measured: DataFrame) -> DataFrame:
+    """``df`` (``n`` rows) as a side of a join: broadcast while its rows are few and ``measured``, a materialised frame
+    of as many rows and like columns, fits a broadcast in bytes; else merged, whatever Spark estimates."""
+    return F.broadcast(df) if n <= cfg.broadcast_rows and fits(measured) else df.hint("merge")
+
+
 def _same_group(df: DataFrame, keyed: DataFrame, group: list[str]) -> Column:
     """Join condition on the groups of ``keyed`` (named ``_k_<group>``); NULL is a group of its own, as in a window."""
     out = F.lit(True)
@@ -117,8 +124,7 @@ def _range_scan(df: DataFrame, n: int, group: list[str], order: list[Column], su
         *[F.coalesce(F.sum(f"_ps_{name}").over(before), F.lit(0)).alias(f"_pre_{name}") for name in sums],
     )
     prefix, n_prefix = _materialize(prefix)
-    if n_prefix <= cfg.broadcast_rows:
-        prefix = F.broadcast(prefix)
+    prefix = _shipped(prefix, n_prefix, cfg, prefix)
 
     local = Window.partitionBy("_pid", *group).orderBy(*order)
     run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -167,8 +173,7 @@ def ordered_scan(df: DataFrame, n: int | None, group: list[str], order: list[Col
         frequent, n_frequent = _materialize(frequent.drop("_gn"))
         if n_frequent == 0:
             return _builtin_scan(df, group, order, sums, types)
-        if n_frequent <= cfg.broadcast_rows:
-            frequent = F.broadcast(frequent)
+        frequent = _shipped(frequent, n_frequent, cfg, frequent)
         counted = counted.join(frequent, _same_group(counted, frequent, group[:1]), "left_semi")
     # At most n / small_rows groups can be hot; the key list is broadcast only below the
     # counted broadcast_rows, otherwise the semi/anti joins shuffle on the group keys.
@@ -177,8 +182,7 @@ def ordered_scan(df: DataFrame, n: int | None, group: list[str], order: list[Col
     if n_hot == 0:
         return _builtin_scan(df, group, order, sums, types)
     n_hot_rows = hot.agg(F.sum("_gn")).first()[0]
-    if n_hot <= cfg.broadcast_rows:
-        hot = F.broadcast(hot)
+    hot = _shipped(hot, n_hot, cfg, hot)
     cold_rows = df.join(hot, _same_group(df, hot, group), "left_anti")
     hot_rows = df.join(hot, _same_group(df, hot, group), "left_semi")
     return _builtin_scan(cold_rows, group, order, sums, types).unionByName(
@@ -255,8 +259,7 @@ def rank_and_order(
         values, n_values = _materialize(values)
         scanned = ordered_scan(values, n_values, list(part), [_order_col(m, descending)], {"_cum": "_cnt"}, cfg, force)
         lookup = scanned.select(*part, m, (F.col("_cum") - F.col("_cnt") + 1).cast("int").alias(name))
-        if n_values <= cfg.broadcast_rows:
-            lookup = F.broadcast(lookup)
+        lookup = _shipped(lookup, n_values, cfg, values)
         keys = [*part, m]
         lk = lookup.select(*[F.col(c).alias(f"_k_{c}") for c in keys], name)
         cond = [out[c].eqNullSafe(lk[f"_k_{c}"]) for c in keys]

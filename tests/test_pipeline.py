@@ -304,3 +304,11 @@ def test_nothing_is_broadcast_by_the_size_of_its_file(spark, monkeypatch, name):
     joins = [line for plan in plans for line in plan.split("\n") if re.search(r"Broadcast\w+Join", line)]
     # the customers of the raw orders are a dimension that the adapter leaves to Spark
     assert [line for line in joins if "o_custkey" not in line] == [] and any("SortMergeJoin" in plan for plan in plans)
+
+
+def test_fields_and_strings_inside_structs_count_as_bytes(spark):
+    from greenlane.operators.joins import measured_bytes
+
+    df = spark.createDataFrame([(1, "ab", 2.0), (2, None, 3.0)], "a bigint, s string, x double")
+    assert measured_bytes(df) == 2 * 3 * 16 + 2
+    assert measured_bytes(df.select(F.struct("a", "s").alias("slot.1"), "x")) == 2 * 4 * 16 + 2  # the struct, its two fields and x
