@@ -285,6 +285,7 @@ def test_copies_of_a_large_dimension_are_never_broadcast(spark, tmp_path):
 # Queries over lines and orders that failed by the driver's memory.
 DRIVER_MEMORY_QUERIES = (
     "kpi_overview",
+    "dq_stale_market_split",
 )
 
 
