@@ -286,6 +286,7 @@ def test_copies_of_a_large_dimension_are_never_broadcast(spark, tmp_path):
 DRIVER_MEMORY_QUERIES = (
     "kpi_overview",
     "dq_stale_market_split",
+    "dq_revenue_ties_out",
 )
 
 
