@@ -287,6 +287,7 @@ DRIVER_MEMORY_QUERIES = (
     "kpi_overview",
     "dq_stale_market_split",
     "dq_revenue_ties_out",
+    "fct_orders_corrected_headers",
 )
 
 
