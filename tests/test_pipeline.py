@@ -288,6 +288,7 @@ DRIVER_MEMORY_QUERIES = (
     "dq_stale_market_split",
     "dq_revenue_ties_out",
     "fct_orders_corrected_headers",
+    "x8_orders_missing_items",
 )
 
 
