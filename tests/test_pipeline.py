@@ -289,6 +289,7 @@ DRIVER_MEMORY_QUERIES = (
     "dq_revenue_ties_out",
     "fct_orders_corrected_headers",
     "x8_orders_missing_items",
+    "kpi_weekly_orders",
 )
 
 
