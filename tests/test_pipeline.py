@@ -290,6 +290,7 @@ DRIVER_MEMORY_QUERIES = (
     "fct_orders_corrected_headers",
     "x8_orders_missing_items",
     "kpi_weekly_orders",
+    "kpi_weekly_fill_rate",
 )
 
 
