@@ -291,6 +291,7 @@ DRIVER_MEMORY_QUERIES = (
     "x8_orders_missing_items",
     "kpi_weekly_orders",
     "kpi_weekly_fill_rate",
+    "fct_orders",
 )
 
 
