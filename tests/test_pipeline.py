@@ -292,6 +292,7 @@ DRIVER_MEMORY_QUERIES = (
     "kpi_weekly_orders",
     "kpi_weekly_fill_rate",
     "fct_orders",
+    "kpi_revenue_by_market",
 )
 
 
