@@ -293,6 +293,7 @@ DRIVER_MEMORY_QUERIES = (
     "kpi_weekly_fill_rate",
     "fct_orders",
     "kpi_revenue_by_market",
+    "x3_stock_allocation",
 )
 
 
