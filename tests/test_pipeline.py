@@ -294,6 +294,7 @@ DRIVER_MEMORY_QUERIES = (
     "fct_orders",
     "kpi_revenue_by_market",
     "x3_stock_allocation",
+    "x3_stock_allocation_distributed",
 )
 
 
