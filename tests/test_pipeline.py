@@ -295,6 +295,7 @@ DRIVER_MEMORY_QUERIES = (
     "kpi_revenue_by_market",
     "x3_stock_allocation",
     "x3_stock_allocation_distributed",
+    "dq_overconfirmed_lines",
 )
 
 
