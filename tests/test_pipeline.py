@@ -297,6 +297,7 @@ DRIVER_MEMORY_QUERIES = (
     "x3_stock_allocation_distributed",
     "dq_overconfirmed_lines",
     "q10_revenue_by_market",
+    "kpi_product_demand_distributed",
 )
 
 
