@@ -298,6 +298,7 @@ DRIVER_MEMORY_QUERIES = (
     "dq_overconfirmed_lines",
     "q10_revenue_by_market",
     "kpi_product_demand_distributed",
+    "kpi_product_demand",
 )
 
 
