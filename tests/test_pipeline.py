@@ -299,6 +299,7 @@ DRIVER_MEMORY_QUERIES = (
     "q10_revenue_by_market",
     "kpi_product_demand_distributed",
     "kpi_product_demand",
+    "x7_stockout_runs",
 )
 
 
