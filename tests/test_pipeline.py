@@ -300,6 +300,7 @@ DRIVER_MEMORY_QUERIES = (
     "kpi_product_demand_distributed",
     "kpi_product_demand",
     "x7_stockout_runs",
+    "x7_stockout_frequency",
 )
 
 
