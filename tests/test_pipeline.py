@@ -301,6 +301,7 @@ DRIVER_MEMORY_QUERIES = (
     "kpi_product_demand",
     "x7_stockout_runs",
     "x7_stockout_frequency",
+    "fct_order_items",
 )
 
 
