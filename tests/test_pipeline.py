@@ -302,6 +302,7 @@ DRIVER_MEMORY_QUERIES = (
     "x7_stockout_runs",
     "x7_stockout_frequency",
     "fct_order_items",
+    "q11_top_products",
 )
 
 
