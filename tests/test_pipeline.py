@@ -303,6 +303,7 @@ DRIVER_MEMORY_QUERIES = (
     "x7_stockout_frequency",
     "fct_order_items",
     "q11_top_products",
+    "q12_source_type",
 )
 
 
