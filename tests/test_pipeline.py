@@ -304,6 +304,7 @@ DRIVER_MEMORY_QUERIES = (
     "fct_order_items",
     "q11_top_products",
     "q12_source_type",
+    "kpi_weekly_inventory",
 )
 
 
