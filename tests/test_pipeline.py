@@ -305,6 +305,7 @@ DRIVER_MEMORY_QUERIES = (
     "q11_top_products",
     "q12_source_type",
     "kpi_weekly_inventory",
+    "q13_inventory_trend",
 )
 
 
