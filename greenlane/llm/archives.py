@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from greenlane.llm.common import shared_path, slices, table, written
 
 CHUNK_BYTES, RECORDS_PER_FILE, FILE_BYTES, BROADCAST_ROWS = 4 << 20, 20_000, 256 << 20, 100_000
+#: Rows that hold whole archives: a row group for each, however well it compresses, so writers and readers hold one archive at a
+#: time. Parquet's own bounds are looked at after a hundred rows only, which are 400 MB of archives.
+ARCHIVE_ROWS = {"parquet.block.size": "1", "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 CAPTURED = "20260101000000"
 #: The fields of ARC header lines by version.
 ARC_FIELDS = {
@@ -125,6 +128,11 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
 
 
+def values(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+    """The rows of a batch of files, one file copied at a time."""
+    return ((name.as_py(), content.as_py()) for name, content in zip(*batch.columns, strict=True))
+
+
 def opened(content: bytes) -> BinaryIO:
     return io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content))) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
 
@@ -156,7 +164,7 @@ def arc_to_warc(arcs: DataFrame, payloads: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, content in values(batch):
                 rows = []
                 for fields, at, body in parse_arc(opened(content), name):
                     head, payload = http_parts(body)
@@ -244,7 +252,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, content in values(batch):
                 rows = []
                 for fields, block in parse_warc(opened(content), name):
                     head, payload = http_parts(block)
@@ -274,7 +282,7 @@ def resolved(records: DataFrame) -> DataFrame:
 
 
 def op8_warc(spark, sf_dir: str) -> DataFrame:
-    arcs = written(pages_to_arc(table(spark, sf_dir, "pages")), "arc")
+    arcs = written(pages_to_arc(table(spark, sf_dir, "pages")), "arc", ARCHIVE_ROWS)
     path = shared_path(spark, "warc")
     write_warc(arcs, path)
     return resolved(written(read_warc(spark, path), "warc-read"))

@@ -7,6 +7,7 @@ import io
 import tempfile
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 
 from greenlane.llm import archives as A
@@ -117,6 +118,17 @@ def test_table_against_sql(spark):
     assert sorted(map(tuple, rows)) == sorted(con.execute(queries.ORACLE["op8_warc"]).fetchall())
 
 
+def test_archives_cross_spark_one_at_a_time(spark, tmp_path, monkeypatch):
+    """The row groups of the table of archives hold one archive each, however many a task writes."""
+    rows = [(i, f"http://a.org/{i}", f"{i:04d}" * 50_000) for i in range(80)]  # 16 MB
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    made = {}
+    monkeypatch.setattr(A, "written", lambda df, tag, *a: made.setdefault(tag, written(df, tag, *a)))
+    got = sorted(map(tuple, A.op8_warc(spark, str(tmp_path)).collect()), key=repr)
+    groups = [f.metadata.row_group(g).num_rows for f in map(pq.ParquetFile, [f.removeprefix("file://") for f in made["arc"].inputFiles()]) for g in range(f.metadata.num_row_groups)]
+    assert got == want(rows) and sum(groups) >= 4 and max(groups) == 1
+
+
 def test_empty_table_and_extra_columns(spark):
     from pyspark.sql import functions as F
 
