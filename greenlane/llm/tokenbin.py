@@ -23,6 +23,7 @@ hash of their texts; an empty table writes no shard and reads as no rows; other
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
@@ -84,10 +85,13 @@ class Encoder:
         if self.direct:
             words, tokens = list(filter(_WORD, units)), self.tokenizer.model.tokenize
             mapped = _BYTE_LEVEL[np.frombuffer("\n".join(words).encode(), np.uint8)].tobytes().decode("utf-32-le").split("\n") if words else []
-            found = {u: array("I", [t.id for t in tokens(w)]).tobytes() for u, w in zip(words, mapped, strict=True)}
+            pieces = list(map(tokens, mapped))
+            flat, ends = array("I", [t.id for p in pieces for t in p]).tobytes(), itertools.accumulate(map(len, pieces), initial=0)
+            found = {u: flat[4 * a: 4 * b] for u, (a, b) in zip(words, itertools.pairwise(ends), strict=True)}
             rest = [u for u in units if u not in found]
-            found |= zip(rest, self.whole(rest), strict=True)
-            return [found[u] for u in units]
+            if rest:
+                found |= zip(rest, self.whole(rest), strict=True)
+            return list(map(found.__getitem__, units))
         return self.whole(units)
 
     def whole(self, units: list[str]) -> list[bytes]:
@@ -105,7 +109,7 @@ class Encoder:
         """All ids of the texts in order, and where each text's begin (and the last ends)."""
         units, starts = cut_units(texts.cast(pa.large_binary()), self.cuts, self.pairs)
         units = units.dictionary_encode()
-        distinct = units.dictionary.to_pylist()
+        distinct = unit_bytes(units.dictionary)
         found = list(map(self.known.get, distinct))
         for k in [k for k, ids in enumerate(found) if ids is None]:
             if (ids := self.older.get(distinct[k])) is not None:
@@ -177,6 +181,15 @@ def cut_units(texts: pa.Array, cuts: bool, pairs: np.ndarray = PAIRS) -> tuple[p
     return units, np.searchsorted(places, ends)
 
 
+def unit_bytes(units: pa.LargeBinaryArray) -> list[bytes]:
+    """The units as bytes, cut from one copy: Arrow makes a scalar of each on the way to a list."""
+    if not len(units):
+        return []
+    offsets = np.frombuffer(units.buffers()[1], np.int64)[units.offset: units.offset + len(units) + 1].tolist()
+    data = units.buffers()[2].to_pybytes()
+    return [data[a:b] for a, b in itertools.pairwise(offsets)]
+
+
 @functools.lru_cache(2)
 def encoder(content: bytes) -> Encoder:
     return Encoder(content)
