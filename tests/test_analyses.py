@@ -144,6 +144,38 @@ def test_resolution_needs_a_margin(spark):
     assert wide[2] == wide[9] == "review" and wide[4] == "fuzzy"
 
 
+def test_deletions_and_grams_find_the_same_pairs(spark):
+    r = random.Random(6)
+    names = {"".join(r.choice("ab1é") for _ in range(r.randrange(0, 13))) for _ in range(150)} | {"aaaaaaaaaa", "aaaaaaaa", "x" * 70, "x" * 63 + "y", "x" * 66}
+    limit = lambda s: 0 if len(s) < 4 else 1 if len(s) < 8 else 2
+    every = {(n, t, _edit_distance(n, t)) for n in names for t in names if abs(len(n) - len(t)) <= 2}
+    frame = spark.createDataFrame([(x,) for x in names], "name string")
+    got = lambda df: sorted(map(tuple, df.collect()))
+    for edits in range(3):
+        assert got(fuzzy.by_deletions(frame, frame, edits)) == sorted(x for x in every if x[2] <= min(edits, limit(x[0])))
+    want = sorted(x for x in every if x[2] <= limit(x[0]))
+    assert got(fuzzy.by_grams(frame.where("name <> ''"), frame.where("name <> ''"))) == [x for x in want if x[0]]
+    # names of more than 64 characters take the grams only
+    assert got(fuzzy.near_names(frame, frame)) == want
+    for margin in (1, 2):
+        pairs = fuzzy.near_names(frame, frame, margin).localCheckpoint()
+        assert got(fuzzy.best_by_margin(pairs, margin)) == got(fuzzy.best_by_margin(spark.createDataFrame(want, pairs.schema), margin))
+        nearest = {n: min(x[2] for x in want if x[0] == n) for n, _, _ in want}
+        assert set(x for x in want if x[2] < nearest[x[0]] + margin) <= set(map(tuple, pairs.collect())) <= set(want)
+
+
+def test_numbered_names_meet_few_others(spark, monkeypatch):
+    """Numbers share their grams with a hundredth of all others: the pairs that are measured must not grow with that."""
+    n, of = 8000, "lpad(id * 35, 9, '0')) AS name FROM range(1600)"
+    targets = spark.sql(f"SELECT concat('customer#', lpad(id * 7, 9, '0')) AS name FROM range({n})")
+    names = spark.sql(f"SELECT concat('kusxomer#', {of} UNION ALL SELECT concat('custmer#', {of} UNION ALL SELECT concat('customer#', {of}")
+    met = []
+    monkeypatch.setattr(fuzzy, "_measured", lambda pairs, edits, f=fuzzy._measured: met.append(pairs.count()) or f(pairs, edits))
+    best = fuzzy.best_by_margin(fuzzy.near_names(names, targets, 1)).groupBy("distance", "clear").count()
+    assert sorted(map(tuple, best.collect())) == [(0, True, 1600), (1, True, 1600), (2, True, 1600)]
+    assert sum(met) < 10 * n
+
+
 # -- A6 ----------------------------------------------------------------------------------------
 def test_bitmaps_merge_exactly(spark):
     r = random.Random(5)
