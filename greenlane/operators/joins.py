@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 16
+#: Rows of one key that one task may join.
+HOT_ROWS = 1_000_000
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -55,10 +57,19 @@ def table_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.join(right.hint("merge"), key, how)
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", small: bool | None = None) -> DataFrame:
-    """``fact`` joined with ``dim`` on ``key`` (``how``: inner, left or left_semi); ``small``: what ``fits`` said, if known."""
+def salts_for(fact: DataFrame, key: str) -> int:
+    """Copies of a large dimension that ``fact`` needs: one while no value of ``key``, NULL included, has over ``HOT_ROWS`` rows (counted)."""
+    counts = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    return SALTS if (counts.agg(F.max("_n")).first()[0] or 0) > HOT_ROWS else 1
+
+
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", small: bool | None = None, salts: int = SALTS) -> DataFrame:
+    """``fact`` joined with ``dim`` on ``key`` (``how``: inner, left or left_semi); ``small``: what ``fits`` said, if known;
+    ``salts``: what ``salts_for`` said, where a pass over the fact's keys costs less than the copies."""
     if fits(dim) if small is None else small:
         return fact.join(F.broadcast(dim), key, how)
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int")
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if salts == 1:
+        return table_join(fact, dim, key, how)
+    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return fact.withColumn("_salt", salt).join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")

@@ -332,6 +332,17 @@ def run_checks(models, checks: list[Check]) -> DataFrame:
             .selectExpr(f"inline(array(element_at(array({meta}), _check + 1)))"))
 
 
+def check_groups(checks: list[Check]) -> list[list[Check]]:
+    """``checks`` in groups that share no shuffle: the row-local ones, then each set of keyed ones that key columns link."""
+    local, groups = [c for c in checks if _is_row_local(c)], []
+    for check in (c for c in checks if not _is_row_local(c)):
+        keys = {(check.model, check.column or check.columns or check.label), *([check.to] if check.to else [])}
+        linked = [g for g in groups if g[0] & keys]
+        groups = [g for g in groups if not g[0] & keys]
+        groups.append((keys.union(*[g[0] for g in linked]), [c for g in linked for c in g[1]] + [check]))
+    return [g for g in (local, *[g[1] for g in groups]) if g]
+
+
 def raise_on_error(summary: DataFrame) -> DataFrame:
     """Error-severity failures stop the job; warnings are only reported."""
     failed = [r.check_name for r in summary.where("status = 'fail'").select("check_name").collect()]

@@ -6,23 +6,29 @@ line-grain joins run once per build. Facts are partitioned by month and sorted i
 files by their common lookup keys. The written tables also cut lineage, so a lost executor
 never recomputes the whole chain. Checks run on the written output, KPI marts included; error-severity failures stop the build after the report is
 saved, warnings are only reported.
+
+Disk beside the tables holds the shuffles of one step at a time, which go when the step has run. The steps with the largest are cut: the
+enriched lines are written in slices of orders, each of which reads the tables once more but shuffles only its share, the
+marts of the lines come before the other tables, and the checks run in groups that share no shuffled keys.
 """
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
+from ..session import shuffles_freed
 from ..sources.io import Tables, write_overwrite
 from .core import Warehouse
 from .kpi import KPI_MARTS
 
 CORE_LAYOUT = {
     # model: (partition columns, sort-within-partition columns)
-    "fct_order_items": (["order_month"], ["customer_id", "order_date"]),
+    "fct_order_items": (["order_month"], ["customer_id", "order_date", "order_id"]),
     "order_facts": (["order_month"], ["customer_id", "order_date"]),
     "fct_orders": (["order_month"], ["customer_id", "order_date"]),
     "fct_deliveries": (["scheduled_month"], ["driver_worker_id", "scheduled_date"]),
@@ -31,12 +37,18 @@ CORE_LAYOUT = {
     "dim_products": ([], ["product_id"]),
     "dim_workers": ([], ["worker_id"]),
 }
+# Lines up to which they are written at once, and the slices that more are cut into at most: each reads all lines.
+SLICE_ROWS, SLICES = 1_200_000, 8
+# Marts of the lines alone. Their shuffles are among the largest: they run while the lines are the only table on disk.
+LINE_MARTS = ("kpi_product_demand", "kpi_source_type_fill_rate")
 _MONTH_OF = {"order_month": "order_date", "scheduled_month": "scheduled_date"}
 
 
 class BuiltWarehouse(Warehouse):
     """A warehouse whose core models are read back from a build directory as they get written."""
 
+    count_keys = True
+
     def __init__(self, spark: SparkSession, src: Tables, root: str):
         super().__init__(src)
         self.spark, self.root = spark, root.rstrip("/")
@@ -94,26 +106,68 @@ class BuiltWarehouse(Warehouse):
         return self._read("dim_workers")
 
 
+class SlicedWarehouse(Warehouse):
+    """The orders of one of ``n`` slices with their lines; dimensions are measured once for all slices."""
+
+    count_keys = True
+
+    def __init__(self, src: Tables, k: int, n: int, fits: dict):
+        for name in ("orders_cleaned", "order_items") if n > 1 else ():
+            src = src.with_table(name, src[name].where(F.pmod(F.xxhash64("order_id"), F.lit(n)) == k))
+        super().__init__(src)
+        self._fits = fits
+
+
+def line_slices(src: Tables) -> int:
+    """Slices in which the enriched lines are written: as many as there are ``SLICE_ROWS`` lines, ``SLICES`` at most."""
+    return max(1, min(SLICES, math.ceil(src.order_items.count() / SLICE_ROWS)))
+
+
+def _with_month(df: DataFrame, parts: list[str]) -> DataFrame:
+    for month_col, date_col in _MONTH_OF.items():
+        if month_col in parts:
+            df = df.withColumn(month_col, F.date_format(date_col, "yyyy-MM"))
+    return df
+
+
+def checked(models, checks: list[dq.Check]) -> DataFrame:
+    """The summary of ``run_checks``, a group of checks at a time; a row per check passes through the driver."""
+    groups = [dq.run_checks(models, group) for group in dq.check_groups(checks)]
+    rows = {r["check_name"]: r for df in groups for r in df.collect()}
+    return models.spark.createDataFrame([rows[c.name] for c in checks], groups[0].schema).coalesce(1)
+
+
 def build(spark: SparkSession, src: Tables, root: str, fail_on_error: bool = False) -> dict[str, int]:
     """Write core and KPI tables under ``root``; returns rows written per table (plus the check report)."""
-    root = root.rstrip("/")
-    w, built = Warehouse(src), BuiltWarehouse(spark, src, root)
+    with shuffles_freed(spark):
+        report = _build(spark, src, root.rstrip("/"))
+    if fail_on_error:
+        dq.raise_on_error(spark.read.parquet(f"{root.rstrip('/')}/checks"))
+    return report
+
+
+def _build(spark: SparkSession, src: Tables, root: str) -> dict[str, int]:
+    w, built = SlicedWarehouse(src, 0, 1, {}), BuiltWarehouse(spark, src, root)
     report: dict[str, int] = {}
     for name, (parts, sort) in CORE_LAYOUT.items():
-        if name == "order_facts":
-            df = built.derived_order_facts()
+        if name == "fct_order_items":
+            n = line_slices(src)
+            dfs = (SlicedWarehouse(src, k, n, w._fits).fct_order_items for k in range(n))
+        elif name == "order_facts":
+            dfs = [built.derived_order_facts()]
         elif name in ("fct_orders", "dim_customers"):  # from the order facts just written
-            df = getattr(Warehouse, name).func(built)
+            dfs = [getattr(Warehouse, name).func(built)]
         else:
-            df = getattr(w, name)
-        for month_col, date_col in _MONTH_OF.items():
-            if month_col in parts:
-                df = df.withColumn(month_col, F.date_format(date_col, "yyyy-MM"))
-        report[f"core/{name}"] = write_overwrite(df, f"{root}/core/{name}", partition_by=parts, sort_within=sort)
+            dfs = [getattr(w, name)]
+        report[f"core/{name}"] = sum(
+            write_overwrite(_with_month(df, parts), f"{root}/core/{name}", partition_by=parts, sort_within=sort, append=k > 0, compression="zstd")
+            for k, df in enumerate(dfs))
+        if name == "fct_order_items":
+            for mart in LINE_MARTS:
+                report[f"kpi/{mart}"] = write_overwrite(KPI_MARTS[mart](built), f"{root}/kpi/{mart}")
     for name, fn in KPI_MARTS.items():
-        report[f"kpi/{name}"] = write_overwrite(fn(built), f"{root}/kpi/{name}")
-    checks = dq.run_checks(built, dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS)
+        if name not in LINE_MARTS:
+            report[f"kpi/{name}"] = write_overwrite(fn(built), f"{root}/kpi/{name}")
+    checks = checked(built, dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS)
     report["checks"] = write_overwrite(checks, f"{root}/checks")
-    if fail_on_error:
-        dq.raise_on_error(spark.read.parquet(f"{root}/checks"))
     return report

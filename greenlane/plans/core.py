@@ -14,12 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import on_time_flag, safe_pct, week_start, zero_if_null
-from ..operators.joins import fits, lookup_join, table_join
+from ..operators.joins import fits, lookup_join, salts_for, table_join
 from ..sources.io import Tables
 from . import staging as stg
 
 
 class Warehouse:
+    #: Whether the rows of a key are counted before a large dimension is copied for hot keys (a job at once, not when the plan runs).
+    count_keys = False
+
     def __init__(self, src: Tables):
         self.src = src
         self._fits: dict[tuple[str, ...], bool] = {}
@@ -30,7 +33,9 @@ class Warehouse:
         seen = (model, *columns)
         if seen not in self._fits:
             self._fits[seen] = fits(dim)
-        return lookup_join(fact, dim, key, how, small=self._fits[seen])
+        if self._fits[seen] or not self.count_keys:
+            return lookup_join(fact, dim, key, how, small=self._fits[seen])
+        return lookup_join(fact, dim, key, how, small=False, salts=salts_for(fact, key))
 
     # -- staging -----------------------------------------------------------
     @cached_property

@@ -74,12 +74,13 @@ def extract_jdbc(spark: SparkSession, url: str, table: str, partition_column: st
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] = (),
-                    sort_within: Iterable[str] = ()) -> int:
+                    sort_within: Iterable[str] = (), append: bool = False, compression: str | None = None) -> int:
     """Full-refresh overwrite; returns the rows written, counted during the write (no second pass).
 
     With ``partition_by`` the rows are first range-partitioned on (partition columns, sort columns): a
     partition value gets few files, a large one several with disjoint key ranges. The sort starts with the
     partition columns, the order that a partitioned write needs, so it is kept inside the files.
+    ``append`` adds the rows to those there: the further slices of a table that is written in several.
     """
     out, partition_by, sort_within = df, list(partition_by), list(sort_within)
     if partition_by:
@@ -88,9 +89,11 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     # counted above the range partitioning, whose sampling reads the rows once more
     obs = Observation("rows_written")
-    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append" if append else "overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
     w.format(fmt).save(path)
     return int(obs.get["rows"])
 

@@ -4,16 +4,19 @@ import datetime as dt
 import os
 import re
 import tempfile
+import time
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from greenlane.operators import writes
+from greenlane.operators import joins, writes
+from greenlane.operators import quality as dq
+from greenlane.plans import build as build_job
 from greenlane.plans import kpi
 from greenlane.plans.build import build
 from greenlane.sources import load_tables, read_table, tpch_tables
-from greenlane.sources.io import landing_tables
+from greenlane.sources.io import landing_tables, write_overwrite
 from greenlane.streaming.delivery_stream import run_daily_on_time_stream, stream_from_orders
 from greenlane.streaming.incremental import refresh_weekly_fill
 from tests.conftest import SF_SMALL
@@ -34,6 +37,52 @@ def test_build_writes_core_marts_and_checks(spark, wh_small):
     assert sorted(map(tuple, built.collect())) == sorted(map(tuple, kpi.kpi_customer_revenue(wh_small).collect()))
 
 
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+    return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+
+
+def test_build_frees_its_shuffles_and_slices_the_lines(spark, wh_small, monkeypatch):
+    monkeypatch.setattr(build_job, "SLICE_ROWS", 2000)
+    monkeypatch.setattr(build_job, "SLICES", 3)
+    parts = []
+    monkeypatch.setattr(build_job, "write_overwrite", lambda df, path, f=write_overwrite, **how: parts.append((path, n := f(df, path, **how))) or n)
+    src, root = tpch_tables(spark, SF_SMALL), tempfile.mkdtemp(prefix="greenlane-build-")
+    before = _shuffle_files(spark)
+    report = build(spark, src, root)
+    for _ in range(50):  # they go in the background
+        if (left := _shuffle_files(spark)) <= before + 20:
+            break
+        time.sleep(0.2)
+    assert left <= before + 20  # hundreds, were they kept until the heap is collected; a few are of reads outside of writes
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    lines = [n for path, n in parts if path.endswith("/fct_order_items")]
+    assert len(lines) == 3 and max(lines) < 0.5 * sum(lines) and sum(lines) == report["core/fct_order_items"]
+    built = spark.read.parquet(f"{root}/core/fct_order_items").drop("order_month")
+    assert rows(built) == rows(wh_small.fct_order_items.select(built.columns))
+    every = dq.run_checks(wh_small, dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS)
+    assert rows(spark.read.parquet(f"{root}/checks")) == rows(every)
+
+
+def test_check_groups_share_no_keys():
+    checks = dq.STAGING_CHECKS + dq.CORE_CHECKS + dq.KPI_CHECKS
+    groups = dq.check_groups(checks)
+    assert sorted(c.name for g in groups for c in g) == sorted(c.name for c in checks)
+    keys = [{(c.model, c.column) for c in g if c.column} | {c.to for c in g if c.to} for g in groups[1:]]
+    assert sum(map(len, keys)) == len(set().union(*keys)) and max(map(len, keys)) < 10
+
+
+def test_a_large_dimension_is_copied_for_hot_keys_only(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    dim = spark.range(40).selectExpr("id AS k", "concat('n', id) AS name")
+    even, hot = spark.range(400).selectExpr("id % 50 AS k", "id"), spark.range(400).selectExpr("IF(id % 3 = 0, NULL, id % 50) AS k", "id")
+    assert joins.salts_for(even, "k") == 1 and joins.salts_for(hot, "k") == joins.SALTS and joins.salts_for(even.limit(0), "k") == 1
+    for how in ("inner", "left"):
+        one, many, plain = (sorted(map(str, df.collect())) for df in (
+            joins.lookup_join(even, dim, "k", how, small=False, salts=1), joins.lookup_join(even, dim, "k", how, small=False), even.join(dim, "k", how)))
+        assert one == many == plain
+
+
 def test_landing_roundtrip_and_csv_scan(spark):
     root = tempfile.mkdtemp(prefix="greenlane-land-")
     counts = load_tables(tpch_tables(spark, SF_SMALL), root, ["customers", "orders_cleaned"])
