@@ -175,7 +175,9 @@ def resolve_customers_fuzzy(raw: DataFrame, customers: DataFrame, margin: int =
     names, _ = _materialize(table_join(names, exact, "customer_name_raw", "left"))
     masters = active.select(norm("customer_name").alias("name"), "customer_id").where("name <> ''").groupBy("name").agg(F.min("customer_id").alias("fuzzy_id"))
     best, _ = _materialize(best_by_margin(near_names(names.where("exact_id IS NULL"), masters, margin), margin))
-    found = table_join(table_join(names, best, "name", "left"), masters.withColumnRenamed("name", "target"), "target", "left")
+    # the ids first: most names have no target, and all NULL targets would meet in one task
+    best = table_join(best, masters.withColumnRenamed("name", "target"), "target")
+    found = table_join(names, best, "name", "left")
     resolution = F.when(F.col("exact_id").isNotNull(), "exact").when(F.col("clear"), "fuzzy").when(F.col("target").isNotNull(), "review").otherwise("unknown")
     found = found.select("customer_name_raw", resolution.alias("resolution"),
                          F.coalesce("exact_id", F.when(F.col("clear"), F.col("fuzzy_id"))).alias("customer_id"),
